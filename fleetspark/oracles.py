@@ -162,3 +162,160 @@ SELECT n.instance_id, n.snapshot_id, r.rule_id, n.name AS setting, n.num AS valu
 FROM num n JOIN setting_rules r ON r.name = n.name
 WHERE (r.op = '<' AND n.num < r.bound) OR (r.op = '<=' AND n.num <= r.bound) OR (r.op = '=' AND n.num = r.bound)
    OR (r.op = '>=' AND n.num >= r.bound) OR (r.op = '>' AND n.num > r.bound)""")
+
+
+# ------------------------------------------------------------ catalog
+oracle("column_catalog", ["cat_columns"], """
+SELECT instance_id, table_schema, table_name, ordinal_position AS position, column_name AS name,
+       column_type AS type, is_nullable = 'YES' AS nullable, COALESCE(column_default, '') AS "default",
+       COALESCE(character_set_name, '') AS charset, COALESCE(collation_name, '') AS collation,
+       COALESCE(column_key, '') AS key, COALESCE(extra, '') AS extra, COALESCE(column_comment, '') AS comment,
+       contains(lower(column_type), 'unsigned') AS unsigned
+FROM cat_columns""")
+
+_TABLE_INV = """ti AS (
+  SELECT t.instance_id, t.table_schema, t.table_name, COALESCE(t.engine, '') AS engine,
+         COALESCE(t.row_format, '') AS row_format, COALESCE(c.character_set_name, '') AS charset,
+         COALESCE(t.table_collation, '') AS collation, CAST(COALESCE(t.table_rows, 0) AS BIGINT) AS row_count,
+         round(CAST(COALESCE(t.data_length, 0) AS DOUBLE) / 1048576.0, 2) AS data_mb,
+         round(CAST(COALESCE(t.index_length, 0) AS DOUBLE) / 1048576.0, 2) AS index_mb,
+         round(CAST(COALESCE(t.data_length + t.index_length, 0) AS DOUBLE) / 1048576.0, 2) AS total_mb,
+         round(CAST(COALESCE(t.data_free, 0) AS DOUBLE) / 1048576.0, 2) AS free_mb,
+         round(CAST(COALESCE(t.data_free, 0) AS DOUBLE) / NULLIF(t.data_length + t.index_length + t.data_free, 0) * 100, 1) AS frag_pct,
+         CAST(COALESCE(t.auto_increment, 0) AS DECIMAL(20,0)) AS auto_increment,
+         COALESCE(t.table_comment, '') AS comment
+  FROM cat_tables t LEFT JOIN cat_collations c ON c.collation_name = t.table_collation
+  WHERE t.table_type = 'BASE TABLE'
+)"""
+oracle("table_inventory", ["cat_tables", "cat_collations"], f"WITH {_TABLE_INV} SELECT * FROM ti")
+oracle("size_totals", ["cat_tables", "cat_collations"], f"""WITH {_TABLE_INV}
+SELECT instance_id, table_schema, COUNT(*) AS n_items, round(SUM(total_mb), 2) AS total_size_mb,
+       round(SUM(free_mb), 2) AS total_free_mb
+FROM ti GROUP BY instance_id, table_schema""")
+
+oracle("database_sizes", ["cat_schemata", "cat_tables"], """
+SELECT s.instance_id, s.schema_name, s.default_character_set_name AS charset, s.default_collation_name AS collation,
+       round(CAST(COALESCE(SUM(t.data_length + t.index_length), 0) AS DOUBLE) / 1048576.0, 2) AS size_mb,
+       CAST(COUNT(t.table_name) AS BIGINT) AS tables
+FROM cat_schemata s LEFT JOIN cat_tables t ON t.instance_id = s.instance_id AND t.table_schema = s.schema_name
+GROUP BY s.instance_id, s.schema_name, s.default_character_set_name, s.default_collation_name""")
+
+oracle("data_dictionary", ["cat_columns", "cat_tables"], """
+SELECT t.instance_id, t.table_schema, t.table_name, COALESCE(t.table_comment, '') AS comment,
+       string_agg(concat_ws(':', CAST(c.ordinal_position AS VARCHAR), COALESCE(c.column_name, ''), COALESCE(c.column_type, ''),
+                  CAST(contains(lower(c.column_type), 'unsigned') AS VARCHAR), CAST(c.is_nullable = 'YES' AS VARCHAR),
+                  COALESCE(c.column_default, ''), COALESCE(c.column_comment, '')), '|' ORDER BY c.ordinal_position) AS columns
+FROM cat_columns c JOIN cat_tables t ON t.instance_id = c.instance_id AND t.table_schema = c.table_schema
+  AND t.table_name = c.table_name AND t.table_type = 'BASE TABLE'
+GROUP BY t.instance_id, t.table_schema, t.table_name, t.table_comment""")
+
+oracle("index_catalog", ["cat_index_columns", "cat_index_sizes"], """
+WITH idx AS (
+  SELECT instance_id, table_schema, table_name, index_name,
+         arg_min(index_type, seq_in_index) AS type, arg_min(non_unique, seq_in_index) = 0 AS "unique",
+         arg_min(is_visible, seq_in_index) = 'YES' AS visible,
+         CAST(COALESCE(arg_min(cardinality, seq_in_index), 0) AS BIGINT) AS cardinality,
+         string_agg(concat_ws(':', CAST(seq_in_index AS VARCHAR), COALESCE(column_name, ''),
+                    CAST(COALESCE(sub_part, 0) AS VARCHAR), CAST(nullable = 'YES' AS VARCHAR)), '|' ORDER BY seq_in_index) AS columns
+  FROM cat_index_columns GROUP BY instance_id, table_schema, table_name, index_name
+)
+SELECT i.instance_id, i.table_schema, i.table_name, i.index_name, i.type, i."unique", i.visible, i.cardinality,
+       COALESCE(round(s.stat_value * s.page_size / 1024.0 / 1024.0, 2), 0.0) AS size_mb, i.columns
+FROM idx i LEFT JOIN cat_index_sizes s ON s.instance_id = i.instance_id AND s.database_name = i.table_schema
+  AND s.table_name = i.table_name AND s.index_name = i.index_name AND s.stat_name = 'size'""")
+
+_SYS = "('mysql', 'information_schema', 'performance_schema', 'sys')"
+oracle("deprecated_engine_tables", ["cat_tables"], f"""
+SELECT instance_id, table_schema, table_name, table_schema || '.' || table_name AS qualified_name
+FROM cat_tables WHERE engine = 'MyISAM' AND table_schema NOT IN {_SYS}""")
+oracle("deprecated_engine", ["cat_tables"], f"""
+WITH inst AS (SELECT DISTINCT instance_id FROM cat_tables),
+bad AS (SELECT instance_id, COUNT(*) AS n FROM cat_tables WHERE engine = 'MyISAM' AND table_schema NOT IN {_SYS} GROUP BY instance_id)
+SELECT i.instance_id, 'deprecated_table_engine' AS check_name,
+       CASE WHEN COALESCE(b.n, 0) > 0 THEN 'warning' ELSE 'ok' END AS status, CAST(COALESCE(b.n, 0) AS BIGINT) AS n_tables
+FROM inst i LEFT JOIN bad b USING (instance_id)""")
+_NOPK = f"""nopk AS (
+  SELECT t.instance_id, t.table_schema, t.table_name
+  FROM cat_tables t LEFT JOIN cat_constraints c ON c.instance_id = t.instance_id AND c.table_schema = t.table_schema
+    AND c.table_name = t.table_name AND c.constraint_type = 'PRIMARY KEY'
+  WHERE t.table_type = 'BASE TABLE' AND t.table_schema NOT IN {_SYS} AND c.constraint_name IS NULL
+)"""
+oracle("missing_primary_key_tables", ["cat_tables", "cat_constraints"], f"""WITH {_NOPK}
+SELECT instance_id, table_schema, table_name, table_schema || '.' || table_name AS qualified_name FROM nopk""")
+oracle("missing_primary_key", ["cat_tables", "cat_constraints"], f"""WITH {_NOPK},
+inst AS (SELECT DISTINCT instance_id FROM cat_tables),
+bad AS (SELECT instance_id, COUNT(*) AS n FROM nopk GROUP BY instance_id)
+SELECT i.instance_id, 'missing_primary_key' AS check_name,
+       CASE WHEN COALESCE(b.n, 0) > 0 THEN 'warning' ELSE 'ok' END AS status, CAST(COALESCE(b.n, 0) AS BIGINT) AS n_tables
+FROM inst i LEFT JOIN bad b USING (instance_id)""")
+
+oracle("foreign_key_graph", ["cat_key_usage", "cat_ref_constraints"], """
+WITH j AS (
+  SELECT k.*, r.update_rule, r.delete_rule
+  FROM cat_key_usage k JOIN cat_ref_constraints r ON r.instance_id = k.instance_id
+    AND r.constraint_name = k.constraint_name AND r.constraint_schema = k.table_schema
+  WHERE k.referenced_table_name IS NOT NULL
+)
+SELECT instance_id, table_schema, table_name AS "table", 'outgoing' AS direction, referenced_table_name AS other_table,
+       constraint_name, ordinal_position, column_name, referenced_column_name, update_rule, delete_rule FROM j
+UNION ALL
+SELECT instance_id, table_schema, referenced_table_name AS "table", 'incoming' AS direction, table_name AS other_table,
+       constraint_name, ordinal_position, column_name, referenced_column_name, update_rule, delete_rule FROM j""")
+
+oracle("autoincrement_overflow", ["cat_columns", "cat_tables"], """
+WITH j AS (
+  SELECT c.instance_id, c.table_schema, c.table_name AS "table", c.column_name AS "column", c.column_type,
+         contains(lower(c.column_type), 'unsigned') AS unsigned,
+         CAST(COALESCE(t.auto_increment, 0) AS DECIMAL(20,0)) AS current_value,
+         CAST(CASE
+           WHEN contains(lower(c.column_type), 'tinyint') THEN CASE WHEN contains(lower(c.column_type), 'unsigned') THEN 255 ELSE 127 END
+           WHEN contains(lower(c.column_type), 'smallint') THEN CASE WHEN contains(lower(c.column_type), 'unsigned') THEN 65535 ELSE 32767 END
+           WHEN contains(lower(c.column_type), 'mediumint') THEN CASE WHEN contains(lower(c.column_type), 'unsigned') THEN 16777215 ELSE 8388607 END
+           WHEN contains(lower(c.column_type), 'bigint') THEN CASE WHEN contains(lower(c.column_type), 'unsigned') THEN 18446744073709551615 ELSE 9223372036854775807 END
+           ELSE CASE WHEN contains(lower(c.column_type), 'unsigned') THEN 4294967295 ELSE 2147483647 END END AS DECIMAL(20,0)) AS max_value
+  FROM cat_columns c JOIN cat_tables t ON t.instance_id = c.instance_id AND t.table_schema = c.table_schema
+    AND t.table_name = c.table_name
+  WHERE c.extra LIKE '%auto_increment%' AND t.table_type = 'BASE TABLE'
+)
+SELECT *, CAST(current_value AS DOUBLE) / CAST(max_value AS DOUBLE) * 100 AS pct_used,
+       CAST(CASE WHEN max_value >= current_value THEN max_value - current_value ELSE 0 END AS DECIMAL(20,0)) AS remaining_value
+FROM j""")
+
+oracle("pg_table_inventory", ["pg_relations", "pg_namespaces", "pg_roles", "pg_access_methods", "pg_user_stats"], """
+SELECT c.instance_id, n.nspname AS schema, c.relname AS name, r.rolname AS owner, COALESCE(am.amname, '') AS access_method,
+       greatest(CAST(c.reltuples AS BIGINT), 0) AS row_count, CAST(COALESCE(s.n_dead_tup, 0) AS BIGINT) AS dead_tuples,
+       round(c.data_bytes / 1048576.0, 2) AS data_mb, round(c.index_bytes / 1048576.0, 2) AS index_mb,
+       round(c.total_bytes / 1048576.0, 2) AS total_mb, COALESCE(c.description, '') AS comment,
+       COALESCE(strftime(greatest(s.last_vacuum, s.last_autovacuum), '%Y-%m-%dT%H:%M:%SZ'), '') AS last_vacuum,
+       COALESCE(strftime(greatest(s.last_analyze, s.last_autoanalyze), '%Y-%m-%dT%H:%M:%SZ'), '') AS last_analyze
+FROM pg_relations c
+JOIN pg_namespaces n ON n.oid = c.relnamespace
+JOIN pg_roles r ON r.oid = c.relowner
+LEFT JOIN pg_access_methods am ON am.oid = c.relam
+LEFT JOIN pg_user_stats s ON s.instance_id = c.instance_id AND s.relid = c.oid
+WHERE c.relkind = 'r' AND n.nspname NOT IN ('pg_catalog', 'information_schema', 'pg_toast')""")
+
+oracle("pg_database_sizes", ["pg_databases", "pg_roles"], """
+SELECT d.instance_id, d.datname, r.rolname AS owner, d.encoding, d.datcollate AS collation,
+       d.datconnlimit AS connection_limit, round(d.size_bytes / 1048576.0, 2) AS size_mb
+FROM pg_databases d JOIN pg_roles r ON r.oid = d.datdba WHERE NOT d.datistemplate""")
+
+oracle("collection_stats", ["doc_collections", "doc_collection_stats"], """
+SELECT c.instance_id, c.database_name, c.name, CAST(COALESCE(s.doc_count, 0) AS BIGINT) AS count,
+       CAST(COALESCE(s.size_bytes, 0) AS DOUBLE) / 1024 / 1024 AS size_mb,
+       CAST(COALESCE(s.avg_obj_size, 0) AS DOUBLE) AS avg_obj_size_bytes,
+       CAST(COALESCE(s.nindexes, 0) AS INTEGER) AS index_count,
+       CAST(COALESCE(s.total_index_size, 0) AS DOUBLE) / 1024 / 1024 AS total_index_size_mb
+FROM doc_collections c LEFT JOIN doc_collection_stats s
+  ON s.instance_id = c.instance_id AND s.database_name = c.database_name AND s.name = c.name""")
+
+oracle("docdb_database_sizes", ["doc_collections", "doc_collection_stats"], """
+WITH db AS (
+  SELECT c.instance_id, c.database_name, SUM(COALESCE(s.size_bytes, 0)) AS bytes, SUM(COALESCE(s.doc_count, 0)) AS docs
+  FROM doc_collections c LEFT JOIN doc_collection_stats s
+    ON s.instance_id = c.instance_id AND s.database_name = c.database_name AND s.name = c.name
+  GROUP BY c.instance_id, c.database_name
+)
+SELECT instance_id, database_name AS name, CAST(bytes AS DOUBLE) / 1024 / 1024 AS size_mb, docs = 0 AS empty,
+       CAST(SUM(bytes) OVER (PARTITION BY instance_id) AS DOUBLE) / 1024 / 1024 AS total_size_mb
+FROM db""")

@@ -68,3 +68,102 @@ def q_chunk_size_advice(fx: Fixtures) -> DataFrame:
 @register("variable_rules")
 def q_variable_rules(fx: Fixtures) -> DataFrame:
     return checks.variable_rules(fx.counter_kv(), fx["setting_rules"])
+
+
+# ------------------------------------------------------------ catalog
+
+from .operators import catalog  # noqa: E402
+
+
+def flat_list(col: str, fields: list[str], sep: str = "|") -> "Column":
+    """Array of structs -> 'a:b:c|a:b:c' text (for order-insensitive hashing)."""
+    from pyspark.sql import functions as F
+    parts = ", ".join(f"coalesce(cast(x.{f} as string), '')" for f in fields)
+    return F.expr(f"array_join(transform({col}, x -> concat_ws(':', {parts})), '{sep}')")
+
+
+@register("column_catalog")
+def q_column_catalog(fx: Fixtures) -> DataFrame:
+    return catalog.column_catalog(fx["cat_columns"])
+
+
+@register("table_inventory")
+def q_table_inventory(fx: Fixtures) -> DataFrame:
+    return catalog.table_inventory(fx["cat_tables"], fx["cat_collations"])
+
+
+@register("size_totals")
+def q_size_totals(fx: Fixtures) -> DataFrame:
+    return catalog.size_totals(catalog.table_inventory(fx["cat_tables"], fx["cat_collations"]))
+
+
+@register("database_sizes")
+def q_database_sizes(fx: Fixtures) -> DataFrame:
+    return catalog.database_sizes(fx["cat_schemata"], fx["cat_tables"])
+
+
+@register("data_dictionary")
+def q_data_dictionary(fx: Fixtures) -> DataFrame:
+    d = catalog.data_dictionary(fx["cat_columns"], fx["cat_tables"])
+    return d.select("instance_id", "table_schema", "table_name", "comment",
+                    flat_list("columns", ["position", "name", "type", "unsigned", "nullable", "default",
+                                          "comment"]).alias("columns"))
+
+
+@register("index_catalog")
+def q_index_catalog(fx: Fixtures) -> DataFrame:
+    d = catalog.index_catalog(fx["cat_index_columns"], fx["cat_index_sizes"])
+    return d.select("instance_id", "table_schema", "table_name", "index_name", "type", "unique", "visible",
+                    "cardinality", "size_mb",
+                    flat_list("columns", ["position", "column", "sub_part", "nullable"]).alias("columns"))
+
+
+@register("deprecated_engine")
+def q_deprecated_engine(fx: Fixtures) -> DataFrame:
+    return catalog.deprecated_engine(fx["cat_tables"])
+
+
+@register("deprecated_engine_tables")
+def q_deprecated_engine_tables(fx: Fixtures) -> DataFrame:
+    return catalog.deprecated_engine_tables(fx["cat_tables"])
+
+
+@register("missing_primary_key")
+def q_missing_primary_key(fx: Fixtures) -> DataFrame:
+    return catalog.missing_primary_key(fx["cat_tables"], fx["cat_constraints"])
+
+
+@register("missing_primary_key_tables")
+def q_missing_primary_key_tables(fx: Fixtures) -> DataFrame:
+    return catalog.missing_primary_key_tables(fx["cat_tables"], fx["cat_constraints"])
+
+
+@register("foreign_key_graph")
+def q_foreign_key_graph(fx: Fixtures) -> DataFrame:
+    return catalog.foreign_key_graph(fx["cat_key_usage"], fx["cat_ref_constraints"])
+
+
+@register("autoincrement_overflow")
+def q_autoincrement_overflow(fx: Fixtures) -> DataFrame:
+    return catalog.autoincrement_overflow(fx["cat_columns"], fx["cat_tables"])
+
+
+@register("pg_table_inventory")
+def q_pg_table_inventory(fx: Fixtures) -> DataFrame:
+    return catalog.pg_table_inventory(fx["pg_relations"], fx["pg_namespaces"], fx["pg_roles"],
+                                      fx["pg_access_methods"], fx["pg_user_stats"])
+
+
+@register("pg_database_sizes")
+def q_pg_database_sizes(fx: Fixtures) -> DataFrame:
+    return catalog.pg_database_sizes(fx["pg_databases"], fx["pg_roles"])
+
+
+@register("collection_stats")
+def q_collection_stats(fx: Fixtures) -> DataFrame:
+    return catalog.collection_stats(fx["doc_collections"], fx["doc_collection_stats"])
+
+
+@register("docdb_database_sizes")
+def q_docdb_database_sizes(fx: Fixtures) -> DataFrame:
+    return catalog.docdb_database_sizes(fx["doc_collections"], fx["doc_collection_stats"])
