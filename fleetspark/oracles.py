@@ -319,3 +319,57 @@ WITH db AS (
 SELECT instance_id, database_name AS name, CAST(bytes AS DOUBLE) / 1024 / 1024 AS size_mb, docs = 0 AS empty,
        CAST(SUM(bytes) OVER (PARTITION BY instance_id) AS DOUBLE) / 1024 / 1024 AS total_size_mb
 FROM db""")
+
+
+# ------------------------------------------------------------ time series
+_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+_FMT = "'%Y-%m-%dT%H:%M:%SZ'"
+
+oracle("metric_rollup", ["metric_points"], f"""
+SELECT instance_id, metric, strftime(time_bucket(INTERVAL '5 minutes', ts), {_FMT}) AS period_start,
+       avg(value) AS avg_value, COUNT(*) AS n_points
+FROM metric_points GROUP BY instance_id, metric, time_bucket(INTERVAL '5 minutes', ts)""")
+
+_LATEST = f"""roll AS (
+  SELECT instance_id, metric, time_bucket(INTERVAL '1 hour', ts) AS ps, avg(value) AS a
+  FROM metric_points WHERE ts >= {_AS_OF} - INTERVAL 3 DAY AND ts <= {_AS_OF}
+  GROUP BY instance_id, metric, time_bucket(INTERVAL '1 hour', ts)
+),
+latest AS (SELECT instance_id, metric, arg_max(a, ps) AS v FROM roll GROUP BY instance_id, metric)"""
+_UNITS = [("cpu", "cpu_percent", "1.0"), ("connections", "connections", "1.0"),
+          ("memory", "freeable_memory_mb", "(CAST(1 AS DOUBLE) / 1048576)"),
+          ("storage", "free_storage_gb", "(CAST(1 AS DOUBLE) / 1073741824)"),
+          ("read_iops", "read_iops", "1.0"), ("write_iops", "write_iops", "1.0"),
+          ("read_latency", "read_latency_ms", "1000.0"), ("write_latency", "write_latency_ms", "1000.0"),
+          ("net_rx", "network_rx_mib_s", "(CAST(1 AS DOUBLE) / 1048576)"),
+          ("net_tx", "network_tx_mib_s", "(CAST(1 AS DOUBLE) / 1048576)")]
+oracle("latest_metrics", ["metric_points", "instances"], f"""WITH {_LATEST}
+SELECT i.instance_id, i.engine,
+       {', '.join(f"COALESCE(max(l.v) FILTER (WHERE l.metric = '{m}'), 0.0) * {f} AS {o}" for m, o, f in _UNITS)}
+FROM instances i LEFT JOIN latest l ON l.instance_id = i.instance_id
+GROUP BY i.instance_id, i.engine""")
+
+oracle("replica_lag", ["metric_points", "instances"], f"""WITH {_LATEST}
+SELECT i.instance_id AS identifier, i.source_instance_id AS source, i.status, i.instance_class AS class,
+       i.availability_zone, i.multi_az, i.engine, i.engine_version, COALESCE(l.v, -1.0) AS replica_lag_seconds
+FROM instances i LEFT JOIN latest l ON l.instance_id = i.instance_id AND l.metric = 'read_latency'
+WHERE COALESCE(i.source_instance_id, '') <> ''""")
+
+
+def _top(keys: str) -> str:
+    return f"""
+WITH agg AS (
+  SELECT instance_id, {keys}, COUNT(*) AS samples FROM load_samples
+  WHERE ts >= {_AS_OF} - INTERVAL 1440 MINUTE AND ts <= {_AS_OF}
+  GROUP BY instance_id, {keys}
+),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY instance_id ORDER BY samples DESC, {keys}) AS rank FROM agg)
+SELECT instance_id, {keys}, CAST(samples AS DOUBLE) * 1.0 / 86400.0 AS db_load, rank FROM r WHERE rank <= 10"""
+
+
+oracle("top_sql_by_load", ["load_samples"], _top("statement"))
+oracle("top_waits_by_load", ["load_samples"], _top("wait_type, wait_name"))
+
+oracle("event_lookback", ["instance_events"], f"""
+SELECT strftime(event_time, {_FMT}) AS date, message, category AS categories, source_identifier
+FROM instance_events WHERE event_time >= {_AS_OF} - INTERVAL 1440 MINUTE AND event_time <= {_AS_OF}""")

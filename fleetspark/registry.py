@@ -167,3 +167,48 @@ def q_collection_stats(fx: Fixtures) -> DataFrame:
 @register("docdb_database_sizes")
 def q_docdb_database_sizes(fx: Fixtures) -> DataFrame:
     return catalog.docdb_database_sizes(fx["doc_collections"], fx["doc_collection_stats"])
+
+
+# ------------------------------------------------------------ time series
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .operators import timeseries as ts  # noqa: E402
+
+# Fixed anchor of every look-back on the fixtures (FIXTURES.md).
+AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
+
+
+@register("metric_rollup")
+def q_metric_rollup(fx: Fixtures) -> DataFrame:
+    r = ts.metric_rollup(fx["metric_points"], "5 minutes")
+    return r.withColumn("period_start", F.date_format("period_start", ts.RFC3339))
+
+
+@register("latest_metrics")
+def q_latest_metrics(fx: Fixtures) -> DataFrame:
+    return ts.latest_metrics(fx["metric_points"], fx["instances"], AS_OF, lookback="3 days", period="1 hour")
+
+
+@register("replica_lag")
+def q_replica_lag(fx: Fixtures) -> DataFrame:
+    return ts.replica_lag(fx["instances"], fx["metric_points"], AS_OF, metric="read_latency",
+                          lookback="3 days", period="1 hour")
+
+
+@register("top_sql_by_load")
+def q_top_sql_by_load(fx: Fixtures) -> DataFrame:
+    return ts.top_sql_by_load(fx["load_samples"], AS_OF, minutes=1440)
+
+
+@register("top_waits_by_load")
+def q_top_waits_by_load(fx: Fixtures) -> DataFrame:
+    return ts.top_waits_by_load(fx["load_samples"], AS_OF, minutes=1440)
+
+
+@register("event_lookback")
+def q_event_lookback(fx: Fixtures) -> DataFrame:
+    e = ts.event_lookback(fx["instance_events"], AS_OF, minutes=1440)
+    return e.withColumn("categories", F.array_join("categories", ","))
