@@ -373,3 +373,160 @@ oracle("top_waits_by_load", ["load_samples"], _top("wait_type, wait_name"))
 oracle("event_lookback", ["instance_events"], f"""
 SELECT strftime(event_time, {_FMT}) AS date, message, category AS categories, source_identifier
 FROM instance_events WHERE event_time >= {_AS_OF} - INTERVAL 1440 MINUTE AND event_time <= {_AS_OF}""")
+
+
+# ------------------------------------------------------------ counters
+_KV = """kv AS (
+  UNPIVOT (SELECT instance_id, snapshot_id, {cols} FROM counter_snapshots)
+  ON COLUMNS(* EXCLUDE (instance_id, snapshot_id)) INTO NAME name VALUE value
+)"""
+_COUNTER_COLS = ["instance_class", "innodb_buffer_pool_read_requests", "innodb_buffer_pool_reads",
+                 "innodb_buffer_pool_size", "connections", "threads_created", "threads_cached",
+                 "created_tmp_tables", "created_tmp_disk_tables", "history_list_length",
+                 "innodb_buffer_pool_pages_total", "innodb_buffer_pool_pages_dirty", "open_files",
+                 "open_files_limit", "innodb_log_writes", "innodb_log_waits", "sort_scan", "sort_range",
+                 "sort_merge_passes", "uptime", "innodb_os_log_written", "innodb_redo_log_capacity",
+                 "threads_connected", "max_connections", "innodb_buffer_pool_instances",
+                 "innodb_buffer_pool_chunk_size", "server_version"]
+_SETTINGS = ("'innodb_buffer_pool_size', 'open_files_limit', 'innodb_redo_log_capacity', 'max_connections', "
+             "'innodb_buffer_pool_instances', 'innodb_buffer_pool_chunk_size', 'server_version'")
+_KV_SQL = _KV.format(cols=", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _COUNTER_COLS))
+_SCOPE = (f"CASE WHEN name = 'instance_class' THEN 'meta' WHEN name IN ({_SETTINGS}) THEN 'variables' "
+          f"ELSE 'status' END")
+
+oracle("kv_like", ["counter_snapshots"], f"""WITH {_KV_SQL}
+SELECT instance_id, snapshot_id, {_SCOPE} AS scope, name, value,
+       COUNT(*) OVER (PARTITION BY instance_id, snapshot_id) AS n_matched
+FROM kv WHERE name ILIKE 'innodb_buffer_pool%'""")
+
+oracle("kv_numeric", ["counter_snapshots"], f"""WITH {_KV_SQL}
+SELECT instance_id, snapshot_id, {_SCOPE} AS scope, name, TRY_CAST(value AS DOUBLE) AS value
+FROM kv WHERE regexp_full_match(value, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')""")
+
+# ------------------------------------------------------------ text
+_L = "COALESCE(TRY_CAST(regexp_extract(status_text, '{p}', {g}) AS BIGINT), 0)"
+_D = "COALESCE(TRY_CAST(regexp_extract(status_text, '{p}', {g}) AS DOUBLE), 0.0)"
+
+
+def _l(p, g=1):
+    return _L.format(p=p, g=g)
+
+
+def _d(p, g=1):
+    return _D.format(p=p, g=g)
+
+
+_HIT_A = _l(r"Buffer pool hit rate (\d+) / (\d+)", 1)
+_HIT_B = _l(r"Buffer pool hit rate (\d+) / (\d+)", 2)
+oracle("innodb_status", ["counter_snapshots", "innodb_status_text"], f"""
+SELECT instance_id, snapshot_id,
+  regexp_extract(status_text, '(\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}) \\d+ INNODB MONITOR OUTPUT', 1) AS monitor_time,
+  {_l(r"OS WAIT ARRAY INFO: reservation count (\d+)")} AS sem_reservation_count,
+  {_l(r"OS WAIT ARRAY INFO: signal count (\d+)")} AS sem_signal_count,
+  {_l(r"RW-shared spins (\d+), rounds \d+, OS waits (\d+)", 1)} AS sem_rw_shared_spins,
+  {_l(r"RW-shared spins (\d+), rounds \d+, OS waits (\d+)", 2)} AS sem_rw_shared_os_waits,
+  {_l(r"RW-excl spins (\d+), rounds \d+, OS waits (\d+)", 1)} AS sem_rw_excl_spins,
+  {_l(r"RW-excl spins (\d+), rounds \d+, OS waits (\d+)", 2)} AS sem_rw_excl_os_waits,
+  contains(status_text, 'LATEST DETECTED DEADLOCK') AS has_deadlock,
+  {_l(r"Trx id counter (\d+)")} AS trx_id_counter,
+  {_l(r"History list length (\d+)")} AS trx_history_list_length,
+  {_d(r"(\d+\.?\d*) reads/s, \d+ avg bytes/read, (\d+\.?\d*) writes/s, (\d+\.?\d*) log writes/s", 1)} AS io_reads_per_sec,
+  {_d(r"(\d+\.?\d*) reads/s, \d+ avg bytes/read, (\d+\.?\d*) writes/s, (\d+\.?\d*) log writes/s", 2)} AS io_writes_per_sec,
+  {_d(r"(\d+\.?\d*) reads/s, \d+ avg bytes/read, (\d+\.?\d*) writes/s, (\d+\.?\d*) log writes/s", 3)} AS io_log_writes_per_sec,
+  {_l(r"Log sequence number (\d+)")} AS log_sequence_number,
+  {_l(r"Log flushed up to\s+(\d+)")} AS log_flushed_up_to,
+  {_l(r"Last checkpoint at\s+(\d+)")} AS log_last_checkpoint,
+  {_l(r"Buffer pool size\s+(\d+)")} AS bp_size_pages,
+  {_l(r"Free buffers\s+(\d+)")} AS bp_free_pages,
+  {_l(r"Database pages\s+(\d+)")} AS bp_database_pages,
+  {_l(r"Modified db pages\s+(\d+)")} AS bp_modified_pages,
+  CASE WHEN {_HIT_B} > 0 THEN CAST({_HIT_A} AS DOUBLE) / CAST({_HIT_B} AS DOUBLE) * 100 ELSE 0.0 END AS bp_hit_rate_pct,
+  {_d(r"(\d+\.?\d*) reads/s, (\d+\.?\d*) creates/s, (\d+\.?\d*) writes/s", 1)} AS bp_reads_per_sec,
+  {_d(r"(\d+\.?\d*) reads/s, (\d+\.?\d*) creates/s, (\d+\.?\d*) writes/s", 3)} AS bp_writes_per_sec,
+  {_l(r"(\d+) queries inside InnoDB, (\d+) queries in queue", 1)} AS row_queries_inside,
+  {_l(r"(\d+) queries inside InnoDB, (\d+) queries in queue", 2)} AS row_queries_in_queue,
+  {_d(r"(\d+\.?\d*) inserts/s, (\d+\.?\d*) updates/s, (\d+\.?\d*) deletes/s, (\d+\.?\d*) reads/s", 1)} AS row_inserts_per_sec,
+  {_d(r"(\d+\.?\d*) inserts/s, (\d+\.?\d*) updates/s, (\d+\.?\d*) deletes/s, (\d+\.?\d*) reads/s", 2)} AS row_updates_per_sec,
+  {_d(r"(\d+\.?\d*) inserts/s, (\d+\.?\d*) updates/s, (\d+\.?\d*) deletes/s, (\d+\.?\d*) reads/s", 3)} AS row_deletes_per_sec,
+  {_d(r"(\d+\.?\d*) inserts/s, (\d+\.?\d*) updates/s, (\d+\.?\d*) deletes/s, (\d+\.?\d*) reads/s", 4)} AS row_reads_per_sec
+FROM innodb_status_text""")
+
+oracle("deadlocks", ["counter_snapshots", "innodb_status_text"], """
+WITH s AS (
+  SELECT instance_id, snapshot_id,
+         CASE WHEN strpos(status_text, 'LATEST DETECTED DEADLOCK' || chr(10)) = 0 THEN ''
+              ELSE substr(status_text, strpos(status_text, 'LATEST DETECTED DEADLOCK' || chr(10)) + 25) END AS rest
+  FROM innodb_status_text WHERE contains(status_text, 'LATEST DETECTED DEADLOCK')
+),
+sec AS (
+  SELECT instance_id, snapshot_id,
+         CASE WHEN strpos(rest, chr(10) || 'TRANSACTIONS' || chr(10)) > 0
+              THEN substr(rest, 1, strpos(rest, chr(10) || 'TRANSACTIONS' || chr(10)) - 1) ELSE rest END AS sec
+  FROM s
+)
+SELECT instance_id, snapshot_id,
+       regexp_extract(sec, '(\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}) \\d+\\n\\*\\*\\*', 1) AS deadlock_time,
+       COALESCE(TRY_CAST(regexp_extract(sec, 'WE ROLL BACK TRANSACTION \\((\\d+)\\)', 1) AS INTEGER), 0) AS victim,
+       array_to_string(list_filter(list_transform(regexp_extract_all(sec, 'MySQL thread id \\d+[^\\n]*\\n([^\\n]+)', 1),
+                       lambda q: regexp_replace(q, '^\\s+|\\s+$', '', 'g')), lambda q: q <> ''), ' | ') AS queries
+FROM sec""")
+
+_SLOW = """parsed AS (
+  SELECT instance_id, rec_id, CAST(query_ms AS DOUBLE) AS query_ms,
+         CAST(CAST(regexp_extract(record_text, 'Lock_time: ([0-9.]+)', 1) AS DECIMAL(20,6)) * 1000 AS DOUBLE) AS lock_ms,
+         CAST(rows_sent AS BIGINT) AS rows_sent, CAST(rows_examined AS BIGINT) AS rows_examined,
+         regexp_extract(record_text, '# User@Host: ([^\\n]*)', 1) AS user_host,
+         regexp_replace(record_text, '^(#[^\\n]*\\n|SET timestamp=\\d+;\\n|use [^\\n]*;\\n)+', '') AS sql_text
+  FROM slow_log
+)"""
+_FP = ("trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(sql_text), "
+       "'''[^'']*''|\"[^\"]*\"', '?', 'g'), '\\b[0-9]+(\\.[0-9]+)?\\b', '?', 'g'), "
+       "'\\(\\s*\\?(\\s*,\\s*\\?)*\\s*\\)', '(?+)', 'g'), '\\s+', ' ', 'g')), ';$', ''))")
+oracle("slow_log_records", ["slow_log"], f"WITH {_SLOW} SELECT * FROM parsed")
+oracle("query_fingerprint", ["slow_log"], f"WITH {_SLOW} SELECT instance_id, rec_id, sql_text, {_FP} AS fingerprint FROM parsed")
+oracle("slow_query_digest", ["slow_log"], f"""WITH {_SLOW},
+fp AS (SELECT *, {_FP} AS fingerprint FROM parsed),
+g AS (
+  SELECT instance_id, fingerprint, COUNT(*) AS calls, SUM(query_ms) AS total_ms, avg(query_ms) AS avg_ms,
+         max(query_ms) AS max_ms, round(quantile_cont(query_ms, 0.95), 3) AS p95_ms,
+         SUM(rows_sent) AS rows_sent, SUM(rows_examined) AS rows_examined,
+         first(sql_text ORDER BY query_ms DESC, sql_text) AS sample
+  FROM fp GROUP BY instance_id, fingerprint
+)
+SELECT *, total_ms / SUM(total_ms) OVER (PARTITION BY instance_id) AS share FROM g""")
+
+# ------------------------------------------------------------ activity
+_PROCS = """v AS (
+  SELECT instance_id, id, user_name AS "user", host, COALESCE(db, '') AS db, command, time_sec AS "time",
+         COALESCE(state, '') AS state, left(COALESCE(info, ''), 500) AS info
+  FROM processes WHERE NOT COALESCE(is_own_connection, false)
+)"""
+oracle("active_processes", ["processes"], f"WITH {_PROCS} SELECT * FROM v WHERE command <> 'Sleep' AND info <> ''")
+oracle("process_counts", ["processes"], f"""WITH {_PROCS}
+SELECT instance_id, COUNT(*) FILTER (WHERE command <> 'Sleep' AND info <> '') AS total,
+       COUNT(*) FILTER (WHERE command = 'Sleep') AS total_idle
+FROM v GROUP BY instance_id""")
+oracle("long_running_ops", ["current_ops"], """
+SELECT instance_id, opid, secs_running, op, ns, command_json AS command, client, descr AS "desc"
+FROM current_ops
+WHERE secs_running >= 0 AND NOT (ns = 'admin.$cmd' AND COALESCE(json_keys(command_json)[1], '') = 'currentOp')""")
+oracle("process_statement_history", ["threads", "statement_history"], """
+SELECT t.instance_id, t.processlist_id, t.thread_id, h.timer_start, COALESCE(h.sql_text, '') AS sql_text,
+       h.timer_wait / 1e9 AS duration_ms, h.rows_affected, h.rows_sent, h.rows_examined, h.errors
+FROM threads t JOIN statement_history h ON h.instance_id = t.instance_id AND h.thread_id = t.thread_id
+WHERE t.processlist_id IS NOT NULL""")
+oracle("plan_rows_clean", ["plan_rows"], """
+SELECT instance_id, database_name, id, select_type, COALESCE(table_name, '') AS "table", access_type,
+       COALESCE(used_key, '') AS key, est_rows AS rows
+FROM plan_rows""")
+oracle("unused_indexes", ["cat_index_columns", "plan_rows"], """
+SELECT DISTINCT i.instance_id, i.table_schema AS database_name, i.table_name, i.index_name
+FROM cat_index_columns i
+WHERE i.index_name <> 'PRIMARY' AND NOT EXISTS (
+  SELECT 1 FROM plan_rows p WHERE p.instance_id = i.instance_id AND p.database_name = i.table_schema
+    AND p.table_name = i.table_name AND p.used_key = i.index_name)""")
+oracle("probe_summary", ["probes"], """
+SELECT instance_id, COUNT(*) AS probes, CAST(COUNT(*) FILTER (WHERE success) AS DOUBLE) / COUNT(*) AS success_rate,
+       round(quantile_cont(latency_ms, 0.5) FILTER (WHERE success), 3) AS p50_ms,
+       round(quantile_cont(latency_ms, 0.95) FILTER (WHERE success), 3) AS p95_ms
+FROM probes GROUP BY instance_id""")

@@ -212,3 +212,80 @@ def q_top_waits_by_load(fx: Fixtures) -> DataFrame:
 def q_event_lookback(fx: Fixtures) -> DataFrame:
     e = ts.event_lookback(fx["instance_events"], AS_OF, minutes=1440)
     return e.withColumn("categories", F.array_join("categories", ","))
+
+
+# ------------------------------------------------------------ counters, text, activity
+
+from .operators import activity, counters, textops  # noqa: E402
+
+
+@register("kv_like")
+def q_kv_like(fx: Fixtures) -> DataFrame:
+    return counters.kv_like(fx.counter_kv(), "innodb_buffer_pool%")
+
+
+@register("kv_numeric")
+def q_kv_numeric(fx: Fixtures) -> DataFrame:
+    return counters.kv_numeric(fx.counter_kv())
+
+
+@register("innodb_status")
+def q_innodb_status(fx: Fixtures) -> DataFrame:
+    return textops.innodb_status(fx["innodb_status_text"])
+
+
+@register("deadlocks")
+def q_deadlocks(fx: Fixtures) -> DataFrame:
+    d = textops.deadlocks(fx["innodb_status_text"])
+    return d.withColumn("queries", textops.flat_queries(F.col("queries")))
+
+
+@register("slow_log_records")
+def q_slow_log_records(fx: Fixtures) -> DataFrame:
+    return textops.slow_log_records(fx["slow_log"])
+
+
+@register("query_fingerprint")
+def q_query_fingerprint(fx: Fixtures) -> DataFrame:
+    r = textops.slow_log_records(fx["slow_log"]).select("instance_id", "rec_id", "sql_text")
+    return textops.query_fingerprint(r)
+
+
+@register("slow_query_digest")
+def q_slow_query_digest(fx: Fixtures) -> DataFrame:
+    return textops.slow_query_digest(textops.slow_log_records(fx["slow_log"]))
+
+
+@register("active_processes")
+def q_active_processes(fx: Fixtures) -> DataFrame:
+    return activity.active_processes(fx["processes"])
+
+
+@register("process_counts")
+def q_process_counts(fx: Fixtures) -> DataFrame:
+    return activity.process_counts(fx["processes"])
+
+
+@register("long_running_ops")
+def q_long_running_ops(fx: Fixtures) -> DataFrame:
+    return activity.long_running_ops(fx["current_ops"], min_secs=0)
+
+
+@register("process_statement_history")
+def q_process_statement_history(fx: Fixtures) -> DataFrame:
+    return activity.process_statement_history(fx["threads"], fx["statement_history"])
+
+
+@register("plan_rows_clean")
+def q_plan_rows_clean(fx: Fixtures) -> DataFrame:
+    return activity.plan_rows_clean(fx["plan_rows"])
+
+
+@register("unused_indexes")
+def q_unused_indexes(fx: Fixtures) -> DataFrame:
+    return activity.unused_indexes(fx["cat_index_columns"], fx["plan_rows"])
+
+
+@register("probe_summary")
+def q_probe_summary(fx: Fixtures) -> DataFrame:
+    return activity.probe_summary(fx["probes"])
