@@ -55,7 +55,7 @@ def process_counts(procs: DataFrame, include_idle: bool = False, min_time_sec: i
 def long_running_ops(ops: DataFrame, min_secs: int = 0) -> DataFrame:
     """Operations running at least ``min_secs``, without the probe's own
     ``currentOp`` command on ``admin.$cmd`` (first key of the command document)."""
-    first_key = F.element_at(F.json_object_keys("command_json"), 1)
+    first_key = F.try_element_at(F.json_object_keys("command_json"), F.lit(1))
     own = (F.col("ns") == "admin.$cmd") & (F.coalesce(first_key, F.lit("")) == "currentOp")
     return ops.where((F.col("secs_running") >= min_secs) & ~own).select(
         "instance_id", "opid", "secs_running", "op", "ns", F.col("command_json").alias("command"), "client",

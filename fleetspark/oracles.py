@@ -530,3 +530,64 @@ SELECT instance_id, COUNT(*) AS probes, CAST(COUNT(*) FILTER (WHERE success) AS
        round(quantile_cont(latency_ms, 0.5) FILTER (WHERE success), 3) AS p50_ms,
        round(quantile_cont(latency_ms, 0.95) FILTER (WHERE success), 3) AS p95_ms
 FROM probes GROUP BY instance_id""")
+
+
+# ------------------------------------------------------------ inventory
+oracle("instance_inventory", ["instances"], """
+SELECT instance_id AS identifier, instance_class AS class, status, engine, engine_version, availability_zone, multi_az,
+       COALESCE(endpoint_address, '') AS endpoint_address, CAST(COALESCE(endpoint_port, 0) AS BIGINT) AS endpoint_port,
+       COALESCE(storage_type, '') AS storage_type, CAST(COALESCE(storage_iops, 0) AS BIGINT) AS storage_iops,
+       CAST(COALESCE(storage_throughput, 0) AS BIGINT) AS storage_throughput, performance_insights_enabled
+FROM instances""")
+oracle("server_status_flat", ["counter_snapshots", "server_status"], """
+SELECT instance_id, snapshot_id, CAST(uptime AS DOUBLE) AS uptime_seconds, CAST(uptime AS DOUBLE) / 3600 AS uptime_hours,
+       conn_current, conn_available, conn_total_created, op_insert, op_query, op_update, mem_resident_mb, net_bytes_in,
+       lock_total_micros // 1000000 AS lock_total_time_secs, lock_queue_total
+FROM server_status""")
+oracle("backup_inventory", ["backups"], f"""
+SELECT identifier, instance_id, snapshot_type, status, COALESCE(strftime(created_at, {_FMT}), '') AS created_at,
+       allocated_storage_gb, encrypted, percent_progress
+FROM backups""")
+oracle("parameter_overrides", ["parameters"], """
+SELECT p.instance_id, p.parameter_group, p.name, p.value, p.source, p.data_type, p.apply_type, p.is_modifiable
+FROM parameters p
+WHERE p.source = 'user' AND p.group_position = (SELECT min(q.group_position) FROM parameters q WHERE q.instance_id = p.instance_id)""")
+oracle("secret_inventory", ["secrets"], f"""
+SELECT name, COALESCE(description, '') AS description, rotation_enabled,
+       COALESCE(strftime(last_changed, {_FMT}), '') AS last_changed
+FROM secrets""")
+oracle("log_file_inventory", ["log_files"], f"""
+SELECT instance_id, name, size_bytes // 1024 AS size_kb,
+       COALESCE(strftime(epoch_ms(last_written_ms), {_FMT}), '') AS last_written,
+       COUNT(*) OVER (PARTITION BY instance_id) AS n_files
+FROM log_files""")
+oracle("maintenance_queue", ["maintenance_actions"], f"""
+SELECT resource_identifier, action, COALESCE(strftime(auto_applied_after, {_FMT}), '') AS auto_applied_after,
+       COALESCE(strftime(current_apply_date, {_FMT}), '') AS current_apply_date, COALESCE(description, '') AS description,
+       COALESCE(opt_in_status, '') AS opt_in_status, COUNT(*) OVER (PARTITION BY resource_identifier) AS total_actions
+FROM maintenance_actions""")
+oracle("host_inventory", ["hosts"], """
+SELECT COALESCE(name_tag, '') AS name, host_id AS instance_id, COALESCE(private_ip, '') AS private_ip,
+       COALESCE(public_ip, '') AS public_ip, COALESCE(zone, '') AS zone, COALESCE(host_type, '') AS type,
+       COALESCE(state, '') AS state
+FROM hosts""")
+oracle("health_events", ["health_feed", "health_details"], f"""
+SELECT f.arn, f.service, f.status, COALESCE(strftime(f.start_time, {_FMT}), '') AS start_time,
+       COALESCE(d.description, '') AS description
+FROM health_feed f LEFT JOIN health_details d ON d.arn = f.arn""")
+oracle("json_key_filter", ["config_blobs"], """
+WITH j AS (SELECT name, blob, CASE WHEN json_valid(blob) THEN json_type(blob) = 'OBJECT' ELSE false END AS is_obj FROM config_blobs),
+k AS (
+  SELECT j.name, string_agg(key || '=' || json_extract_string(j.blob, '$."' || key || '"'), ',' ORDER BY key || '=' || json_extract_string(j.blob, '$."' || key || '"')) AS kv,
+         COUNT(*) AS n
+  FROM j, unnest(json_keys(CASE WHEN j.is_obj THEN j.blob ELSE '{}' END)) AS t(key)
+  WHERE j.is_obj AND contains(lower(key), 'db')
+  GROUP BY j.name
+)
+SELECT j.name, CASE WHEN j.is_obj THEN COALESCE(k.kv, '') END AS "values",
+       CASE WHEN NOT j.is_obj THEN j.blob END AS raw_value, CAST(COALESCE(k.n, 0) AS INTEGER) AS n_keys
+FROM j LEFT JOIN k ON k.name = j.name""")
+oracle("config_key_audit", ["config_blobs"], """
+SELECT key, COUNT(*) AS n_blobs
+FROM config_blobs, unnest(json_keys(CASE WHEN json_valid(blob) AND json_type(CASE WHEN json_valid(blob) THEN blob ELSE '0' END) = 'OBJECT' THEN blob ELSE '{}' END)) AS t(key)
+GROUP BY key""")

@@ -289,3 +289,65 @@ def q_unused_indexes(fx: Fixtures) -> DataFrame:
 @register("probe_summary")
 def q_probe_summary(fx: Fixtures) -> DataFrame:
     return activity.probe_summary(fx["probes"])
+
+
+# ------------------------------------------------------------ inventory
+
+from .operators import inventory as inv  # noqa: E402
+
+
+@register("instance_inventory")
+def q_instance_inventory(fx: Fixtures) -> DataFrame:
+    return inv.instance_inventory(fx.instance_docs())
+
+
+@register("server_status_flat")
+def q_server_status_flat(fx: Fixtures) -> DataFrame:
+    return inv.server_status_flat(fx.server_status_docs())
+
+
+@register("backup_inventory")
+def q_backup_inventory(fx: Fixtures) -> DataFrame:
+    return inv.backup_inventory(fx["backups"])
+
+
+@register("parameter_overrides")
+def q_parameter_overrides(fx: Fixtures) -> DataFrame:
+    return inv.parameter_overrides(fx["parameters"])
+
+
+@register("secret_inventory")
+def q_secret_inventory(fx: Fixtures) -> DataFrame:
+    return inv.secret_inventory(fx["secrets"])
+
+
+@register("log_file_inventory")
+def q_log_file_inventory(fx: Fixtures) -> DataFrame:
+    return inv.log_file_inventory(fx["log_files"])
+
+
+@register("maintenance_queue")
+def q_maintenance_queue(fx: Fixtures) -> DataFrame:
+    return inv.maintenance_queue(fx["maintenance_actions"])
+
+
+@register("host_inventory")
+def q_host_inventory(fx: Fixtures) -> DataFrame:
+    return inv.host_inventory(fx.host_reservations())
+
+
+@register("health_events")
+def q_health_events(fx: Fixtures) -> DataFrame:
+    return inv.health_events(fx["health_feed"], fx["health_details"])
+
+
+@register("json_key_filter")
+def q_json_key_filter(fx: Fixtures) -> DataFrame:
+    j = inv.json_key_filter(fx["config_blobs"], key_filter="db")
+    kv = F.expr("array_join(array_sort(transform(map_entries(`values`), e -> concat(e.key, '=', e.value))), ',')")
+    return j.select("name", kv.alias("values"), "raw_value", "n_keys")
+
+
+@register("config_key_audit")
+def q_config_key_audit(fx: Fixtures) -> DataFrame:
+    return inv.config_key_audit(fx["config_blobs"])
