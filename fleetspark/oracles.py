@@ -591,3 +591,26 @@ oracle("config_key_audit", ["config_blobs"], """
 SELECT key, COUNT(*) AS n_blobs
 FROM config_blobs, unnest(json_keys(CASE WHEN json_valid(blob) AND json_type(CASE WHEN json_valid(blob) THEN blob ELSE '0' END) = 'OBJECT' THEN blob ELSE '{}' END)) AS t(key)
 GROUP BY key""")
+
+
+# ------------------------------------------------------------ streaming
+# Append mode emits a period once the final watermark (max event time - 10 min) passes its end.
+oracle("metric_rollup_stream", ["metric_points"], f"""
+WITH wm AS (SELECT max(ts) - INTERVAL 10 MINUTE AS w FROM metric_points),
+g AS (
+  SELECT instance_id, metric, time_bucket(INTERVAL '5 minutes', ts) AS ps, avg(value) AS avg_value, COUNT(*) AS n_points
+  FROM metric_points GROUP BY instance_id, metric, time_bucket(INTERVAL '5 minutes', ts)
+)
+SELECT instance_id, metric, strftime(ps, {_FMT}) AS period_start, avg_value, n_points
+FROM g, wm WHERE ps + INTERVAL 5 MINUTE <= wm.w""")
+
+# H1-H12 on wide snapshots (history from the counter column), non-ok rows.
+_CS_WIDE = _CS.replace(
+    "CAST(CAST(NULLIF(regexp_extract(t.status_text, 'History list length (\\d+)', 1), '') AS BIGINT) AS DOUBLE) AS hll",
+    "CAST(c.history_list_length AS DOUBLE) AS hll").replace(
+    "  JOIN innodb_status_text t ON t.instance_id = c.instance_id AND t.snapshot_id = c.snapshot_id\n", "")
+oracle("health_alerts_stream", ["counter_snapshots", "class_memory"], f"""WITH {_CS_WIDE},
+allc AS (
+{' UNION ALL '.join(_check_select(*s, with_order=True) for s in _CHECK_SQL)}
+)
+SELECT * FROM allc WHERE status <> 'ok'""")

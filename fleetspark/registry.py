@@ -351,3 +351,38 @@ def q_json_key_filter(fx: Fixtures) -> DataFrame:
 @register("config_key_audit")
 def q_config_key_audit(fx: Fixtures) -> DataFrame:
     return inv.config_key_audit(fx["config_blobs"])
+
+
+# ------------------------------------------------------------ streaming
+
+from .streaming import alerts as _alerts  # noqa: E402
+from .streaming import metrics as _smetrics  # noqa: E402
+from .streaming.runner import run_available_now, scratch_path, stage_table  # noqa: E402
+
+
+def _stream_from(fx: Fixtures, name: str, key: str):
+    """Stage a fixture as parquet files under the checkpoint folder and open a
+    file stream on them (explicit schema, as a production stream would)."""
+    df = fx[name]
+    src = stage_table(df, scratch_path(fx.spark, key, "source"))
+    return fx.spark.readStream.schema(df.schema).parquet(src)
+
+
+@register("metric_rollup_stream")
+def q_metric_rollup_stream(fx: Fixtures) -> DataFrame:
+    stream = _smetrics.metric_rollup_stream(_stream_from(fx, "metric_points", "metric_rollup_stream"),
+                                            "5 minutes", "10 minutes")
+    sink = scratch_path(fx.spark, "metric_rollup_stream", "sink")
+    run_available_now(stream, sink, scratch_path(fx.spark, "metric_rollup_stream", "checkpoint"))
+    out = fx.spark.read.parquet(sink)
+    return out.select("instance_id", "metric", F.date_format("period_start", ts.RFC3339).alias("period_start"),
+                      "avg_value", "n_points")
+
+
+@register("health_alerts_stream")
+def q_health_alerts_stream(fx: Fixtures) -> DataFrame:
+    stream = _alerts.health_alerts_stream(_stream_from(fx, "counter_snapshots", "health_alerts_stream"),
+                                          fx["class_memory"])
+    sink = scratch_path(fx.spark, "health_alerts_stream", "sink")
+    run_available_now(stream, sink, scratch_path(fx.spark, "health_alerts_stream", "checkpoint"))
+    return fx.spark.read.parquet(sink)
