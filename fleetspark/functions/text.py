@@ -102,3 +102,16 @@ def cut_bytes(text, n: int) -> Column:
     split a character, so non-ASCII text is cut at ``n`` characters instead.
     """
     return F.left(_c(text), F.lit(n))
+
+
+def first_match_in_lines(lines, pattern: str, literal: str) -> Column:
+    """Whole first match of a single-line ``pattern`` that always contains
+    ``literal`` ('' if none), searched only in the lines holding ``literal``.
+
+    Every match lies within one line and contains ``literal``, so the first
+    match among those lines (kept in order) is the first match of the whole
+    text.  Patterns that start with a digit group cost a regex attempt at
+    every digit of the text; this keeps them to one or two short lines.
+    """
+    kept = F.filter(_c(lines), lambda line: line.contains(literal))
+    return F.regexp_extract(F.array_join(kept, "\n"), pattern, 0)

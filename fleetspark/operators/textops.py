@@ -12,45 +12,69 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
+# Multi-group patterns are matched once (whole match); the groups are then
+# read from the short match (re-running a pattern on its own match yields the
+# same groups).  Patterns that start with a digit group are searched only in
+# the lines holding a literal every match contains (None: whole text).
+_MULTI = {
+    "rw_shared": (T.RW_SHARED, None),
+    "rw_excl": (T.RW_EXCL, None),
+    "file_io": (T.FILE_IO_RATE, " avg bytes/read, "),
+    "bp_hit": (T.BP_HIT_RATE, None),
+    "bp_rw": (T.BP_RW_RATE, " creates/s, "),
+    "queries": (T.QUERIES_INSIDE, " queries inside InnoDB, "),
+    "row_ops": (T.ROW_OPS_RATE, " inserts/s, "),
+}
+
+
 def innodb_status(status: DataFrame, text_col: str = "status_text",
                   keys=("instance_id", "snapshot_id")) -> DataFrame:
     """The engine status report parsed into a timestamp and 27 numbers in
     six groups (flat, group-prefixed columns); 0 / '' where a pattern is absent."""
     t = F.col(text_col)
     L, D = T.extract_long, T.extract_double
-    hit_a, hit_b = L(t, T.BP_HIT_RATE, 1), L(t, T.BP_HIT_RATE, 2)
-    return status.select(
+    lines = status.select(*keys, t.alias("_t"), F.split(t, "\n").alias("_lines"))
+    m = [(T.first_match_in_lines("_lines", p, lit) if lit else F.regexp_extract("_t", p, 0)).alias(f"_m_{k}")
+         for k, (p, lit) in _MULTI.items()]
+    staged = lines.select(*keys, "_t", *m)
+
+    def g(k: str, i: int, as_double: bool = False) -> Column:
+        return (D if as_double else L)(F.col(f"_m_{k}"), _MULTI[k][0], i)
+
+    x = F.col("_t")
+    hit_a, hit_b = g("bp_hit", 1), g("bp_hit", 2)
+    return staged.select(
         *keys,
-        F.regexp_extract(t, T.MONITOR_TIME, 1).alias("monitor_time"),
-        L(t, T.RESERVATION_COUNT).alias("sem_reservation_count"),
-        L(t, T.SIGNAL_COUNT).alias("sem_signal_count"),
-        L(t, T.RW_SHARED, 1).alias("sem_rw_shared_spins"),
-        L(t, T.RW_SHARED, 2).alias("sem_rw_shared_os_waits"),
-        L(t, T.RW_EXCL, 1).alias("sem_rw_excl_spins"),
-        L(t, T.RW_EXCL, 2).alias("sem_rw_excl_os_waits"),
-        t.contains(T.DEADLOCK_MARK).alias("has_deadlock"),
-        L(t, T.TRX_ID_COUNTER).alias("trx_id_counter"),
-        L(t, T.HISTORY_LENGTH).alias("trx_history_list_length"),
-        D(t, T.FILE_IO_RATE, 1).alias("io_reads_per_sec"),
-        D(t, T.FILE_IO_RATE, 2).alias("io_writes_per_sec"),
-        D(t, T.FILE_IO_RATE, 3).alias("io_log_writes_per_sec"),
-        L(t, T.LOG_SEQUENCE).alias("log_sequence_number"),
-        L(t, T.LOG_FLUSHED).alias("log_flushed_up_to"),
-        L(t, T.LAST_CHECKPOINT).alias("log_last_checkpoint"),
-        L(t, T.BP_SIZE).alias("bp_size_pages"),
-        L(t, T.BP_FREE).alias("bp_free_pages"),
-        L(t, T.BP_DATABASE).alias("bp_database_pages"),
-        L(t, T.BP_MODIFIED).alias("bp_modified_pages"),
+        F.regexp_extract(x, T.MONITOR_TIME, 1).alias("monitor_time"),
+        L(x, T.RESERVATION_COUNT).alias("sem_reservation_count"),
+        L(x, T.SIGNAL_COUNT).alias("sem_signal_count"),
+        g("rw_shared", 1).alias("sem_rw_shared_spins"),
+        g("rw_shared", 2).alias("sem_rw_shared_os_waits"),
+        g("rw_excl", 1).alias("sem_rw_excl_spins"),
+        g("rw_excl", 2).alias("sem_rw_excl_os_waits"),
+        x.contains(T.DEADLOCK_MARK).alias("has_deadlock"),
+        L(x, T.TRX_ID_COUNTER).alias("trx_id_counter"),
+        L(x, T.HISTORY_LENGTH).alias("trx_history_list_length"),
+        g("file_io", 1, True).alias("io_reads_per_sec"),
+        g("file_io", 2, True).alias("io_writes_per_sec"),
+        g("file_io", 3, True).alias("io_log_writes_per_sec"),
+        L(x, T.LOG_SEQUENCE).alias("log_sequence_number"),
+        L(x, T.LOG_FLUSHED).alias("log_flushed_up_to"),
+        L(x, T.LAST_CHECKPOINT).alias("log_last_checkpoint"),
+        L(x, T.BP_SIZE).alias("bp_size_pages"),
+        L(x, T.BP_FREE).alias("bp_free_pages"),
+        L(x, T.BP_DATABASE).alias("bp_database_pages"),
+        L(x, T.BP_MODIFIED).alias("bp_modified_pages"),
         F.when(hit_b > 0, hit_a.cast("double") / hit_b.cast("double") * 100).otherwise(F.lit(0.0)).alias(
             "bp_hit_rate_pct"),
-        D(t, T.BP_RW_RATE, 1).alias("bp_reads_per_sec"),
-        D(t, T.BP_RW_RATE, 3).alias("bp_writes_per_sec"),
-        L(t, T.QUERIES_INSIDE, 1).alias("row_queries_inside"),
-        L(t, T.QUERIES_INSIDE, 2).alias("row_queries_in_queue"),
-        D(t, T.ROW_OPS_RATE, 1).alias("row_inserts_per_sec"),
-        D(t, T.ROW_OPS_RATE, 2).alias("row_updates_per_sec"),
-        D(t, T.ROW_OPS_RATE, 3).alias("row_deletes_per_sec"),
-        D(t, T.ROW_OPS_RATE, 4).alias("row_reads_per_sec"),
+        g("bp_rw", 1, True).alias("bp_reads_per_sec"),
+        g("bp_rw", 3, True).alias("bp_writes_per_sec"),
+        g("queries", 1).alias("row_queries_inside"),
+        g("queries", 2).alias("row_queries_in_queue"),
+        g("row_ops", 1, True).alias("row_inserts_per_sec"),
+        g("row_ops", 2, True).alias("row_updates_per_sec"),
+        g("row_ops", 3, True).alias("row_deletes_per_sec"),
+        g("row_ops", 4, True).alias("row_reads_per_sec"),
     )
 
 
