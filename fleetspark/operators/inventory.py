@@ -8,9 +8,11 @@ field access and ``explode`` / ``inline``, never with Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import with_group_count
+
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -108,11 +110,10 @@ def epoch_millis_ntz(c: str) -> Column:
 def log_file_inventory(files: DataFrame) -> DataFrame:
     """S3: log files with size in KB (integer division), last-written time as
     text ('' if missing) and the number of files of the instance."""
-    w = Window.partitionBy("instance_id")
-    return files.select(
+    out = files.select(
         "instance_id", "name", F.expr("size_bytes div 1024").alias("size_kb"),
-        _ts_text(epoch_millis_ntz("last_written_ms")).alias("last_written"),
-        F.count(F.lit(1)).over(w).alias("n_files"))
+        _ts_text(epoch_millis_ntz("last_written_ms")).alias("last_written"))
+    return with_group_count(out, ["instance_id"], "n_files")
 
 
 # ------------------------------------------------------------------ X8
@@ -127,11 +128,10 @@ def maintenance_queue(actions: DataFrame) -> DataFrame:
     flat = actions
     if "actions" in actions.columns:
         flat = actions.select("resource_identifier", F.inline("actions"))
-    w = Window.partitionBy("resource_identifier")
-    return flat.select("resource_identifier", "action", _ts_text("auto_applied_after").alias("auto_applied_after"),
-                       _ts_text("current_apply_date").alias("current_apply_date"), _s("description").alias("description"),
-                       _s("opt_in_status").alias("opt_in_status"),
-                       F.count(F.lit(1)).over(w).alias("total_actions"))
+    out = flat.select("resource_identifier", "action", _ts_text("auto_applied_after").alias("auto_applied_after"),
+                      _ts_text("current_apply_date").alias("current_apply_date"), _s("description").alias("description"),
+                      _s("opt_in_status").alias("opt_in_status"))
+    return with_group_count(out, ["resource_identifier"], "total_actions")
 
 
 # ------------------------------------------------------------------ X4

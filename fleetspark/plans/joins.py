@@ -18,3 +18,15 @@ def broadcast_lookup(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFram
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Attach the row count of each key group to every row.
+
+    A ``count() over (partition by key)`` window would sort every row of a
+    busy key in one task.  Here the count is a partial (map-side) aggregate,
+    one row per key, joined back: AQE broadcasts it when small and splits
+    skewed partitions otherwise.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.join(counts, list(keys), "left")
