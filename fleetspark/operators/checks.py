@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import counter
+from ..functions.numeric import counter, parse_double
 from ..functions.text import HISTORY_LENGTH
 from ..plans.joins import broadcast_lookup
 from .counters import SNAPSHOT, pivot_counters
@@ -97,6 +97,21 @@ CHECKS: tuple[Check, ...] = (
           (("<", 45, "warning"), (">", 75, "warning"))),
 )
 CHECK_BY_KEY = {c.name: c for c in CHECKS}
+# Counters each check reads (history and class memory come from their own rows).
+CHECK_INPUTS = {
+    "innodb_buffer_pool_hit_rate": ["innodb_buffer_pool_read_requests", "innodb_buffer_pool_reads"],
+    "innodb_buffer_pool_size_vs_ram": ["innodb_buffer_pool_size"],
+    "thread_cache_hit_rate": ["threads_created", "connections"],
+    "thread_cache_ratio": ["threads_cached", "threads_created"],
+    "temporary_tables_on_disk": ["created_tmp_disk_tables", "created_tmp_tables"],
+    "history_list_length": [],
+    "max_connections_usage": ["threads_connected", "max_connections"],
+    "innodb_dirty_pages_ratio": ["innodb_buffer_pool_pages_dirty", "innodb_buffer_pool_pages_total"],
+    "open_files_utilization": ["open_files", "open_files_limit"],
+    "flushing_logs": ["innodb_log_waits", "innodb_log_writes"],
+    "sort_merge_passes_ratio": ["sort_merge_passes", "sort_scan", "sort_range"],
+    "innodb_redo_log": ["uptime", "innodb_redo_log_capacity", "innodb_os_log_written"],
+}
 
 _OPS = {"<": Column.__lt__, "<=": Column.__le__, ">": Column.__gt__, ">=": Column.__ge__,
         "=": Column.__eq__}
@@ -112,36 +127,45 @@ def classify(value: Column, rules) -> Column:
 
 
 def history_kv(status_text: DataFrame) -> DataFrame:
-    """History list length from the engine status text, as a long counter row.
+    """History list length from the engine status text, as a numeric counter row.
 
     Extracting before any shuffle shrinks each text to one number; the row is
     then unioned into the counter table so the checks need one pivot, no join.
+    Go parses the captured digits as int64; the BIGINT cast keeps that.
     """
-    h = F.regexp_extract("status_text", HISTORY_LENGTH, 1)
+    h = F.regexp_extract("status_text", HISTORY_LENGTH, 1).try_cast("bigint").cast("double")
     return (status_text.select(*SNAPSHOT, h.alias("value"))
-            .where(F.col("value") != "")
-            .select(*SNAPSHOT, F.lit("engine").alias("scope"), F.lit(ENGINE_HISTORY).alias("name"), "value"))
+            .where(F.col("value").isNotNull())
+            .select(*SNAPSHOT, F.lit(ENGINE_HISTORY).alias("name"), "value"))
+
+
+def memory_kv(kv: DataFrame, class_memory: DataFrame) -> DataFrame:
+    """Memory (MB) of each snapshot's instance class as a numeric counter row.
+
+    The class text is resolved against the size-checked broadcast lookup
+    before the pivot, so the pivot aggregates numbers only.  Unknown classes
+    give no row (and so no H2 check).
+    """
+    mem = class_memory.select(F.col("instance_class").alias("value"),
+                              F.col("memory_mb").cast("double").alias("memory_mb"))
+    cls = kv.where(F.col("name") == "instance_class").select(*SNAPSHOT, "value")
+    return cls.join(broadcast_lookup(mem), "value").select(*SNAPSHOT, F.lit("memory_mb").alias("name"),
+                                                            F.col("memory_mb").alias("value"))
 
 
 def snapshot_counters(kv: DataFrame, status_text: DataFrame | None = None,
-                      class_memory: DataFrame | None = None) -> DataFrame:
-    """Wide numeric snapshot rows for the checks (+ memory_mb of the class)."""
-    long = kv.select(*SNAPSHOT, "scope", "name", "value")
-    numeric = list(CHECK_COUNTERS)
+                      class_memory: DataFrame | None = None, names=None) -> DataFrame:
+    """Wide numeric snapshot rows for the checks (+ history and memory_mb).
+
+    ``names`` limits the pivot to the counters the wanted checks read.
+    """
+    names = list(CHECK_COUNTERS if names is None else names)
+    long = kv.where(F.col("name").isin(*names)).select(*SNAPSHOT, "name", parse_double("value").alias("value"))
     if status_text is not None:
         long = long.unionByName(history_kv(status_text))
-    wide = pivot_counters(long, numeric, ["instance_class"] + ([ENGINE_HISTORY] if status_text is not None else []))
-    if status_text is not None:
-        # Go parses the captured digits as int64; keep it exact, report as DOUBLE.
-        wide = wide.withColumn(ENGINE_HISTORY, F.col(ENGINE_HISTORY).try_cast("bigint").cast("double"))
-    else:
-        wide = wide.withColumn(ENGINE_HISTORY, F.lit(None).cast("double"))
     if class_memory is not None:
-        mem = class_memory.select("instance_class", F.col("memory_mb").cast("double").alias("memory_mb"))
-        wide = wide.join(broadcast_lookup(mem), "instance_class", "left")
-    else:
-        wide = wide.withColumn("memory_mb", F.lit(None).cast("double"))
-    return wide
+        long = long.unionByName(memory_kv(kv, class_memory))
+    return pivot_counters(long, names, [ENGINE_HISTORY, "memory_mb"])
 
 
 def check_rows(wide: DataFrame, checks=CHECKS) -> DataFrame:
@@ -156,10 +180,11 @@ def check_rows(wide: DataFrame, checks=CHECKS) -> DataFrame:
 
 def health_check(kv: DataFrame, name: str, status_text: DataFrame | None = None,
                  class_memory: DataFrame | None = None) -> DataFrame:
-    """One check by name, one row per snapshot where it applies."""
+    """One check by name, one row per snapshot where it applies.
+    Only the counters this check reads are pivoted."""
     c = CHECK_BY_KEY[name]
     wide = snapshot_counters(kv, status_text if c.order == 6 else None,
-                             class_memory if c.order == 2 else None)
+                             class_memory if c.order == 2 else None, CHECK_INPUTS[c.name])
     return check_rows(wide, [c]).select(*SNAPSHOT, "check_name", "value", "unit", "status")
 
 

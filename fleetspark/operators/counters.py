@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import counter, parse_double
+from ..functions.numeric import parse_double
 
 SNAPSHOT = ("instance_id", "snapshot_id")
 
@@ -36,16 +36,20 @@ def kv_numeric(kv: DataFrame) -> DataFrame:
     return kv.select(*SNAPSHOT, "scope", "name", v.alias("value")).where(F.col("value").isNotNull())
 
 
-def pivot_counters(kv: DataFrame, numeric: list[str], text: list[str] = ()) -> DataFrame:
-    """One row per snapshot with the named counters as columns.
+def pivot_counters(kv: DataFrame, numeric: list[str], nullable: list[str] = ()) -> DataFrame:
+    """One row per snapshot with the named counters as DOUBLE columns.
 
-    Filters ``name IN (...)`` before the aggregate and passes the explicit name
-    list to ``pivot`` (no extra job to find the distinct names).  Numeric
-    columns read 0 when missing or non-numeric, as the checks expect; text
-    columns stay NULL when missing.  One shuffle on (instance_id, snapshot_id),
-    with map-side partial aggregation.
+    Values are parsed to DOUBLE *before* the shuffle and pivoted with
+    ``max(when(name = n, v))`` per name: fixed-width buffers keep the
+    aggregate a hash aggregate with map-side partials (a pivot over text
+    values falls back to a sort-based aggregate).  ``numeric`` columns read 0
+    when missing or non-numeric, as the checks expect; ``nullable`` columns
+    stay NULL when missing.  One shuffle on (instance_id, snapshot_id).
     """
-    names = list(numeric) + list(text)
-    wide = (kv.where(F.col("name").isin(*names))
-            .groupBy(*SNAPSHOT).pivot("name", names).agg(F.first("value")))
-    return wide.select(*SNAPSHOT, *[counter(n).alias(n) for n in numeric], *[F.col(n) for n in text])
+    names = list(numeric) + list(nullable)
+    num = kv.where(F.col("name").isin(*names)).select(
+        *SNAPSHOT, "name", (F.col("value") if dict(kv.dtypes)["value"] == "double"
+                            else parse_double("value")).alias("v"))
+    wide = num.groupBy(*SNAPSHOT).agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in names])
+    return wide.select(*SNAPSHOT, *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in numeric],
+                       *[F.col(n) for n in nullable])
