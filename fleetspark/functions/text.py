@@ -50,6 +50,7 @@ FP_TRAILING_SEMI = r";$"
 
 # Slow-log record parts.
 SLOW_USER_HOST = r"# User@Host: ([^\n]*)"
+SLOW_TIMING_LINE = r"# Query_time:[^\n]*"
 SLOW_QUERY_TIME = r"# Query_time: ([0-9.]+)"
 SLOW_LOCK_TIME = r"Lock_time: ([0-9.]+)"
 SLOW_ROWS_SENT = r"Rows_sent: (\d+)"

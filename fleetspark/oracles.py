@@ -473,7 +473,7 @@ FROM sec""")
 
 _SLOW = """parsed AS (
   SELECT instance_id, rec_id, CAST(query_ms AS DOUBLE) AS query_ms,
-         CAST(CAST(regexp_extract(record_text, 'Lock_time: ([0-9.]+)', 1) AS DECIMAL(20,6)) * 1000 AS DOUBLE) AS lock_ms,
+         CAST(CAST(regexp_extract(regexp_extract(record_text, '# Query_time:[^\\n]*', 0), 'Lock_time: ([0-9.]+)', 1) AS DECIMAL(20,6)) * 1000 AS DOUBLE) AS lock_ms,
          CAST(rows_sent AS BIGINT) AS rows_sent, CAST(rows_examined AS BIGINT) AS rows_examined,
          regexp_extract(record_text, '# User@Host: ([^\\n]*)', 1) AS user_host,
          regexp_replace(record_text, '^(#[^\\n]*\\n|SET timestamp=\\d+;\\n|use [^\\n]*;\\n)+', '') AS sql_text
