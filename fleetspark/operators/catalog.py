@@ -26,6 +26,12 @@ def _s(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def _ordered(df: DataFrame, sort: bool, *keys) -> DataFrame:
+    """Report order (a range shuffle) only when asked; inventories that feed
+    an aggregate skip it."""
+    return df.orderBy(*keys) if sort else df
+
+
 def _unsigned(c: str) -> Column:
     return F.lower(F.col(c)).contains("unsigned")
 
@@ -33,27 +39,29 @@ def _unsigned(c: str) -> Column:
 # ------------------------------------------------------------------ P1
 
 
-def column_catalog(cols: DataFrame, schema: str | None = None, table: str | None = None) -> DataFrame:
+def column_catalog(cols: DataFrame, schema: str | None = None, table: str | None = None,
+                   sort: bool = True) -> DataFrame:
     """Columns of tables in ordinal order, NULL text -> '', flags parsed."""
     out = cols
     if schema is not None:
         out = out.where(F.col("table_schema") == schema)
     if table is not None:
         out = out.where(F.col("table_name") == table)
-    return out.select(
+    return _ordered(out.select(
         "instance_id", "table_schema", "table_name",
         F.col("ordinal_position").alias("position"), F.col("column_name").alias("name"),
         F.col("column_type").alias("type"), (F.col("is_nullable") == "YES").alias("nullable"),
         _s("column_default").alias("default"), _s("character_set_name").alias("charset"),
         _s("collation_name").alias("collation"), _s("column_key").alias("key"), _s("extra").alias("extra"),
         _s("column_comment").alias("comment"), _unsigned("column_type").alias("unsigned"),
-    ).orderBy("instance_id", "table_schema", "table_name", "position")
+    ), sort, "instance_id", "table_schema", "table_name", "position")
 
 
 # ------------------------------------------------------------------ J1, A2
 
 
-def table_inventory(tables: DataFrame, collations: DataFrame, schema: str | None = None) -> DataFrame:
+def table_inventory(tables: DataFrame, collations: DataFrame, schema: str | None = None,
+                    sort: bool = True) -> DataFrame:
     """Base tables with charset (via the collation lookup), sizes in MB
     (2 places), fragmentation % (1 place, NULL when all sizes are NULL/0),
     ordered by total size descending per instance."""
@@ -65,7 +73,7 @@ def table_inventory(tables: DataFrame, collations: DataFrame, schema: str | None
     j = t.join(coll, "table_collation", "left")
     di = F.col("data_length") + F.col("index_length")
     frag = F.round(F.coalesce(F.col("data_free"), F.lit(0)) / F.nullif(di + F.col("data_free"), F.lit(0)) * 100, 1)
-    return j.select(
+    return _ordered(j.select(
         "instance_id", "table_schema", "table_name",
         _s("engine").alias("engine"), _s("row_format").alias("row_format"),
         _s("character_set_name").alias("charset"), _s("table_collation").alias("collation"),
@@ -77,7 +85,7 @@ def table_inventory(tables: DataFrame, collations: DataFrame, schema: str | None
         frag.alias("frag_pct"),
         F.coalesce(F.col("auto_increment"), F.lit(0)).cast("decimal(20,0)").alias("auto_increment"),
         _s("table_comment").alias("comment"),
-    ).orderBy("instance_id", F.desc("total_mb"), "table_schema", "table_name")
+    ), sort, "instance_id", F.desc("total_mb"), "table_schema", "table_name")
 
 
 def size_totals(inventory: DataFrame, keys=("instance_id", "table_schema"),
@@ -93,7 +101,7 @@ def size_totals(inventory: DataFrame, keys=("instance_id", "table_schema"),
 # ------------------------------------------------------------------ A1
 
 
-def database_sizes(schemata: DataFrame, tables: DataFrame) -> DataFrame:
+def database_sizes(schemata: DataFrame, tables: DataFrame, sort: bool = True) -> DataFrame:
     """A1: schemata left-joined to their tables; MB of data+index (2 places);
     count of table names (views count too).  Tables are pre-aggregated per
     (instance, schema) before the join, so the join sees one row per schema."""
@@ -101,12 +109,12 @@ def database_sizes(schemata: DataFrame, tables: DataFrame) -> DataFrame:
                   .agg(F.sum(F.col("data_length") + F.col("index_length")).alias("bytes"),
                        F.count("table_name").alias("n_tables")))
     j = schemata.join(per_schema, ["instance_id", "schema_name"], "left")
-    return j.select(
+    return _ordered(j.select(
         "instance_id", "schema_name", F.col("default_character_set_name").alias("charset"),
         F.col("default_collation_name").alias("collation"),
         mb(F.coalesce(F.col("bytes"), F.lit(0)), 2).alias("size_mb"),
         F.coalesce(F.col("n_tables"), F.lit(0)).cast("bigint").alias("tables"),
-    ).orderBy("instance_id", F.desc("size_mb"), "schema_name")
+    ), sort, "instance_id", F.desc("size_mb"), "schema_name")
 
 
 # ------------------------------------------------------------------ A3
@@ -252,7 +260,8 @@ def int_type_max(column_type) -> Column:
                          .otherwise(F.lit(str(INT_DEFAULT_MAX[0])).cast(dec)))
 
 
-def autoincrement_overflow(cols: DataFrame, tables: DataFrame, schema: str | None = None) -> DataFrame:
+def autoincrement_overflow(cols: DataFrame, tables: DataFrame, schema: str | None = None,
+                           sort: bool = True) -> DataFrame:
     """Auto-increment columns of base tables with current value, type max,
     % used and remaining (0 when over the max); ordered by % used desc."""
     c = cols.where(F.col("extra").contains("auto_increment"))
@@ -270,14 +279,15 @@ def autoincrement_overflow(cols: DataFrame, tables: DataFrame, schema: str | Non
     rem = F.when(F.col("max_value") >= F.col("current_value"),
                  (F.col("max_value") - F.col("current_value")).cast("decimal(20,0)")).otherwise(
         F.lit(0).cast("decimal(20,0)"))
-    return (out.select("*", pct.alias("pct_used"), rem.alias("remaining_value"))
-            .orderBy("instance_id", F.desc("pct_used"), "table", "column"))
+    return _ordered(out.select("*", pct.alias("pct_used"), rem.alias("remaining_value")),
+                    sort, "instance_id", F.desc("pct_used"), "table", "column")
 
 
 # ------------------------------------------------------------------ J2, J3
 
 
-def pg_table_inventory(rel: DataFrame, ns: DataFrame, roles: DataFrame, am: DataFrame, stats: DataFrame) -> DataFrame:
+def pg_table_inventory(rel: DataFrame, ns: DataFrame, roles: DataFrame, am: DataFrame, stats: DataFrame,
+                       sort: bool = True) -> DataFrame:
     """Ordinary relations outside system schemas with owner, access method,
     rows (>= 0), dead tuples, sizes in MB and last vacuum / analyze times."""
     n = broadcast_lookup(ns.select(F.col("oid").alias("relnamespace"), "nspname"))
@@ -293,7 +303,7 @@ def pg_table_inventory(rel: DataFrame, ns: DataFrame, roles: DataFrame, am: Data
     def ts_text(a_: str, b_: str) -> Column:
         return F.coalesce(F.date_format(F.greatest(a_, b_), RFC3339), F.lit(""))
 
-    return j.select(
+    return _ordered(j.select(
         "instance_id", F.col("nspname").alias("schema"), F.col("relname").alias("name"),
         F.col("rolname").alias("owner"), _s("amname").alias("access_method"),
         F.greatest(F.col("reltuples").cast("bigint"), F.lit(0).cast("bigint")).alias("row_count"),
@@ -302,16 +312,16 @@ def pg_table_inventory(rel: DataFrame, ns: DataFrame, roles: DataFrame, am: Data
         mb("total_bytes", 2).alias("total_mb"), _s("description").alias("comment"),
         ts_text("last_vacuum", "last_autovacuum").alias("last_vacuum"),
         ts_text("last_analyze", "last_autoanalyze").alias("last_analyze"),
-    ).orderBy("instance_id", F.desc("total_mb"), "schema", "name")
+    ), sort, "instance_id", F.desc("total_mb"), "schema", "name")
 
 
-def pg_database_sizes(dbs: DataFrame, roles: DataFrame) -> DataFrame:
+def pg_database_sizes(dbs: DataFrame, roles: DataFrame, sort: bool = True) -> DataFrame:
     """Non-template databases with owner and size in MB (2 places)."""
     r = broadcast_lookup(roles.select(F.col("oid").alias("datdba"), "rolname"))
     j = dbs.where(~F.col("datistemplate")).join(r, "datdba")
-    return j.select("instance_id", "datname", F.col("rolname").alias("owner"), "encoding",
-                    F.col("datcollate").alias("collation"), F.col("datconnlimit").alias("connection_limit"),
-                    mb("size_bytes", 2).alias("size_mb")).orderBy("instance_id", F.desc("size_mb"), "datname")
+    return _ordered(j.select("instance_id", "datname", F.col("rolname").alias("owner"), "encoding",
+                             F.col("datcollate").alias("collation"), F.col("datconnlimit").alias("connection_limit"),
+                             mb("size_bytes", 2).alias("size_mb")), sort, "instance_id", F.desc("size_mb"), "datname")
 
 
 # ------------------------------------------------------------------ J9, P10

@@ -614,3 +614,24 @@ allc AS (
 {' UNION ALL '.join(_check_select(*s, with_order=True) for s in _CHECK_SQL)}
 )
 SELECT * FROM allc WHERE status <> 'ok'""")
+
+
+# ------------------------------------------------------------ A2 for the other inventories
+oracle("database_size_totals", ["cat_schemata", "cat_tables"], """
+WITH d AS (
+  SELECT s.instance_id, s.schema_name,
+         round(CAST(COALESCE(SUM(t.data_length + t.index_length), 0) AS DOUBLE) / 1048576.0, 2) AS size_mb
+  FROM cat_schemata s LEFT JOIN cat_tables t ON t.instance_id = s.instance_id AND t.table_schema = s.schema_name
+  GROUP BY s.instance_id, s.schema_name, s.default_character_set_name, s.default_collation_name
+)
+SELECT instance_id, COUNT(*) AS n_items, round(SUM(size_mb), 2) AS total_size_mb FROM d GROUP BY instance_id""")
+oracle("pg_table_size_totals", ["pg_relations", "pg_namespaces", "pg_roles", "pg_access_methods", "pg_user_stats"], """
+SELECT c.instance_id, COUNT(*) AS n_items, round(SUM(round(c.total_bytes / 1048576.0, 2)), 2) AS total_size_mb
+FROM pg_relations c JOIN pg_namespaces n ON n.oid = c.relnamespace JOIN pg_roles r ON r.oid = c.relowner
+LEFT JOIN pg_access_methods am ON am.oid = c.relam
+LEFT JOIN pg_user_stats s ON s.instance_id = c.instance_id AND s.relid = c.oid
+WHERE c.relkind = 'r' AND n.nspname NOT IN ('pg_catalog', 'information_schema', 'pg_toast')
+GROUP BY c.instance_id""")
+oracle("pg_database_size_totals", ["pg_databases", "pg_roles"], """
+SELECT d.instance_id, COUNT(*) AS n_items, round(SUM(round(d.size_bytes / 1048576.0, 2)), 2) AS total_size_mb
+FROM pg_databases d JOIN pg_roles r ON r.oid = d.datdba WHERE NOT d.datistemplate GROUP BY d.instance_id""")

@@ -94,7 +94,7 @@ def q_table_inventory(fx: Fixtures) -> DataFrame:
 
 @register("size_totals")
 def q_size_totals(fx: Fixtures) -> DataFrame:
-    return catalog.size_totals(catalog.table_inventory(fx["cat_tables"], fx["cat_collations"]))
+    return catalog.size_totals(catalog.table_inventory(fx["cat_tables"], fx["cat_collations"], sort=False))
 
 
 @register("database_sizes")
@@ -386,3 +386,24 @@ def q_health_alerts_stream(fx: Fixtures) -> DataFrame:
     sink = scratch_path(fx.spark, "health_alerts_stream", "sink")
     run_available_now(stream, sink, scratch_path(fx.spark, "health_alerts_stream", "checkpoint"))
     return fx.spark.read.parquet(sink)
+
+
+# ------------------------------------------------------------ A2 for the other inventories
+
+@register("database_size_totals")
+def q_database_size_totals(fx: Fixtures) -> DataFrame:
+    d = catalog.database_sizes(fx["cat_schemata"], fx["cat_tables"], sort=False)
+    return catalog.size_totals(d, keys=("instance_id",), size_col="size_mb", free_col=None)
+
+
+@register("pg_table_size_totals")
+def q_pg_table_size_totals(fx: Fixtures) -> DataFrame:
+    t = catalog.pg_table_inventory(fx["pg_relations"], fx["pg_namespaces"], fx["pg_roles"],
+                                   fx["pg_access_methods"], fx["pg_user_stats"], sort=False)
+    return catalog.size_totals(t, keys=("instance_id",), size_col="total_mb", free_col=None)
+
+
+@register("pg_database_size_totals")
+def q_pg_database_size_totals(fx: Fixtures) -> DataFrame:
+    d = catalog.pg_database_sizes(fx["pg_databases"], fx["pg_roles"], sort=False)
+    return catalog.size_totals(d, keys=("instance_id",), size_col="size_mb", free_col=None)

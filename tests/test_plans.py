@@ -33,3 +33,9 @@ def test_no_python_udf_in_any_plan(spark):
             continue
         p = _plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
+
+
+def test_totals_do_not_sort_before_aggregating(spark):
+    for key in ("size_totals", "database_size_totals", "pg_table_size_totals", "pg_database_size_totals"):
+        p = _plan(QUERIES[key](spark, SF_SMALL))
+        assert "rangepartitioning" not in p, key
