@@ -93,8 +93,9 @@ def parameter_overrides(params: DataFrame) -> DataFrame:
 
 
 def secret_inventory(s: DataFrame, name: str | None = None) -> DataFrame:
-    """Secret metadata (never values), optional name filter (contains)."""
-    out = s if name is None else s.where(F.col("name").contains(name))
+    """Secret metadata (never values); the optional name filter is the
+    secrets API's: a prefix match that ignores case."""
+    out = s if name is None else s.where(F.lower("name").startswith(name.lower()))
     return out.select("name", _s("description").alias("description"), "rotation_enabled",
                       _ts_text("last_changed").alias("last_changed"))
 

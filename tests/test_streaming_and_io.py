@@ -72,3 +72,25 @@ def test_slow_log_text_source(spark, tmp_dir):
     want = textops.slow_log_records(recs.withColumn("rec_id", F.lit(0)))
     cols = ["query_ms", "rows_sent", "rows_examined", "user_host", "sql_text"]
     assert parsed.select(cols).exceptAll(want.select(cols)).count() == 0
+
+
+def test_rollup_stream_drops_points_behind_the_watermark(spark, tmp_dir):
+    """Two micro-batches: the second carries a point for a period that closed
+    behind the watermark (10 min); it must not change the emitted average."""
+    import datetime as dt
+    schema = "instance_id string, metric string, ts timestamp_ntz, value long"
+    b1 = [("db-1", "cpu", dt.datetime(2024, 1, 1, 0, 1), 10), ("db-1", "cpu", dt.datetime(2024, 1, 1, 0, 30), 20)]
+    b2 = [("db-1", "cpu", dt.datetime(2024, 1, 1, 0, 2), 1000),      # late: period 00:00 closed at 00:30 - 10 min
+          ("db-1", "cpu", dt.datetime(2024, 1, 1, 1, 0), 30)]         # moves the watermark past 00:30
+    src = os.path.join(tmp_dir, "src")
+    spark.createDataFrame(b1, schema).coalesce(1).write.parquet(os.path.join(src, "b1"))
+    sink, ck = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ck")
+    stream = lambda: spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    run_available_now(metric_rollup_stream(stream()), sink, ck)
+    spark.createDataFrame(b2, schema).coalesce(1).write.parquet(os.path.join(src, "b2"))
+    run_available_now(metric_rollup_stream(stream()), sink, ck)
+    got = {(r["period_start"].strftime("%H:%M"), r["avg_value"], r["n_points"])
+           for r in spark.read.parquet(sink).collect()}
+    assert ("00:00", 10.0, 1) in got
+    assert ("00:30", 20.0, 1) in got
+    assert all(p != "01:00" for p, _, _ in got)      # still open
