@@ -31,6 +31,44 @@ METRIC_UNITS = (
 )
 
 
+# Cloud metric names per metric id; the document-store engine
+# ('docdb') reports storage and network under other names.
+CLOUD_METRIC_NAMES = {
+    "cpu": "CPUUtilization",
+    "connections": "DatabaseConnections",
+    "memory": "FreeableMemory",
+    "storage": "FreeStorageSpace",
+    "read_iops": "ReadIOPS",
+    "write_iops": "WriteIOPS",
+    "read_latency": "ReadLatency",
+    "write_latency": "WriteLatency",
+    "net_rx": "NetworkReceiveThroughput",
+    "net_tx": "NetworkTransmitThroughput",
+}
+DOCDB_METRIC_NAMES = {
+    "storage": "FreeLocalStorage",
+    "net_rx": "NetworkBytesIn",
+    "net_tx": "NetworkBytesOut",
+}
+
+
+def points_from_cloud_names(raw: DataFrame, instances: DataFrame, name_col: str = "metric_name") -> DataFrame:
+    """Raw points named as the cloud service names them -> points with metric ids.
+
+    The engine of each instance picks the name set (a join on the inventory,
+    which AQE broadcasts when small); names outside the set are dropped.
+    """
+    eng = instances.select("instance_id", (F.col("engine") == "docdb").alias("_docdb"))
+    j = raw.join(eng, "instance_id")
+    mid = None
+    for metric, name in CLOUD_METRIC_NAMES.items():
+        doc = DOCDB_METRIC_NAMES.get(metric, name)
+        cond = F.when(F.col("_docdb"), F.col(name_col) == doc).otherwise(F.col(name_col) == name)
+        mid = F.when(cond, F.lit(metric)) if mid is None else mid.when(cond, F.lit(metric))
+    return (j.withColumn("metric", mid).where(F.col("metric").isNotNull())
+            .select("instance_id", "metric", "ts", "value"))
+
+
 def as_of_lit(df: DataFrame, ts_col: str, as_of) -> Column:
     """``as_of`` as a literal of the same timestamp flavour as ``df[ts_col]``
     (NTZ stays NTZ, so no session time zone enters the comparison)."""

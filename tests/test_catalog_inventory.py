@@ -80,3 +80,17 @@ def test_no_window_over_raw_rows_for_per_instance_counts(spark):
     for key in ("log_file_inventory", "maintenance_queue", "parameter_overrides"):
         p = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Window [" not in p, key
+
+
+def test_cloud_metric_names_per_engine(spark):
+    inst = spark.createDataFrame([("a", "mysql"), ("b", "docdb")], "instance_id string, engine string")
+    t = dt.datetime(2024, 1, 30, 23, 55)      # inside the default 15-minute look-back
+    raw = spark.createDataFrame(
+        [("a", "FreeStorageSpace", t, 2.0 * 2**30), ("a", "FreeLocalStorage", t, 9.0), ("b", "FreeLocalStorage", t, 4.0 * 2**30),
+         ("b", "FreeStorageSpace", t, 9.0), ("b", "NetworkBytesIn", t, 2.0 * 2**20), ("a", "CPUUtilization", t, 50.0)],
+        "instance_id string, metric_name string, ts timestamp_ntz, value double")
+    pts = timeseries.points_from_cloud_names(raw, inst)
+    got = {r["instance_id"]: r for r in timeseries.latest_metrics(pts, inst, dt.datetime(2024, 1, 31)).collect()}
+    assert got["a"]["free_storage_gb"] == 2.0 and got["a"]["cpu_percent"] == 50.0
+    assert got["b"]["free_storage_gb"] == 4.0 and got["b"]["network_rx_mib_s"] == 2.0
+    assert got["b"]["cpu_percent"] == 0.0
