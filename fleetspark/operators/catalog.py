@@ -163,47 +163,62 @@ def index_catalog(index_columns: DataFrame, sizes: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ A6, J5
 
 
-def _check_summary(all_instances: DataFrame, offenders: DataFrame, check_name: str) -> DataFrame:
+def _check_summary(per_instance: DataFrame, check_name: str) -> DataFrame:
     """Per instance one check row: warning with the count of offending tables, or ok.
 
-    The offending tables themselves stay rows (see the *_tables functions); a
-    per-instance list would gather an unbounded group into one row.
+    ``per_instance`` has (instance_id, n_tables).  The offending tables stay
+    rows (the *_tables functions); a per-instance list would gather an
+    unbounded group into one row.
     """
-    counts = offenders.groupBy("instance_id").agg(F.count(F.lit(1)).alias("n_tables"))
-    j = all_instances.join(counts, "instance_id", "left")
-    n = F.coalesce(F.col("n_tables"), F.lit(0)).cast("bigint")
-    return j.select("instance_id", F.lit(check_name).alias("check_name"),
-                    F.when(n > 0, F.lit("warning")).otherwise(F.lit("ok")).alias("status"),
-                    n.alias("n_tables"))
+    n = F.col("n_tables").cast("bigint")
+    return per_instance.select("instance_id", F.lit(check_name).alias("check_name"),
+                               F.when(n > 0, F.lit("warning")).otherwise(F.lit("ok")).alias("status"),
+                               n.alias("n_tables"))
+
+
+def _is_myisam_user_table() -> Column:
+    return (F.col("engine") == "MyISAM") & ~F.col("table_schema").isin(*SYSTEM_SCHEMAS)
 
 
 def deprecated_engine_tables(tables: DataFrame) -> DataFrame:
     """A6 detail: MyISAM tables outside the system schemas, one row each."""
-    return (tables.where((F.col("engine") == "MyISAM") & ~F.col("table_schema").isin(*SYSTEM_SCHEMAS))
+    return (tables.where(_is_myisam_user_table())
             .select("instance_id", "table_schema", "table_name",
                     F.concat_ws(".", "table_schema", "table_name").alias("qualified_name")))
 
 
 def deprecated_engine(tables: DataFrame) -> DataFrame:
-    """Per instance, warning + number of MyISAM tables, or ok."""
-    inst = tables.select("instance_id").distinct()
-    return _check_summary(inst, deprecated_engine_tables(tables), "deprecated_table_engine")
+    """Per instance, warning + number of MyISAM tables, or ok.  One
+    aggregation (map-side partial counts), every instance of the catalog kept."""
+    per = tables.groupBy("instance_id").agg(F.count_if(F.coalesce(_is_myisam_user_table(), F.lit(False)))
+                                            .alias("n_tables"))
+    return _check_summary(per, "deprecated_table_engine")
 
 
-def missing_primary_key_tables(tables: DataFrame, constraints: DataFrame) -> DataFrame:
-    """J5 detail: base tables outside system schemas with no PRIMARY KEY (anti join)."""
+def _with_pk_flag(tables: DataFrame, constraints: DataFrame) -> DataFrame:
     pk = (constraints.where(F.col("constraint_type") == "PRIMARY KEY")
-          .select("instance_id", "table_schema", "table_name").distinct())
-    bt = tables.where((F.col("table_type") == "BASE TABLE") & ~F.col("table_schema").isin(*SYSTEM_SCHEMAS))
-    return (bt.join(pk, ["instance_id", "table_schema", "table_name"], "left_anti")
+          .select("instance_id", "table_schema", "table_name", F.lit(True).alias("_has_pk")).distinct())
+    return tables.join(pk, ["instance_id", "table_schema", "table_name"], "left")
+
+
+def _no_pk_user_table() -> Column:
+    return ((F.col("table_type") == "BASE TABLE") & ~F.col("table_schema").isin(*SYSTEM_SCHEMAS)
+            & F.col("_has_pk").isNull())
+
+
+def missing_primary_key_tables(tables: DataFrame, constraints: DataFrame) -> DataFrame:
+    """J5 detail: base tables outside system schemas with no PRIMARY KEY."""
+    return (_with_pk_flag(tables, constraints).where(_no_pk_user_table())
             .select("instance_id", "table_schema", "table_name",
                     F.concat_ws(".", "table_schema", "table_name").alias("qualified_name")))
 
 
 def missing_primary_key(tables: DataFrame, constraints: DataFrame) -> DataFrame:
-    """Per instance, warning + number of tables without a primary key, or ok."""
-    inst = tables.select("instance_id").distinct()
-    return _check_summary(inst, missing_primary_key_tables(tables, constraints), "missing_primary_key")
+    """Per instance, warning + number of tables without a primary key, or
+    ok.  One left join on the primary-key set, then one aggregation."""
+    per = (_with_pk_flag(tables, constraints).groupBy("instance_id")
+           .agg(F.count_if(F.coalesce(_no_pk_user_table(), F.lit(False))).alias("n_tables")))
+    return _check_summary(per, "missing_primary_key")
 
 
 # ------------------------------------------------------------------ J4

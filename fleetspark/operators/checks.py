@@ -251,7 +251,8 @@ def chunk_size_advice(kv: DataFrame) -> DataFrame:
 
 
 def best_chunks(pairs: DataFrame) -> DataFrame:
-    """Best chunk per distinct (pool, instances); NULL when no candidate exists."""
+    """Best chunk per distinct (pool, instances) that has a candidate; pairs
+    without one get no row (a left join back gives them NULL)."""
     p = pairs.select("pool", "instances",
                      F.col("pool").cast("bigint").alias("p"), F.col("instances").cast("bigint").alias("i"))
     # pool/instances must be whole (only then can pool/instances/n be whole).
@@ -264,8 +265,7 @@ def best_chunks(pairs: DataFrame) -> DataFrame:
     in_range = (F.col("c") * 100 >= F.col("p") * 2) & (F.col("c") * 100 <= F.col("p") * 5)
     dist = F.abs(F.col("c") * 1000 - F.col("p") * 35)      # |chunk - 3.5 % of pool| x 1000
     key = F.struct((~in_range).alias("out_of_range"), dist.alias("dist"), F.col("n").alias("n"))
-    best = cand.groupBy("pool", "instances").agg(F.min_by("c", key).alias("best_chunk"))
-    return pairs.join(best, ["pool", "instances"], "left")
+    return cand.groupBy("pool", "instances").agg(F.min_by("c", key).alias("best_chunk"))
 
 
 # ---------------------------------------------------------------- H15
