@@ -13,6 +13,10 @@ BASE_TABLES = (
 
 
 def table_path(sf_dir: str, name: str) -> str:
+    """``<dir>/<name>.parquet``; on a local disk also a plain ``<dir>/<name>``
+    folder.  Remote folders (``scheme://``) are not probed from the driver."""
+    if "://" in sf_dir:
+        return f"{sf_dir.rstrip('/')}/{name}.parquet"
     path = os.path.join(sf_dir, f"{name}.parquet")
     return path if os.path.exists(path) else os.path.join(sf_dir, name)
 
