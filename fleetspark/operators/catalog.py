@@ -10,11 +10,11 @@ behind a row-count check; everything else is left to AQE.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mb
-from ..plans.joins import broadcast_lookup
+from ..plans.joins import broadcast_lookup, with_group_total
 
 SYSTEM_SCHEMAS = ("mysql", "information_schema", "performance_schema", "sys")   # fixed values
 PG_SYSTEM_SCHEMAS = ("pg_catalog", "information_schema", "pg_toast")              # fixed values
@@ -362,8 +362,8 @@ def docdb_database_sizes(colls: DataFrame, stats: DataFrame) -> DataFrame:
     db = j.groupBy("instance_id", "database_name").agg(
         F.sum(F.coalesce(F.col("size_bytes"), F.lit(0))).alias("bytes"),
         F.sum(F.coalesce(F.col("doc_count"), F.lit(0))).alias("docs"))
-    w = Window.partitionBy("instance_id")
+    db = with_group_total(db, ["instance_id"], "bytes", "instance_bytes")
     return db.select("instance_id", F.col("database_name").alias("name"),
                      (F.col("bytes").cast("double") / 1024 / 1024).alias("size_mb"),
                      (F.col("docs") == 0).alias("empty"),
-                     (F.sum("bytes").over(w).cast("double") / 1024 / 1024).alias("total_size_mb"))
+                     (F.col("instance_bytes").cast("double") / 1024 / 1024).alias("total_size_mb"))
