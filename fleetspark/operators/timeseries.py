@@ -153,7 +153,7 @@ def top_by_load(samples: DataFrame, keys: list[str], as_of, minutes: int = 60, k
     agg = s.groupBy("instance_id", *keys).agg(F.count(F.lit(1)).alias("samples"))
     load = F.col("samples") * F.lit(float(seconds_per_sample)) / F.lit(minutes * 60.0)
     w = Window.partitionBy("instance_id").orderBy(F.desc("samples"), *[F.asc(c) for c in keys])
-    ranked = agg.select("instance_id", *keys, load.alias("db_load"), F.row_number().over(w).alias("rank"))
+    ranked = agg.select("instance_id", *keys, load.alias("db_load"), F.row_number().over(w).cast("bigint").alias("rank"))
     return ranked.where(F.col("rank") <= k)
 
 

@@ -489,7 +489,7 @@ fp AS (SELECT *, {_FP} AS fingerprint FROM parsed),
 g AS (
   SELECT instance_id, fingerprint, COUNT(*) AS calls, SUM(query_ms) AS total_ms, avg(query_ms) AS avg_ms,
          max(query_ms) AS max_ms, round(quantile_cont(query_ms, 0.95), 3) AS p95_ms,
-         SUM(rows_sent) AS rows_sent, SUM(rows_examined) AS rows_examined,
+         CAST(SUM(rows_sent) AS BIGINT) AS rows_sent, CAST(SUM(rows_examined) AS BIGINT) AS rows_examined,
          first(sql_text ORDER BY query_ms DESC, sql_text) AS sample
   FROM fp GROUP BY instance_id, fingerprint
 )

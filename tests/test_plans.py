@@ -39,3 +39,9 @@ def test_totals_do_not_sort_before_aggregating(spark):
     for key in ("size_totals", "database_size_totals", "pg_table_size_totals", "pg_database_size_totals"):
         p = _plan(QUERIES[key](spark, SF_SMALL))
         assert "rangepartitioning" not in p, key
+
+
+def test_top_k_is_limited_before_the_shuffle(spark):
+    for key in ("top_sql_by_load", "top_waits_by_load"):
+        p = _plan(QUERIES[key](spark, SF_SMALL))
+        assert "WindowGroupLimit" in p and "Partial" in p, key
