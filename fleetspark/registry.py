@@ -7,12 +7,19 @@ result out.  ``ORACLES`` (in ``oracles.py``) holds the DuckDB SQL for each key.
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import checks
+from .operators import activity, catalog, checks, counters, textops
+from .operators import inventory as inv
+from .operators import timeseries as ts
 from .sources.fixtures import Fixtures
+from .streaming import alerts as _alerts
+from .streaming import metrics as _smetrics
+from .streaming.runner import run_available_now, scratch_path, stage_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -72,12 +79,9 @@ def q_variable_rules(fx: Fixtures) -> DataFrame:
 
 # ------------------------------------------------------------ catalog
 
-from .operators import catalog  # noqa: E402
 
-
-def flat_list(col: str, fields: list[str], sep: str = "|") -> "Column":
+def flat_list(col: str, fields: list[str], sep: str = "|") -> Column:
     """Array of structs -> 'a:b:c|a:b:c' text (for order-insensitive hashing)."""
-    from pyspark.sql import functions as F
     parts = ", ".join(f"coalesce(cast(x.{f} as string), '')" for f in fields)
     return F.expr(f"array_join(transform({col}, x -> concat_ws(':', {parts})), '{sep}')")
 
@@ -171,11 +175,6 @@ def q_docdb_database_sizes(fx: Fixtures) -> DataFrame:
 
 # ------------------------------------------------------------ time series
 
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from .operators import timeseries as ts  # noqa: E402
 
 # Fixed anchor of every look-back on the fixtures (FIXTURES.md).
 AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
@@ -216,8 +215,6 @@ def q_event_lookback(fx: Fixtures) -> DataFrame:
 
 # ------------------------------------------------------------ counters, text, activity
 
-from .operators import activity, counters, textops  # noqa: E402
-
 
 @register("kv_like")
 def q_kv_like(fx: Fixtures) -> DataFrame:
@@ -293,8 +290,6 @@ def q_probe_summary(fx: Fixtures) -> DataFrame:
 
 # ------------------------------------------------------------ inventory
 
-from .operators import inventory as inv  # noqa: E402
-
 
 @register("instance_inventory")
 def q_instance_inventory(fx: Fixtures) -> DataFrame:
@@ -355,10 +350,6 @@ def q_config_key_audit(fx: Fixtures) -> DataFrame:
 
 # ------------------------------------------------------------ streaming
 
-from .streaming import alerts as _alerts  # noqa: E402
-from .streaming import metrics as _smetrics  # noqa: E402
-from .streaming.runner import run_available_now, scratch_path, stage_table  # noqa: E402
-
 
 def _stream_from(fx: Fixtures, name: str, key: str):
     """Stage a fixture as parquet files under the checkpoint folder and open a
