@@ -136,3 +136,32 @@ def test_variable_rules_missing_setting_matches_nothing(spark):
                                   "rule_id string, name string, op string, bound long, severity string")
     out = checks.variable_rules(kv, rules).collect()
     assert [(r["rule_id"], r["value"]) for r in out] == [("r1", 0.0)]
+
+
+def test_pool_vs_ram_exact_bounds(spark):
+    mem = spark.createDataFrame([("c", 1000)], "instance_class string, memory_mb long")
+    mib = 1048576
+    snaps = {1: {"innodb_buffer_pool_size": str(600 * mib), "instance_class": "c"},     # 60 -> ok
+             2: {"innodb_buffer_pool_size": str(750 * mib), "instance_class": "c"},     # 75 -> ok
+             3: {"innodb_buffer_pool_size": str(751 * mib), "instance_class": "c"},     # 75.1 -> critical
+             4: {"innodb_buffer_pool_size": str(599 * mib), "instance_class": "c"},     # 59.9 -> warning
+             5: {"innodb_buffer_pool_size": "0", "instance_class": "c"}}                # no row
+    got = run_check(spark, "innodb_buffer_pool_size_vs_ram", snaps, class_memory=mem)
+    assert {k: v[1] for k, v in got.items()} == {1: "ok", 2: "ok", 3: "critical", 4: "warning"}
+    assert got[1][0] == 60.0 and got[2][0] == 75.0
+
+
+def test_redo_log_upper_bound_and_sort_merge_exact(spark):
+    got = run_check(spark, "innodb_redo_log", {
+        1: {"uptime": "4500", "innodb_redo_log_capacity": "100", "innodb_os_log_written": "100"}})   # 75 -> ok
+    assert got == {1: (75.0, "ok")}
+    got = run_check(spark, "sort_merge_passes_ratio", {
+        1: {"sort_merge_passes": "9", "sort_scan": "100"}})                                           # 9 -> ok
+    assert got == {1: (9.0, "ok")}
+
+
+def test_history_above_a_million_is_critical(spark):
+    text = spark.createDataFrame([("db-t", 1, "History list length 1000001")],
+                                 "instance_id string, snapshot_id long, status_text string")
+    got = run_check(spark, "history_list_length", {1: {"uptime": "1"}}, status_text=text)
+    assert got == {1: (1000001.0, "critical")}
