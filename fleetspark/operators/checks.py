@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import counter, parse_double
 from ..functions.text import HISTORY_LENGTH
 from ..plans.joins import broadcast_lookup
+from ..plans.reuse import checkpointed
 from .counters import SNAPSHOT, pivot_counters
 
 # Counters (status and settings) the twelve checks read.
@@ -226,6 +227,9 @@ def chunk_size_advice(kv: DataFrame) -> DataFrame:
     cfg = (wide.select(*SNAPSHOT, F.col(names[0]).alias("pool"), F.col(names[1]).alias("instances"),
                        F.col(names[2]).alias("chunk"))
            .where((F.col("pool") != 0) & (F.col("instances") != 0) & (F.col("chunk") != 0)))
+    # Both the candidate search and the join back read cfg: materialise it once
+    # (one narrow row per snapshot) instead of pivoting the counters twice.
+    cfg = checkpointed(cfg)
     advice = best_chunks(cfg.select("pool", "instances").distinct())
     out = cfg.join(advice, ["pool", "instances"], "left")
     aligned = (F.col("pool") % (F.col("instances") * F.col("chunk"))) == 0

@@ -1,0 +1,20 @@
+"""Materialise an intermediate that several branches of one plan read."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..session import ensure_checkpoint_dir
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's checkpoint folder and read it back.
+
+    For a narrow intermediate that two branches consume: without it each
+    branch recomputes the whole upstream (Spark reuses an exchange only when
+    both branches prune to the same columns).  The files live in the shared
+    folder named by ``spark.checkpoint.dir``, so losing an executor after the
+    write loses nothing; the lineage is cut at this point.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
