@@ -10,11 +10,11 @@ behind a row-count check; everything else is left to AQE.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mb
-from ..plans.joins import broadcast_lookup, with_group_total
+from ..plans.joins import broadcast_lookup
 
 SYSTEM_SCHEMAS = ("mysql", "information_schema", "performance_schema", "sys")   # fixed values
 PG_SYSTEM_SCHEMAS = ("pg_catalog", "information_schema", "pg_toast")              # fixed values
@@ -236,14 +236,14 @@ def foreign_key_graph(key_usage: DataFrame, ref: DataFrame, table: str | None =
     rc = ref.select("instance_id", F.col("constraint_schema").alias("table_schema"), "constraint_name",
                     "update_rule", "delete_rule")
     j = kcu.join(rc, ["instance_id", "table_schema", "constraint_name"])
-    common = ["constraint_name", "ordinal_position", "column_name", "referenced_column_name",
-              "update_rule", "delete_rule"]
-    out = j.select("instance_id", "table_schema", F.col("table_name").alias("table"),
-                   F.lit("outgoing").alias("direction"),
+    common = [F.col(c) for c in ("constraint_name", "ordinal_position", "column_name", "referenced_column_name",
+                                 "update_rule", "delete_rule")]
+    out = F.struct(F.col("table_name").alias("table"), F.lit("outgoing").alias("direction"),
                    F.col("referenced_table_name").alias("other_table"), *common)
-    inc = j.select("instance_id", "table_schema", F.col("referenced_table_name").alias("table"),
-                   F.lit("incoming").alias("direction"), F.col("table_name").alias("other_table"), *common)
-    g = out.unionByName(inc)
+    inc = F.struct(F.col("referenced_table_name").alias("table"), F.lit("incoming").alias("direction"),
+                   F.col("table_name").alias("other_table"), *common)
+    # One join; each joined row is emitted for both of its tables.
+    g = j.select("instance_id", "table_schema", F.inline(F.array(out, inc)))
     if table is not None:
         g = g.where(F.col("table") == table)
     return g
@@ -362,8 +362,9 @@ def docdb_database_sizes(colls: DataFrame, stats: DataFrame) -> DataFrame:
     db = j.groupBy("instance_id", "database_name").agg(
         F.sum(F.coalesce(F.col("size_bytes"), F.lit(0))).alias("bytes"),
         F.sum(F.coalesce(F.col("doc_count"), F.lit(0))).alias("docs"))
-    db = with_group_total(db, ["instance_id"], "bytes", "instance_bytes")
+    # Window over the aggregated rows (one per database of an instance).
+    w = Window.partitionBy("instance_id")
     return db.select("instance_id", F.col("database_name").alias("name"),
                      (F.col("bytes").cast("double") / 1024 / 1024).alias("size_mb"),
                      (F.col("docs") == 0).alias("empty"),
-                     (F.col("instance_bytes").cast("double") / 1024 / 1024).alias("total_size_mb"))
+                     (F.sum("bytes").over(w).cast("double") / 1024 / 1024).alias("total_size_mb"))

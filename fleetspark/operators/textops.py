@@ -6,11 +6,10 @@ codegen; no Python UDF touches the text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..plans.joins import with_group_total
 
 
 # Multi-group patterns are matched once (whole match); the groups are then
@@ -129,8 +128,10 @@ def slow_query_digest(parsed: DataFrame, by=("instance_id",)) -> DataFrame:
     ms, rows sent / examined, share of the log's total time, and the text of
     the slowest call (ties to the smallest text).
 
-    Map-side partial aggregation first; the log total is a second (tiny)
-    aggregate joined back, so no instance's rows meet in one task.  ``percentile`` is exact: its buffer holds one count
+    Map-side partial aggregation first.  The log total is a window over the
+    *aggregated* rows (one per fingerprint of a log), which reuses the
+    aggregate's output; a second aggregate joined back would re-run the regex
+    parse of every record, since its branch prunes to other columns.  ``percentile`` is exact: its buffer holds one count
     per distinct time value of a group, not the rows.
     """
     fp = parsed if "fingerprint" in parsed.columns else query_fingerprint(parsed)
@@ -144,8 +145,8 @@ def slow_query_digest(parsed: DataFrame, by=("instance_id",)) -> DataFrame:
         F.sum("rows_examined").alias("rows_examined"),
         F.min_by("sql_text", F.struct(-F.col("query_ms"), F.col("sql_text"))).alias("sample"),
     )
-    g = with_group_total(g, list(by), "total_ms", "_log_ms")
-    return (g.withColumn("share", F.col("total_ms") / F.col("_log_ms")).drop("_log_ms")
+    w = Window.partitionBy(*by)
+    return (g.withColumn("share", F.col("total_ms") / F.sum("total_ms").over(w))
             .orderBy(*by, F.desc("total_ms"), "fingerprint"))
 
 
