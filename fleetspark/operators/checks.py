@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import counter, parse_double
 from ..functions.text import HISTORY_LENGTH
-from ..plans.joins import broadcast_lookup
+from ..plans.joins import broadcast_lookup, lookup_map
 from ..plans.reuse import checkpointed
 from .counters import SNAPSHOT, pivot_counters
 
@@ -161,11 +161,22 @@ def snapshot_counters(kv: DataFrame, status_text: DataFrame | None = None,
     ``names`` limits the pivot to the counters the wanted checks read.
     """
     names = list(CHECK_COUNTERS if names is None else names)
-    long = kv.where(F.col("name").isin(*names)).select(*SNAPSHOT, "name", parse_double("value").alias("value"))
+    mem_map = None
+    if class_memory is not None:
+        mem_map = lookup_map(class_memory.select("instance_class", F.col("memory_mb").cast("double")),
+                             "instance_class", "memory_mb")
+    if mem_map is not None:
+        # One pass over the counters: the class row becomes a numeric memory_mb row.
+        is_cls = F.col("name") == "instance_class"
+        long = kv.where(F.col("name").isin(*names, "instance_class")).select(
+            *SNAPSHOT, F.when(is_cls, F.lit("memory_mb")).otherwise(F.col("name")).alias("name"),
+            F.when(is_cls, F.try_element_at(mem_map, F.col("value"))).otherwise(parse_double("value")).alias("value"))
+    else:
+        long = kv.where(F.col("name").isin(*names)).select(*SNAPSHOT, "name", parse_double("value").alias("value"))
+        if class_memory is not None:
+            long = long.unionByName(memory_kv(kv, class_memory))
     if status_text is not None:
         long = long.unionByName(history_kv(status_text))
-    if class_memory is not None:
-        long = long.unionByName(memory_kv(kv, class_memory))
     return pivot_counters(long, names, [ENGINE_HISTORY, "memory_mb"])
 
 

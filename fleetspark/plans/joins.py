@@ -36,3 +36,22 @@ def with_group_total(df: DataFrame, keys: list[str], col: str, name: str) -> Dat
     """Attach ``sum(col)`` of each key group to every row (see ``with_group_count``)."""
     totals = df.groupBy(*keys).agg(F.sum(col).alias(name))
     return df.join(totals, list(keys), "left")
+
+
+LOOKUP_MAP_MAX_ROWS = 10_000
+
+
+def lookup_map(df: DataFrame, key: str, value: str, max_rows: int = LOOKUP_MAP_MAX_ROWS):
+    """A small lookup as a map literal Column, or None above ``max_rows``.
+
+    Resolving a key with ``try_element_at(map, key)`` inside the same
+    projection needs no join, so the consuming table is read in one pass.
+    The lookup is read on the driver only after its size is checked (at most
+    ``max_rows + 1`` rows are fetched), like a broadcast would be.
+    """
+    rows = df.select(key, value).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    if not rows:
+        return F.create_map().cast(f"map<string,{dict(df.dtypes)[value]}>")
+    return F.create_map(*[F.lit(x) for r in rows for x in (r[0], r[1])])

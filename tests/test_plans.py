@@ -15,9 +15,30 @@ def test_lookback_filter_and_pruning_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in p
 
 
-def test_class_lookup_is_broadcast(spark):
-    p = _plan(QUERIES["hc_buffer_pool_vs_ram"](spark, SF_SMALL))
-    assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
+def test_class_lookup_resolved_in_one_pass(spark):
+    # the size-checked class lookup is a map literal: one pass over the
+    # counters (one unpivot of the fixture), no join at all
+    for key in ("hc_buffer_pool_vs_ram", "health_report"):
+        p = _plan(QUERIES[key](spark, SF_SMALL))
+        assert p.count("Expand [") == 1 and "SortMergeJoin" not in p and "BroadcastHashJoin" not in p, key
+
+
+def test_class_lookup_falls_back_to_a_join(spark):
+    from fleetspark.operators import checks
+    from fleetspark.sources.fixtures import Fixtures
+    import fleetspark.operators.checks as mod
+    fx = Fixtures(spark, SF_SMALL)
+    old = mod.lookup_map
+    mod.lookup_map = lambda *a, **k: None          # lookup "too large" for a literal
+    try:
+        df = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, fx["class_memory"])
+        p = _plan(df)
+        n = df.count()
+    finally:
+        mod.lookup_map = old
+    assert "BroadcastHashJoin" in p
+    assert n == checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None,
+                                    fx["class_memory"]).count()
 
 
 def test_health_report_single_pivot_shuffle(spark):
