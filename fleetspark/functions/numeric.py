@@ -25,11 +25,6 @@ def counter(c) -> Column:
     return F.coalesce(parse_double(c), F.lit(0.0))
 
 
-def safe_div(num, den) -> Column:
-    """num / den, NULL when den is 0 or NULL (never raises under ANSI mode)."""
-    return F.try_divide(_c(num), _c(den))
-
-
 def mb(c, places: int | None = None) -> Column:
     """Bytes -> MiB (DOUBLE), optionally rounded."""
     v = _c(c).cast("double") / F.lit(1048576.0)

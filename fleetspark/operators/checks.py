@@ -212,11 +212,6 @@ def health_report(kv: DataFrame, status_text: DataFrame, class_memory: DataFrame
                        F.count(F.lit(1)).over(w).alias("total_checks"))
 
 
-def describe(check_name: Column, value: Column, status: Column) -> Column:
-    """Human-readable one-line description of a check row (own wording)."""
-    return F.format_string("%s is %.2f (%s)", check_name, value, status)
-
-
 # ---------------------------------------------------------------- H14
 
 MIB = 1048576

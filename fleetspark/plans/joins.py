@@ -32,12 +32,6 @@ def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.join(counts, list(keys), "left")
 
 
-def with_group_total(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
-    """Attach ``sum(col)`` of each key group to every row (see ``with_group_count``)."""
-    totals = df.groupBy(*keys).agg(F.sum(col).alias(name))
-    return df.join(totals, list(keys), "left")
-
-
 LOOKUP_MAP_MAX_ROWS = 10_000
 
 
