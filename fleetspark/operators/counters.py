@@ -6,6 +6,8 @@ Long form: ``(instance_id, snapshot_id, captured_at, scope, name, value STRING)`
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,18 +16,33 @@ from ..functions.numeric import parse_double
 SNAPSHOT = ("instance_id", "snapshot_id")
 
 
+def normalize_counter_names(kv: DataFrame) -> DataFrame:
+    """Lower-case counter and setting names (servers compare them ignoring
+    case).  The long table is expected in this form; do it once at ingestion."""
+    return kv.withColumn("name", F.lower("name"))
+
+
+_LITERAL_PREFIX = re.compile(r"^[^%_\\]*")
+
+
 def kv_like(kv: DataFrame, pattern: str | None = None, scope: str | None = None) -> DataFrame:
     """Counters whose name matches a LIKE pattern (case-insensitive); None/'' = all.
 
-    Adds ``n_matched``, the number of matching names per snapshot.  A prefix
-    pattern ('innodb%') reaches the parquet scan as a StartsWith filter when
-    the long table is stored as such.
+    Adds ``n_matched``, the number of matching names per snapshot.  Every
+    match starts with the pattern's text before its first wildcard, so that
+    text (lower-cased, as names are stored) is also required with
+    ``startswith``, which reaches a parquet scan of the long table as a pushed
+    StringStartsWith filter; the LIKE itself still decides.
     """
     out = kv
     if scope:
         out = out.where(F.col("scope") == scope)
     if pattern:
-        out = out.where(F.col("name").ilike(pattern))
+        cond = F.col("name").ilike(pattern)
+        prefix = _LITERAL_PREFIX.match(pattern).group(0)
+        if prefix:
+            cond = F.col("name").startswith(prefix.lower()) & cond
+        out = out.where(cond)
     w = Window.partitionBy(*SNAPSHOT)
     return out.select(*SNAPSHOT, "scope", "name", "value", F.count(F.lit(1)).over(w).alias("n_matched"))
 

@@ -66,3 +66,18 @@ def test_top_k_is_limited_before_the_shuffle(spark):
     for key in ("top_sql_by_load", "top_waits_by_load"):
         p = _plan(QUERIES[key](spark, SF_SMALL))
         assert "WindowGroupLimit" in p and "Partial" in p, key
+
+
+def test_kv_prefix_pattern_reaches_the_scan(spark, tmp_dir):
+    import os
+    from fleetspark.operators import counters
+    from fleetspark.sources.fixtures import Fixtures
+    path = os.path.join(tmp_dir, "kv")
+    Fixtures(spark, SF_SMALL).counter_kv().write.parquet(path)
+    stored = spark.read.parquet(path)
+    df = counters.kv_like(stored, "InnoDB_Buffer_Pool%")
+    p = _plan(df)
+    assert "StringStartsWith(name,innodb)" in p        # text before the first wildcard ('_')
+    assert df.count() == counters.kv_like(stored, "innodb_buffer_pool%").count() > 0
+    # no literal text before the first wildcard: nothing to push
+    assert "StringStartsWith" not in _plan(counters.kv_like(stored, "%pool_size"))
