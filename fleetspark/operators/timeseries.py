@@ -77,11 +77,19 @@ def as_of_lit(df: DataFrame, ts_col: str, as_of) -> Column:
     return F.lit(text).cast("timestamp_ntz" if is_ntz else "timestamp")
 
 
-def in_lookback(df: DataFrame, ts_col: str, as_of, lookback: str) -> DataFrame:
-    """Rows with ``as_of - lookback <= ts <= as_of`` (lookback like '15 minutes')."""
+def in_lookback(df: DataFrame, ts_col: str, as_of, lookback: str, date_col: str | None = None) -> DataFrame:
+    """Rows with ``as_of - lookback <= ts <= as_of`` (lookback like '15 minutes').
+
+    ``date_col`` names a date column the table is partitioned by (the date of
+    ``ts``); the same window on it lets the scan skip whole partitions, while
+    the timestamp range still decides row by row.
+    """
     end = as_of_lit(df, ts_col, as_of)
     start = end - F.expr(f"INTERVAL {lookback}")
-    return df.where((F.col(ts_col) >= start) & (F.col(ts_col) <= end))
+    cond = (F.col(ts_col) >= start) & (F.col(ts_col) <= end)
+    if date_col is not None:
+        cond = (F.col(date_col) >= F.to_date(start)) & (F.col(date_col) <= F.to_date(end)) & cond
+    return df.where(cond)
 
 
 def _ts_text(c) -> Column:
@@ -103,7 +111,7 @@ def metric_rollup(points: DataFrame, period: str = "5 minutes") -> DataFrame:
 
 
 def latest_metrics(points: DataFrame, instances: DataFrame, as_of, lookback: str = "15 minutes",
-                   period: str = "5 minutes", metrics=METRIC_UNITS) -> DataFrame:
+                   period: str = "5 minutes", metrics=METRIC_UNITS, date_col: str | None = None) -> DataFrame:
     """One row per instance with the newest period average of each metric
     within the look-back, scaled to its unit, 0 when there is none.
 
@@ -111,7 +119,8 @@ def latest_metrics(points: DataFrame, instances: DataFrame, as_of, lookback: str
     ``max_by(avg, period_start)`` restricted to each metric by ``when``.
     """
     names = [m[0] for m in metrics]
-    roll = metric_rollup(in_lookback(points.where(F.col("metric").isin(*names)), "ts", as_of, lookback), period)
+    roll = metric_rollup(in_lookback(points.where(F.col("metric").isin(*names)), "ts", as_of, lookback, date_col),
+                         period)
     aggs = [F.max_by(F.when(F.col("metric") == m, F.col("avg_value")),
                      F.when(F.col("metric") == m, F.col("period_start"))).alias(m) for m in names]
     latest = roll.groupBy("instance_id").agg(*aggs)
@@ -124,14 +133,15 @@ def latest_metrics(points: DataFrame, instances: DataFrame, as_of, lookback: str
 
 
 def replica_lag(instances: DataFrame, points: DataFrame, as_of, source: str | None = None,
-                metric: str = "replica_lag", lookback: str = "5 minutes", period: str = "60 seconds") -> DataFrame:
+                metric: str = "replica_lag", lookback: str = "5 minutes", period: str = "60 seconds",
+                date_col: str | None = None) -> DataFrame:
     """Replicas (non-empty source) with the newest period average of the
     lag metric in the look-back; -1 when there is none.  One left join on a
     pre-aggregated latest-value table replaces one metric call per replica."""
     reps = instances.where(F.coalesce(F.col("source_instance_id"), F.lit("")) != "")
     if source is not None:
         reps = reps.where(F.col("source_instance_id") == source)
-    roll = metric_rollup(in_lookback(points.where(F.col("metric") == metric), "ts", as_of, lookback), period)
+    roll = metric_rollup(in_lookback(points.where(F.col("metric") == metric), "ts", as_of, lookback, date_col), period)
     latest = roll.groupBy("instance_id").agg(F.max_by("avg_value", "period_start").alias("lag"))
     j = reps.join(latest, "instance_id", "left")
     return j.select(F.col("instance_id").alias("identifier"), F.col("source_instance_id").alias("source"),
@@ -143,13 +153,13 @@ def replica_lag(instances: DataFrame, points: DataFrame, as_of, source: str | No
 
 
 def top_by_load(samples: DataFrame, keys: list[str], as_of, minutes: int = 60, k: int = 10,
-                seconds_per_sample: float = 1.0) -> DataFrame:
+                seconds_per_sample: float = 1.0, date_col: str | None = None) -> DataFrame:
     """Top-k per instance by average active sessions over the look-back.
 
     Aggregate first (one row per instance and key), then rank: the window sees
     aggregated rows, not samples.  Ties go to the smaller key text.
     """
-    s = in_lookback(samples, "ts", as_of, f"{int(minutes)} minutes")
+    s = in_lookback(samples, "ts", as_of, f"{int(minutes)} minutes", date_col)
     agg = s.groupBy("instance_id", *keys).agg(F.count(F.lit(1)).alias("samples"))
     load = F.col("samples") * F.lit(float(seconds_per_sample)) / F.lit(minutes * 60.0)
     w = Window.partitionBy("instance_id").orderBy(F.desc("samples"), *[F.asc(c) for c in keys])
@@ -158,23 +168,24 @@ def top_by_load(samples: DataFrame, keys: list[str], as_of, minutes: int = 60, k
 
 
 def top_sql_by_load(samples: DataFrame, as_of, minutes: int = 60, k: int = 10,
-                    seconds_per_sample: float = 1.0) -> DataFrame:
+                    seconds_per_sample: float = 1.0, date_col: str | None = None) -> DataFrame:
     """Top statements by load per instance."""
-    return top_by_load(samples, ["statement"], as_of, minutes, k, seconds_per_sample)
+    return top_by_load(samples, ["statement"], as_of, minutes, k, seconds_per_sample, date_col)
 
 
 def top_waits_by_load(samples: DataFrame, as_of, minutes: int = 60, k: int = 10,
-                      seconds_per_sample: float = 1.0) -> DataFrame:
+                      seconds_per_sample: float = 1.0, date_col: str | None = None) -> DataFrame:
     """Top (wait type, wait name) by load per instance."""
-    return top_by_load(samples, ["wait_type", "wait_name"], as_of, minutes, k, seconds_per_sample)
+    return top_by_load(samples, ["wait_type", "wait_name"], as_of, minutes, k, seconds_per_sample, date_col)
 
 
 # ------------------------------------------------------------------ P4
 
 
-def event_lookback(events: DataFrame, as_of, minutes: int = 1440, source: str | None = None) -> DataFrame:
+def event_lookback(events: DataFrame, as_of, minutes: int = 1440, source: str | None = None,
+                   date_col: str | None = None) -> DataFrame:
     """Events of one source (or all) within the last ``minutes`` of ``as_of``."""
-    e = in_lookback(events, "event_time", as_of, f"{int(minutes)} minutes")
+    e = in_lookback(events, "event_time", as_of, f"{int(minutes)} minutes", date_col)
     if source is not None:
         e = e.where(F.col("source_identifier") == source)
     cats = F.col("categories") if "categories" in events.columns else F.array(F.col("category"))

@@ -81,3 +81,22 @@ def test_kv_prefix_pattern_reaches_the_scan(spark, tmp_dir):
     assert df.count() == counters.kv_like(stored, "innodb_buffer_pool%").count() > 0
     # no literal text before the first wildcard: nothing to push
     assert "StringStartsWith" not in _plan(counters.kv_like(stored, "%pool_size"))
+
+
+def test_lookback_prunes_date_partitions(spark, tmp_dir):
+    import datetime as dt
+    import os
+    from pyspark.sql import functions as F
+    from fleetspark.operators import timeseries as ts
+    from fleetspark.sources.fixtures import Fixtures
+    path = os.path.join(tmp_dir, "events_by_day")
+    ev = Fixtures(spark, SF_SMALL)["instance_events"]
+    ev.withColumn("event_date", F.to_date("event_time")).write.partitionBy("event_date").parquet(path)
+    stored = spark.read.parquet(path)
+    as_of = dt.datetime(2024, 1, 31)
+    pruned = ts.event_lookback(stored, as_of, 1440, date_col="event_date")
+    p = _plan(pruned)
+    assert "PartitionFilters: [isnotnull(event_date" in p and "event_date#" in p.split("PartitionFilters: [")[1]
+    plain = ts.event_lookback(ev, as_of, 1440)
+    assert pruned.count() == plain.count() > 0
+    assert pruned.exceptAll(plain.select(*pruned.columns)).count() == 0
