@@ -236,7 +236,10 @@ def chunk_size_advice(kv: DataFrame) -> DataFrame:
     # Both the candidate search and the join back read cfg: materialise it once
     # (one narrow row per snapshot) instead of pivoting the counters twice.
     cfg = checkpointed(cfg)
-    advice = best_chunks(cfg.select("pool", "instances").distinct())
+    # One row per distinct configuration: a third of all snapshots may share
+    # one, so the join back takes the size-checked broadcast rather than a
+    # shuffle join on a hot key.
+    advice = broadcast_lookup(best_chunks(cfg.select("pool", "instances").distinct()))
     out = cfg.join(advice, ["pool", "instances"], "left")
     aligned = (F.col("pool") % (F.col("instances") * F.col("chunk"))) == 0
     pct = F.col("chunk") * 100.0 / F.col("pool")
