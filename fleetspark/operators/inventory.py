@@ -164,7 +164,9 @@ def health_events(feed: DataFrame, details: DataFrame, service: str | None = Non
         f = f.where(F.col("service") == service)
     if status is not None:
         f = f.where(F.col("status") == status)
-    d = details.select("arn", "description")
+    # One description per event (the reference keeps a map by ARN); the
+    # aggregate's partitioning on arn is reused by the join.
+    d = details.groupBy("arn").agg(F.max("description").alias("description"))
     j = f.join(d, "arn", "left")
     return j.select("arn", "service", "status", _ts_text("start_time").alias("start_time"),
                     _s("description").alias("description"))
