@@ -165,3 +165,17 @@ def test_history_above_a_million_is_critical(spark):
                                  "instance_id string, snapshot_id long, status_text string")
     got = run_check(spark, "history_list_length", {1: {"uptime": "1"}}, status_text=text)
     assert got == {1: (1000001.0, "critical")}
+
+
+def test_fixture_classes_agree_with_the_class_table(spark):
+    from conftest import SF_SMALL
+    from fleetspark.sources.fixtures import Fixtures
+    from fleetspark.sources.lookups import INSTANCE_CLASS_MEMORY_MB, class_memory_table
+    assert len(INSTANCE_CLASS_MEMORY_MB) == 49
+    fx = Fixtures(spark, SF_SMALL)
+    for r in fx["class_memory"].collect():
+        assert INSTANCE_CLASS_MEMORY_MB[r["instance_class"]] == r["memory_mb"]
+    # the full table works as the lookup of the report (same rows for known classes)
+    full = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, class_memory_table(spark))
+    part = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, fx["class_memory"])
+    assert full.exceptAll(part).count() == 0 and part.exceptAll(full).count() == 0
