@@ -212,6 +212,22 @@ def health_report(kv: DataFrame, status_text: DataFrame, class_memory: DataFrame
                        F.count(F.lit(1)).over(w).alias("total_checks"))
 
 
+def threshold_text(check: Check) -> str:
+    """The rule list of a check as text, e.g. 'critical if < 90; warning if < 99; else ok'."""
+    parts = [f"{status} if {op} {bound:,}" for op, bound, status in check.rules]
+    return "; ".join(parts + ["else ok"])
+
+
+def describe_checks(rows: DataFrame) -> DataFrame:
+    """Add ``threshold`` (the rule list) and ``description`` (one line, own
+    wording) to check rows; a literal map by check name, no join."""
+    thr = F.create_map(*[x for c in CHECKS for x in (F.lit(c.name), F.lit(threshold_text(c)))])
+    th = F.try_element_at(thr, F.col("check_name"))
+    desc = F.format_string("%s is %.2f %s: %s (%s)", F.col("check_name"), F.col("value"), F.col("unit"),
+                           F.col("status"), th)
+    return rows.withColumn("threshold", th).withColumn("description", desc)
+
+
 # ---------------------------------------------------------------- H14
 
 MIB = 1048576

@@ -179,3 +179,11 @@ def test_fixture_classes_agree_with_the_class_table(spark):
     full = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, class_memory_table(spark))
     part = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, fx["class_memory"])
     assert full.exceptAll(part).count() == 0 and part.exceptAll(full).count() == 0
+
+
+def test_describe_checks(spark):
+    snaps = {1: {"innodb_buffer_pool_read_requests": "100", "innodb_buffer_pool_reads": "10"}}
+    rows = checks.health_check(kv_rows(spark, snaps), "innodb_buffer_pool_hit_rate")
+    r = checks.describe_checks(rows).collect()[0]
+    assert r["threshold"] == "critical if < 90; warning if < 99; else ok"
+    assert r["description"].startswith("innodb_buffer_pool_hit_rate is 90.00 %: warning")
