@@ -59,13 +59,30 @@ def with_fixtures(sql: str, fixtures) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+def _bindable(sql: str, deps) -> str:
+    """Fixture SQL with its table references as ``{name}`` placeholders.
+
+    ``spark.sql(text, **frames)`` binds each DataFrame under a private,
+    generated view name, so nothing is registered under the table names in
+    the caller's session.  Literal braces (JSON text in two fixtures) are
+    doubled first; only FROM / JOIN references to the fixture's own input
+    tables are rewritten (SQL text held as data, e.g. 'DELETE FROM b', is not).
+    """
+    text = sql.replace("{", "{{").replace("}", "}}")
+
+    def bind(m: re.Match) -> str:
+        name = m.group(1)
+        return m.group(0).replace(name, "{" + name + "}") if name in deps else m.group(0)
+
+    return _REF.sub(bind, text)
+
+
 class Fixtures:
     """Lazily built fixture DataFrames for one data folder.
 
-    ``fx["cat_tables"]`` runs the fixture SQL on temp views of the base tables.
-    Views are (re)registered right before each fixture is analysed, so several
-    ``Fixtures`` objects over different folders can be used one after another
-    in one session; an analysed DataFrame keeps its own plan.
+    ``fx["cat_tables"]`` runs the fixture SQL with its input tables bound as
+    DataFrames (no session-wide temp views), so several ``Fixtures`` objects
+    over different folders can live side by side in one session.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -76,9 +93,8 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         if name not in self._dfs:
             if name in FIXTURE_SQL:
-                for dep in fixture_deps(name):
-                    self.table(dep).createOrReplaceTempView(dep)
-                self._dfs[name] = self.spark.sql(FIXTURE_SQL[name])
+                deps = {dep: self.table(dep) for dep in fixture_deps(name)}
+                self._dfs[name] = self.spark.sql(_bindable(FIXTURE_SQL[name], deps), **deps)
             else:
                 self._dfs[name] = read_table(self.spark, self.sf_dir, name)
         return self._dfs[name]
