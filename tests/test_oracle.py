@@ -61,3 +61,14 @@ def test_entry_smoke(spark):
     assert df.columns == ["instance_id", "snapshot_id", "check_order", "check_name", "value", "unit", "status",
                           "total_checks"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["event_lookback", "pg_table_inventory", "log_file_inventory", "latest_metrics",
+                                 "metric_rollup", "secret_inventory"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, key):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    a = queries()[key](spark, SF_SMALL)
+    b = queries()[key](other, SF_SMALL)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0
