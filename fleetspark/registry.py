@@ -8,6 +8,7 @@ result out.  ``ORACLES`` (in ``oracles.py``) holds the DuckDB SQL for each key.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from .operators import activity, catalog, checks, counters, textops
 from .operators import inventory as inv
 from .operators import timeseries as ts
-from .sources.fixtures import Fixtures
+from .sources.fixtures import Fixtures, bindable_sql, fixture_deps
+from .sources.tables import BASE_TABLES
 from .streaming import alerts as _alerts
 from .streaming import metrics as _smetrics
 from .streaming.runner import run_available_now, scratch_path, stage_table
@@ -352,8 +354,19 @@ def q_config_key_audit(fx: Fixtures) -> DataFrame:
 
 
 def _stream_from(fx: Fixtures, name: str, key: str):
-    """Stage a fixture as parquet files under the checkpoint folder and open a
-    file stream on them (explicit schema, as a production stream would)."""
+    """A stream of a fixture table.
+
+    A fixture built directly on base tables is derived inside the stream: each
+    base table is read as a file stream (its file selected in the data folder
+    by ``pathGlobFilter``, explicit schema) and the fixture SQL is applied to
+    the streaming DataFrames, so nothing is copied.  Other fixtures are staged
+    as parquet files under the checkpoint folder first.
+    """
+    deps = fixture_deps(name)
+    if deps and all(d in BASE_TABLES for d in deps) and os.path.isdir(fx.sf_dir):
+        streams = {d: (fx.spark.readStream.schema(fx[d].schema).option("pathGlobFilter", f"{d}.parquet")
+                       .parquet(fx.sf_dir)) for d in deps}
+        return fx.spark.sql(bindable_sql(name, streams), **streams)
     df = fx[name]
     src = stage_table(df, scratch_path(fx.spark, key, "source"))
     return fx.spark.readStream.schema(df.schema).parquet(src)

@@ -77,6 +77,11 @@ def _bindable(sql: str, deps) -> str:
     return _REF.sub(bind, text)
 
 
+def bindable_sql(name: str, deps) -> str:
+    """The fixture's SQL ready for ``spark.sql(text, **frames)``."""
+    return _bindable(FIXTURE_SQL[name], deps)
+
+
 class Fixtures:
     """Lazily built fixture DataFrames for one data folder.
 
