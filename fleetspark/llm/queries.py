@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam
+from . import decontam, simhash
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op7_decontamination": op7_decontamination,
+    "op9_simhash": op9_simhash,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
