@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, simhash
+from . import decontam, licenses, pii, secrets, simhash
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read_table(spark, sf_dir, "documents"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -21,6 +33,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_pii": op2_pii,
+    "op5_secrets": op5_secrets,
+    "op6_licenses": op6_licenses,
     "op7_decontamination": op7_decontamination,
     "op9_simhash": op9_simhash,
 }
