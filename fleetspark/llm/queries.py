@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, licenses, pii, secrets, simhash
+from . import bpe, dac, decontam, langid, licenses, pii, secrets, simhash
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,21 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read_table(spark, sf_dir, "documents"))
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.digest(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op4_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -28,15 +43,26 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = langid.crc_split("doc_id", 3, 1)
+    model = langid.train(docs.filter(~held_out))
+    return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
+    "op3_token_codes": op3_token_codes,
+    "op4_word_bpe": op4_word_bpe,
     "op5_secrets": op5_secrets,
     "op6_licenses": op6_licenses,
     "op7_decontamination": op7_decontamination,
+    "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
 }
 
