@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, decontam, langid, licenses, pii, secrets, simhash
-from .common import read_table
+from . import bpe, dac, decontam, gru_lm, iblt, langid, licenses, pii, secrets, simhash
+from .common import crc_split, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read_table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    held_out = langid.crc_split("doc_id", 3, 1)
+    held_out = crc_split("doc_id", 3, 1)
     model = langid.train(docs.filter(~held_out))
     return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).select(
         "doc_id", "held_out", "lang_pred", "score")
@@ -55,7 +59,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score(read_table(spark, sf_dir, "documents"), crc_split("doc_id", 5, 1))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_pii": op2_pii,
     "op3_token_codes": op3_token_codes,
     "op4_word_bpe": op4_word_bpe,
@@ -64,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
+    "op10_language_model": op10_language_model,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
