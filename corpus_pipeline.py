@@ -1,20 +1,62 @@
-"""A training-data pipeline over ``documents``: each stage's rows are written as Parquet and read by the next."""
+"""A training-data pipeline over ``documents``: each stage's rows are written as Parquet and read by the next.
+
+Every stage but the last returns the columns of its input.  Null, empty and
+repeated rows are as the stage's operator defines them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetspark.llm import bpe, decontam, langid, pii, simhash
+from fleetspark.llm.common import quoted, read_table, shared_folder
+from fleetspark.llm.queries import vocabulary
+
+#: A text whose language is less certain than this is rejected.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep texts whose language is known; the model learns from the labelled rows of ``docs``."""
+    model = langid.train(docs)
+    kept = langid.predict(docs, model).filter(
+        (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[quoted(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: the smallest doc_id."""
+    return simhash.deduplicated(docs).select(*[quoted(c) for c in docs.columns])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    kept = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).filter(~F.col("contaminated"))
+    return kept.select(*[quoted(c) for c in docs.columns])
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that reveal it are taken out of the texts; no document goes."""
+    return pii.sanitised(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text."""
+    return bpe.digest(docs, vocabulary("word_bpe_49k.json"))
 
-from fleetspark.llm.common import read_table, shared_folder
 
-STAGES: list = []
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("personal_data", personal_data), ("tokens", tokens)]
 
+#: Fingerprints, the language model and word BPE have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    folder = shared_folder(spark, "pipeline")
     for name, stage in STAGES:
-        path = f"{shared_folder(spark, 'pipeline')}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
