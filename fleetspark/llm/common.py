@@ -79,8 +79,9 @@ def map_texts(df: DataFrame, fn: Callable[[list[bytes], pa.RecordBatch], Sequenc
     """
     made = {f.name for f in fields}
     keep = [c for c in (df.columns if keep is None else keep) if c not in made]
-    schema = T.StructType([T.StructField(c, df.schema[c].dataType, True) for c in keep] + fields)
     n_keep = len(keep)
+    # columns have plain names on the way: mapInArrow can't take dots in them
+    schema = T.StructType([T.StructField(f"k{i}", df.schema[c].dataType, True) for i, c in enumerate(keep)] + fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
@@ -92,7 +93,9 @@ def map_texts(df: DataFrame, fn: Callable[[list[bytes], pa.RecordBatch], Sequenc
                          for i, v in enumerate(got)]
                 yield pa.RecordBatch.from_arrays(cols, schema=out)
 
-    return df.select(*[quoted(c) for c in keep], quoted(text_col).alias("__text"), *extra).mapInArrow(run, schema)
+    given = [quoted(c).alias(f"k{i}") for i, c in enumerate(keep)] + [quoted(text_col).alias("text")]
+    given += [c.alias(f"x{i}") for i, c in enumerate(extra)]
+    return df.select(*given).mapInArrow(run, schema).toDF(*keep, *(f.name for f in fields))
 
 
 def row_keys(seen: int, n: int) -> np.ndarray:
