@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A plain decimal number with optional exponent.  Spark's cast also accepts
-# ' 5 ', '1d', 'Infinity'; a strict float parse refuses them, so guard first.
+# ' 5 ' and '1d', which aren't counters, so guard first; infinities are left out too.
 NUMERIC_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 

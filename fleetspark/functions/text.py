@@ -24,7 +24,7 @@ DEADLOCK_VICTIM = r"WE ROLL BACK TRANSACTION \((\d+)\)"
 TRX_ID_COUNTER = r"Trx id counter (\d+)"
 HISTORY_LENGTH = r"History list length (\d+)"
 FILE_IO_RATE = r"(\d+\.?\d*) reads/s, \d+ avg bytes/read, (\d+\.?\d*) writes/s, (\d+\.?\d*) log writes/s"
-LOG_SEQUENCE = r"Log sequence number (\d+)"
+LOG_SEQUENCE = r"Log sequence number\s+(\d+)"
 LOG_FLUSHED = r"Log flushed up to\s+(\d+)"
 LAST_CHECKPOINT = r"Last checkpoint at\s+(\d+)"
 BP_SIZE = r"Buffer pool size\s+(\d+)"
@@ -62,9 +62,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def to_bigint(digits: Column) -> Column:
+    """Digits -> BIGINT; a number above the range is its largest value; NULL if there are none."""
+    most = F.lit((1 << 63) - 1)
+    return F.when(digits != "", F.coalesce(digits.try_cast("bigint"), most))
+
+
 def extract_long(text, pattern: str, group: int = 1) -> Column:
-    """First match of ``pattern`` as BIGINT, 0 when absent."""
-    return F.coalesce(F.regexp_extract(_c(text), pattern, group).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """First match of ``pattern`` (a digit group) as BIGINT, 0 when absent."""
+    return F.coalesce(to_bigint(F.regexp_extract(_c(text), pattern, group)), F.lit(0).cast("bigint"))
 
 
 def extract_double(text, pattern: str, group: int = 1) -> Column:
@@ -73,15 +79,16 @@ def extract_double(text, pattern: str, group: int = 1) -> Column:
 
 
 def section_between(text, start: str, end: str) -> Column:
-    """Text after the first ``start`` up to the next ``end`` (exclusive).
+    """What stands between the first ``start`` and the next ``end`` after it.
 
-    '' when ``start`` is absent; to the end of the text when ``end`` is absent.
+    '' without ``start``; the rest of the text without ``end``.
     """
-    t = _c(text)
-    si = F.instr(t, start)
-    rest = F.when(si > 0, t.substr(si + F.lit(len(start)), F.length(t)))
-    ei = F.instr(rest, end)
-    return F.coalesce(F.when(ei > 0, rest.substr(F.lit(1), ei - 1)).otherwise(rest), F.lit(""))
+    after = F.split(_c(text), _literal(start), 2)
+    return F.coalesce(F.split(F.try_element_at(after, F.lit(2)), _literal(end), 2)[0], F.lit(""))
+
+
+def _literal(words: str) -> str:
+    return "\\Q" + words + "\\E"
 
 
 def fingerprint(sql) -> Column:
@@ -97,12 +104,15 @@ def fingerprint(sql) -> Column:
 
 
 def cut_bytes(text, n: int) -> Column:
-    """First ``n`` bytes of a text.
+    """The longest start of a text that has at most ``n`` bytes in UTF-8 and whole characters.
 
-    For ASCII text bytes and characters coincide.  Cutting UTF-8 at a byte can
-    split a character, so non-ASCII text is cut at ``n`` characters instead.
+    At most ``n`` characters can fit; of those as many are dropped as make the
+    rest fit, found over the ``n + 1`` possible lengths only for texts that are
+    too long in bytes.
     """
-    return F.left(_c(text), F.lit(n))
+    t = F.left(_c(text), F.lit(n))
+    fits = F.filter(F.sequence(F.lit(0), F.length(t)), lambda k: F.octet_length(F.left(t, k)) <= n)
+    return F.when(F.octet_length(t) <= n, t).otherwise(F.left(t, F.array_max(fits)))
 
 
 def first_match_in_lines(lines, pattern: str, literal: str) -> Column:

@@ -12,14 +12,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import counter, parse_double
-from ..functions.text import HISTORY_LENGTH
-from ..plans.joins import broadcast_lookup, lookup_map
-from ..plans.reuse import checkpointed
-from .counters import SNAPSHOT, pivot_counters
+from ..functions.numeric import parse_double
+from ..functions.text import HISTORY_LENGTH, to_bigint
+from ..plans.joins import one_per_key
+from .counters import SNAPSHOT, counter_name, pivot_counters
 
 # Counters (status and settings) the twelve checks read.
 CHECK_COUNTERS = [
@@ -132,26 +131,30 @@ def history_kv(status_text: DataFrame) -> DataFrame:
 
     Extracting before any shuffle shrinks each text to one number; the row is
     then unioned into the counter table so the checks need one pivot, no join.
-    Go parses the captured digits as int64; the BIGINT cast keeps that.
+    The digits are read as a 64-bit integer; larger numbers are its largest value.
     """
-    h = F.regexp_extract("status_text", HISTORY_LENGTH, 1).try_cast("bigint").cast("double")
+    h = to_bigint(F.regexp_extract("status_text", HISTORY_LENGTH, 1)).cast("double")
     return (status_text.select(*SNAPSHOT, h.alias("value"))
             .where(F.col("value").isNotNull())
             .select(*SNAPSHOT, F.lit(ENGINE_HISTORY).alias("name"), "value"))
 
 
+def class_memory_lookup(class_memory: DataFrame) -> DataFrame:
+    """One row per instance class; of a repeated class the largest memory."""
+    return one_per_key(class_memory.select("instance_class", F.col("memory_mb").cast("double").alias("memory_mb")),
+                       "instance_class")
+
+
 def memory_kv(kv: DataFrame, class_memory: DataFrame) -> DataFrame:
     """Memory (MB) of each snapshot's instance class as a numeric counter row.
 
-    The class text is resolved against the size-checked broadcast lookup
-    before the pivot, so the pivot aggregates numbers only.  Unknown classes
-    give no row (and so no H2 check).
+    The class text is resolved before the pivot, so the pivot aggregates
+    numbers only.  Unknown classes give no row (and so no H2 check).  The join
+    is left to Spark, which broadcasts a lookup that is small in bytes.
     """
-    mem = class_memory.select(F.col("instance_class").alias("value"),
-                              F.col("memory_mb").cast("double").alias("memory_mb"))
-    cls = kv.where(F.col("name") == "instance_class").select(*SNAPSHOT, "value")
-    return cls.join(broadcast_lookup(mem), "value").select(*SNAPSHOT, F.lit("memory_mb").alias("name"),
-                                                            F.col("memory_mb").alias("value"))
+    mem = class_memory_lookup(class_memory).withColumnRenamed("instance_class", "value")
+    cls = kv.where(counter_name() == "instance_class").select(*SNAPSHOT, "value")
+    return cls.join(mem, "value").select(*SNAPSHOT, F.lit("memory_mb").alias("name"), F.col("memory_mb").alias("value"))
 
 
 def snapshot_counters(kv: DataFrame, status_text: DataFrame | None = None,
@@ -161,33 +164,40 @@ def snapshot_counters(kv: DataFrame, status_text: DataFrame | None = None,
     ``names`` limits the pivot to the counters the wanted checks read.
     """
     names = list(CHECK_COUNTERS if names is None else names)
-    mem_map = None
+    long = kv.where(counter_name().isin(*names)).select(*SNAPSHOT, "name", parse_double("value").alias("value"))
     if class_memory is not None:
-        mem_map = lookup_map(class_memory.select("instance_class", F.col("memory_mb").cast("double")),
-                             "instance_class", "memory_mb")
-    if mem_map is not None:
-        # One pass over the counters: the class row becomes a numeric memory_mb row.
-        is_cls = F.col("name") == "instance_class"
-        long = kv.where(F.col("name").isin(*names, "instance_class")).select(
-            *SNAPSHOT, F.when(is_cls, F.lit("memory_mb")).otherwise(F.col("name")).alias("name"),
-            F.when(is_cls, F.try_element_at(mem_map, F.col("value"))).otherwise(parse_double("value")).alias("value"))
-    else:
-        long = kv.where(F.col("name").isin(*names)).select(*SNAPSHOT, "name", parse_double("value").alias("value"))
-        if class_memory is not None:
-            long = long.unionByName(memory_kv(kv, class_memory))
+        long = long.unionByName(memory_kv(kv, class_memory))
     if status_text is not None:
         long = long.unionByName(history_kv(status_text))
     return pivot_counters(long, names, [ENGINE_HISTORY, "memory_mb"])
 
 
+def threshold_text(check: Check) -> str:
+    """The rule list of a check as text, e.g. 'critical if < 90; warning if < 99; else ok'."""
+    parts = [f"{status} if {op} {bound:,}" for op, bound, status in check.rules]
+    return "; ".join(parts + ["else ok"])
+
+
+def check_structs(checks=CHECKS) -> Column:
+    """The checks that apply to a wide snapshot row, as an array in the reference's order."""
+    structs = []
+    for c in checks:
+        v, status = c.value().cast("double"), classify(c.value(), c.rules)
+        structs.append(F.struct(
+            F.lit(c.order).alias("check_order"), F.lit(c.name).alias("check_name"), v.alias("value"),
+            F.lit(c.unit).alias("unit"), status.alias("status"), F.lit(threshold_text(c)).alias("threshold"),
+            F.concat(F.lit(f"{c.name} ({c.unit}): "), status, F.lit(f" ({threshold_text(c)})")).alias("description")))
+    return F.filter(F.array(*structs), lambda x: x["value"].isNotNull())
+
+
 def check_rows(wide: DataFrame, checks=CHECKS) -> DataFrame:
-    """Explode the per-snapshot check values to one row per (snapshot, check)."""
-    structs = [F.struct(F.lit(c.order).alias("check_order"), F.lit(c.name).alias("check_name"),
-                        c.value().cast("double").alias("value"), F.lit(c.unit).alias("unit"),
-                        classify(c.value(), c.rules).alias("status"))
-               for c in checks]
-    return (wide.select(*SNAPSHOT, F.inline(F.array(*structs)))
-            .where(F.col("value").isNotNull()))
+    """One row per (snapshot, check) that applies, with the number of them per
+    snapshot (``total_checks``), counted before the rows are spread."""
+    found = wide.select(*SNAPSHOT, check_structs(checks).alias("found"))
+    return found.select(*SNAPSHOT, F.size("found").cast("bigint").alias("total_checks"), F.inline("found"))
+
+
+CHECK_COLUMNS = ("check_name", "value", "unit", "status", "threshold", "description")
 
 
 def health_check(kv: DataFrame, name: str, status_text: DataFrame | None = None,
@@ -197,41 +207,18 @@ def health_check(kv: DataFrame, name: str, status_text: DataFrame | None = None,
     c = CHECK_BY_KEY[name]
     wide = snapshot_counters(kv, status_text if c.order == 6 else None,
                              class_memory if c.order == 2 else None, CHECK_INPUTS[c.name])
-    return check_rows(wide, [c]).select(*SNAPSHOT, "check_name", "value", "unit", "status")
+    return check_rows(wide, [c]).select(*SNAPSHOT, *CHECK_COLUMNS)
 
 
 def health_report(kv: DataFrame, status_text: DataFrame, class_memory: DataFrame) -> DataFrame:
-    """All twelve checks in the reference's order plus the total per snapshot.
-
-    The count window is partitioned by the pivot's own keys, so it reuses the
-    pivot's partitioning (no extra exchange).
-    """
+    """All twelve checks in the reference's order plus the total per snapshot."""
     rows = check_rows(snapshot_counters(kv, status_text, class_memory))
-    w = Window.partitionBy(*SNAPSHOT)
-    return rows.select(*SNAPSHOT, "check_order", "check_name", "value", "unit", "status",
-                       F.count(F.lit(1)).over(w).alias("total_checks"))
-
-
-def threshold_text(check: Check) -> str:
-    """The rule list of a check as text, e.g. 'critical if < 90; warning if < 99; else ok'."""
-    parts = [f"{status} if {op} {bound:,}" for op, bound, status in check.rules]
-    return "; ".join(parts + ["else ok"])
-
-
-def describe_checks(rows: DataFrame) -> DataFrame:
-    """Add ``threshold`` (the rule list) and ``description`` (one line, own
-    wording) to check rows; a literal map by check name, no join."""
-    thr = F.create_map(*[x for c in CHECKS for x in (F.lit(c.name), F.lit(threshold_text(c)))])
-    th = F.try_element_at(thr, F.col("check_name"))
-    desc = F.format_string("%s is %.2f %s: %s (%s)", F.col("check_name"), F.col("value"), F.col("unit"),
-                           F.col("status"), th)
-    return rows.withColumn("threshold", th).withColumn("description", desc)
+    return rows.select(*SNAPSHOT, "check_order", *CHECK_COLUMNS, "total_checks")
 
 
 # ---------------------------------------------------------------- H14
 
 MIB = 1048576
-MAX_DIVISOR = 10_000        # fixed value: candidate divisors 1..10000
 
 
 def chunk_size_advice(kv: DataFrame) -> DataFrame:
@@ -240,8 +227,8 @@ def chunk_size_advice(kv: DataFrame) -> DataFrame:
     Status: not aligned (pool mod (instances x chunk) <> 0) -> warning; chunk
     below 2 % of pool -> warning; above 5 % -> warning; else ok (no advice).
     The advice is searched once per *distinct* (pool, instances) pair:
-    n in 1..10000, chunk = pool / instances / n must be whole and a multiple of
-    1 MiB; prefer 2-5 % of pool, then nearest to 3.5 %, then the smaller n.
+    chunk = pool / instances / n must be whole and a multiple of 1 MiB, for any
+    whole n; prefer 2-5 % of pool, then nearest to 3.5 %, then the smaller n.
     All arithmetic is exact in integers.
     """
     names = ["innodb_buffer_pool_size", "innodb_buffer_pool_instances", "innodb_buffer_pool_chunk_size"]
@@ -249,14 +236,7 @@ def chunk_size_advice(kv: DataFrame) -> DataFrame:
     cfg = (wide.select(*SNAPSHOT, F.col(names[0]).alias("pool"), F.col(names[1]).alias("instances"),
                        F.col(names[2]).alias("chunk"))
            .where((F.col("pool") != 0) & (F.col("instances") != 0) & (F.col("chunk") != 0)))
-    # Both the candidate search and the join back read cfg: materialise it once
-    # (one narrow row per snapshot) instead of pivoting the counters twice.
-    cfg = checkpointed(cfg)
-    # One row per distinct configuration: a third of all snapshots may share
-    # one, so the join back takes the size-checked broadcast rather than a
-    # shuffle join on a hot key.
-    advice = broadcast_lookup(best_chunks(cfg.select("pool", "instances").distinct()))
-    out = cfg.join(advice, ["pool", "instances"], "left")
+    out = cfg.join(best_chunks(cfg.select("pool", "instances").distinct()), ["pool", "instances"], "left")
     aligned = (F.col("pool") % (F.col("instances") * F.col("chunk"))) == 0
     pct = F.col("chunk") * 100.0 / F.col("pool")
     status = (F.when(~aligned, F.lit("not_aligned")).when(pct < 2, F.lit("too_small"))
@@ -281,20 +261,23 @@ def chunk_size_advice(kv: DataFrame) -> DataFrame:
 
 def best_chunks(pairs: DataFrame) -> DataFrame:
     """Best chunk per distinct (pool, instances) that has a candidate; pairs
-    without one get no row (a left join back gives them NULL)."""
-    p = pairs.select("pool", "instances",
-                     F.col("pool").cast("bigint").alias("p"), F.col("instances").cast("bigint").alias("i"))
-    # pool/instances must be whole (only then can pool/instances/n be whole).
-    cand = (p.where((F.col("p") % F.col("i")) == 0)
-            .select("pool", "instances", "p", F.expr("p div i").alias("ppi"),
-                    F.explode(F.sequence(F.lit(1), F.lit(MAX_DIVISOR))).alias("n"))
-            .where((F.col("ppi") % F.col("n")) == 0)
-            .select("pool", "instances", "p", "n", F.expr("ppi div n").alias("c"))
-            .where((F.col("c") % MIB) == 0))
-    in_range = (F.col("c") * 100 >= F.col("p") * 2) & (F.col("c") * 100 <= F.col("p") * 5)
-    dist = F.abs(F.col("c") * 1000 - F.col("p") * 35)      # |chunk - 3.5 % of pool| x 1000
-    key = F.struct((~in_range).alias("out_of_range"), dist.alias("dist"), F.col("n").alias("n"))
-    return cand.groupBy("pool", "instances").agg(F.min_by("c", key).alias("best_chunk"))
+    without one get no row (a left join back gives them NULL).
+
+    With q = pool / instances in MiB (a whole number, or there is no
+    candidate), n and the chunk in MiB are a pair of divisors of q.  One of
+    them is at most the root of q, so the divisors up to it and their partners
+    are all there are.
+    """
+    whole = "p % (i * 1048576) = 0"
+    p = (pairs.select("pool", "instances", F.col("pool").cast("bigint").alias("p"), F.col("instances").cast("bigint").alias("i"))
+         .where(whole).withColumn("q", F.expr(f"p div (i * {MIB})")))
+    low = p.withColumn("low", F.expr("filter(sequence(1L, cast(floor(sqrt(q)) as bigint)), d -> q % d = 0)"))
+    # the root may be rounded; a divisor that is met from both sides does no harm
+    both = low.withColumn("n", F.expr("concat(low, transform(low, d -> q div d))"))
+    chunk = f"(q div x) * {MIB}"
+    key = (f"struct(not({chunk} * 100 between p * 2 and p * 5) as out_of_range, abs({chunk} * 1000 - p * 35) as dist,"
+           f" x as n, {chunk} as c)")
+    return both.select("pool", "instances", F.expr(f"array_min(transform(n, x -> {key})).c").alias("best_chunk"))
 
 
 # ---------------------------------------------------------------- H15
@@ -303,15 +286,12 @@ def best_chunks(pairs: DataFrame) -> DataFrame:
 def variable_rules(kv: DataFrame, rules: DataFrame) -> DataFrame:
     """User rules (name, op, bound, severity) checked against settings.
 
-    The rules table is small and size-checked before it is broadcast.  A
-    setting that is missing or not numeric matches no rule.
+    Names are matched ignoring case.  A setting that is missing or not numeric
+    matches no rule.  The join is left to Spark (a small rules table is broadcast).
     """
-    from ..functions.numeric import parse_double
-
-    r = broadcast_lookup(rules.select("rule_id", "name", "op", F.col("bound").cast("double").alias("bound"),
-                                      "severity"))
+    r = rules.select("rule_id", counter_name().alias("rule_name"), "op", F.col("bound").cast("double").alias("bound"), "severity")
     s = kv.where(F.col("scope") == "variables").select(*SNAPSHOT, "name", parse_double("value").alias("num"))
-    j = s.join(r, "name")
+    j = s.join(r, counter_name() == F.col("rule_name"))
     v, b, op = F.col("num"), F.col("bound"), F.col("op")
     hit = (F.when(op == "<", v < b).when(op == "<=", v <= b).when(op == "=", v == b)
            .when(op == ">=", v >= b).when(op == ">", v > b).otherwise(F.lit(False)))

@@ -6,9 +6,7 @@ Long form: ``(instance_id, snapshot_id, captured_at, scope, name, value STRING)`
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import parse_double
@@ -16,33 +14,23 @@ from ..functions.numeric import parse_double
 SNAPSHOT = ("instance_id", "snapshot_id")
 
 
-def normalize_counter_names(kv: DataFrame) -> DataFrame:
-    """Lower-case counter and setting names (servers compare them ignoring
-    case).  The long table is expected in this form; do it once at ingestion."""
-    return kv.withColumn("name", F.lower("name"))
-
-
-_LITERAL_PREFIX = re.compile(r"^[^%_\\]*")
+def counter_name(c: str = "name") -> Column:
+    """A counter's or setting's name for comparisons: servers report status
+    names capitalised (``Threads_connected``) and compare all names ignoring case."""
+    return F.lower(F.col(c))
 
 
 def kv_like(kv: DataFrame, pattern: str | None = None, scope: str | None = None) -> DataFrame:
     """Counters whose name matches a LIKE pattern (case-insensitive); None/'' = all.
 
-    Adds ``n_matched``, the number of matching names per snapshot.  Every
-    match starts with the pattern's text before its first wildcard, so that
-    text (lower-cased, as names are stored) is also required with
-    ``startswith``, which reaches a parquet scan of the long table as a pushed
-    StringStartsWith filter; the LIKE itself still decides.
+    Names come back as the server wrote them.  Adds ``n_matched``, the number
+    of matching names per snapshot.
     """
     out = kv
     if scope:
         out = out.where(F.col("scope") == scope)
     if pattern:
-        cond = F.col("name").ilike(pattern)
-        prefix = _LITERAL_PREFIX.match(pattern).group(0)
-        if prefix:
-            cond = F.col("name").startswith(prefix.lower()) & cond
-        out = out.where(cond)
+        out = out.where(F.col("name").ilike(pattern))
     w = Window.partitionBy(*SNAPSHOT)
     return out.select(*SNAPSHOT, "scope", "name", "value", F.count(F.lit(1)).over(w).alias("n_matched"))
 
@@ -61,11 +49,12 @@ def pivot_counters(kv: DataFrame, numeric: list[str], nullable: list[str] = ())
     aggregate a hash aggregate with map-side partials (a pivot over text
     values falls back to a sort-based aggregate).  ``numeric`` columns read 0
     when missing or non-numeric, as the checks expect; ``nullable`` columns
-    stay NULL when missing.  One shuffle on (instance_id, snapshot_id).
+    stay NULL when missing.  Names are matched ignoring case.  One shuffle on
+    (instance_id, snapshot_id).
     """
     names = list(numeric) + list(nullable)
-    num = kv.where(F.col("name").isin(*names)).select(
-        *SNAPSHOT, "name", (F.col("value") if dict(kv.dtypes)["value"] == "double"
+    num = kv.where(counter_name().isin(*names)).select(
+        *SNAPSHOT, counter_name().alias("name"), (F.col("value") if dict(kv.dtypes)["value"] == "double"
                             else parse_double("value")).alias("v"))
     wide = num.groupBy(*SNAPSHOT).agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in names])
     return wide.select(*SNAPSHOT, *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in numeric],

@@ -1,23 +1,20 @@
-"""Join helpers that keep the physical plan safe at fleet scale."""
+"""Join helpers that keep the physical plan safe at fleet scale.
+
+No side is hinted: Spark broadcasts a side whose size in bytes it knows to be
+small (``spark.sql.autoBroadcastJoinThreshold``, also at run time under AQE),
+and splits skewed partitions of the joins that it shuffles.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookup tables (instance classes, collations, roles, rules ...) are tiny by
-# nature; this bound is the proof obligation for hinting a broadcast.
-LOOKUP_MAX_ROWS = 100_000
-
 
-def broadcast_lookup(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the lookup's row count.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the side is
-    returned unhinted and Spark/AQE pick a shuffle join from runtime sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
+    """A lookup with one row per key (the largest value of each other column),
+    so that a repeated key can't multiply the rows joined to it."""
+    return lookup.groupBy(key).agg(*[F.max(c).alias(c) for c in lookup.columns if c != key])
 
 
 def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -30,22 +27,3 @@ def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return df.join(counts, list(keys), "left")
-
-
-LOOKUP_MAP_MAX_ROWS = 10_000
-
-
-def lookup_map(df: DataFrame, key: str, value: str, max_rows: int = LOOKUP_MAP_MAX_ROWS):
-    """A small lookup as a map literal Column, or None above ``max_rows``.
-
-    Resolving a key with ``try_element_at(map, key)`` inside the same
-    projection needs no join, so the consuming table is read in one pass.
-    The lookup is read on the driver only after its size is checked (at most
-    ``max_rows + 1`` rows are fetched), like a broadcast would be.
-    """
-    rows = df.select(key, value).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    if not rows:
-        return F.create_map().cast(f"map<string,{dict(df.dtypes)[value]}>")
-    return F.create_map(*[F.lit(x) for r in rows for x in (r[0], r[1])])

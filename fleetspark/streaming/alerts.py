@@ -1,7 +1,8 @@
 """Health checks on a stream of wide counter snapshots; non-ok rows out.
 
-Stateless (one projection; the instance-class lookup is a map literal or a
-stream-static broadcast join), so it runs in append mode without a watermark.
+Stateless (one projection and a stream-static join with the instance-class
+lookup, which is read anew for every batch), so it runs in append mode without
+a watermark.
 """
 
 from __future__ import annotations
@@ -10,33 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import counter
-from ..operators.checks import CHECK_COUNTERS, ENGINE_HISTORY, check_rows
-from ..plans.joins import broadcast_lookup, lookup_map
+from ..operators.checks import CHECK_COUNTERS, ENGINE_HISTORY, check_rows, class_memory_lookup
 
 
 def wide_snapshot_counters(snapshots: DataFrame, class_memory: DataFrame) -> DataFrame:
     """Wide snapshot rows (one column per counter) -> the check input frame.
 
     Numeric columns convert straight to DOUBLE (the same value as their text
-    parsed); text columns go through the strict parse.  The class lookup is a
-    map literal when small (no join in the stream), else a size-checked
-    stream-static broadcast join.
+    parsed); text columns go through the strict parse.
     """
     types = dict(snapshots.dtypes)
     numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
     cols = [(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if types.get(c) in numeric
              else counter(F.col(c).cast("string"))).alias(c) for c in CHECK_COUNTERS]
     hist = F.col("history_list_length").cast("bigint").cast("double").alias(ENGINE_HISTORY)
-    mem = class_memory.select("instance_class", F.col("memory_mb").cast("double").alias("memory_mb"))
-    m = lookup_map(mem, "instance_class", "memory_mb")
-    if m is not None:
-        return snapshots.select("instance_id", "snapshot_id", *cols, hist,
-                                F.try_element_at(m, F.col("instance_class")).alias("memory_mb"))
     w = snapshots.select("instance_id", "snapshot_id", "instance_class", *cols, hist)
-    return w.join(broadcast_lookup(mem), "instance_class", "left")
+    return w.join(class_memory_lookup(class_memory), "instance_class", "left")
 
 
 def health_alerts_stream(snapshots: DataFrame, class_memory: DataFrame) -> DataFrame:
     """Checks H1-H12 for every arriving snapshot; only warning / critical rows."""
     rows = check_rows(wide_snapshot_counters(snapshots, class_memory))
-    return rows.where(F.col("status") != "ok")
+    return rows.where(F.col("status") != "ok").drop("total_checks")

@@ -181,9 +181,25 @@ def test_fixture_classes_agree_with_the_class_table(spark):
     assert full.exceptAll(part).count() == 0 and part.exceptAll(full).count() == 0
 
 
-def test_describe_checks(spark):
+def test_checks_say_their_threshold(spark):
     snaps = {1: {"innodb_buffer_pool_read_requests": "100", "innodb_buffer_pool_reads": "10"}}
-    rows = checks.health_check(kv_rows(spark, snaps), "innodb_buffer_pool_hit_rate")
-    r = checks.describe_checks(rows).collect()[0]
+    r = checks.health_check(kv_rows(spark, snaps), "innodb_buffer_pool_hit_rate").collect()[0]
     assert r["threshold"] == "critical if < 90; warning if < 99; else ok"
-    assert r["description"].startswith("innodb_buffer_pool_hit_rate is 90.00 %: warning")
+    assert r["description"] == "innodb_buffer_pool_hit_rate (%): warning (critical if < 90; warning if < 99; else ok)"
+
+
+def test_names_as_servers_write_them(spark):
+    """Threads_connected 90 of 100 is critical, whatever the case of the names."""
+    from fleetspark.operators import checks
+    for names in (("Threads_connected", "max_connections"), ("threads_connected", "MAX_CONNECTIONS")):
+        kv = spark.createDataFrame([("i", 1, "status", names[0], "90"), ("i", 1, "variables", names[1], "100")],
+                                   "instance_id string, snapshot_id long, scope string, name string, value string")
+        r = checks.health_check(kv, "max_connections_usage").first()
+        assert (r["value"], r["status"], r["threshold"]) == (90.0, "critical", "critical if > 80; warning if > 70; else ok")
+
+
+def test_history_length_above_a_long_is_critical(spark):
+    from fleetspark.operators import checks
+    text = spark.createDataFrame([("i", 1, "History list length 99999999999999999999")], "instance_id string, snapshot_id long, status_text string")
+    kv = spark.createDataFrame([], "instance_id string, snapshot_id long, scope string, name string, value string")
+    assert checks.health_check(kv, "history_list_length", text).first()["status"] == "critical"

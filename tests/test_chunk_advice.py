@@ -10,14 +10,14 @@ from fleetspark.sources.fixtures import Fixtures
 
 
 def loop_best(pool: float, instances: float) -> float:
-    """The advice rule as a plain loop: n in 1..10000, whole chunk that is a
+    """The advice rule as a plain loop: any whole n, whole chunk that is a
     multiple of 1 MiB; prefer 2-5 % of pool, then nearest to 3.5 %, first n wins."""
     one_mb = 1024.0 * 1024.0
     per = pool / instances
     target = pool * 0.035
     best_in, best_out = 0.0, 0.0
     d_in, d_out = math.inf, math.inf
-    for n in range(1, 10001):
+    for n in range(1, int(per / one_mb) + 1):
         if math.fmod(per, n) != 0:
             continue
         chunk = per / n
@@ -69,3 +69,11 @@ def test_advice_status_rules(spark):
     assert out[2]["recommended_chunk_bytes"] is None      # 4 GiB / 3 is not whole: no candidate
     assert out[3]["finding"] == "too_small"
     assert out[3]["recommended_chunk_bytes"] == int(loop_best(8 * 2**30, 1))
+
+
+def test_only_large_divisors(spark):
+    """A pool whose MiB per instance is a large prime times two: its divisors lie far apart."""
+    q = 2 * 15485863
+    df = spark.createDataFrame([(float(q * 2**20), 1.0)], "pool double, instances double")
+    best = checks.best_chunks(df).first()["best_chunk"]
+    assert best == q // 15485863 * 2**20 or best == min((q, q // 2, 2, 1), key=lambda c: (abs(c * 1000 - q * 35), q // c)) * 2**20
