@@ -7,20 +7,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import cut_bytes
-
-STATEMENT_CUT = 500        # fixed value: bytes of statement text kept
-
+from ..plans.percentile import exact_percentiles
 
 def _s(c: str):
     return F.coalesce(F.col(c), F.lit(""))
 
 
-def _visible_processes(procs: DataFrame) -> DataFrame:
-    """Process rows without the probe's own connection, text NULL -> '', cut statement."""
+def _visible_processes(procs: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Process rows without the probe's own connection, text NULL -> ''."""
+    info = _s("info") if max_bytes is None else cut_bytes(_s("info"), max_bytes)
     return procs.where(~F.coalesce(F.col("is_own_connection"), F.lit(False))).select(
         "instance_id", "id", F.col("user_name").alias("user"), "host", _s("db").alias("db"), "command",
         F.col("time_sec").alias("time"), _s("state").alias("state"),
-        cut_bytes(_s("info"), STATEMENT_CUT).alias("info"))
+        info.alias("info"))
 
 
 def _keep(include_idle: bool, min_time_sec: int, include_no_statement: bool):
@@ -35,10 +34,10 @@ def _keep(include_idle: bool, min_time_sec: int, include_no_statement: bool):
 
 
 def active_processes(procs: DataFrame, include_idle: bool = False, min_time_sec: int = 0,
-                     include_no_statement: bool = False) -> DataFrame:
-    """Running statements with the reference's filter rules; statement
-    text cut to 500 bytes (characters for non-ASCII text)."""
-    return _visible_processes(procs).where(_keep(include_idle, min_time_sec, include_no_statement))
+                     include_no_statement: bool = False, max_bytes: int | None = None) -> DataFrame:
+    """Running statements with the reference's filter rules; the whole
+    statement, or with ``max_bytes`` its first bytes up to a whole character."""
+    return _visible_processes(procs, max_bytes).where(_keep(include_idle, min_time_sec, include_no_statement))
 
 
 def process_counts(procs: DataFrame, include_idle: bool = False, min_time_sec: int = 0,
@@ -62,24 +61,31 @@ def long_running_ops(ops: DataFrame, min_secs: int = 0) -> DataFrame:
         F.col("descr").alias("desc"))
 
 
-def process_statement_history(threads: DataFrame, hist: DataFrame, process_id: int | None = None) -> DataFrame:
+def process_statement_history(threads: DataFrame, hist: DataFrame, process_id: int | None = None,
+                              sort: bool = False) -> DataFrame:
     """Statement history of connections (threads joined to history on the
-    thread); duration ms = timer / 10^9; NULL text -> ''; ordered by start."""
+    thread) with the connection itself; duration ms = timer / 10^9; NULL text
+    -> ''; ``sort`` orders by start."""
     th = threads.where(F.col("processlist_id").isNotNull())
     if process_id is not None:
         th = th.where(F.col("processlist_id") == process_id)
+    th = th.select("instance_id", "thread_id", "processlist_id", _s("user_name").alias("user"), _s("host").alias("host"),
+                   _s("db").alias("db"), _s("command").alias("command"), F.coalesce("time_sec", F.lit(0)).alias("time"),
+                   _s("state").alias("state"), _s("info").alias("info"))
     j = th.join(hist, ["instance_id", "thread_id"])
-    return j.select("instance_id", "processlist_id", "thread_id", "timer_start",
-                    _s("sql_text").alias("sql_text"),
-                    (F.col("timer_wait") / F.lit(1e9)).alias("duration_ms"),
-                    "rows_affected", "rows_sent", "rows_examined", "errors").orderBy(
-        "instance_id", "processlist_id", "timer_start")
+    out = j.select("instance_id", "processlist_id", "user", "host", "db", "command", "time", "state", "info", "thread_id",
+                   "timer_start", _s("sql_text").alias("sql_text"), (F.col("timer_wait") / F.lit(1e9)).alias("duration_ms"),
+                   "rows_affected", "rows_sent", "rows_examined", "errors")
+    return out.orderBy("instance_id", "processlist_id", "timer_start") if sort else out
 
 
 def plan_rows_clean(plans: DataFrame) -> DataFrame:
     """Captured plan rows with NULL text -> ''."""
     return plans.select("instance_id", "database_name", "id", "select_type", _s("table_name").alias("table"),
-                        "access_type", _s("used_key").alias("key"), F.col("est_rows").alias("rows"))
+                        _s("partitions").alias("partitions"), "access_type", _s("possible_keys").alias("possible_keys"),
+                        _s("used_key").alias("key"), _s("key_len").alias("key_len"), _s("ref").alias("ref"),
+                        F.col("est_rows").alias("rows"), F.coalesce(F.col("filtered").cast("double"), F.lit(0.0)).alias("filtered"),
+                        _s("extra").alias("extra"))
 
 
 def unused_indexes(index_columns: DataFrame, plans: DataFrame, database: str | None = None,
@@ -103,9 +109,9 @@ def unused_indexes(index_columns: DataFrame, plans: DataFrame, database: str | N
 def probe_summary(probes: DataFrame) -> DataFrame:
     """Per instance probes, success rate, and p50 / p95 latency of the
     successful probes (failures log 0 and do not count; NULL if none)."""
-    ok_lat = F.when(F.col("success"), F.col("latency_ms"))
-    return probes.groupBy("instance_id").agg(
+    totals = probes.groupBy("instance_id").agg(
         F.count(F.lit(1)).alias("probes"),
-        (F.count_if(F.col("success")) / F.count(F.lit(1))).alias("success_rate"),
-        F.round(F.percentile(ok_lat, 0.5), 3).alias("p50_ms"),
-        F.round(F.percentile(ok_lat, 0.95), 3).alias("p95_ms"))
+        (F.count_if(F.col("success")) / F.count(F.lit(1))).alias("success_rate"))
+    lat = exact_percentiles(probes.where("success"), ["instance_id"], "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95})
+    return totals.join(lat, "instance_id", "left").select(
+        "instance_id", "probes", "success_rate", F.round("p50_ms", 3).alias("p50_ms"), F.round("p95_ms", 3).alias("p95_ms"))

@@ -3,9 +3,10 @@
 MySQL-style catalog: P1, J1, A1, A2, A3, A4, A6, J4, J5, J10.
 PostgreSQL catalog: J2, J3.  Document store: J9, P10.
 
-Every join is on the instance plus the catalog key, so a fleet-wide run is one
-job.  Lookups (collations, namespaces, roles, access methods) are broadcast
-behind a row-count check; everything else is left to AQE.
+Every join is on the instance plus the catalog key (collations, which are the
+same everywhere, on their name), so a fleet-wide run is one job.  Join
+strategies are left to Spark's sizes in bytes.  Rows come unordered;
+``sort=True`` gives the report order, a range shuffle of the whole fleet.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mb
-from ..plans.joins import broadcast_lookup
+from ..plans.joins import one_per_key
 
 SYSTEM_SCHEMAS = ("mysql", "information_schema", "performance_schema", "sys")   # fixed values
 PG_SYSTEM_SCHEMAS = ("pg_catalog", "information_schema", "pg_toast")              # fixed values
@@ -26,6 +27,11 @@ def _s(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def _ts_text(c: str) -> Column:
+    """A time as text, '' if there is none."""
+    return F.coalesce(F.date_format(F.col(c), RFC3339), F.lit(""))
+
+
 def _ordered(df: DataFrame, sort: bool, *keys) -> DataFrame:
     """Report order (a range shuffle) only when asked; inventories that feed
     an aggregate skip it."""
@@ -40,7 +46,7 @@ def _unsigned(c: str) -> Column:
 
 
 def column_catalog(cols: DataFrame, schema: str | None = None, table: str | None = None,
-                   sort: bool = True) -> DataFrame:
+                   sort: bool = False) -> DataFrame:
     """Columns of tables in ordinal order, NULL text -> '', flags parsed."""
     out = cols
     if schema is not None:
@@ -61,15 +67,15 @@ def column_catalog(cols: DataFrame, schema: str | None = None, table: str | None
 
 
 def table_inventory(tables: DataFrame, collations: DataFrame, schema: str | None = None,
-                    sort: bool = True) -> DataFrame:
+                    sort: bool = False) -> DataFrame:
     """Base tables with charset (via the collation lookup), sizes in MB
     (2 places), fragmentation % (1 place, NULL when all sizes are NULL/0),
     ordered by total size descending per instance."""
     t = tables.where(F.col("table_type") == "BASE TABLE")
     if schema is not None:
         t = t.where(F.col("table_schema") == schema)
-    coll = broadcast_lookup(collations.select(F.col("collation_name").alias("table_collation"),
-                                              "character_set_name"))
+    coll = one_per_key(collations.select(F.col("collation_name").alias("table_collation"), "character_set_name"),
+                       "table_collation")
     j = t.join(coll, "table_collation", "left")
     di = F.col("data_length") + F.col("index_length")
     frag = F.round(F.coalesce(F.col("data_free"), F.lit(0)) / F.nullif(di + F.col("data_free"), F.lit(0)) * 100, 1)
@@ -85,6 +91,7 @@ def table_inventory(tables: DataFrame, collations: DataFrame, schema: str | None
         frag.alias("frag_pct"),
         F.coalesce(F.col("auto_increment"), F.lit(0)).cast("decimal(20,0)").alias("auto_increment"),
         _s("table_comment").alias("comment"),
+        _ts_text("create_time").alias("created_at"), _ts_text("update_time").alias("updated_at"),
     ), sort, "instance_id", F.desc("total_mb"), "table_schema", "table_name")
 
 
@@ -101,7 +108,7 @@ def size_totals(inventory: DataFrame, keys=("instance_id", "table_schema"),
 # ------------------------------------------------------------------ A1
 
 
-def database_sizes(schemata: DataFrame, tables: DataFrame, sort: bool = True) -> DataFrame:
+def database_sizes(schemata: DataFrame, tables: DataFrame, sort: bool = False) -> DataFrame:
     """A1: schemata left-joined to their tables; MB of data+index (2 places);
     count of table names (views count too).  Tables are pre-aggregated per
     (instance, schema) before the join, so the join sees one row per schema."""
@@ -276,7 +283,7 @@ def int_type_max(column_type) -> Column:
 
 
 def autoincrement_overflow(cols: DataFrame, tables: DataFrame, schema: str | None = None,
-                           sort: bool = True) -> DataFrame:
+                           sort: bool = False) -> DataFrame:
     """Auto-increment columns of base tables with current value, type max,
     % used and remaining (0 when over the max); ordered by % used desc."""
     c = cols.where(F.col("extra").contains("auto_increment"))
@@ -302,17 +309,17 @@ def autoincrement_overflow(cols: DataFrame, tables: DataFrame, schema: str | Non
 
 
 def pg_table_inventory(rel: DataFrame, ns: DataFrame, roles: DataFrame, am: DataFrame, stats: DataFrame,
-                       sort: bool = True) -> DataFrame:
+                       sort: bool = False) -> DataFrame:
     """Ordinary relations outside system schemas with owner, access method,
     rows (>= 0), dead tuples, sizes in MB and last vacuum / analyze times."""
-    n = broadcast_lookup(ns.select(F.col("oid").alias("relnamespace"), "nspname"))
-    r = broadcast_lookup(roles.select(F.col("oid").alias("relowner"), "rolname"))
-    a = broadcast_lookup(am.select(F.col("oid").alias("relam"), "amname"))
+    n = ns.select("instance_id", F.col("oid").alias("relnamespace"), "nspname")
+    r = roles.select("instance_id", F.col("oid").alias("relowner"), "rolname")
+    a = am.select("instance_id", F.col("oid").alias("relam"), "amname")
     s = stats.select("instance_id", F.col("relid").alias("oid"), "n_dead_tup", "last_vacuum",
                      "last_autovacuum", "last_analyze", "last_autoanalyze")
     j = (rel.where(F.col("relkind") == "r")
-         .join(n.where(~F.col("nspname").isin(*PG_SYSTEM_SCHEMAS)), "relnamespace")
-         .join(r, "relowner").join(a, "relam", "left")
+         .join(n.where(~F.col("nspname").isin(*PG_SYSTEM_SCHEMAS)), ["instance_id", "relnamespace"])
+         .join(r, ["instance_id", "relowner"]).join(a, ["instance_id", "relam"], "left")
          .join(s, ["instance_id", "oid"], "left"))
 
     def ts_text(a_: str, b_: str) -> Column:
@@ -330,10 +337,10 @@ def pg_table_inventory(rel: DataFrame, ns: DataFrame, roles: DataFrame, am: Data
     ), sort, "instance_id", F.desc("total_mb"), "schema", "name")
 
 
-def pg_database_sizes(dbs: DataFrame, roles: DataFrame, sort: bool = True) -> DataFrame:
+def pg_database_sizes(dbs: DataFrame, roles: DataFrame, sort: bool = False) -> DataFrame:
     """Non-template databases with owner and size in MB (2 places)."""
-    r = broadcast_lookup(roles.select(F.col("oid").alias("datdba"), "rolname"))
-    j = dbs.where(~F.col("datistemplate")).join(r, "datdba")
+    r = roles.select("instance_id", F.col("oid").alias("datdba"), "rolname")
+    j = dbs.where(~F.col("datistemplate")).join(r, ["instance_id", "datdba"])
     return _ordered(j.select("instance_id", "datname", F.col("rolname").alias("owner"), "encoding",
                              F.col("datcollate").alias("collation"), F.col("datconnlimit").alias("connection_limit"),
                              mb("size_bytes", 2).alias("size_mb")), sort, "instance_id", F.desc("size_mb"), "datname")

@@ -48,15 +48,20 @@ def server_status_flat(docs: DataFrame) -> DataFrame:
     """Server status document flattened; uptime hours = seconds / 3600
     (fractional); global lock seconds = micros div 1,000,000 (integer)."""
     return docs.select(
-        "instance_id", "snapshot_id", F.col("uptime").cast("double").alias("uptime_seconds"),
+        "instance_id", "snapshot_id", _s("host").alias("host"), _s("version").alias("version"),
+        F.col("uptime").cast("double").alias("uptime_seconds"),
         (F.col("uptime").cast("double") / 3600).alias("uptime_hours"),
         F.col("connections.current").alias("conn_current"), F.col("connections.available").alias("conn_available"),
         F.col("connections.total_created").alias("conn_total_created"),
         F.col("opcounters.insert").alias("op_insert"), F.col("opcounters.query").alias("op_query"),
-        F.col("opcounters.update").alias("op_update"), F.col("mem.resident").alias("mem_resident_mb"),
-        F.col("network.bytes_in").alias("net_bytes_in"),
+        F.col("opcounters.update").alias("op_update"), F.col("opcounters.delete").alias("op_delete"),
+        F.col("opcounters.getmore").alias("op_getmore"), F.col("opcounters.command").alias("op_command"),
+        F.col("mem.resident").alias("mem_resident_mb"), F.col("mem.virtual").alias("mem_virtual_mb"),
+        F.col("network.bytes_in").alias("net_bytes_in"), F.col("network.bytes_out").alias("net_bytes_out"),
+        F.col("network.num_requests").alias("net_requests"),
         F.expr("global_lock.total_time_micros div 1000000").alias("lock_total_time_secs"),
-        F.col("global_lock.current_queue.total").alias("lock_queue_total"))
+        *[F.col(f"global_lock.{at}.{who}").alias(f"lock_{name}_{who}")
+          for at, name in (("current_queue", "queue"), ("active_clients", "active")) for who in ("total", "readers", "writers")])
 
 
 # ------------------------------------------------------------------ P5
@@ -70,7 +75,8 @@ def backup_inventory(b: DataFrame, instance: str | None = None, kind: str | None
     if kind is not None:
         out = out.where(F.col("snapshot_type") == kind)
     return out.select("identifier", "instance_id", "snapshot_type", "status", _ts_text("created_at").alias("created_at"),
-                      "allocated_storage_gb", "encrypted", "percent_progress")
+                      "allocated_storage_gb", "encrypted", "percent_progress", _s("engine").alias("engine"),
+                      _s("engine_version").alias("engine_version"))
 
 
 # ------------------------------------------------------------------ P6
@@ -86,7 +92,7 @@ def parameter_overrides(params: DataFrame) -> DataFrame:
     first = params.groupBy("instance_id").agg(F.min("group_position").alias("group_position"))
     j = params.where(F.col("source") == "user").join(first, ["instance_id", "group_position"], "left_semi")
     return j.select("instance_id", "parameter_group", "name", "value", "source", "data_type", "apply_type",
-                    "is_modifiable")
+                    "is_modifiable", _s("description").alias("description"))
 
 
 # ------------------------------------------------------------------ P9
@@ -96,8 +102,8 @@ def secret_inventory(s: DataFrame, name: str | None = None) -> DataFrame:
     """Secret metadata (never values); the optional name filter is the
     secrets API's: a prefix match that ignores case."""
     out = s if name is None else s.where(F.lower("name").startswith(name.lower()))
-    return out.select("name", _s("description").alias("description"), "rotation_enabled",
-                      _ts_text("last_changed").alias("last_changed"))
+    return out.select(_s("arn").alias("arn"), "name", _s("description").alias("description"), "rotation_enabled",
+                      _ts_text("last_changed").alias("last_changed"), _ts_text("last_accessed").alias("last_accessed"))
 
 
 # ------------------------------------------------------------------ S3
@@ -168,7 +174,9 @@ def health_events(feed: DataFrame, details: DataFrame, service: str | None = Non
     # aggregate's partitioning on arn is reused by the join.
     d = details.groupBy("arn").agg(F.max("description").alias("description"))
     j = f.join(d, "arn", "left")
-    return j.select("arn", "service", "status", _ts_text("start_time").alias("start_time"),
+    return j.select("arn", "service", _s("type_code").alias("type_code"), _s("type_category").alias("type_category"),
+                    _s("region").alias("region"), "status", _ts_text("start_time").alias("start_time"),
+                    _ts_text("end_time").alias("end_time"), _ts_text("last_updated").alias("last_updated"),
                     _s("description").alias("description"))
 
 
@@ -177,8 +185,14 @@ def health_events(feed: DataFrame, details: DataFrame, service: str | None = Non
 
 def json_key_filter(blobs: DataFrame, key_filter: str | None = None, blob_col: str = "blob") -> DataFrame:
     """JSON object text -> map; keep keys containing ``key_filter``
-    (case-insensitive); text that is not a JSON object is returned raw."""
-    m = F.from_json(F.col(blob_col), "map<string,string>")
+    (case-insensitive); of a repeated key the last value counts; the text
+    ``null`` is an empty map; other text is returned raw."""
+    raw = F.from_json(F.col(blob_col), "map<string,string>")
+    entries = F.map_entries(raw)
+    last = F.transform(F.array_distinct(F.map_keys(raw)), lambda k: F.struct(
+        k, F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
+    empty = F.create_map().cast("map<string,string>")
+    m = F.when(F.trim(F.col(blob_col)) == "null", empty).otherwise(F.map_from_entries(last))
     if key_filter:
         kf = key_filter.lower()
         m = F.map_filter(m, lambda k, v: F.lower(k).contains(kf))

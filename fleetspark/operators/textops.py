@@ -6,10 +6,11 @@ codegen; no Python UDF touches the text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..plans.percentile import exact_percentiles
 
 
 # Multi-group patterns are matched once (whole match); the groups are then
@@ -123,31 +124,33 @@ def query_fingerprint(records: DataFrame, sql_col: str = "sql_text") -> DataFram
     return records.withColumn("fingerprint", T.fingerprint(F.col(sql_col)))
 
 
-def slow_query_digest(parsed: DataFrame, by=("instance_id",)) -> DataFrame:
+def slow_query_digest(parsed: DataFrame, by=("instance_id",), sort: bool = False) -> DataFrame:
     """A10: per log (instance) and fingerprint: calls, total / avg / max / p95
     ms, rows sent / examined, share of the log's total time, and the text of
     the slowest call (ties to the smallest text).
 
-    Map-side partial aggregation first.  The log total is a window over the
-    *aggregated* rows (one per fingerprint of a log), which reuses the
-    aggregate's output; a second aggregate joined back would re-run the regex
-    parse of every record, since its branch prunes to other columns.  ``percentile`` is exact: its buffer holds one count
-    per distinct time value of a group, not the rows.
+    Map-side partial aggregation first.  The log total is an aggregate of its
+    own, whose branch prunes everything but the time, and the exact p95 comes
+    from counts (``exact_percentiles``); both are joined back, so no group's
+    rows, values or fingerprints meet in one task.
     """
     fp = parsed if "fingerprint" in parsed.columns else query_fingerprint(parsed)
-    g = fp.groupBy(*by, "fingerprint").agg(
+    keys = [*by, "fingerprint"]
+    g = fp.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("calls"),
         F.sum("query_ms").alias("total_ms"),
         F.avg("query_ms").alias("avg_ms"),
         F.max("query_ms").alias("max_ms"),
-        F.round(F.percentile("query_ms", 0.95), 3).alias("p95_ms"),
         F.sum("rows_sent").alias("rows_sent"),
         F.sum("rows_examined").alias("rows_examined"),
         F.min_by("sql_text", F.struct(-F.col("query_ms"), F.col("sql_text"))).alias("sample"),
     )
-    w = Window.partitionBy(*by)
-    return (g.withColumn("share", F.col("total_ms") / F.sum("total_ms").over(w))
-            .orderBy(*by, F.desc("total_ms"), "fingerprint"))
+    p95 = exact_percentiles(fp, keys, "query_ms", {"p95_ms": 0.95})
+    total = parsed.groupBy(*by).agg(F.sum("query_ms").alias("_log_ms"))
+    out = (g.join(p95, keys, "left").join(total, list(by))
+           .select(*keys, "calls", "total_ms", "avg_ms", "max_ms", F.round("p95_ms", 3).alias("p95_ms"), "rows_sent",
+                   "rows_examined", "sample", (F.col("total_ms") / F.col("_log_ms")).alias("share")))
+    return out.orderBy(*by, F.desc("total_ms"), "fingerprint") if sort else out
 
 
 def flat_queries(c: Column) -> Column:

@@ -84,10 +84,20 @@ _HC_KEYS = ["hc_buffer_pool_hit_rate", "hc_buffer_pool_vs_ram", "hc_thread_cache
 _HC_FIX = ["counter_snapshots", "innodb_status_text", "class_memory"]
 
 
+# The rule lists as the report words them.
+_THRESHOLDS = ["critical if < 90; warning if < 99; else ok", "critical if > 75; warning if < 60; else ok",
+               "critical if < 50; warning if < 90; else ok", "warning if < 10; else ok", "warning if > 25; else ok",
+               "critical if > 1,000,000; critical if > 100,000; warning if > 10,000; else ok",
+               "critical if > 80; warning if > 70; else ok", "warning if >= 75; else ok", "warning if >= 85; else ok",
+               "critical if > 20; warning if >= 5; else ok", "critical if >= 25; warning if >= 10; else ok",
+               "warning if < 45; warning if > 75; else ok"]
+
+
 def _check_select(order, name, unit, value, cond, status, with_order=False) -> str:
     extra = f"{order} AS check_order, " if with_order else ""
+    said = f"'{name} ({unit}): ' || {status} || ' ({_THRESHOLDS[order - 1]})'"
     return (f"SELECT instance_id, snapshot_id, {extra}'{name}' AS check_name, v AS value, '{unit}' AS unit, "
-            f"{status} AS status FROM (SELECT instance_id, snapshot_id, {value} AS v FROM cs WHERE {cond}) x")
+            f"{status} AS status, '{_THRESHOLDS[order - 1]}' AS threshold, {said} AS description FROM (SELECT instance_id, snapshot_id, {value} AS v FROM cs WHERE {cond}) x")
 
 
 for _key, _spec in zip(_HC_KEYS, _CHECK_SQL):
@@ -97,11 +107,11 @@ oracle("health_report", _HC_FIX, f"""WITH {_CS},
 allc AS (
 {' UNION ALL '.join(_check_select(*s, with_order=True) for s in _CHECK_SQL)}
 )
-SELECT instance_id, snapshot_id, check_order, check_name, value, unit, status,
+SELECT instance_id, snapshot_id, check_order, check_name, value, unit, status, threshold, description,
        COUNT(*) OVER (PARTITION BY instance_id, snapshot_id) AS total_checks
 FROM allc""")
 
-# Candidate n in 1..10000 per distinct (pool, instances); exact integers.
+# Every divisor n of the pool's MiB per instance, by distinct (pool, instances); exact integers.
 oracle("chunk_size_advice", ["counter_snapshots"], """
 WITH cfg AS (
   SELECT instance_id, snapshot_id, CAST(innodb_buffer_pool_size AS BIGINT) AS pool,
@@ -111,10 +121,10 @@ WITH cfg AS (
     AND COALESCE(innodb_buffer_pool_chunk_size, 0) <> 0
 ),
 pairs AS (SELECT DISTINCT pool, inst FROM cfg),
+sized AS (SELECT pool, inst, pool // inst // 1048576 AS q FROM pairs WHERE pool % (inst * 1048576) = 0),
 cand AS (
-  SELECT pool, inst, n, pool // inst // n AS c
-  FROM pairs, range(1, 10001) r(n)
-  WHERE pool % inst = 0 AND (pool // inst) % n = 0 AND ((pool // inst) // n) % 1048576 = 0
+  SELECT pool, inst, n, q // n * 1048576 AS c
+  FROM (SELECT pool, inst, q, unnest(range(1, q + 1)) AS n FROM sized) WHERE q % n = 0
 ),
 ranked AS (
   SELECT pool, inst, c, ROW_NUMBER() OVER (PARTITION BY pool, inst ORDER BY
@@ -183,7 +193,9 @@ _TABLE_INV = """ti AS (
          round(CAST(COALESCE(t.data_free, 0) AS DOUBLE) / 1048576.0, 2) AS free_mb,
          round(CAST(COALESCE(t.data_free, 0) AS DOUBLE) / NULLIF(t.data_length + t.index_length + t.data_free, 0) * 100, 1) AS frag_pct,
          CAST(COALESCE(t.auto_increment, 0) AS DECIMAL(20,0)) AS auto_increment,
-         COALESCE(t.table_comment, '') AS comment
+         COALESCE(t.table_comment, '') AS comment,
+         COALESCE(strftime(t.create_time, '%Y-%m-%dT%H:%M:%SZ'), '') AS created_at,
+         COALESCE(strftime(t.update_time, '%Y-%m-%dT%H:%M:%SZ'), '') AS updated_at
   FROM cat_tables t LEFT JOIN cat_collations c ON c.collation_name = t.table_collation
   WHERE t.table_type = 'BASE TABLE'
 )"""
@@ -289,16 +301,16 @@ SELECT c.instance_id, n.nspname AS schema, c.relname AS name, r.rolname AS owner
        COALESCE(strftime(greatest(s.last_vacuum, s.last_autovacuum), '%Y-%m-%dT%H:%M:%SZ'), '') AS last_vacuum,
        COALESCE(strftime(greatest(s.last_analyze, s.last_autoanalyze), '%Y-%m-%dT%H:%M:%SZ'), '') AS last_analyze
 FROM pg_relations c
-JOIN pg_namespaces n ON n.oid = c.relnamespace
-JOIN pg_roles r ON r.oid = c.relowner
-LEFT JOIN pg_access_methods am ON am.oid = c.relam
+JOIN pg_namespaces n ON n.instance_id = c.instance_id AND n.oid = c.relnamespace
+JOIN pg_roles r ON r.instance_id = c.instance_id AND r.oid = c.relowner
+LEFT JOIN pg_access_methods am ON am.instance_id = c.instance_id AND am.oid = c.relam
 LEFT JOIN pg_user_stats s ON s.instance_id = c.instance_id AND s.relid = c.oid
 WHERE c.relkind = 'r' AND n.nspname NOT IN ('pg_catalog', 'information_schema', 'pg_toast')""")
 
 oracle("pg_database_sizes", ["pg_databases", "pg_roles"], """
 SELECT d.instance_id, d.datname, r.rolname AS owner, d.encoding, d.datcollate AS collation,
        d.datconnlimit AS connection_limit, round(d.size_bytes / 1048576.0, 2) AS size_mb
-FROM pg_databases d JOIN pg_roles r ON r.oid = d.datdba WHERE NOT d.datistemplate""")
+FROM pg_databases d JOIN pg_roles r ON r.instance_id = d.instance_id AND r.oid = d.datdba WHERE NOT d.datistemplate""")
 
 oracle("collection_stats", ["doc_collections", "doc_collection_stats"], """
 SELECT c.instance_id, c.database_name, c.name, CAST(COALESCE(s.doc_count, 0) AS BIGINT) AS count,
@@ -349,11 +361,13 @@ SELECT i.instance_id, i.engine,
 FROM instances i LEFT JOIN latest l ON l.instance_id = i.instance_id
 GROUP BY i.instance_id, i.engine""")
 
-oracle("replica_lag", ["metric_points", "instances"], f"""WITH {_LATEST}
+_LAG = f"""WITH {_LATEST}
 SELECT i.instance_id AS identifier, i.source_instance_id AS source, i.status, i.instance_class AS class,
        i.availability_zone, i.multi_az, i.engine, i.engine_version, COALESCE(l.v, -1.0) AS replica_lag_seconds
 FROM instances i LEFT JOIN latest l ON l.instance_id = i.instance_id AND l.metric = 'read_latency'
-WHERE COALESCE(i.source_instance_id, '') <> ''""")
+WHERE COALESCE(i.source_instance_id, '') <> ''"""
+oracle("replica_lag", ["metric_points", "instances"], _LAG)
+oracle("replica_lag_filtered", ["metric_points", "instances"], _LAG + " AND i.source_instance_id = 'db-4'")
 
 
 def _top(keys: str) -> str:
@@ -370,9 +384,11 @@ SELECT instance_id, {keys}, CAST(samples AS DOUBLE) * 1.0 / 86400.0 AS db_load,
 oracle("top_sql_by_load", ["load_samples"], _top("statement"))
 oracle("top_waits_by_load", ["load_samples"], _top("wait_type, wait_name"))
 
-oracle("event_lookback", ["instance_events"], f"""
+_EVENTS = f"""
 SELECT strftime(event_time, {_FMT}) AS date, message, category AS categories, source_identifier
-FROM instance_events WHERE event_time >= {_AS_OF} - INTERVAL 1440 MINUTE AND event_time <= {_AS_OF}""")
+FROM instance_events WHERE event_time >= {_AS_OF} - INTERVAL 1440 MINUTE AND event_time <= {_AS_OF}"""
+oracle("event_lookback", ["instance_events"], _EVENTS)
+oracle("event_lookback_filtered", ["instance_events"], _EVENTS + " AND source_identifier = 'db-3'")
 
 
 # ------------------------------------------------------------ counters
@@ -394,13 +410,15 @@ _KV_SQL = _KV.format(cols=", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _COU
 _SCOPE = (f"CASE WHEN name = 'instance_class' THEN 'meta' WHEN name IN ({_SETTINGS}) THEN 'variables' "
           f"ELSE 'status' END")
 
+_SERVER_NAME = f"CASE WHEN {_SCOPE} = 'status' THEN upper(name[1]) || name[2:] ELSE name END"
+
 oracle("kv_like", ["counter_snapshots"], f"""WITH {_KV_SQL}
-SELECT instance_id, snapshot_id, {_SCOPE} AS scope, name, value,
+SELECT instance_id, snapshot_id, {_SCOPE} AS scope, {_SERVER_NAME} AS name, value,
        COUNT(*) OVER (PARTITION BY instance_id, snapshot_id) AS n_matched
 FROM kv WHERE name ILIKE 'innodb_buffer_pool%'""")
 
 oracle("kv_numeric", ["counter_snapshots"], f"""WITH {_KV_SQL}
-SELECT instance_id, snapshot_id, {_SCOPE} AS scope, name, TRY_CAST(value AS DOUBLE) AS value
+SELECT instance_id, snapshot_id, {_SCOPE} AS scope, {_SERVER_NAME} AS name, TRY_CAST(value AS DOUBLE) AS value
 FROM kv WHERE regexp_full_match(value, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')""")
 
 # ------------------------------------------------------------ text
@@ -433,7 +451,7 @@ SELECT instance_id, snapshot_id,
   {_d(r"(\d+\.?\d*) reads/s, \d+ avg bytes/read, (\d+\.?\d*) writes/s, (\d+\.?\d*) log writes/s", 1)} AS io_reads_per_sec,
   {_d(r"(\d+\.?\d*) reads/s, \d+ avg bytes/read, (\d+\.?\d*) writes/s, (\d+\.?\d*) log writes/s", 2)} AS io_writes_per_sec,
   {_d(r"(\d+\.?\d*) reads/s, \d+ avg bytes/read, (\d+\.?\d*) writes/s, (\d+\.?\d*) log writes/s", 3)} AS io_log_writes_per_sec,
-  {_l(r"Log sequence number (\d+)")} AS log_sequence_number,
+  {_l(r"Log sequence number\s+(\d+)")} AS log_sequence_number,
   {_l(r"Log flushed up to\s+(\d+)")} AS log_flushed_up_to,
   {_l(r"Last checkpoint at\s+(\d+)")} AS log_last_checkpoint,
   {_l(r"Buffer pool size\s+(\d+)")} AS bp_size_pages,
@@ -482,6 +500,11 @@ _SLOW = """parsed AS (
 _FP = ("trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(sql_text), "
        "'''[^'']*''|\"[^\"]*\"', '?', 'g'), '\\b[0-9]+(\\.[0-9]+)?\\b', '?', 'g'), "
        "'\\(\\s*\\?(\\s*,\\s*\\?)*\\s*\\)', '(?+)', 'g'), '\\s+', ' ', 'g')), ';$', ''))")
+# The same entries from log files (FIXTURES.md): every seventh statement has a heading's text inside a line.
+oracle("slow_log_files", ["slow_log"], f"""WITH {_SLOW}
+SELECT user_host, query_ms, lock_ms, rows_sent, rows_examined,
+       sql_text || CASE WHEN rec_id % 7 = 0 THEN ' -- # Time: later' ELSE '' END AS sql_text, COUNT(*) AS n
+FROM parsed GROUP BY ALL""")
 oracle("slow_log_records", ["slow_log"], f"WITH {_SLOW} SELECT * FROM parsed")
 oracle("query_fingerprint", ["slow_log"], f"WITH {_SLOW} SELECT instance_id, rec_id, sql_text, {_FP} AS fingerprint FROM parsed")
 oracle("slow_query_digest", ["slow_log"], f"""WITH {_SLOW},
@@ -498,33 +521,47 @@ SELECT *, total_ms / SUM(total_ms) OVER (PARTITION BY instance_id) AS share FROM
 # ------------------------------------------------------------ activity
 _PROCS = """v AS (
   SELECT instance_id, id, user_name AS "user", host, COALESCE(db, '') AS db, command, time_sec AS "time",
-         COALESCE(state, '') AS state, left(COALESCE(info, ''), 500) AS info
+         COALESCE(state, '') AS state, COALESCE(info, '') AS info
   FROM processes WHERE NOT COALESCE(is_own_connection, false)
 )"""
 oracle("active_processes", ["processes"], f"WITH {_PROCS} SELECT * FROM v WHERE command <> 'Sleep' AND info <> ''")
+oracle("active_processes_filtered", ["processes"], f"""WITH {_PROCS}
+SELECT * REPLACE (left(info, 500) AS info) FROM v WHERE "time" >= 200""")
+oracle("process_counts_filtered", ["processes"], f"""WITH {_PROCS}
+SELECT instance_id, COUNT(*) FILTER (WHERE "time" >= 200) AS total, COUNT(*) FILTER (WHERE command = 'Sleep') AS total_idle
+FROM v GROUP BY instance_id""")
 oracle("process_counts", ["processes"], f"""WITH {_PROCS}
 SELECT instance_id, COUNT(*) FILTER (WHERE command <> 'Sleep' AND info <> '') AS total,
        COUNT(*) FILTER (WHERE command = 'Sleep') AS total_idle
 FROM v GROUP BY instance_id""")
-oracle("long_running_ops", ["current_ops"], """
+_OPS = """
 SELECT instance_id, opid, secs_running, op, ns, command_json AS command, client, descr AS "desc"
 FROM current_ops
-WHERE secs_running >= 0 AND NOT (ns = 'admin.$cmd' AND COALESCE(json_keys(command_json)[1], '') = 'currentOp')""")
-oracle("process_statement_history", ["threads", "statement_history"], """
-SELECT t.instance_id, t.processlist_id, t.thread_id, h.timer_start, COALESCE(h.sql_text, '') AS sql_text,
+WHERE secs_running >= {least} AND NOT (ns = 'admin.$cmd' AND COALESCE(json_keys(command_json)[1], '') = 'currentOp')"""
+oracle("long_running_ops", ["current_ops"], _OPS.replace("{least}", "0"))
+oracle("long_running_ops_filtered", ["current_ops"], _OPS.replace("{least}", "200"))
+_HISTORY = """
+SELECT t.instance_id, t.processlist_id, COALESCE(t.user_name, '') AS "user", COALESCE(t.host, '') AS host, COALESCE(t.db, '') AS db,
+       COALESCE(t.command, '') AS command, COALESCE(t.time_sec, 0) AS "time", COALESCE(t.state, '') AS state,
+       COALESCE(t.info, '') AS info, t.thread_id, h.timer_start, COALESCE(h.sql_text, '') AS sql_text,
        h.timer_wait / 1e9 AS duration_ms, h.rows_affected, h.rows_sent, h.rows_examined, h.errors
 FROM threads t JOIN statement_history h ON h.instance_id = t.instance_id AND h.thread_id = t.thread_id
-WHERE t.processlist_id IS NOT NULL""")
+WHERE t.processlist_id IS NOT NULL"""
+oracle("process_statement_history", ["threads", "statement_history"], _HISTORY)
+oracle("process_statement_history_one", ["threads", "statement_history"], _HISTORY + " AND t.processlist_id = 501")
 oracle("plan_rows_clean", ["plan_rows"], """
-SELECT instance_id, database_name, id, select_type, COALESCE(table_name, '') AS "table", access_type,
-       COALESCE(used_key, '') AS key, est_rows AS rows
+SELECT instance_id, database_name, id, select_type, COALESCE(table_name, '') AS "table", COALESCE(partitions, '') AS partitions,
+       access_type, COALESCE(possible_keys, '') AS possible_keys, COALESCE(used_key, '') AS key, COALESCE(key_len, '') AS key_len,
+       COALESCE(ref, '') AS ref, est_rows AS rows, COALESCE(CAST(filtered AS DOUBLE), 0.0) AS filtered, COALESCE(extra, '') AS extra
 FROM plan_rows""")
-oracle("unused_indexes", ["cat_index_columns", "plan_rows"], """
+_UNUSED = """
 SELECT DISTINCT i.instance_id, i.table_schema AS database_name, i.table_name, i.index_name
 FROM cat_index_columns i
 WHERE i.index_name <> 'PRIMARY' AND NOT EXISTS (
   SELECT 1 FROM plan_rows p WHERE p.instance_id = i.instance_id AND p.database_name = i.table_schema
-    AND p.table_name = i.table_name AND p.used_key = i.index_name)""")
+    AND p.table_name = i.table_name AND p.used_key = i.index_name)"""
+oracle("unused_indexes", ["cat_index_columns", "plan_rows"], _UNUSED)
+oracle("unused_indexes_filtered", ["cat_index_columns", "plan_rows"], _UNUSED + " AND i.table_schema = 'Brand#11'")
 oracle("probe_summary", ["probes"], """
 SELECT instance_id, COUNT(*) AS probes, CAST(COUNT(*) FILTER (WHERE success) AS DOUBLE) / COUNT(*) AS success_rate,
        round(quantile_cont(latency_ms, 0.5) FILTER (WHERE success), 3) AS p50_ms,
@@ -541,21 +578,30 @@ SELECT instance_id AS identifier, instance_class AS class, status, engine, engin
 FROM instances""")
 oracle("server_status_flat", ["counter_snapshots", "server_status"], """
 SELECT instance_id, snapshot_id, CAST(uptime AS DOUBLE) AS uptime_seconds, CAST(uptime AS DOUBLE) / 3600 AS uptime_hours,
-       conn_current, conn_available, conn_total_created, op_insert, op_query, op_update, mem_resident_mb, net_bytes_in,
-       lock_total_micros // 1000000 AS lock_total_time_secs, lock_queue_total
+       COALESCE(host, '') AS host, COALESCE(version, '') AS version,
+       conn_current, conn_available, conn_total_created, op_insert, op_query, op_update, op_delete, op_getmore, op_command,
+       mem_resident_mb, mem_virtual_mb, net_bytes_in, net_bytes_out, net_requests,
+       lock_total_micros // 1000000 AS lock_total_time_secs, lock_queue_total, lock_queue_readers, lock_queue_writers,
+       lock_active_total, lock_active_readers, lock_active_writers
 FROM server_status""")
-oracle("backup_inventory", ["backups"], f"""
+_BACKUPS = f"""
 SELECT identifier, instance_id, snapshot_type, status, COALESCE(strftime(created_at, {_FMT}), '') AS created_at,
-       allocated_storage_gb, encrypted, percent_progress
-FROM backups""")
+       allocated_storage_gb, encrypted, percent_progress, engine, COALESCE(engine_version, '') AS engine_version
+FROM backups"""
+oracle("backup_inventory", ["backups"], _BACKUPS)
+oracle("backup_inventory_filtered", ["backups"], _BACKUPS + " WHERE instance_id = 'db-7' AND snapshot_type = 'manual'")
 oracle("parameter_overrides", ["parameters"], """
-SELECT p.instance_id, p.parameter_group, p.name, p.value, p.source, p.data_type, p.apply_type, p.is_modifiable
+SELECT p.instance_id, p.parameter_group, p.name, p.value, p.source, p.data_type, p.apply_type, p.is_modifiable,
+       COALESCE(p.description, '') AS description
 FROM parameters p
 WHERE p.source = 'user' AND p.group_position = (SELECT min(q.group_position) FROM parameters q WHERE q.instance_id = p.instance_id)""")
-oracle("secret_inventory", ["secrets"], f"""
-SELECT name, COALESCE(description, '') AS description, rotation_enabled,
-       COALESCE(strftime(last_changed, {_FMT}), '') AS last_changed
-FROM secrets""")
+_SECRETS = f"""
+SELECT arn, name, COALESCE(description, '') AS description, rotation_enabled,
+       COALESCE(strftime(last_changed, {_FMT}), '') AS last_changed,
+       COALESCE(strftime(last_accessed, {_FMT}), '') AS last_accessed
+FROM secrets"""
+oracle("secret_inventory", ["secrets"], _SECRETS)
+oracle("secret_inventory_filtered", ["secrets"], _SECRETS + " WHERE lower(name) LIKE 'building%'")
 oracle("log_file_inventory", ["log_files"], f"""
 SELECT instance_id, name, size_bytes // 1024 AS size_kb,
        COALESCE(strftime(epoch_ms(last_written_ms), {_FMT}), '') AS last_written,
@@ -566,43 +612,50 @@ SELECT resource_identifier, action, COALESCE(strftime(auto_applied_after, {_FMT}
        COALESCE(strftime(current_apply_date, {_FMT}), '') AS current_apply_date, COALESCE(description, '') AS description,
        COALESCE(opt_in_status, '') AS opt_in_status, COUNT(*) OVER (PARTITION BY resource_identifier) AS total_actions
 FROM maintenance_actions""")
-oracle("host_inventory", ["hosts"], """
+_HOSTS = """
 SELECT COALESCE(name_tag, '') AS name, host_id AS instance_id, COALESCE(private_ip, '') AS private_ip,
        COALESCE(public_ip, '') AS public_ip, COALESCE(zone, '') AS zone, COALESCE(host_type, '') AS type,
        COALESCE(state, '') AS state
-FROM hosts""")
-oracle("health_events", ["health_feed", "health_details"], f"""
-SELECT f.arn, f.service, f.status, COALESCE(strftime(f.start_time, {_FMT}), '') AS start_time,
-       COALESCE(d.description, '') AS description
-FROM health_feed f LEFT JOIN health_details d ON d.arn = f.arn""")
-oracle("json_key_filter", ["config_blobs"], """
-WITH j AS (SELECT name, blob, CASE WHEN json_valid(blob) THEN json_type(blob) = 'OBJECT' ELSE false END AS is_obj FROM config_blobs),
+FROM hosts"""
+oracle("host_inventory", ["hosts"], _HOSTS)
+oracle("host_inventory_filtered", ["hosts"],
+       _HOSTS + " WHERE contains(lower(COALESCE(name_tag, '')), 'web-b') OR contains(lower(host_id), 'web-b')")
+_HEALTH = f"""
+SELECT f.arn, f.service, f.type_code, f.type_category, COALESCE(f.region, '') AS region, f.status,
+       COALESCE(strftime(f.start_time, {_FMT}), '') AS start_time, COALESCE(strftime(f.end_time, {_FMT}), '') AS end_time,
+       COALESCE(strftime(f.last_updated, {_FMT}), '') AS last_updated, COALESCE(d.description, '') AS description
+FROM health_feed f LEFT JOIN health_details d ON d.arn = f.arn"""
+oracle("health_events", ["health_feed", "health_details"], _HEALTH)
+oracle("health_events_filtered", ["health_feed", "health_details"], _HEALTH + " WHERE f.service = 'RDS' AND f.status = 'open'")
+# Keys and values by position; of a repeated key the last counts; the text null is an empty object.
+_JSON = """j AS (
+  SELECT name, blob, trim(blob) = 'null' AS is_null, CASE WHEN json_valid(blob) THEN json_type(blob) = 'OBJECT' ELSE false END AS is_obj FROM config_blobs
+),
+e AS (
+  SELECT name, unnest(generate_series(1, len(json_keys(blob)))) AS i, json_keys(blob) AS ks, json_extract(blob, '$.*') AS vs
+  FROM j WHERE is_obj
+),
+kv AS (SELECT name, ks[i] AS key, arg_max(vs[i] ->> '$', i) AS value FROM e GROUP BY name, ks[i])"""
+oracle("json_key_filter", ["config_blobs"], f"""
+WITH {_JSON},
 k AS (
-  SELECT j.name, string_agg(key || '=' || json_extract_string(j.blob, '$."' || key || '"'), ',' ORDER BY key || '=' || json_extract_string(j.blob, '$."' || key || '"')) AS kv,
-         COUNT(*) AS n
-  FROM j, unnest(json_keys(CASE WHEN j.is_obj THEN j.blob ELSE '{}' END)) AS t(key)
-  WHERE j.is_obj AND contains(lower(key), 'db')
-  GROUP BY j.name
+  SELECT name, string_agg(key || '=' || value, ',' ORDER BY key || '=' || value) AS kv, COUNT(*) AS n
+  FROM kv WHERE contains(lower(key), 'db') GROUP BY name
 )
-SELECT j.name, CASE WHEN j.is_obj THEN COALESCE(k.kv, '') END AS "values",
-       CASE WHEN NOT j.is_obj THEN j.blob END AS raw_value, CAST(COALESCE(k.n, 0) AS INTEGER) AS n_keys
+SELECT j.name, CASE WHEN j.is_obj OR j.is_null THEN COALESCE(k.kv, '') END AS "values",
+       CASE WHEN NOT j.is_obj AND NOT j.is_null THEN j.blob END AS raw_value, CAST(COALESCE(k.n, 0) AS INTEGER) AS n_keys
 FROM j LEFT JOIN k ON k.name = j.name""")
-oracle("config_key_audit", ["config_blobs"], """
-SELECT key, COUNT(*) AS n_blobs
-FROM config_blobs, unnest(json_keys(CASE WHEN json_valid(blob) AND json_type(CASE WHEN json_valid(blob) THEN blob ELSE '0' END) = 'OBJECT' THEN blob ELSE '{}' END)) AS t(key)
-GROUP BY key""")
+oracle("config_key_audit", ["config_blobs"], f"WITH {_JSON} SELECT key, COUNT(*) AS n_blobs FROM kv GROUP BY key")
+oracle("config_key_audit_filtered", ["config_blobs"],
+       f"WITH {_JSON} SELECT key, COUNT(*) AS n_blobs FROM kv WHERE contains(lower(key), 'db_') GROUP BY key")
 
 
 # ------------------------------------------------------------ streaming
-# Append mode emits a period once the final watermark (max event time - 10 min) passes its end.
+# The closed periods from the stream and those still open: every period.
 oracle("metric_rollup_stream", ["metric_points"], f"""
-WITH wm AS (SELECT max(ts) - INTERVAL 10 MINUTE AS w FROM metric_points),
-g AS (
-  SELECT instance_id, metric, time_bucket(INTERVAL '5 minutes', ts) AS ps, avg(value) AS avg_value, COUNT(*) AS n_points
-  FROM metric_points GROUP BY instance_id, metric, time_bucket(INTERVAL '5 minutes', ts)
-)
-SELECT instance_id, metric, strftime(ps, {_FMT}) AS period_start, avg_value, n_points
-FROM g, wm WHERE ps + INTERVAL 5 MINUTE <= wm.w""")
+SELECT instance_id, metric, strftime(time_bucket(INTERVAL '5 minutes', ts), {_FMT}) AS period_start,
+       avg(value) AS avg_value, COUNT(*) AS n_points
+FROM metric_points GROUP BY instance_id, metric, time_bucket(INTERVAL '5 minutes', ts)""")
 
 # H1-H12 on wide snapshots (history from the counter column), non-ok rows.
 _CS_WIDE = _CS.replace(
@@ -627,11 +680,11 @@ WITH d AS (
 SELECT instance_id, COUNT(*) AS n_items, round(SUM(size_mb), 2) AS total_size_mb FROM d GROUP BY instance_id""")
 oracle("pg_table_size_totals", ["pg_relations", "pg_namespaces", "pg_roles", "pg_access_methods", "pg_user_stats"], """
 SELECT c.instance_id, COUNT(*) AS n_items, round(SUM(round(c.total_bytes / 1048576.0, 2)), 2) AS total_size_mb
-FROM pg_relations c JOIN pg_namespaces n ON n.oid = c.relnamespace JOIN pg_roles r ON r.oid = c.relowner
-LEFT JOIN pg_access_methods am ON am.oid = c.relam
+FROM pg_relations c JOIN pg_namespaces n ON n.instance_id = c.instance_id AND n.oid = c.relnamespace JOIN pg_roles r ON r.instance_id = c.instance_id AND r.oid = c.relowner
+LEFT JOIN pg_access_methods am ON am.instance_id = c.instance_id AND am.oid = c.relam
 LEFT JOIN pg_user_stats s ON s.instance_id = c.instance_id AND s.relid = c.oid
 WHERE c.relkind = 'r' AND n.nspname NOT IN ('pg_catalog', 'information_schema', 'pg_toast')
 GROUP BY c.instance_id""")
 oracle("pg_database_size_totals", ["pg_databases", "pg_roles"], """
 SELECT d.instance_id, COUNT(*) AS n_items, round(SUM(round(d.size_bytes / 1048576.0, 2)), 2) AS total_size_mb
-FROM pg_databases d JOIN pg_roles r ON r.oid = d.datdba WHERE NOT d.datistemplate GROUP BY d.instance_id""")
+FROM pg_databases d JOIN pg_roles r ON r.instance_id = d.instance_id AND r.oid = d.datdba WHERE NOT d.datistemplate GROUP BY d.instance_id""")

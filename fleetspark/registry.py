@@ -8,7 +8,6 @@ result out.  ``ORACLES`` (in ``oracles.py``) holds the DuckDB SQL for each key.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,10 +17,11 @@ from .operators import activity, catalog, checks, counters, textops
 from .operators import inventory as inv
 from .operators import timeseries as ts
 from .sources.fixtures import Fixtures, bindable_sql, fixture_deps
-from .sources.tables import BASE_TABLES
+from .sources.slowlog import read_slow_log
+from .sources.tables import stream_path
 from .streaming import alerts as _alerts
 from .streaming import metrics as _smetrics
-from .streaming.runner import run_available_now, scratch_path, stage_table
+from .streaming.runner import run_available_now, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -100,7 +100,7 @@ def q_table_inventory(fx: Fixtures) -> DataFrame:
 
 @register("size_totals")
 def q_size_totals(fx: Fixtures) -> DataFrame:
-    return catalog.size_totals(catalog.table_inventory(fx["cat_tables"], fx["cat_collations"], sort=False))
+    return catalog.size_totals(catalog.table_inventory(fx["cat_tables"], fx["cat_collations"]))
 
 
 @register("database_sizes")
@@ -353,61 +353,137 @@ def q_config_key_audit(fx: Fixtures) -> DataFrame:
 # ------------------------------------------------------------ streaming
 
 
-def _stream_from(fx: Fixtures, name: str, key: str):
-    """A stream of a fixture table.
+def _stream_of(fx: Fixtures, name: str) -> DataFrame:
+    """A fixture table derived inside a stream: each of its base tables is read
+    as a file stream (one file or a folder, wherever it lies) with the table's
+    schema, and the fixture SQL is applied to the streaming DataFrames."""
+    streams = {d: fx.spark.readStream.schema(fx[d].schema).parquet(stream_path(fx.sf_dir, d)) for d in fixture_deps(name)}
+    return fx.spark.sql(bindable_sql(name, streams), **streams)
 
-    A fixture built directly on base tables is derived inside the stream: each
-    base table is read as a file stream (its file selected in the data folder
-    by ``pathGlobFilter``, explicit schema) and the fixture SQL is applied to
-    the streaming DataFrames, so nothing is copied.  Other fixtures are staged
-    as parquet files under the checkpoint folder first.
-    """
-    deps = fixture_deps(name)
-    if deps and all(d in BASE_TABLES for d in deps) and os.path.isdir(fx.sf_dir):
-        streams = {d: (fx.spark.readStream.schema(fx[d].schema).option("pathGlobFilter", f"{d}.parquet")
-                       .parquet(fx.sf_dir)) for d in deps}
-        return fx.spark.sql(bindable_sql(name, streams), **streams)
-    df = fx[name]
-    src = stage_table(df, scratch_path(fx.spark, key, "source"))
-    return fx.spark.readStream.schema(df.schema).parquet(src)
+
+def _drained(fx: Fixtures, stream: DataFrame, key: str) -> DataFrame:
+    """What the stream emits over the files that are there now."""
+    sink = scratch_path(fx.spark, key, "sink")
+    run_available_now(stream, sink, scratch_path(fx.spark, key, "checkpoint"))
+    return fx.spark.read.schema(stream.schema).parquet(sink)
 
 
 @register("metric_rollup_stream")
 def q_metric_rollup_stream(fx: Fixtures) -> DataFrame:
-    stream = _smetrics.metric_rollup_stream(_stream_from(fx, "metric_points", "metric_rollup_stream"),
-                                            "5 minutes", "10 minutes")
-    sink = scratch_path(fx.spark, "metric_rollup_stream", "sink")
-    run_available_now(stream, sink, scratch_path(fx.spark, "metric_rollup_stream", "checkpoint"))
-    out = fx.spark.read.parquet(sink)
-    return out.select("instance_id", "metric", F.date_format("period_start", ts.RFC3339).alias("period_start"),
-                      "avg_value", "n_points")
+    stream = _smetrics.metric_rollup_stream(_stream_of(fx, "metric_points"), "5 minutes", "10 minutes")
+    closed = _drained(fx, stream, "metric_rollup_stream")
+    every = closed.unionByName(_smetrics.open_periods(fx["metric_points"], "5 minutes", "10 minutes"))
+    return every.select("instance_id", "metric",
+                        F.date_format(_smetrics.utc_wall_clock("period_start"), ts.RFC3339).alias("period_start"),
+                        "avg_value", "n_points")
 
 
 @register("health_alerts_stream")
 def q_health_alerts_stream(fx: Fixtures) -> DataFrame:
-    stream = _alerts.health_alerts_stream(_stream_from(fx, "counter_snapshots", "health_alerts_stream"),
-                                          fx["class_memory"])
-    sink = scratch_path(fx.spark, "health_alerts_stream", "sink")
-    run_available_now(stream, sink, scratch_path(fx.spark, "health_alerts_stream", "checkpoint"))
-    return fx.spark.read.parquet(sink)
+    stream = _alerts.health_alerts_stream(_stream_of(fx, "counter_snapshots"), fx["class_memory"])
+    return _drained(fx, stream, "health_alerts_stream")
 
 
 # ------------------------------------------------------------ A2 for the other inventories
 
 @register("database_size_totals")
 def q_database_size_totals(fx: Fixtures) -> DataFrame:
-    d = catalog.database_sizes(fx["cat_schemata"], fx["cat_tables"], sort=False)
+    d = catalog.database_sizes(fx["cat_schemata"], fx["cat_tables"])
     return catalog.size_totals(d, keys=("instance_id",), size_col="size_mb", free_col=None)
 
 
 @register("pg_table_size_totals")
 def q_pg_table_size_totals(fx: Fixtures) -> DataFrame:
     t = catalog.pg_table_inventory(fx["pg_relations"], fx["pg_namespaces"], fx["pg_roles"],
-                                   fx["pg_access_methods"], fx["pg_user_stats"], sort=False)
+                                   fx["pg_access_methods"], fx["pg_user_stats"])
     return catalog.size_totals(t, keys=("instance_id",), size_col="total_mb", free_col=None)
 
 
 @register("pg_database_size_totals")
 def q_pg_database_size_totals(fx: Fixtures) -> DataFrame:
-    d = catalog.pg_database_sizes(fx["pg_databases"], fx["pg_roles"], sort=False)
+    d = catalog.pg_database_sizes(fx["pg_databases"], fx["pg_roles"])
     return catalog.size_totals(d, keys=("instance_id",), size_col="size_mb", free_col=None)
+
+
+# ------------------------------------------------------------ S2 from log files
+
+
+@register("slow_log_files")
+def q_slow_log_files(fx: Fixtures) -> DataFrame:
+    """The slow log written as server log files and read from them: some entries
+    share a heading, some statements hold a heading's text, and the server's
+    start-up lines stand between entries."""
+    path = scratch_path(fx.spark, "slow_log_files", "logs")
+    start = "mysqld, Version: 8.0.36 (x). started with:\nTcp port: 3306  Unix socket: /s\nTime                 Id Command    Argument\n"
+    at = F.col("rec_id")
+    line = F.concat(F.when(at % 50 == 0, start).otherwise(""), F.when(at % 2 == 0, "# Time: 2024-01-01T00:00:00.000000Z\n").otherwise(""),
+                    F.col("record_text"), F.when(at % 7 == 0, " -- # Time: later").otherwise(""))
+    fx["slow_log"].select(line.alias("value")).write.text(path)
+    entries = read_slow_log(fx.spark, path).withColumns({"instance_id": F.lit(""), "rec_id": F.lit(0)})
+    r = textops.slow_log_records(entries)
+    return r.groupBy("user_host", "query_ms", "lock_ms", "rows_sent", "rows_examined", "sql_text").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------ the operators' optional filters
+
+
+@register("active_processes_filtered")
+def q_active_processes_filtered(fx: Fixtures) -> DataFrame:
+    return activity.active_processes(fx["processes"], include_idle=True, min_time_sec=200, include_no_statement=True, max_bytes=500)
+
+
+@register("process_counts_filtered")
+def q_process_counts_filtered(fx: Fixtures) -> DataFrame:
+    return activity.process_counts(fx["processes"], include_idle=True, min_time_sec=200, include_no_statement=True)
+
+
+@register("long_running_ops_filtered")
+def q_long_running_ops_filtered(fx: Fixtures) -> DataFrame:
+    return activity.long_running_ops(fx["current_ops"], min_secs=200)
+
+
+@register("process_statement_history_one")
+def q_process_statement_history_one(fx: Fixtures) -> DataFrame:
+    return activity.process_statement_history(fx["threads"], fx["statement_history"], process_id=501)
+
+
+@register("unused_indexes_filtered")
+def q_unused_indexes_filtered(fx: Fixtures) -> DataFrame:
+    return activity.unused_indexes(fx["cat_index_columns"], fx["plan_rows"], database="Brand#11")
+
+
+@register("event_lookback_filtered")
+def q_event_lookback_filtered(fx: Fixtures) -> DataFrame:
+    e = ts.event_lookback(fx["instance_events"], AS_OF, minutes=1440, source="db-3")
+    return e.withColumn("categories", F.array_join("categories", ","))
+
+
+@register("replica_lag_filtered")
+def q_replica_lag_filtered(fx: Fixtures) -> DataFrame:
+    return ts.replica_lag(fx["instances"], fx["metric_points"], AS_OF, source="db-4", metric="read_latency",
+                          lookback="3 days", period="1 hour")
+
+
+@register("backup_inventory_filtered")
+def q_backup_inventory_filtered(fx: Fixtures) -> DataFrame:
+    return inv.backup_inventory(fx["backups"], instance="db-7", kind="manual")
+
+
+@register("secret_inventory_filtered")
+def q_secret_inventory_filtered(fx: Fixtures) -> DataFrame:
+    return inv.secret_inventory(fx["secrets"], name="Building")
+
+
+@register("host_inventory_filtered")
+def q_host_inventory_filtered(fx: Fixtures) -> DataFrame:
+    return inv.host_inventory(fx.host_reservations(), text="WEB-b")
+
+
+@register("health_events_filtered")
+def q_health_events_filtered(fx: Fixtures) -> DataFrame:
+    return inv.health_events(fx["health_feed"], fx["health_details"], service="RDS", status="open")
+
+
+@register("config_key_audit_filtered")
+def q_config_key_audit_filtered(fx: Fixtures) -> DataFrame:
+    return inv.config_key_audit(fx["config_blobs"], key_filter="DB_")

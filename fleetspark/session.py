@@ -37,14 +37,17 @@ def local_session(cpus: int | str = "*", app: str = "fleetspark", **conf: str) -
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a scratch one only if unset.
+    """Return the session's checkpoint folder; create a scratch one only for a local session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only a local test session (no setting) gets a fresh folder under /tmp.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
+    is; without it there is no folder that driver and executors share, which is
+    an error.  A local session (one process) gets a fresh folder under /tmp.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="fleetspark-ckpt-", dir=os.environ.get("FLEETSPARK_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     try:

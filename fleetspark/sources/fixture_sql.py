@@ -20,7 +20,9 @@ SELECT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id,
        CASE WHEN p_partkey % 16 = 7 THEN NULL WHEN p_partkey % 23 = 0 THEN 0 ELSE p_size * 16384 * (p_partkey % 5) END AS index_length,
        CASE WHEN p_partkey % 16 = 7 THEN NULL WHEN p_partkey % 23 = 0 THEN 0 ELSE (p_partkey % 6) * 1048576 END AS data_free,
        CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey * 1000003 END AS auto_increment,
-       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS table_comment
+       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS table_comment,
+       CASE WHEN p_partkey % 10 = 6 THEN NULL ELSE TIMESTAMP '2023-05-06 07:08:09' END AS create_time,
+       CASE WHEN p_partkey % 3 = 1 THEN TIMESTAMP '2024-01-20 21:22:23' END AS update_time
 FROM part
 """
 
@@ -100,7 +102,13 @@ FIXTURE_SQL["plan_rows"] = """\
 SELECT instance_id, table_schema AS database_name, table_name, 1 AS id, 'SIMPLE' AS select_type,
        CASE WHEN seq_in_index = 1 THEN 'ref' ELSE 'ALL' END AS access_type,
        CASE WHEN index_name IN ('PRIMARY', 'ix_2') AND seq_in_index = 1 THEN index_name END AS used_key,
-       100 * seq_in_index AS est_rows
+       100 * seq_in_index AS est_rows,
+       CASE WHEN seq_in_index = 3 THEN 'p0,p1' END AS partitions,
+       CASE WHEN seq_in_index < 3 THEN 'PRIMARY,ix_2' END AS possible_keys,
+       CASE WHEN index_name = 'PRIMARY' AND seq_in_index = 1 THEN '8' END AS key_len,
+       CASE WHEN seq_in_index = 1 THEN 'const' END AS ref,
+       CASE WHEN seq_in_index = 4 THEN NULL ELSE CAST(100 AS DOUBLE) / seq_in_index END AS filtered,
+       CASE WHEN seq_in_index = 2 THEN 'Using where' END AS extra
 FROM cat_index_columns
 """
 
@@ -117,15 +125,22 @@ FROM part
 """
 
 FIXTURE_SQL["pg_namespaces"] = """\
-SELECT * FROM (VALUES (1, 'pg_catalog'), (2, 'public'), (3, 'sales')) AS v(oid, nspname)
+SELECT DISTINCT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id, 1 AS oid, 'pg_catalog' AS nspname FROM part
+UNION ALL
+SELECT DISTINCT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id, 2 AS oid, 'public' AS nspname FROM part
+UNION ALL
+SELECT DISTINCT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id, 3 AS oid, 'sales_' || CAST(p_partkey % 10 AS STRING) AS nspname FROM part
 """
 
 FIXTURE_SQL["pg_roles"] = """\
-SELECT * FROM (VALUES (0, 'postgres'), (1, 'app')) AS v(oid, rolname)
+SELECT DISTINCT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id, 0 AS oid, 'postgres' AS rolname FROM part
+UNION ALL
+SELECT DISTINCT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id, 1 AS oid, 'app_' || CAST(p_partkey % 10 AS STRING) AS rolname FROM part
 """
 
 FIXTURE_SQL["pg_access_methods"] = """\
-SELECT * FROM (VALUES (2, 'heap')) AS v(oid, amname)
+SELECT DISTINCT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id, 2 AS oid,
+       CASE WHEN p_partkey % 10 = 4 THEN 'heap_v2' ELSE 'heap' END AS amname FROM part
 """
 
 FIXTURE_SQL["pg_user_stats"] = """\
@@ -216,7 +231,7 @@ SELECT instance_id, snapshot_id,
     || CASE WHEN history_list_length IS NULL THEN '' ELSE 'History list length ' || CAST(history_list_length AS STRING) || chr(10) END
     || 'MySQL thread id 99, not in the deadlock section' || chr(10) || 'SELECT 1' || chr(10)
     || '1.50 reads/s, 16384 avg bytes/read, 2.25 writes/s, 0.75 log writes/s' || chr(10)
-    || 'Log sequence number ' || CAST(snapshot_id * 100 AS STRING) || chr(10)
+    || 'Log sequence number' || repeat(' ', CAST(1 + snapshot_id % 10 AS INT)) || CAST(snapshot_id * 100 AS STRING) || chr(10)
     || 'Log flushed up to   ' || CAST(snapshot_id * 99 AS STRING) || chr(10)
     || 'Last checkpoint at  ' || CAST(snapshot_id * 98 AS STRING) || chr(10)
     || 'Buffer pool size   8191' || chr(10) || 'Free buffers       1024' || chr(10)
@@ -249,7 +264,11 @@ FROM lineitem
 
 FIXTURE_SQL["threads"] = """\
 SELECT 'db-' || CAST(s_suppkey % 10 AS STRING) AS instance_id, s_suppkey AS thread_id,
-       CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_suppkey + 500 END AS processlist_id
+       CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_suppkey + 500 END AS processlist_id,
+       'u' || CAST(s_nationkey AS STRING) AS user_name, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE '10.0.1.' || CAST(s_suppkey % 250 AS STRING) END AS host,
+       CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'app' END AS db, CASE WHEN s_suppkey % 2 = 0 THEN 'Sleep' ELSE 'Query' END AS command,
+       CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_suppkey % 400 END AS time_sec, CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE 'executing' END AS state,
+       CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE 'select ' || CAST(s_suppkey AS STRING) END AS info
 FROM supplier
 """
 
@@ -292,7 +311,10 @@ SELECT 'db-' || CAST(user_id % 10 AS STRING) AS source_identifier, ts AS event_t
 
 FIXTURE_SQL["health_feed"] = """\
 SELECT 'arn:' || CAST(event_id AS STRING) AS arn, CASE WHEN user_id % 2 = 0 THEN 'RDS' ELSE 'EC2' END AS service,
-       CASE event_id % 3 WHEN 0 THEN 'open' WHEN 1 THEN 'closed' ELSE 'upcoming' END AS status, ts AS start_time
+       CASE event_id % 3 WHEN 0 THEN 'open' WHEN 1 THEN 'closed' ELSE 'upcoming' END AS status, ts AS start_time,
+       'TYPE_' || upper(event_type) AS type_code, CASE WHEN event_id % 2 = 0 THEN 'issue' ELSE 'scheduledChange' END AS type_category,
+       CASE WHEN event_id % 10 = 0 THEN NULL ELSE 'region-' || CAST(user_id % 4 AS STRING) END AS region,
+       CASE WHEN event_id % 3 = 1 THEN ts END AS end_time, CASE WHEN event_id % 6 <> 0 THEN ts END AS last_updated
 FROM events
 """
 
@@ -329,7 +351,8 @@ FROM customer
 FIXTURE_SQL["backups"] = """\
 SELECT 's-' || CAST(o_orderkey AS STRING) AS identifier, 'db-' || CAST(o_custkey % 100 AS STRING) AS instance_id,
        CASE WHEN o_orderstatus = 'F' THEN 'manual' ELSE 'automated' END AS snapshot_type, 'available' AS status, o_orderdate AS created_at,
-       o_orderkey % 500 AS allocated_storage_gb, o_orderkey % 2 = 0 AS encrypted, 100 AS percent_progress
+       o_orderkey % 500 AS allocated_storage_gb, o_orderkey % 2 = 0 AS encrypted, 100 AS percent_progress,
+       CASE WHEN o_custkey % 3 = 0 THEN 'postgres' ELSE 'mysql' END AS engine, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE '8.0.' || CAST(o_custkey % 40 AS STRING) END AS engine_version
 FROM orders
 """
 
@@ -344,7 +367,7 @@ FIXTURE_SQL["parameters"] = """\
 SELECT 'db-' || CAST(p_partkey % 10 AS STRING) AS instance_id, p_partkey % 2 AS group_position, 'pg-' || CAST(p_partkey % 2 AS STRING) AS parameter_group,
        'param_' || CAST(p_partkey AS STRING) AS name, CAST(p_size AS STRING) AS value,
        CASE p_partkey % 3 WHEN 0 THEN 'user' WHEN 1 THEN 'system' ELSE 'engine-default' END AS source, 'integer' AS data_type, 'dynamic' AS apply_type,
-       p_partkey % 4 <> 0 AS is_modifiable
+       p_partkey % 4 <> 0 AS is_modifiable, CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_name END AS description
 FROM part
 """
 
@@ -356,19 +379,26 @@ FROM orders
 
 FIXTURE_SQL["secrets"] = """\
 SELECT c_mktsegment || '/db/' || CAST(c_custkey AS STRING) AS name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END AS description,
-       c_custkey % 2 = 0 AS rotation_enabled, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE TIMESTAMP '2024-01-03 00:00:00' END AS last_changed
+       c_custkey % 2 = 0 AS rotation_enabled, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE TIMESTAMP '2024-01-03 00:00:00' END AS last_changed,
+       'arn:secret:' || CAST(c_custkey AS STRING) AS arn, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE TIMESTAMP '2024-01-29 00:00:00' END AS last_accessed
 FROM customer
 """
 
 FIXTURE_SQL["config_blobs"] = """\
 SELECT 'cfg-' || CAST(event_id AS STRING) AS name,
-       CASE WHEN event_id % 5 = 0 THEN 'plain text' ELSE '{"DB_Host": "h", "db_port": ' || CAST(event_id % 9000 AS STRING) || ', "region": "eu"}' END AS blob
+       CASE WHEN event_id % 5 = 0 THEN 'plain text' WHEN event_id % 11 = 0 THEN ' null'
+            WHEN event_id % 7 = 0 THEN '{"db_port": 1, "DB_Host": "h", "region": "eu", "db_port": ' || CAST(event_id % 9000 AS STRING) || ', "db_port": 7, "region": "us"}' ELSE '{"DB_Host": "h", "db_port": ' || CAST(event_id % 9000 AS STRING) || ', "region": "eu"}' END AS blob
 FROM events
 """
 
 FIXTURE_SQL["server_status"] = """\
 SELECT instance_id, snapshot_id, uptime, threads_connected AS conn_current, max_connections AS conn_available, connections AS conn_total_created,
        innodb_log_waits AS op_insert, sort_scan AS op_query, sort_range AS op_update, open_files AS lock_queue_total,
-       innodb_buffer_pool_pages_dirty AS mem_resident_mb, snapshot_id * 1500001 AS lock_total_micros, innodb_os_log_written AS net_bytes_in
+       innodb_buffer_pool_pages_dirty AS mem_resident_mb, snapshot_id * 1500001 AS lock_total_micros, innodb_os_log_written AS net_bytes_in,
+       'host-' || instance_id AS host, CASE WHEN snapshot_id % 13 = 0 THEN NULL ELSE server_version END AS version,
+       sort_merge_passes AS op_delete, threads_cached AS op_getmore, threads_created AS op_command,
+       innodb_buffer_pool_pages_dirty * 3 AS mem_virtual_mb, innodb_os_log_written * 2 AS net_bytes_out, connections * 7 AS net_requests,
+       open_files % 5 AS lock_queue_readers, open_files % 3 AS lock_queue_writers, threads_connected AS lock_active_total,
+       threads_connected % 7 AS lock_active_readers, threads_connected % 5 AS lock_active_writers
 FROM counter_snapshots
 """

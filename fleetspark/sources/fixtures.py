@@ -134,7 +134,9 @@ SNAPSHOT_KEYS = ("instance_id", "snapshot_id", "captured_at")
 def counters_long(wide: DataFrame) -> DataFrame:
     """Wide snapshot rows -> (instance_id, snapshot_id, captured_at, scope, name, value STRING).
 
-    ``instance_class`` (known from the inventory, not a counter) travels as scope 'meta'.
+    Status names are written as servers report them, with a capital first
+    letter; settings are in lower case.  ``instance_class`` (known from the
+    inventory, not a counter) travels as scope 'meta'.
     """
     value_cols = [c for c in wide.columns if c not in SNAPSHOT_KEYS]
     as_text = wide.select(*SNAPSHOT_KEYS, *[F.col(c).cast("string").alias(c) for c in value_cols])
@@ -142,7 +144,9 @@ def counters_long(wide: DataFrame) -> DataFrame:
     scope = (F.when(F.col("name") == "instance_class", F.lit("meta"))
              .when(F.col("name").isin(*SETTING_NAMES), F.lit("variables"))
              .otherwise(F.lit("status")))
-    return long.where(F.col("value").isNotNull()).select(*SNAPSHOT_KEYS, scope.alias("scope"), "name", "value")
+    server = F.concat(F.upper(F.left("name", F.lit(1))), F.substring("name", 2, 200))
+    name = F.when(scope == "status", server).otherwise(F.col("name"))
+    return long.where(F.col("value").isNotNull()).select(*SNAPSHOT_KEYS, scope.alias("scope"), name.alias("name"), "value")
 
 
 def instances_nested(flat: DataFrame) -> DataFrame:
@@ -172,13 +176,18 @@ def hosts_nested(flat: DataFrame) -> DataFrame:
 def server_status_nested(flat: DataFrame) -> DataFrame:
     """Server status rows as the nested serverStatus document."""
     return flat.select(
-        "instance_id", "snapshot_id", F.col("uptime").alias("uptime"),
+        "instance_id", "snapshot_id", "host", "version", F.col("uptime").alias("uptime"),
         F.struct(F.col("conn_current").alias("current"), F.col("conn_available").alias("available"),
                  F.col("conn_total_created").alias("total_created")).alias("connections"),
         F.struct(F.col("op_insert").alias("insert"), F.col("op_query").alias("query"),
-                 F.col("op_update").alias("update")).alias("opcounters"),
-        F.struct(F.struct(F.col("lock_queue_total").alias("total")).alias("current_queue"),
+                 F.col("op_update").alias("update"), F.col("op_delete").alias("delete"),
+                 F.col("op_getmore").alias("getmore"), F.col("op_command").alias("command")).alias("opcounters"),
+        F.struct(F.struct(F.col("lock_queue_total").alias("total"), F.col("lock_queue_readers").alias("readers"),
+                          F.col("lock_queue_writers").alias("writers")).alias("current_queue"),
+                 F.struct(F.col("lock_active_total").alias("total"), F.col("lock_active_readers").alias("readers"),
+                          F.col("lock_active_writers").alias("writers")).alias("active_clients"),
                  F.col("lock_total_micros").alias("total_time_micros")).alias("global_lock"),
-        F.struct(F.col("mem_resident_mb").alias("resident")).alias("mem"),
-        F.struct(F.col("net_bytes_in").alias("bytes_in")).alias("network"),
+        F.struct(F.col("mem_resident_mb").alias("resident"), F.col("mem_virtual_mb").alias("virtual")).alias("mem"),
+        F.struct(F.col("net_bytes_in").alias("bytes_in"), F.col("net_bytes_out").alias("bytes_out"),
+                 F.col("net_requests").alias("num_requests")).alias("network"),
     )

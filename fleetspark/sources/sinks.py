@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = "instance_id",
-                 mode: str = "overwrite") -> str:
+                 mode: str = "errorifexists") -> str:
     """Write ``df`` under ``path``; readers prune instances by folder.
 
-    Each task sorts its own rows by the partition column and writes one file
-    per instance it holds.  There is deliberately no shuffle by instance: one
-    busy instance holding a third of the rows would land in a single task.
+    Rows are rebalanced by the partition column first: adaptive execution packs
+    small instances together and splits a busy one over several tasks, so the
+    number of files follows the size of the report, not tasks x instances.
     """
-    w = df
-    if partition_by:
-        w = df.sortWithinPartitions(partition_by)
+    w = df.hint("rebalance", partition_by) if partition_by else df
     writer = w.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(partition_by)

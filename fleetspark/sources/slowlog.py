@@ -1,8 +1,11 @@
 """S2 source: slow-query log files read as one record per entry.
 
-``spark.read.text`` with the entry heading as record separator splits the file
-into entries in parallel (files are split at block boundaries by Hadoop's
-line reader with a custom delimiter), so a large log is not read by one task.
+``spark.read.text`` with the time heading as record separator splits files in
+parallel (at block boundaries), so a large log is not read by one task.  A
+heading counts only at the start of a line.  What stands under a heading is
+split again at lines that begin with ``# User@Host:``, as the server writes the
+time once for entries of the same moment.  Start-up lines of the server are no
+entries.
 """
 
 from __future__ import annotations
@@ -10,16 +13,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENTRY_SEPARATOR = "# Time: "          # fixed value: heading of each slow-log entry
+# The lines a slow log is made of.
+HEADING = "# Time: "
+ENTRY = "# User@Host:"
+STARTUP = r"(?m)^[^\n#]*, Version: [^\n]*started with:\n[^\n]*\nTime +Id +Command +Argument(\n|$)"
 
 
 def read_slow_log(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, log_time, record_text) per entry; the heading's time is split off."""
-    raw = spark.read.option("lineSep", ENTRY_SEPARATOR).text(path)
-    v = F.col("value")
-    nl = F.instr(v, "\n")
-    return (raw.where(F.trim(v) != "")
-            .select(F.col("_metadata.file_path").alias("file_path"),
-                    F.when(nl > 0, F.trim(v.substr(F.lit(1), nl - 1))).alias("log_time"),
-                    F.regexp_replace(F.when(nl > 0, v.substr(nl + 1, F.length(v))).otherwise(v), r"\n+$", "")
-                    .alias("record_text")))
+    """(file_path, log_time, record_text) per entry; ``log_time`` is null for
+    entries before the first heading of a file."""
+    raw = spark.read.option("lineSep", "\n" + HEADING).text(path)
+    headed = F.regexp_replace("value", "^" + HEADING, "")
+    # the rest of a heading's line is the time; only what stands before a file's first heading has none
+    time = F.regexp_extract(headed, r"^(\d[^\n]*)", 1)
+    body = F.regexp_replace(F.regexp_replace(headed, r"^\d[^\n]*(\n|$)", ""), STARTUP, "")
+    entries = F.filter(F.split(body, f"(?m)^(?={ENTRY})"), lambda e: e.startswith(ENTRY))
+    return (raw.select(F.col("_metadata.file_path").alias("file_path"), F.nullif(F.trim(time), F.lit("")).alias("log_time"),
+                       F.explode(entries).alias("entry"))
+            .select("file_path", "log_time", F.regexp_replace("entry", r"\n+$", "").alias("record_text")))

@@ -21,20 +21,16 @@ def table_path(sf_dir: str, name: str) -> str:
     return path if os.path.exists(path) else os.path.join(sf_dir, name)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    Parallelism floor: a small input stored as one row group is a single scan
-    task, and every per-row step after it (regex parsing, unpivots) would run
-    on one core.  When the scan has fewer splits than the session's default
-    parallelism, its rows are spread round-robin over that many partitions.
-    A large input (many splits) is returned untouched, so at cluster scale
-    this adds nothing; pruned columns and pushed filters still reach the scan.
+    How many tasks a small table is read by is the session's business
+    (``spark.sql.files.minPartitionNum``, ``spark.sql.files.maxPartitionBytes``).
     """
-    df = spark.read.parquet(table_path(sf_dir, name))
-    floor = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote client): keep the scan as is
-        return df
-    return df.repartition(floor) if n < floor else df
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def stream_path(sf_dir: str, name: str) -> str:
+    """A table's path for a file stream.  A stream takes folders and patterns
+    only; this pattern has one match, the file or folder of the table."""
+    return f"{sf_dir.rstrip('/')}/{name}.parque[t]"

@@ -30,9 +30,3 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: s
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-
-
-def stage_table(df: DataFrame, path: str) -> str:
-    """Write a batch DataFrame as parquet files a file stream can read."""
-    df.write.mode("errorifexists").parquet(path)
-    return path

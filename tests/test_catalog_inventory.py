@@ -94,3 +94,12 @@ def test_cloud_metric_names_per_engine(spark):
     assert got["a"]["free_storage_gb"] == 2.0 and got["a"]["cpu_percent"] == 50.0
     assert got["b"]["free_storage_gb"] == 4.0 and got["b"]["network_rx_mib_s"] == 2.0
     assert got["b"]["cpu_percent"] == 0.0
+
+
+def test_catalog_ids_are_per_instance(spark):
+    from fleetspark.operators import catalog
+    roles = spark.createDataFrame([("i1", 10, "alice"), ("i2", 10, "bob")], "instance_id string, oid int, rolname string")
+    dbs = spark.createDataFrame([("i1", "d1", 10, "UTF8", "C", -1, False, 2 << 20), ("i2", "d2", 10, "UTF8", "C", -1, False, 1 << 20)],
+                                "instance_id string, datname string, datdba int, encoding string, datcollate string, datconnlimit int, datistemplate boolean, size_bytes long")
+    got = sorted((r["instance_id"], r["owner"], r["size_mb"]) for r in catalog.pg_database_sizes(dbs, roles).collect())
+    assert got == [("i1", "alice", 2.0), ("i2", "bob", 1.0)]

@@ -15,37 +15,55 @@ def test_lookback_filter_and_pruning_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in p
 
 
-def test_class_lookup_resolved_in_one_pass(spark):
-    # the size-checked class lookup is a map literal: one pass over the
-    # counters (one unpivot of the fixture), no join at all
-    for key in ("hc_buffer_pool_vs_ram", "health_report"):
-        p = _plan(QUERIES[key](spark, SF_SMALL))
-        assert p.count("Expand [") == 1 and "SortMergeJoin" not in p and "BroadcastHashJoin" not in p, key
-
-
-def test_class_lookup_falls_back_to_a_join(spark):
+def test_class_lookup_is_left_to_spark_and_takes_repeated_classes(spark):
     from fleetspark.operators import checks
     from fleetspark.sources.fixtures import Fixtures
-    import fleetspark.operators.checks as mod
     fx = Fixtures(spark, SF_SMALL)
-    old = mod.lookup_map
-    mod.lookup_map = lambda *a, **k: None          # lookup "too large" for a literal
-    try:
-        df = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, fx["class_memory"])
-        p = _plan(df)
-        n = df.count()
-    finally:
-        mod.lookup_map = old
-    assert "BroadcastHashJoin" in p
-    assert n == checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None,
-                                    fx["class_memory"]).count()
+    mem = fx["class_memory"]
+    once = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, mem)
+    twice = checks.health_check(fx.counter_kv(), "innodb_buffer_pool_size_vs_ram", None, mem.unionByName(mem))
+    assert once.count() > 0 and once.exceptAll(twice).count() == 0 == twice.exceptAll(once).count()
+
+
+def test_scans_are_not_dealt_round_robin(spark):
+    for key, fn in QUERIES.items():
+        if not key.endswith(("_stream", "_files")):
+            assert "RoundRobinPartitioning" not in _plan(fn(spark, SF_SMALL)), key
+
+
+def test_building_a_batch_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for key, fn in QUERIES.items():
+        if key.endswith(("_stream", "_files")):        # these run their stream or write their files
+            continue
+        spark.sparkContext.setJobGroup(f"build-{key}", key)
+        fn(spark, SF_SMALL)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"build-{key}")]
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        # reading a parquet schema is the reader's own one-task job
+        assert all(j is None or len(j.stageIds) == 1 and tracker.getStageInfo(j.stageIds[0]) is None
+                   or "parquet" in (tracker.getStageInfo(j.stageIds[0]).name if tracker.getStageInfo(j.stageIds[0]) else "parquet")
+                   for j in jobs), key
+
+
+def test_no_report_is_sorted_unless_asked(spark):
+    for key, fn in QUERIES.items():
+        if not key.endswith(("_stream", "_files")):
+            assert "rangepartitioning" not in _plan(fn(spark, SF_SMALL)), key
+    from fleetspark.operators import catalog
+    from fleetspark.sources.fixtures import Fixtures
+    assert "rangepartitioning" in _plan(catalog.column_catalog(Fixtures(spark, SF_SMALL)["cat_columns"], sort=True))
+
+
+def test_health_report_counts_without_a_window(spark):
+    assert "Window" not in _plan(QUERIES["health_report"](spark, SF_SMALL))
 
 
 def test_health_report_single_pivot_shuffle(spark):
     df = QUERIES["health_report"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
-    # the pivot aggregate is the only hash-partitioned exchange; the count window reuses it
-    assert p.count("Exchange hashpartitioning") == 1
+    # the pivot aggregate is the only wide exchange (the other is the lookup's, one row per class)
+    assert p.count("Exchange hashpartitioning(instance_id") == 1
 
 
 def test_no_python_udf_in_any_plan(spark):
@@ -68,19 +86,13 @@ def test_top_k_is_limited_before_the_shuffle(spark):
         assert "WindowGroupLimit" in p and "Partial" in p, key
 
 
-def test_kv_prefix_pattern_reaches_the_scan(spark, tmp_dir):
-    import os
+def test_patterns_match_names_in_any_case(spark):
     from fleetspark.operators import counters
-    from fleetspark.sources.fixtures import Fixtures
-    path = os.path.join(tmp_dir, "kv")
-    Fixtures(spark, SF_SMALL).counter_kv().write.parquet(path)
-    stored = spark.read.parquet(path)
-    df = counters.kv_like(stored, "InnoDB_Buffer_Pool%")
-    p = _plan(df)
-    assert "StringStartsWith(name,innodb)" in p        # text before the first wildcard ('_')
-    assert df.count() == counters.kv_like(stored, "innodb_buffer_pool%").count() > 0
-    # no literal text before the first wildcard: nothing to push
-    assert "StringStartsWith" not in _plan(counters.kv_like(stored, "%pool_size"))
+    kv = spark.createDataFrame([("i", 1, "status", n, "1") for n in ("Innodb_buffer_pool_reads", "innodb_buffer_pool_size")],
+                               "instance_id string, snapshot_id long, scope string, name string, value string")
+    for pattern in ("innodb_buffer_pool%", "INNODB%", "%buffer_pool%"):
+        got = counters.kv_like(kv, pattern).collect()
+        assert {r["name"] for r in got} == {"Innodb_buffer_pool_reads", "innodb_buffer_pool_size"}, pattern
 
 
 def test_lookback_prunes_date_partitions(spark, tmp_dir):

@@ -11,11 +11,11 @@ from fleetspark.sources.sinks import write_report
 from fleetspark.sources.slowlog import read_slow_log
 from fleetspark.streaming.alerts import health_alerts_stream
 from fleetspark.streaming.metrics import metric_rollup_stream
-from fleetspark.streaming.runner import run_available_now, stage_table
+from fleetspark.streaming.runner import run_available_now
 
 
 def _stream(spark, df, path):
-    stage_table(df, path)
+    df.write.parquet(path)
     return spark.readStream.schema(df.schema).parquet(path)
 
 
@@ -94,3 +94,67 @@ def test_rollup_stream_drops_points_behind_the_watermark(spark, tmp_dir):
     assert ("00:00", 10.0, 1) in got
     assert ("00:30", 20.0, 1) in got
     assert all(p != "01:00" for p, _, _ in got)      # still open
+
+
+def _folder_copy(spark, tmp_dir, names):
+    """Tables as folders of several files, as large tables are."""
+    out = os.path.join(tmp_dir, "folders")
+    for n in names:
+        spark.read.parquet(f"{SF_SMALL}/{n}.parquet").repartition(3).write.parquet(f"{out}/{n}.parquet")
+    return out
+
+
+def test_streams_read_folders_and_remote_style_paths(spark, tmp_dir):
+    from fleetspark.registry import QUERIES
+    folder = _folder_copy(spark, tmp_dir, ["events", "orders"])
+    for key in ("metric_rollup_stream", "health_alerts_stream"):
+        want = QUERIES[key](spark, SF_SMALL)
+        for path in (folder, f"file://{folder}", f"file://{SF_SMALL}"):
+            got = QUERIES[key](spark, path)
+            assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0, (key, path)
+
+
+def test_rollup_stream_with_open_periods_equals_batch(spark):
+    from fleetspark.registry import QUERIES
+    a, b = QUERIES["metric_rollup_stream"](spark, SF_SMALL), QUERIES["metric_rollup"](spark, SF_SMALL)
+    assert a.count() == b.count() and a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_report_files_do_not_multiply(spark, tmp_dir):
+    df = spark.range(5000).select((F.col("id") % 50).alias("instance_id"), "id").repartition(16)
+    path = write_report(df, os.path.join(tmp_dir, "many"))
+    assert sum(f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs) < 200
+    import pytest
+    with pytest.raises(Exception, match="(?i)exist"):
+        write_report(df, path)
+
+
+def test_slow_log_entries(spark, tmp_dir):
+    """A start-up text, two entries under one heading, a heading's text inside a statement."""
+    start = "/usr/sbin/mysqld, Version: 8.0.36 (MySQL). started with:\nTcp port: 3306  Unix socket: /s\nTime                 Id Command    Argument\n"
+    entry = lambda u, sql: f"# User@Host: {u}[{u}] @ h [1.1.1.1]\n# Query_time: 1.00  Lock_time: 0.00 Rows_sent: 1  Rows_examined: 2\n{sql}\n"
+    text = (start + "# Time: 2024-01-01T00:00:00Z\n" + entry("a", "select 1;") + entry("b", "select '# Time: x';")
+            + "# Time: 2024-01-01T00:00:09Z\n" + entry("c", "select 3\nfrom t;") + start + "# Time: 2024-01-02T00:00:00Z\n" + entry("d", "select 4;"))
+    path = os.path.join(tmp_dir, "server.log")
+    with open(path, "w") as f:
+        f.write(text)
+    got = {(r["log_time"], r["record_text"].split("[")[0][-1], r["record_text"].split("\n", 2)[2]) for r in read_slow_log(spark, path).collect()}
+    assert got == {("2024-01-01T00:00:00Z", "a", "select 1;"), ("2024-01-01T00:00:00Z", "b", "select '# Time: x';"),
+                   ("2024-01-01T00:00:09Z", "c", "select 3\nfrom t;"), ("2024-01-02T00:00:00Z", "d", "select 4;")}
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from fleetspark import session
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self):  # noqa: E301
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

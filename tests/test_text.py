@@ -83,3 +83,42 @@ def test_slow_record_parse(spark):
     r = textops.slow_log_records(df).collect()[0]
     assert (r["query_ms"], r["lock_ms"], r["rows_sent"], r["rows_examined"]) == (8370.0, 10.0, 3, 44)
     assert r["user_host"] == "app[app] @ h [10.0.0.1]" and r["sql_text"] == "select 1;"
+
+
+def test_statements_are_cut_on_bytes_and_whole_characters(spark):
+    from pyspark.sql import functions as F
+    from fleetspark.functions.text import cut_bytes
+    texts = ["", "abc", "a" * 600, "é" * 600, "a" + "é" * 300, "日本" * 200, "🙂" * 130]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, got in df.select("t", cut_bytes("t", 500).alias("c")).collect():
+        assert got == t.encode()[:500].decode(errors="ignore")
+
+
+def test_percentiles_are_exact(spark):
+    import random
+    import numpy as np
+    from fleetspark.plans.percentile import exact_percentiles
+    rng = random.Random(1)
+    rows = [(k, rng.choice([rng.uniform(0, 1e6), rng.uniform(-5, 5), 7.25, 0.0])) for k in ("a", "b", None) for _ in range(rng.randint(1, 800))]
+    rows += [("one", 3.5), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in exact_percentiles(df, ["k"], "v", {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}).collect()}
+    assert set(got) == {"a", "b", None, "one"}
+    for k, r in got.items():
+        vals = [v for x, v in rows if x == k and v is not None]
+        for name, p in (("p50", 50), ("p95", 95), ("p0", 0), ("p100", 100)):
+            assert abs(r[name] - np.percentile(vals, p)) < 1e-6 * max(1, abs(r[name]))
+
+
+def test_repeated_json_keys_count_once(spark):
+    from fleetspark.operators import inventory
+    df = spark.createDataFrame([("x", '{"a":1,"a":2}'), ("y", '{"a": 3}'), ("z", "null"), ("w", "text")], "name string, blob string")
+    got = {r["name"]: (r["values"], r["raw_value"], r["n_keys"]) for r in inventory.json_key_filter(df).collect()}
+    assert got == {"x": ({"a": "2"}, None, 1), "y": ({"a": "3"}, None, 1), "z": ({}, None, 0), "w": (None, "text", 0)}
+    assert [tuple(r) for r in inventory.config_key_audit(df).collect()] == [("a", 2)]
+
+
+def test_numbers_after_several_spaces(spark):
+    from fleetspark.operators import textops
+    df = spark.createDataFrame([("i", 1, "Log sequence number          123")], "instance_id string, snapshot_id long, status_text string")
+    assert textops.innodb_status(df).first()["log_sequence_number"] == 123
