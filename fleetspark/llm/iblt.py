@@ -38,7 +38,9 @@ BASE = 4
 SMALLEST = 16
 ROUNDS = 7
 ATTEMPTS = 6
+SPREAD = 4
 SUBTABLES = 3
+NO_ID = -(1 << 63)  # stands for a null id, first in order
 PLACE = 1 << 40  # cell = subtable * PLACE + place
 
 
@@ -116,9 +118,11 @@ def recovered(pairs: DataFrame, keys: list[str], rounds: int = ROUNDS, attempts:
     ``pairs`` is read again for the pairs that an attempt fails on, so it should be a stored table.
     """
     done, rest = None, pairs
+    # a digest becomes dozens of cells, so partitions are small before it
+    parts = SPREAD * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for i in range(attempts):
         size = F.greatest(F.lit(smallest), F.size("left") + F.size("right")).cast("long") * F.lit(1 << i)
-        dealt = rest.select(*keys, "left", "right", size.alias("size")).repartition(*[F.col(k) for k in keys[:2]])
+        dealt = rest.select(*keys, "left", "right", size.alias("size")).repartition(parts, *[F.col(k) for k in keys[:2]])
         got = saved(attempt(dealt, keys, i, rounds))
         good = got.filter("ok").select(*keys, "left_only", "right_only")
         done = good if done is None else done.unionByName(good)
@@ -178,17 +182,17 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     keys = ["k", "h"]
     text = F.coalesce(quoted(text_col), F.lit(""))
-    rows = docs.select(F.coalesce(quoted(id_col).cast("long"), F.lit(-(1 << 63))).alias("k"), quoted(id_col).alias("id"),
-                       text.alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = docs.select(F.coalesce(quoted(id_col).cast("long"), F.lit(NO_ID)).alias("k"), text.alias("text")).withColumn("h", F.xxhash64("text"))
     order = successors(rows.select("k", "h", F.char_length("text").alias("n")).distinct())
-    one = rows.groupBy(*keys).agg(F.first("text").alias("text"), F.first("id").alias("id"), F.count("*").alias("copies"))
-    after = (one.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), "text").join(order, ["next_k", "next_h"])
-             .select(*keys, F.expr("substring(text, 1, n div 2)").alias("head"), digests(F.col("text")).alias("after")))
+    # both sides of the join below read ``text`` and ``copies`` (which is never 0), so that the texts are exchanged once
+    one = rows.groupBy(*keys).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    after = (one.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), "text", "copies").join(order, ["next_k", "next_h"])
+             .select(*keys, F.expr("if(copies > 0, substring(text, 1, n div 2), '')").alias("head"), digests(F.col("text")).alias("after")))
     n = F.char_length("text")
-    both = one.join(after, keys).select(*keys, "id", "copies", n.cast("long").alias("n_chars"), "text", "after",
+    both = one.join(after, keys).select(*keys, "copies", n.cast("long").alias("n_chars"), "text", "after",
                                         F.concat(F.expr("substring(text, 1, char_length(text) - char_length(text) div 2)"), "head").alias("edited"))
     folder = shared_folder(spark, "digests")
-    both.select(*keys, "id", "copies", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("own"),
+    both.select(*keys, "copies", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("own"),
                 digests(F.col("edited")).alias("edited"), "after").write.parquet(folder)
     sets = spark.read.parquet(folder)
 
@@ -200,7 +204,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                                       for kind in (0, 1) for side in ("left_only", "right_only")])
     prints = fingerprints(sets, keys, "own")
     edited = fingerprints(sets, keys, "edited").withColumnRenamed("fingerprint", "edited_fingerprint")
-    facts = sets.select(*keys, "id", "copies", "n_chars", "edited_sha256", F.size("own").alias("own"))
+    facts = sets.select(*keys, "copies", "n_chars", "edited_sha256", F.size("own").alias("own"))
     out = facts.join(wide, keys, "left").join(prints, keys, "left").join(edited, keys, "left")
 
     def likeness(kind: int) -> Column:
@@ -208,6 +212,6 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         union = F.col("own") + right
         return F.when(union == 0, 1.0).otherwise((F.col("own") - left) / union).cast("double")
 
-    return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit(EMPTY)).alias("fingerprint"),
+    return out.select(F.nullif(F.col("k"), F.lit(NO_ID)).alias(id_col), "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit(EMPTY)).alias("fingerprint"),
                       F.coalesce("edited_fingerprint", F.lit(EMPTY)).alias("edited_fingerprint"), likeness(0).alias("near_edited"),
                       likeness(1).alias("near_next"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
