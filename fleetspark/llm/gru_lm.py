@@ -253,8 +253,21 @@ class Lexicon:
 
 
 def lexicon_of(counts: DataFrame, head: int) -> Lexicon:
+    """The head: the words of the highest count buckets that hold ``head`` words at most, found by a histogram of the
+    counts (its buckets are a sixteenth of a doubling wide), so that no task sends more than belongs to the head.
+    Where that gives too few for the symbols, those come from an ordered selection of ``SYMBOLS`` rows."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(head).collect()
+    size = F.floor(F.log2("n") * 16)
+    taken, least = 0, None
+    for r in sorted(counts.groupBy(size.alias("b")).count().collect(), reverse=True):
+        if taken + r["count"] > head:
+            break
+        taken, least = taken + r["count"], r["b"]
+    if taken >= min(SYMBOLS, total["v"]):
+        top = counts.filter(size >= least).collect() if taken else []
+    else:
+        top = counts.orderBy(F.desc("n"), "word").limit(min(SYMBOLS, head)).collect()
+    top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
     return Lexicon([(bytes(r["word"]), r["n"]) for r in top], total["n"], total["v"])
 
 
