@@ -24,7 +24,6 @@ protects nothing; every input row gives one row.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -217,38 +216,52 @@ SPANS = T.StructField("__spans", T.ArrayType(T.StructType([T.StructField("start"
                                                           T.StructField("end", T.LongType())])))
 
 
-def find_personal_data(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
-    """``keep`` columns (default all) of ``docs`` and ``__spans``: (start, kind, end) of base spans by kind, then of
-    revealing terms (kinds ``generalise`` and ``remove``), by start."""
+def marked(texts: list[bytes], spans: list[list[dict]], table) -> None:
+    """Add the spans of a table's terms (hashes, disclosures) that lie outside the base spans."""
+    keys, much = table
+    w = Words(texts, ALNUM)
+    at = np.minimum(np.searchsorted(keys, h := term_hashes(w)), len(keys) - 1)
+    doc = w.doc()
+    begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))) + 1
+    for i in np.flatnonzero(keys[at] == h).tolist():
+        d = doc[i]
+        a = len(texts[d][:w.start[i] - begins[d]].decode("utf-8", "replace"))
+        b = a + len(w.word(i).decode("utf-8", "replace"))
+        if not any(x["start"] < b and a < x["end"] for x in spans[d] if x["kind"] in KINDS):
+            spans[d].append({"start": a, "kind": "remove" if much[at[i]] >= REMOVE else "generalise", "end": b})
+
 
-    def base(texts: list[bytes], _: pa.RecordBatch):
-        return [[[{"start": a, "kind": k, "end": b} for a, k, b in base_spans(t.decode("utf-8", "replace"))] for t in texts]]
+def find_personal_data(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, finish=None, field=SPANS,
+                       **options) -> DataFrame:
+    """``keep`` columns (default all) of ``docs`` and ``__spans``: (start, kind, end) of base spans by kind, then of
+    revealing terms (kinds ``generalise`` and ``remove``), by start.
 
-    names = list(docs.columns if keep is None else keep)
+    With ``finish``, ``field`` holds instead what it makes of texts and spans.  All of it is one pass over the texts,
+    unless the terms fill more than one block.
+    """
+    names = [c for c in (docs.columns if keep is None else keep) if c not in (field.name, "__spans")]
     reveal = disclosures(docs, text_col, **options)
-    out = map_texts(docs, base, [SPANS], text_col, list(dict.fromkeys([*names, text_col])))
+    tables = [None]
     if reveal is not None:
-        for rows in blocks(reveal, options.get("block", BLOCK)):
-            rows = sorted((r["term"], r["disclosure"]) for r in rows)
-            sent = docs.sparkSession.sparkContext.broadcast((np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows])))
-
-            def mark(texts: list[bytes], part: pa.RecordBatch, sent=sent):
-                keys, much = sent.value
-                w = Words(texts, ALNUM)
-                at = np.minimum(np.searchsorted(keys, h := term_hashes(w)), len(keys) - 1)
-                hit = np.flatnonzero(keys[at] == h)
-                doc, spans = w.doc(), part.column(part.num_columns - 1).to_pylist()
-                begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))) + 1
-                for i in hit.tolist():
-                    d = doc[i]
-                    a = len(texts[d][:w.start[i] - begins[d]].decode("utf-8", "replace"))
-                    b = a + len(w.word(i).decode("utf-8", "replace"))
-                    if not any(x["start"] < b and a < x["end"] for x in spans[d] if x["kind"] in KINDS):
-                        spans[d].append({"start": a, "kind": "remove" if much[at[i]] >= REMOVE else "generalise", "end": b})
-                return [spans]
-
-            out = map_texts(out, mark, [SPANS], text_col, out.columns, [F.col("__spans")])
-    return out.select(*[quoted(c) for c in names if c != "__spans"], "__spans")
+        ordered = [sorted((r["term"], r["disclosure"]) for r in rows) for rows in blocks(reveal, options.get("block", BLOCK))]
+        send = docs.sparkSession.sparkContext.broadcast
+        tables = [send((np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows]))) for rows in ordered] or [None]
+    out = docs
+    for i, table in enumerate(tables):
+        last = i == len(tables) - 1
+
+        def fn(texts: list[bytes], part: pa.RecordBatch, first=i == 0, last=last, table=table):
+            if first:
+                spans = [[{"start": a, "kind": k, "end": b} for a, k, b in base_spans(t.decode("utf-8", "replace"))] for t in texts]
+            else:
+                spans = part.column(part.num_columns - 1).to_pylist()
+            if table is not None:
+                marked(texts, spans, table.value)
+            return [finish(texts, spans) if finish and last else spans]
+
+        carried = names if last else list(dict.fromkeys([*names, text_col]))
+        out = map_texts(out, fn, [field if last else SPANS], text_col, carried, [F.col("__spans")] if i else ())
+    return out
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:
@@ -283,14 +296,11 @@ def cleaned(s: str, spans: list[dict]) -> str:
 
 def sanitised(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", **options) -> DataFrame:
     """``docs`` with the texts sanitised (null stays null) and ``chars_col``, if there is one, counted anew."""
-    found = find_personal_data(docs, text_col, **options)
 
-    def fn(texts: list[bytes], part: pa.RecordBatch):
-        spans = part.column(part.num_columns - 1).to_pylist()
-        return [[cleaned(t.decode("utf-8", "replace"), x) if x else None for t, x in zip(texts, spans)]]
+    def finish(texts: list[bytes], spans: list[list[dict]]) -> list:
+        return [cleaned(t.decode("utf-8", "replace"), x) if x else None for t, x in zip(texts, spans)]
 
-    made = map_texts(found, fn, [T.StructField("__clean", T.StringType())], text_col,
-                     [c for c in found.columns if c != "__spans"], [F.col("__spans")])
+    made = find_personal_data(docs, text_col, finish=finish, field=T.StructField("__clean", T.StringType()), **options)
     out = made.withColumn(text_col, F.coalesce("__clean", quoted(text_col)))
     if chars_col in docs.columns:
         changed = F.when(F.col("__clean").isNotNull(), F.char_length("__clean").cast(docs.schema[chars_col].dataType))
