@@ -223,6 +223,18 @@ def test_decontamination_edges(spark, edges, nothing, size):
     assert set(edges.columns) - {"items", "n_words"} < set(kept.columns) and kept.count() == edges.count()
 
 
+@pytest.mark.parametrize("key", sorted(queries.ORACLES))
+def test_queries_with_sql(spark, key):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    got = queries.QUERIES[key](spark, "/root/testdata/sf0.001")
+    rel = con.sql(queries.ORACLES[key])
+    assert by_row(got, *rel.columns) == sorted(rel.fetchall(), key=repr)
+
+
 # ------------------------------------------------------------ tokens
 
 @pytest.fixture(scope="module")
