@@ -34,7 +34,7 @@ from .words import MIX1, MIX2
 NGRAMS = (1, 2, 3)
 BITS = 15
 DIMENSION = 1 << BITS
-PER_LANGUAGE = 800
+PER_LANGUAGE = 250
 L1, L2, ALPHA, BETA = 1e-4, 1e-4, 0.5, 1.0
 EPOCHS = 4
 
@@ -81,8 +81,8 @@ def counts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]
 
 
 def vector(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = (1 + np.log(n)) * idf[at]
-    return x / max(np.sqrt(x @ x), 1e-12)
+    x = ((1 + np.log(n)) * idf[at]).astype(np.float32)
+    return x / max(np.sqrt(x @ x), np.float32(1e-12))
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -112,8 +112,8 @@ def document_frequencies(rows: DataFrame, text_col: str) -> tuple[np.ndarray, in
     return df[:DIMENSION], int(df[DIMENSION])
 
 
-def sample(rows: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> list:
-    """``lang, at, n`` of the sampled rows: at most ``per_language`` a language."""
+def sample(rows: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
+    """``lang, h, at, n`` of the sampled rows: at most ``per_language`` a language."""
     h = F.xxhash64(quoted(id_col), quoted(text_col))
     rows = rows.select(quoted(lang_col).alias("lang"), quoted(text_col).alias("text"), h.alias("h"))
     order = Window.partitionBy("lang").orderBy("h")
@@ -126,17 +126,39 @@ def sample(rows: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
         got = [x or (np.zeros(0, np.int64), np.zeros(0, np.int64)) for x in counts(texts)]
         return [[a.astype(np.int32).tobytes() for a, _ in got], [n.astype(np.int32).tobytes() for _, n in got]]
 
-    return map_texts(small, fn, fields, "text", ["lang", "h"]).orderBy("h", "lang").collect()
+    return map_texts(small, fn, fields, "text", ["lang", "h"])
 
 
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = PER_LANGUAGE) -> Model:
+    """The model of all rows with a text and a language.  The bounded sample is learned in one task."""
     rows = rows.filter(quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
     df, n = document_frequencies(rows, text_col)
-    idf = np.log((1 + n) / (1 + df)) + 1
-    got = [(r["lang"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32))
-           for r in sample(rows, id_col, text_col, lang_col, per_language)]
-    got = [x for x in got if len(x[1])]
+    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    sent = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = []
+        for batch in batches:
+            got += zip(*(batch.column(i).to_pylist() for i in range(4)))
+        model = fitted([(lang, np.frombuffer(at, np.int32), np.frombuffer(m, np.int32))
+                        for lang, _, at, m in sorted(got, key=lambda x: (x[1], x[0])) if at], sent.value)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.languages], pa.list_(pa.string())), pa.array([model.weights.astype("<f4").tobytes()]),
+             pa.array([model.bias.astype("<f4").tobytes()]), pa.array([model.temperature])],
+            names=["languages", "weights", "bias", "temperature"])
+
+    one = sample(rows, id_col, text_col, lang_col, per_language).repartition(1)
+    made = one.mapInArrow(run, "languages array<string>, weights binary, bias binary, temperature double").first()
+    if made is None:
+        return fitted([], idf)
+    names = list(made["languages"])
+    return Model(names, idf, np.frombuffer(made["weights"], "<f4").reshape(DIMENSION, len(names)),
+                 np.frombuffer(made["bias"], "<f4"), made["temperature"])
+
+
+def fitted(got: list, idf: np.ndarray) -> Model:
+    """The model of rows (language, buckets, counts)."""
     languages = sorted({x[0] for x in got})
     k = len(languages)
     data = [(languages.index(lang), at, vector(at, m, idf)) for lang, at, m in got]
