@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -17,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task; only working memory depends on it.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +28,15 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` materialised by a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def saved(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` as a table written in the shared folder, its lineage cut.
+
+    Unlike a checkpoint, a written table doesn't hand the plan's inferred
+    constraints on; in loops they would grow with every step.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -101,13 +105,3 @@ def map_texts(df: DataFrame, fn: Callable[[list[bytes], pa.RecordBatch], Sequenc
 def row_keys(seen: int, n: int) -> np.ndarray:
     """Keys of ``n`` rows after ``seen`` others of this task, unique over the tasks of one stage."""
     return (np.int64(TaskContext.get().partitionId()) << np.int64(40)) + np.arange(seen, seen + n, dtype=np.int64)
-
-
-def small_rows(df: DataFrame, most: int) -> list | None:
-    """The rows of ``df`` if there are at most ``most``, else None; never more than ``most + 1`` reach the driver."""
-    rows = df.limit(most + 1).collect()
-    return rows if len(rows) <= most else None
-
-
-def package_path() -> str:
-    return os.path.dirname(os.path.abspath(__file__))

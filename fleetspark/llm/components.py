@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
     In each round a node takes its smallest neighbour (or itself) as parent,
     parents are followed to their end by doubling, and the edges move to those
     ends; inner edges go.  The smallest node of a component is always its own
-    parent, so it is the one that remains.  Every step is checkpointed in the
+    parent, so it is the one that remains.  Every step is a table written in the
     shared folder: lost executors cost a step at most.
     """
     live = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

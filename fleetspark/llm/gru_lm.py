@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, quoted, row_keys, shared_folder, texts_of
+from .common import chunks, quoted, row_keys, saved, texts_of
 from .words import SOLID, Words
 
 SYMBOLS, PER_CLASS = 256, 16
@@ -47,13 +47,6 @@ HELD = 1 << 23
 END = b""  # no word is empty
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table written in the shared folder."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def token_counts(rows: DataFrame, text_col: str) -> DataFrame:
     """``word`` (bytes; the end token is empty), ``n``: counts of all tokens of all rows."""
 
@@ -294,7 +287,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row, learning from the others."""
     spark = docs.sparkSession
     learn = docs.filter(~held_out)
-    counts = stored(token_counts(learn, text_col), "word-counts")
+    counts = saved(token_counts(learn, text_col), "word-counts")
     lex = lexicon_of(counts, head)
     lexicon = spark.sparkContext.broadcast(lex)
     net = train(new_network(lex.n), sampled(learn, id_col, text_col, lexicon, sample), lex.end)

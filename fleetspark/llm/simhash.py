@@ -27,9 +27,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,7 +107,7 @@ def links(fps: DataFrame) -> DataFrame:
     rows = labelled.select("fp", "label", F.explode(signatures()).alias("sig"))
     x, y = rows.alias("x"), rows.alias("y")
     differs = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
-    at, left = F.shiftright("x.sig", 27), F.shiftright("x.sig", 22).bitwiseAND(F.lit(31))
+    at = F.shiftright("x.sig", 27)
     part = F.when(at == 0, segment(differs, *SEGMENTS[0])).when(at == 1, segment(differs, *SEGMENTS[1])).otherwise(
         segment(differs, *SEGMENTS[2]))
     wild = F.expr("case when (shiftright(x.sig, 22) & 31) = 0 then 0L else shiftleft(1L, cast((shiftright(x.sig, 22) & 31) - 1 as int)) end")
@@ -146,8 +145,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id (null last), then text hash."""
-    from pyspark.sql import Window
-
     rows = fingerprinted(docs, id_col, text_col)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
     chosen = (rows.join(grouped(rows).withColumnRenamed("component_id", "c"), "fp")
