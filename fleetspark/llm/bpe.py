@@ -116,10 +116,14 @@ class Merges:
 class Codec:
     def __init__(self, path: str):
         self.merges = Merges(path)
-        self.codes = Codes(self.merges.encode)
+        self.codes = Codes(self._new)
         special = sorted(self.merges.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
+    def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.merges.encode(words)
+        return np.array([x for y in ids for x in y], np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
     @staticmethod
     def normal(s: str) -> str:
         if s.isascii():

@@ -37,8 +37,9 @@ from .pieces import Codes, Pieces
 MAGIC = b"DAC1"
 CHUNK = 8
 RANK = 512
-SEGMENT = 1 << 18
+SEGMENT = 1 << 16
 END_ID = 2
+TOGETHER = 32
 
 SEGMENT_SCHEMA = "part int, seq long, start long, doc_ids array<long>, sizes array<long>, payload binary"
 
@@ -118,7 +119,29 @@ class ByteBpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.codes = Codes(lambda words: [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # the ids that begin with the symbol of a space
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self.codes = Codes(self._new)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces.  Those of a space and letters are encoded ``TOGETHER``: cut again, they give the same pieces,
+        and an id that begins with a space begins a piece."""
+        whole = np.fromiter((w[0] == " " and w[1:].isalpha() for w in words), bool, len(words))
+        joined = [words[i] for i in np.flatnonzero(whole).tolist()]
+        many = self._ids(["".join(joined[i:i + TOGETHER]) for i in range(0, len(joined), TOGETHER)])
+        flat = np.array([x for y in many for x in y], np.uint32)
+        starts = np.append(np.flatnonzero(self.spaced[flat]), len(flat))
+        alone = self._ids([words[i] for i in np.flatnonzero(~whole).tolist()])
+        sizes = np.zeros(len(words), np.int64)
+        sizes[whole], sizes[~whole] = np.diff(starts), [len(x) for x in alone]
+        out = np.zeros(int(sizes.sum()), np.uint32)
+        mine = np.repeat(whole, sizes)
+        out[mine], out[~mine] = flat, np.array([x for y in alone for x in y], np.uint32)
+        return out, sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = {i for i, t in enumerate(texts) if any(x in t for x in self.special)}
@@ -170,7 +193,7 @@ def segments(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 
 def write(docs: DataFrame, path: str, folder: str, **options) -> str:
-    segments(docs, path, **options).write.option("compression", "uncompressed").parquet(folder)
+    segments(docs, path, **options).write.options(**{"compression": "uncompressed", "parquet.enable.dictionary": "false"}).parquet(folder)
     return folder
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 
@@ -87,44 +86,78 @@ class Pieces:
 
 
 class Codes:
-    """Ids of pieces, remembered by the piece's 64-bit hash; at most about ``limit`` pieces are kept in memory."""
+    """Ids of pieces, remembered by the piece's 64-bit hash in an open-addressed numpy table.
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 19):
+    ``encode`` gets new pieces and returns all their ids in order and the number
+    of ids of each.  About ``limit`` pieces at most are remembered.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1 << 19):
         self.encode, self.limit = encode, limit
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[int, int] = {}
-        self.size = np.zeros(1 << 12, np.int64)
+        self.n, self.used = 0, 0
+        self.key = np.zeros(1 << 16, np.uint64)
+        self.value = np.full(1 << 16, -1, np.int32)
+        self.size = np.zeros(1 << 12, np.int32)
         self.offset = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 14, np.uint32)
-        self.used = 0
 
-    def _add(self, hashes: list[int], ids: list[list[int]]) -> None:
-        n, m = len(self.at), len(self.at) + len(ids)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(sizes.sum())
+    def _look(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 if it is new."""
+        mask = np.uint64(len(self.key) - 1)
+        slot = (h & mask).astype(np.int64)
+        out = self.value[slot]
+        wrong = np.flatnonzero((out >= 0) & (self.key[slot] != h))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & int(mask)
+            found = self.value[slot[wrong]]
+            out[wrong] = found
+            wrong = wrong[(found >= 0) & (self.key[slot[wrong]] != h[wrong])]
+        return out
+
+    def _place(self, h: np.ndarray, number: np.ndarray) -> None:
+        """Put distinct new hashes into the first free slots from theirs on."""
+        mask = len(self.key) - 1
+        slot = (h & np.uint64(mask)).astype(np.int64)
+        while len(h):
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.value[slot[first]] < 0]
+            self.key[slot[first]], self.value[slot[first]] = h[first], number[first]
+            rest = np.ones(len(h), bool)
+            rest[first] = False
+            h, number, slot = h[rest], number[rest], (slot[rest] + 1) & mask
+
+    def _add(self, h: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, m = self.n, self.n + len(h)
+        while 2 * m > len(self.key):
+            old = self.value >= 0
+            h_old, number = self.key[old], self.value[old]
+            self.key = np.zeros(2 * len(self.key), np.uint64)
+            self.value = np.full(len(self.key), -1, np.int32)
+            self._place(h_old, number)
         while m > len(self.size):
             self.size, self.offset = (np.concatenate((x, np.zeros_like(x))) for x in (self.size, self.offset))
-        while self.used + total > len(self.flat):
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
         self.size[n:m], self.offset[n:m] = sizes, self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used:self.used + total] = np.fromiter((x for y in ids for x in y), np.uint32, total)
-        self.used += total
-        self.at.update(zip(hashes, range(n, m)))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.n = m
+        self._place(h, np.arange(n, m, dtype=np.int32))
 
     def ids(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces in order, and the number of ids before each text (and in all)."""
-        if len(self.at) > self.limit:
+        if self.n > self.limit:
             self._clear()
-        h = pieces.hash.tolist()
-        at = np.fromiter(map(self.at.get, h, repeat(-1)), np.int64, len(h))
+        at = self._look(pieces.hash)
         miss = np.flatnonzero(at < 0)
         if len(miss):
             new, where = np.unique(pieces.hash[miss], return_index=True)
-            self._add(new.tolist(), self.encode([pieces.piece(miss[i]) for i in where]))
-            at[miss] = np.fromiter(map(self.at.__getitem__, pieces.hash[miss].tolist()), np.int64, len(miss))
+            self._add(new, *self.encode([pieces.piece(i) for i in miss[where].tolist()]))
+            at[miss] = self._look(pieces.hash[miss])
         size = self.size[at]
-        before = np.concatenate(([0], np.cumsum(size)))
+        before = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
         out = self.flat[np.arange(before[-1]) + np.repeat(self.offset[at] - before[:-1], size)]
         return out, before[pieces.first]
