@@ -39,6 +39,12 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` materialised by a reliable checkpoint in the shared folder, where no loop builds on it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     import uuid

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import quoted, saved, shared_folder
+from .common import checkpointed, quoted, shared_folder
 
 PARAGRAPH = 100
 BASE = 4
@@ -123,7 +123,7 @@ def recovered(pairs: DataFrame, keys: list[str], rounds: int = ROUNDS, attempts:
     for i in range(attempts):
         size = F.greatest(F.lit(smallest), F.size("left") + F.size("right")).cast("long") * F.lit(1 << i)
         dealt = rest.select(*keys, "left", "right", size.alias("size")).repartition(parts, *[F.col(k) for k in keys[:2]])
-        got = saved(attempt(dealt, keys, i, rounds))
+        got = checkpointed(attempt(dealt, keys, i, rounds))
         good = got.filter("ok").select(*keys, "left_only", "right_only")
         done = good if done is None else done.unionByName(good)
         bad = got.filter("not ok").select(*keys)
@@ -162,7 +162,7 @@ EMPTY = "-".join(["0.0"] * SUBTABLES * BASE)
 
 def successors(rows: DataFrame) -> DataFrame:
     """``k, h, n, next_k, next_h``: the next of the distinct rows ``k, h, n`` in order, the first after the last."""
-    dealt = saved(rows.repartitionByRange("k", "h").withColumn("part", F.spark_partition_id()))
+    dealt = checkpointed(rows.repartitionByRange("k", "h").withColumn("part", F.spark_partition_id()))
     order = Window.partitionBy("part").orderBy("k", "h")
     first = dealt.groupBy("part").agg(F.min(F.struct("k", "h")).alias("first"))  # a row for each partition
     all_parts = Window.orderBy("part")
