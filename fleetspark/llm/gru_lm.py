@@ -1,18 +1,21 @@
 """Language-model scores: a gated recurrent network with a class-factored output softmax.
 
 Tokens: A-Z lower-cased words ``[^\\x20\\x09-\\x0D]+`` and one end token a text.
-All training tokens are counted (every row, every word).  The ``SYMBOLS`` most
-frequent tokens (the end among them) are symbols of their own, in frequency
-order binned to classes of ``PER_CLASS``; any other word is the symbol ``rest``,
-a class by itself.  A word's probability is P(class | state) P(word | class,
-state), and inside ``rest`` the smoothed share of the word's count, so that the
-probability covers whole documents with any words.
-
-The network (input table, one GRU layer) is trained in numpy by truncated
-backpropagation over windows of ``WINDOW`` tokens on at most ``SAMPLE`` training
-texts (those with the smallest hash of id and text; whole texts; fixed seeds).
-Scoring carries the state from window to window through each whole text; the
-texts of a task advance together, the longest first.
+All training tokens are counted (every row, every word).  The most frequent
+tokens (the end among them) are symbols of their own, ``GROWTH`` times the root
+of the number of distinct tokens and at least ``SYMBOLS``, in frequency order
+binned to classes of about the root of their number; any other word is the
+symbol ``rest``, a class by itself.  A word's probability is P(class | state)
+P(word | class, state), and inside ``rest`` the smoothed share of the word's
+count, so that the probability covers whole documents with any words.
+
+The network (input table, one GRU layer; output biases begin at the counts) is
+trained by truncated backpropagation over windows of ``WINDOW`` tokens on every
+training text, whole.  An epoch is one pass of tasks: each learns from its rows,
+beginning at the broadcast weights, and the weights are averaged by token count
+in a tree of tasks; the driver gets one set of weights.  Scoring carries the
+state from window to window through each whole text; the texts of a task advance
+together, the longest first.
 
 Counts: the ``HEAD`` most frequent words' go to the tasks (a bounded table); the
 rest of a text's words go through a join with the count table and come back as
@@ -38,12 +41,14 @@ from pyspark.sql import functions as F
 from .common import chunks, quoted, row_keys, saved, texts_of
 from .words import SOLID, Words
 
-SYMBOLS, PER_CLASS = 256, 16
+SYMBOLS, PER_CLASS, GROWTH = 256, 16, 4
 HEAD = 1 << 16
-SAMPLE = 800
 HIDDEN, WINDOW, STREAMS, EPOCHS, RATE = 16, 16, 64, 2, 0.01
-#: Tokens whose texts a task holds while they advance together (two bytes each).
+#: Tokens whose texts a task holds while they advance together (two bytes each, or four above 2^15 symbols).
 HELD = 1 << 23
+#: Tokens that a task lays in streams at once, and the steps over them: more tokens than those steps take from
+#: ``STREAMS`` streams give more streams.
+BLOCK, STEPS = 1 << 21, 256
 END = b""  # no word is empty
 
 
@@ -64,27 +69,41 @@ def token_counts(rows: DataFrame, text_col: str) -> DataFrame:
 
 
 class Network(NamedTuple):
-    """Weights; ``n`` symbols in classes of ``PER_CLASS``, then the symbol ``rest``."""
+    """Weights; ``n`` symbols in classes of ``per_class``, then the symbol ``rest``."""
 
     n: int
     inputs: np.ndarray  # symbols + 1, 3 * hidden
     gates: np.ndarray   # hidden, 2 * hidden
     state: np.ndarray   # hidden, hidden
     cls: np.ndarray     # hidden + 1, classes + 1
-    word: np.ndarray    # classes, hidden + 1, PER_CLASS
+    word: np.ndarray    # classes, hidden + 1, per_class
 
     @property
     def classes(self) -> int:
-        return -(-self.n // PER_CLASS)
+        return len(self.word)
+
+    @property
+    def per_class(self) -> int:
+        return self.word.shape[2]
 
 
-def new_network(n: int, seed: int = 5) -> Network:
+def new_network(n: int, seed: int = 5, counts: np.ndarray | None = None) -> Network:
+    """``counts``: of the symbols and of ``rest``, for the output biases."""
     rng = np.random.default_rng(seed)
-    k = -(-n // PER_CLASS)
+    size = max(PER_CLASS, math.isqrt(n))
+    k = -(-n // size)
     make = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-    word = make(k, HIDDEN + 1, PER_CLASS)
-    word[-1, -1, n - (k - 1) * PER_CLASS:] = -1e4  # places of the last class that no symbol has
-    return Network(n, make(n + 1, 3 * HIDDEN), make(HIDDEN, 2 * HIDDEN), make(HIDDEN, HIDDEN), make(HIDDEN + 1, k + 1), word)
+    word = make(k, HIDDEN + 1, size)
+    net = Network(n, make(n + 1, 3 * HIDDEN), make(HIDDEN, 2 * HIDDEN), make(HIDDEN, HIDDEN), make(HIDDEN + 1, k + 1), word)
+    if counts is not None:
+        each = np.zeros(k * size)
+        each[:n] = counts[:n] + 0.5
+        each = each.reshape(k, size)
+        word[:, -1] = np.log(np.maximum(each, 1e-9) / each.sum(1, keepdims=True))
+        by = np.append(each.sum(1), counts[n] + 0.5)
+        net.cls[-1] = np.log(by / by.sum())
+    word[-1, -1, n - (k - 1) * size:] = -1e4  # places of the last class that no symbol has
+    return net
 
 
 def log_softmax(z: np.ndarray) -> np.ndarray:
@@ -104,7 +123,7 @@ def advance(net: Network, h: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray
 def log_probabilities(net: Network, h: np.ndarray, symbol: np.ndarray, grad: bool = False):
     """Natural log P(symbol | state) by row; with ``grad`` also the gradients of its negative sum."""
     one = np.append(h, np.ones((len(h), 1), h.dtype), 1)
-    k = symbol // PER_CLASS
+    k = symbol // net.per_class
     k[symbol == net.n] = net.classes
     rows = np.arange(len(h))
     logp = log_softmax(one @ net.cls)
@@ -120,7 +139,7 @@ def log_probabilities(net: Network, h: np.ndarray, symbol: np.ndarray, grad: boo
             continue
         at = order[cut[c]:cut[c + 1]]
         inside = log_softmax(one[at] @ net.word[c])
-        col = symbol[at] - c * PER_CLASS
+        col = symbol[at] - c * net.per_class
         out[at] += inside[np.arange(len(at)), col]
         if grad:
             d = np.exp(inside)
@@ -144,7 +163,7 @@ def window_gradients(net: Network, h: np.ndarray, symbols: np.ndarray, fresh: np
     n = symbols.shape[1]
     _, out, dcls, dword = log_probabilities(net, np.concatenate(before), symbols.ravel().copy(), grad=True)
     dinputs, dgates, dstate = np.zeros_like(net.inputs), np.zeros_like(net.gates), np.zeros_like(net.state)
-    dh = np.zeros_like(h)
+    dh, dx = np.zeros_like(h), np.empty((*symbols.shape, 3 * HIDDEN), h.dtype)
     for t in range(len(symbols) - 1, -1, -1):
         p, (r, z, c) = before[t], tape[t]
         dc = dh * (1 - z) * (1 - c * c)
@@ -152,35 +171,81 @@ def window_gradients(net: Network, h: np.ndarray, symbols: np.ndarray, fresh: np
         dg = np.concatenate((drp * p * r * (1 - r), dh * (p - c) * z * (1 - z)), 1)
         dstate += (r * p).T @ dc
         dgates += p.T @ dg
-        np.add.at(dinputs, symbols[t], np.concatenate((dg, dc), 1))
+        dx[t, :, :2 * HIDDEN], dx[t, :, 2 * HIDDEN:] = dg, dc
         dh = (dh * z + drp * r + dg @ net.gates.T + out[t * n:(t + 1) * n]) * fresh[t][:, None]
+    order = np.argsort(symbols.ravel(), kind="stable")
+    own, first = np.unique(symbols.ravel()[order], return_index=True)
+    dinputs[own] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], first)
     return (dinputs, dgates, dstate, dcls, dword), h
 
 
-def train(net: Network, texts: list[np.ndarray], end: int) -> Network:
-    """Adam over the texts' symbols, laid end to end in ``STREAMS`` streams."""
-    flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-    streams = min(STREAMS, len(flat) // WINDOW)
-    if not streams:
-        return net
-    grid = flat[:len(flat) // streams * streams].reshape(streams, -1).T.astype(np.int64)
-    fresh = np.ones(grid.shape, np.float32)
-    fresh[0] = 0
-    fresh[1:][grid[:-1] == end] = 0
-    weights = list(net[1:])
-    first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-    step = 0
-    for _ in range(EPOCHS):
-        h = np.zeros((streams, HIDDEN), np.float32)
+class Learner:
+    """Adam over the symbols of texts, laid end to end in streams; every symbol is learned from."""
+
+    def __init__(self, net: Network, end: int):
+        self.n, self.end, self.tokens = net.n, end, 0
+        self.weights = [w.copy() for w in net[1:]]
+        self.first, self.second = [np.zeros_like(w) for w in self.weights], [np.zeros_like(w) for w in self.weights]
+        self.step = self.most = 0
+
+    def learn(self, flat: np.ndarray) -> None:
+        while len(flat):
+            streams = max(1, min(max(STREAMS, len(flat) // (STEPS * WINDOW)), len(flat) // WINDOW))
+            size = len(flat) // streams * streams
+            self._streams(flat[:size].reshape(streams, -1).T)
+            flat = flat[size:]  # fewer than the streams are left
+
+    def _streams(self, grid: np.ndarray) -> None:
+        self.tokens += grid.size
+        h = np.zeros((grid.shape[1], HIDDEN), np.float32)
+        fresh = np.zeros(grid.shape[1], np.float32)
         for t in range(0, len(grid), WINDOW):
-            grads, h = window_gradients(Network(net.n, *weights), h, grid[t:t + WINDOW], fresh[t:t + WINDOW])
-            step += 1
-            for w, g, m, v in zip(weights, grads, first, second):
-                g = g / np.float32(grid[t:t + WINDOW].size)
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                w -= np.float32(RATE) * (m / np.float32(1 - 0.9 ** step)) / (np.sqrt(v / np.float32(1 - 0.99 ** step)) + np.float32(1e-8))
-    return Network(net.n, *weights)
+            symbols = grid[t:t + WINDOW].astype(np.int64)
+            more = (symbols != self.end).astype(np.float32)
+            grads, h = window_gradients(Network(self.n, *self.weights), h, symbols, np.concatenate((fresh[None], more[:-1])))
+            fresh = more[-1]
+            self.step += 1
+            self.most = max(self.most, symbols.size)  # a small window counts as its share of a whole one
+            for w, g, m, v in zip(self.weights, grads, self.first, self.second):
+                g = g / np.float32(self.most)
+                m += np.float32(0.1) * (g - m)
+                v += np.float32(0.01) * (g * g - v)
+                w -= np.float32(RATE) * (m / np.float32(1 - 0.9 ** self.step)) / (np.sqrt(v / np.float32(1 - 0.99 ** self.step)) + np.float32(1e-8))
+
+
+def train(rows: DataFrame, text_col: str, net: Network, lexicon) -> tuple[Network, int]:
+    """The network learned from all ``rows``, and the tokens learned from in each epoch."""
+    spark, tokens = rows.sparkSession, 0
+    for _ in range(EPOCHS):
+        begin = spark.sparkContext.broadcast(net)
+
+        def run(batches: Iterable[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
+            lex = lexicon.value
+            learner = Learner(begin.value, lex.end)
+            held, n = [], 0
+            for whole in batches:
+                for part in chunks(whole, 0):
+                    w = Words(texts_of(part.column(0)), SOLID)
+                    held += lex.symbols(w, w.hashes())
+                    n += w.n + part.num_rows
+                    if n >= BLOCK:
+                        learner.learn(np.concatenate(held))
+                        held, n = [], 0
+            if held:
+                learner.learn(np.concatenate(held))
+            if learner.tokens:
+                flat = np.concatenate([w.ravel() for w in learner.weights]).astype(np.float64) * learner.tokens
+                yield pa.RecordBatch.from_arrays([pa.array([learner.tokens]), pa.array([flat.tobytes()], pa.binary())], names=["n", "w"])
+
+        made = rows.select(quoted(text_col)).mapInArrow(run, "n long, w binary").rdd
+        tokens, total = made.map(lambda r: (r["n"], np.frombuffer(r["w"]))).treeAggregate(
+            (0, 0.0), lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        begin.unpersist()
+        if not tokens:
+            return net, 0
+        cuts = np.cumsum([w.size for w in net[1:]])[:-1]
+        net = Network(net.n, *(x.reshape(w.shape).astype(np.float32) for x, w in zip(np.split(total / tokens, cuts), net[1:])))
+    return net, tokens
 
 
 def log10_texts(net: Network, texts: list[np.ndarray]) -> np.ndarray:
@@ -211,6 +276,11 @@ def log10_texts(net: Network, texts: list[np.ndarray]) -> np.ndarray:
     return back
 
 
+def symbols_of(distinct: int) -> int:
+    """How many symbols a vocabulary of ``distinct`` tokens has."""
+    return max(SYMBOLS, math.ceil(GROWTH * math.sqrt(distinct)))
+
+
 class Lexicon:
     """Counts of the head words by word hash, and which of them are symbols."""
 
@@ -218,11 +288,13 @@ class Lexicon:
         self.total, self.distinct = total, distinct
         ends = next((n for w, n in head if w == END), 0)
         own = [x for x in head if x[0] != END]
-        symbols = sorted([*own[:SYMBOLS - 1], (END, ends)], key=lambda x: (-x[1], x[0]))
+        symbols = sorted([*own[:symbols_of(distinct) - 1], (END, ends)], key=lambda x: (-x[1], x[0]))
         self.n = len(symbols)
         number = {w: i for i, (w, _) in enumerate(symbols)}
         self.end, self.end_count = number[END], ends
         self.rest_total = total - sum(n for _, n in symbols)
+        self.symbol_counts = np.array([n for _, n in symbols] + [self.rest_total], np.float64)
+        self.type = np.int16 if self.n < 1 << 15 else np.int32
         self.rest_distinct = distinct - sum(n > 0 for _, n in symbols)
         w = Words([x for x, _ in own], SOLID)
         h = w.hashes()
@@ -240,57 +312,51 @@ class Lexicon:
 
     def symbols(self, w: Words, h: np.ndarray) -> list[np.ndarray]:
         at, known = self.look(h)
-        sym = np.full(len(h), self.n, np.int16)
+        sym = np.full(len(h), self.n, self.type)
         sym[known] = self.symbol[at[known]]
-        return [np.append(sym[a:b], np.int16(self.end)) for a, b in zip(w.first[:-1], w.first[1:])]
+        return [np.append(sym[a:b], self.type(self.end)) for a, b in zip(w.first[:-1], w.first[1:])]
 
 
 def lexicon_of(counts: DataFrame, head: int) -> Lexicon:
     """The head: the words of the highest count buckets that hold ``head`` words at most, found by a histogram of the
     counts (its buckets are a sixteenth of a doubling wide), so that no task sends more than belongs to the head.
-    Where that gives too few for the symbols, those come from an ordered selection of ``SYMBOLS`` rows."""
+    Where that gives too few for the symbols, those come from an ordered selection of as many rows."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    symbols = symbols_of(total["v"])
     size = F.floor(F.log2("n") * 16)
     taken, least = 0, None
     for r in sorted(counts.groupBy(size.alias("b")).count().collect(), reverse=True):
         if taken + r["count"] > head:
             break
         taken, least = taken + r["count"], r["b"]
-    if taken >= min(SYMBOLS, total["v"]):
+    if taken >= min(symbols, total["v"]):
         top = counts.filter(size >= least).collect() if taken else []
     else:
-        top = counts.orderBy(F.desc("n"), "word").limit(min(SYMBOLS, head)).collect()
+        top = counts.orderBy(F.desc("n"), "word").limit(symbols).collect()
     top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
     return Lexicon([(bytes(r["word"]), r["n"]) for r in top], total["n"], total["v"])
 
 
-def sampled(rows: DataFrame, id_col: str, text_col: str, lexicon, most: int) -> list[np.ndarray]:
-    """Symbols of at most ``most`` whole texts."""
-    rows = rows.select(F.xxhash64(quoted(id_col), quoted(text_col)).alias("h"), quoted(text_col).alias("text"))
-    last = rows.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    if last is None:
-        return []
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for part in chunks(whole, 1):
-                w = Words(texts_of(part.column(1)), SOLID)
-                got = lexicon.value.symbols(w, w.hashes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in got], pa.binary())], names=["h", "s"])
-
-    got = rows.filter(F.col("h") <= last).mapInArrow(run, "h long, s binary").dropDuplicates(["h"]).orderBy("h").collect()
-    return [np.frombuffer(r["s"], np.int16) for r in got]
+def sampled(rows: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
+    """The rows of the ``most`` smallest hashes of id and text."""
+    h = F.xxhash64(quoted(id_col), quoted(text_col))
+    last = rows.select(h.alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    return rows.filter(F.lit(False) if last is None else h <= last)
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD,
-          sample: int = SAMPLE) -> DataFrame:
-    """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row, learning from the others."""
+          sample: int | None = None) -> DataFrame:
+    """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row, learning from the others.
+
+    The network learns from all of them, unless the caller asks for the rows of the ``sample`` smallest hashes.
+    """
     spark = docs.sparkSession
     learn = docs.filter(~held_out)
     counts = saved(token_counts(learn, text_col), "word-counts")
     lex = lexicon_of(counts, head)
     lexicon = spark.sparkContext.broadcast(lex)
-    net = train(new_network(lex.n), sampled(learn, id_col, text_col, lexicon, sample), lex.end)
+    fit = learn if sample is None else sampled(learn, id_col, text_col, sample)
+    net, _ = train(fit, text_col, new_network(lex.n, counts=lex.symbol_counts), lexicon)
     model = spark.sparkContext.broadcast(net)
     rows = docs.select(quoted(id_col).alias("id"), held_out.alias("held_out"), quoted(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()

@@ -208,6 +208,31 @@ def test_the_model_beats_counts_on_held_out_texts(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def test_the_model_learns_from_every_training_text(spark):
+    """Word order that none of the 800 texts with the smallest hashes has."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    both = [(i, " ".join(rng.choice("ab") for _ in range(60)), "a b " * 30) for i in range(4000)]
+    table = spark.createDataFrame(both, "doc_id long, loose string, fixed string")
+    loose = table.filter("xxhash64(doc_id, loose) < 0").limit(800).select("doc_id", F.col("loose").alias("text"))
+    fixed = table.filter("xxhash64(doc_id, fixed) >= 0").limit(1600).select("doc_id", F.col("fixed").alias("text"))
+    docs = loose.union(fixed).union(spark.range(-50, 0).select(F.col("id").alias("doc_id"), F.lit("a b " * 30).alias("text")))
+    got = gru_lm.score(docs.orderBy(F.hash("doc_id")).coalesce(1), F.col("doc_id") < 0).filter("held_out").collect()
+    assert len(got) == 50 and sum(r["score"] for r in got) > 0.7 * sum(r["base_score"] for r in got)
+
+
+def test_symbols_grow_with_the_vocabulary(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i, 40_000, 40))) for i in range(40)], "doc_id long, text string")
+    lex = gru_lm.lexicon_of(gru_lm.token_counts(docs, "text"), gru_lm.HEAD)
+    assert lex.n >= 800
+    sent = spark.sparkContext.broadcast(lex)
+    net, tokens = gru_lm.train(docs.repartition(3), "text", gru_lm.new_network(lex.n, counts=lex.symbol_counts), sent)
+    assert tokens == 40_040 and len(net.inputs) == lex.n + 1
+    p = np.exp(gru_lm.log_probabilities(net, np.zeros((lex.n + 1, gru_lm.HIDDEN), np.float32), np.arange(lex.n + 1)))
+    assert p.sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_without_training_rows(documents):
     from pyspark.sql import functions as F
 
