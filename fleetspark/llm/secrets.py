@@ -3,7 +3,10 @@
 The base patterns run over the text itself.  Then the text goes on a worklist
 of layers.  Of a layer come new ones: the layer with its URL escapes undone,
 the layer with its Unicode and character escapes undone, and each base64 run's
-bytes, as text or, if they are a gzip, zlib, bzip2 or xz stream, decompressed.
+bytes.  A run that is wrapped into lines is also decoded as one, without its
+line breaks.  Bytes that begin as gzip, zlib, bzip2 or xz streams (of any number
+of members) are decompressed until they no longer do; all bytes are then read as
+text: UTF-8 with any character, else UTF-16 or, byte by byte, Latin-1.
 Each new layer is scanned and goes on the list; a layer whose content at the
 same place was seen before is dropped (cycles), and the list ends at the
 fixpoint.  Every layer keeps the place in the text that each of its characters
@@ -24,6 +27,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +46,8 @@ HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
+BREAK = re.compile(r"[\x20\t\r\n]+")
 
 
 def base_spans(s: str) -> list[tuple[int, str, int]]:
@@ -81,29 +87,49 @@ def replaced(s: str, pattern: re.Pattern, decode) -> tuple[str, list[tuple[int,
     return "".join(parts), spans + [(i, i + 1) for i in range(at, len(s))]
 
 
+def stream(data: bytes):
+    """A decompressor if ``data`` begins as a known stream."""
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+
+
+def members(data: bytes) -> bytes:
+    """``data``, decompressed if it is one or more whole streams; what follows the last of them is kept as it is."""
+    parts, rest, size = [], data, 0
+    while d := stream(rest):
+        try:
+            made = d.decompress(rest, MAX_UNPACKED - size + 1)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            break
+        size += len(made)
+        if size > MAX_UNPACKED or not d.eof:
+            break
+        parts.append(made)
+        rest = d.unused_data.lstrip(b"\0")  # xz and gzip files may be padded
+    return b"".join([*parts, rest]) if parts else data
+
+
 def unpacked(data: bytes) -> bytes:
-    """``data``, decompressed if it starts as a known stream and ends well."""
-    try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
-            made = (d := zlib.decompressobj(47)).decompress(data, MAX_UNPACKED)
-        elif data[:3] == b"BZh":
-            made = (d := bz2.BZ2Decompressor()).decompress(data, MAX_UNPACKED)
-        elif data[:6] == b"\xfd7zXZ\x00":
-            made = (d := lzma.LZMADecompressor()).decompress(data, MAX_UNPACKED)
-        else:
-            return data
-        return made if d.eof else data
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return data
+    """``data``, decompressed as long as it begins as a known stream; one that comes again ends it."""
+    seen = set()
+    while stream(data) and (mark := hashlib.sha256(data).digest()) not in seen:
+        seen.add(mark)
+        data = members(data)
+    return data
 
 
-def plain(data: bytes) -> str | None:
-    """``data`` as text, if it is printable UTF-8."""
+def readings(data: bytes) -> Iterator[str]:
+    """The texts that ``data`` may be."""
     try:
-        s = data.decode()
+        yield data.decode()
     except UnicodeDecodeError:
-        return None
-    return s if s and all(c.isprintable() or c in "\t\n\r" for c in s) else None
+        yield data.decode("latin-1")
+    for code, pair in (("utf-16-le", slice(1, None, 2)), ("utf-16-be", slice(0, None, 2))):
+        if data[:2] in (b"\xff\xfe", b"\xfe\xff") or 4 * data[pair].count(0) > len(data):  # of most ASCII text half is zero
+            yield data.decode(code, "replace")
 
 
 def layers(s: str):
@@ -115,19 +141,31 @@ def layers(s: str):
         if got := replaced(s, ESCAPE, char_of):
             yield got
     for m in BASE64.finditer(s):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
+        yield from decoded(m[0], m.start(), None)
+    if "\n" in s:
+        for m in WRAPPED.finditer(s):
+            at = [i for i, c in enumerate(m[0], m.start()) if c not in " \t\r\n"]
+            yield from decoded(BREAK.sub("", m[0]), m.start(), at)
+
+
+def decoded(run: str, start: int, at: list[int] | None):
+    """The layers of a base64 run, whose characters stand at ``at`` (default: from ``start`` on)."""
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(body) % 4 == 1:
+        return
+    try:
+        raw = base64.b64decode(body + "=" * (-len(body) % 4))
+    except (binascii.Error, ValueError):
+        return
+    data = unpacked(raw)
+    place = (lambda a, b: (at[a], at[b - 1] + 1)) if at else (lambda a, b: (start + a, start + b))
+    for text in readings(data):
+        if not text:
             continue
-        data = unpacked(raw)
-        if text := plain(data):
-            if data is raw and len(text) == len(raw):  # one byte a character: four base64 characters hold three
-                yield text, [(m.start() + i * 4 // 3, min(m.end(), m.start() + -(-(i + 1) * 4 // 3))) for i in range(len(text))]
-            else:
-                yield text, [(m.start(), m.end())] * len(text)
+        if data is raw and len(text) == len(raw):  # one byte a character: four base64 characters hold three
+            yield text, [place(i * 4 // 3, min(len(run), -(-(i + 1) * 4 // 3))) for i in range(len(text))]
+        else:
+            yield text, [place(0, len(run))] * len(text)
 
 
 def decoded_spans(s: str) -> set[tuple[int, str, int]]:

@@ -1,6 +1,8 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import json
 import random
 import re
@@ -131,6 +133,31 @@ def test_partly_escaped_secret_maps_to_its_span():
     assert (2, "decoded_access", len(text) - 2) in secrets.decoded_spans(text)
 
 
+def wrapped64(data, width=64, end="\n"):
+    s = base64.b64encode(data).decode()
+    return end.join(s[i:i + width] for i in range(0, len(s), width))
+
+
+@pytest.mark.parametrize("inner", [
+    base64.b64encode(gzip.compress(gzip.compress(KEY.encode()))).decode(),
+    base64.b64encode(lzma.compress(gzip.compress(bz2.compress(KEY.encode())))).decode(),
+    base64.b64encode(gzip.compress(b"first member ") + gzip.compress(KEY.encode())).decode(),
+    base64.b64encode(bz2.compress(b"first member ") + bz2.compress(KEY.encode())).decode(),
+    base64.b64encode(f"\ufeffone\u00a0two\u200b\x01 {KEY}".encode()).decode(),
+    base64.b64encode(b"\xff odd byte " + KEY.encode()).decode(),
+    base64.b64encode(KEY.encode("utf-16")).decode(),
+    base64.b64encode(KEY.encode("utf-16-le")).decode(),
+    base64.b64encode(KEY.encode("utf-16-be")).decode(),
+    base64.b64encode(gzip.compress(base64.b64encode(gzip.compress(KEY.encode())))).decode(),
+    wrapped64(gzip.compress(random.Random(1).randbytes(200) + b" " + KEY.encode())),
+    wrapped64(b"x" * 40 + b" " + KEY.encode()),
+    wrapped64(b"x" * 50 + b" " + KEY.encode(), 76, "\r\n"),
+])
+def test_every_layer_is_read_to_the_fixpoint(inner):
+    spans = [(a, b) for a, k, b in secrets.decoded_spans("see " + inner + "\n. end") if k == "decoded_access"]
+    assert spans and all(4 <= a < b <= 4 + len(inner) for a, b in spans)
+
+
 def test_plain_words_and_bombs_give_nothing():
     assert not secrets.decoded_spans("internationalization counterrevolutionary %zz %41 \\u0041 100%")
     bomb = base64.b64encode(gzip.compress(b"0" * (secrets.MAX_UNPACKED + 1))).decode()
