@@ -2,20 +2,20 @@
 
 Protected entities are the values that the base patterns find (kind and
 characters).  The unit of co-occurrence is the line.  For an entity e and a
-term t (a word within ``REACH`` words of e on its line), over all N lines of
-the corpus, with n the number of lines that hold them:
+term t (any word of e's line outside the base spans), over all N lines of the
+corpus, with n the number of lines that hold them:
 
     disclosure(e, t) = log2(N n(e,t) / (n(e) n(t))) / log2(N / n(e))
 
 the part of e's information that t gives away (1: t stands only beside e).
-Pairs seen in fewer than ``SUPPORT`` different contexts (the two words on
-either side of e) say nothing and are left out, so copies of one passage don't
-make its words revealing.  A term whose largest disclosure reaches
+Pairs seen in fewer than ``SUPPORT`` different texts say nothing and are left
+out, so copies of one text don't make its words revealing.  A term whose largest disclosure reaches
 ``GENERALISE`` is replaced by its class; one that reaches ``REMOVE`` is removed.
 
-Passes: pairs beside entities; lines of each candidate term over all documents;
-marking.  Tables of terms go to the tasks in blocks of ``BLOCK``; every block is
-run against all documents, so no term is left out.
+Passes: lines and texts of entities; pairs with those of enough texts (no other
+pair can have them); lines of each candidate term over all documents; marking.
+Tables of entities and terms go to the tasks in blocks of ``BLOCK``; every block is
+run against all documents, so nothing is left out.
 
 Edge cases: null and empty texts have no spans; repeated rows count as often as
 they stand in the table; an entity on every line has no information and
@@ -39,10 +39,11 @@ from .common import chunks, map_texts, quoted, saved, texts_of
 from .words import ALNUM, Words
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 8
 SUPPORT = 3
 GENERALISE, REMOVE = 0.85, 0.95
 BLOCK = 1 << 19
+#: Pairs that a task holds before it sends them on.
+HELD = 1 << 18
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -100,18 +101,18 @@ def term_hashes(w: Words) -> np.ndarray:
     return w.hashes().view(np.int64)
 
 
-def beside(s: str, spans: list[tuple[int, str, int]]):
-    """(entity, term hashes, context, line's start) of each span: words within ``REACH`` on its line, spans left out."""
-    for a, kind, b in spans:
-        lo, hi = s.rfind("\n", 0, a) + 1, s.find("\n", b)
-        hi = len(s) if hi < 0 else hi
-        left, right = [], []
-        for side, text in ((left, blanked(s, lo, a, spans)), (right, blanked(s, b, hi, spans))):
-            w = Words([text.encode("utf-8", "surrogatepass")], ALNUM)
-            h = term_hashes(w)
-            side.extend((h[-REACH:] if side is left else h[:REACH]).tolist())
-        context = hash_of(left[-2:] + [0] + right[:2])
-        yield entity(kind, s[a:b]), {*left, *right}, context, lo
+def lines_of(s: str, spans: list[tuple[int, str, int]]) -> Iterator[tuple[int, int, list]]:
+    """(start, end, spans) of the lines that hold spans; no span crosses a line's end."""
+    hi, held = -1, []
+    for x in sorted(spans):
+        if x[0] >= hi:
+            if held:
+                yield lo, hi, held
+            lo, hi, held = s.rfind("\n", 0, x[0]) + 1, s.find("\n", x[2]), []
+            hi = len(s) if hi < 0 else hi
+        held.append(x)
+    if held:
+        yield lo, hi, held
 
 
 def blanked(s: str, lo: int, hi: int, spans) -> str:
@@ -126,12 +127,8 @@ def blanked(s: str, lo: int, hi: int, spans) -> str:
     return " ".join([*parts, s[at:hi]]) if at < hi else " ".join(parts)
 
 
-def hash_of(values: list[int]) -> int:
-    return xxhash.xxh64_intdigest(np.array(values, np.int64).tobytes()) - (1 << 63)
-
-
-def pairs(docs: DataFrame, text_col: str) -> DataFrame:
-    """``entity, term, context, n``: lines of each pair and context; term null: of the entity; all null: lines in all."""
+def entities(docs: DataFrame, text_col: str) -> DataFrame:
+    """``entity, n_e, texts``: lines and different texts of each entity; entity null: lines in all."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = 0
@@ -142,19 +139,63 @@ def pairs(docs: DataFrame, text_col: str) -> DataFrame:
                     lines += raw.count(b"\n") + 1
                     s = raw.decode("utf-8", "replace")
                     if spans := base_spans(s):
-                        mine = set()
-                        for e, terms, context, line in beside(s, spans):
-                            mine |= {(e, t, context, line) for t in terms} | {(e, None, context, line)}
-                        seen.update(x[:3] for x in mine)
+                        text = xxhash.xxh64_intdigest(raw) - (1 << 63)
+                        for _, _, held in lines_of(s, spans):
+                            seen.update((e, text) for e in {entity(k, s[a:b]) for a, k, b in held})
                 keys = list(seen)
-                yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keys], pa.int64()) for i in range(3)]
-                                                 + [pa.array([seen[k] for k in keys], pa.int64())],
-                                                 names=["entity", "term", "context", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keys], pa.int64()) for i in range(2)]
+                                                 + [pa.array([seen[k] for k in keys], pa.int64())], names=["entity", "text", "n"])
         none = pa.array([None], pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array([lines])], names=["entity", "term", "context", "n"])
+        yield pa.RecordBatch.from_arrays([none, none, pa.array([lines])], names=["entity", "text", "n"])
+
+    got = docs.select(quoted(text_col)).mapInArrow(run, "entity long, text long, n long")
+    by = got.groupBy("entity", "text").agg(F.sum("n").alias("n"))
+    return by.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count("*").alias("texts"))
+
 
-    got = docs.select(quoted(text_col)).mapInArrow(run, "entity long, term long, context long, n long")
-    return got.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
+def pairs(docs: DataFrame, wanted: DataFrame, text_col: str, support: int, size: int) -> DataFrame | None:
+    """``entity, term, n_et``: lines of each pair of a ``wanted`` entity that ``support`` different texts hold."""
+    out = None
+    for rows in blocks(wanted, size):
+        sent = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in rows], np.int64)))
+
+        def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            keys, held, n = sent.value, [], 0
+
+            def flush() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in held])) for i in range(3)],
+                                                  names=["entity", "term", "text"])
+
+            for whole in batches:
+                for part in chunks(whole, 0):
+                    for raw in texts_of(part.column(0)):
+                        s = raw.decode("utf-8", "replace")
+                        if not (spans := base_spans(s)):
+                            continue
+                        text = xxhash.xxh64_intdigest(raw) - (1 << 63)
+                        for lo, hi, on in lines_of(s, spans):
+                            own = np.array(sorted({entity(k, s[a:b]) for a, k, b in on}), np.int64)
+                            own = own[keys[np.minimum(np.searchsorted(keys, own), len(keys) - 1)] == own]
+                            if not len(own):
+                                continue
+                            terms = np.unique(term_hashes(Words([blanked(s, lo, hi, on).encode("utf-8", "surrogatepass")], ALNUM)))
+                            step = max(1, HELD // max(1, len(terms)))
+                            for at in range(0, len(own), step):
+                                some = own[at:at + step]
+                                m = len(some) * len(terms)
+                                held.append((np.repeat(some, len(terms)), np.tile(terms, len(some)), np.full(m, text, np.int64)))
+                                n += m
+                                if n >= HELD:
+                                    yield flush()
+                                    held, n = [], 0
+            if held:
+                yield flush()
+
+        got = docs.select(quoted(text_col)).mapInArrow(run, "entity long, term long, text long")
+        got = got.groupBy("entity", "term", "text").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
+            F.sum("n").alias("n_et"), F.count("*").alias("texts")).filter(F.col("texts") >= support).drop("texts")
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 def blocks(df: DataFrame, size: int) -> Iterator[list]:
@@ -197,17 +238,19 @@ def term_lines(docs: DataFrame, terms: DataFrame, text_col: str, size: int) -> D
 def disclosures(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, least: float = GENERALISE,
                 block: int = BLOCK) -> DataFrame | None:
     """``term`` (hash), ``disclosure``: the terms that reveal an entity by ``least`` or more; None if there are none."""
-    seen = saved(pairs(docs, text_col))
-    n_lines = seen.filter("entity is null").agg(F.sum("n")).first()[0] or 0
-    by = seen.filter("entity is not null").groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count("*").alias("contexts"))
-    n_e = by.filter("term is null").select("entity", F.col("n").alias("n_e"))
-    n_et = saved(by.filter(f"term is not null and contexts >= {support}").select("entity", "term", F.col("n").alias("n_et")))
+    seen = saved(entities(docs, text_col))
+    n_lines = seen.filter("entity is null").agg(F.sum("n_e")).first()[0] or 0
+    n_e = seen.filter(f"entity is not null and texts >= {support} and n_e < {n_lines}").select("entity", "n_e")
+    n_et = pairs(docs, n_e.select("entity"), text_col, support, block)
+    if n_et is None:
+        return None
+    n_et = saved(n_et)
     n_t = term_lines(docs, n_et.select("term").distinct(), text_col, block)
     if n_t is None:
         return None
     total = F.lit(float(n_lines))
     part = (F.log2(total * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(total / F.col("n_e")))
-    got = (n_et.join(n_e, "entity").join(n_t, "term").filter(F.col("n_e") < n_lines).groupBy("term")
+    got = (n_et.join(n_e, "entity").join(n_t, "term").groupBy("term")
            .agg(F.max(part).alias("disclosure")).filter(F.col("disclosure") >= least))
     return saved(got)
 

@@ -86,6 +86,17 @@ def test_copies_of_one_passage_reveal_nothing(spark):
     assert {r["spans"] for r in pii.digest(docs).collect()} == {"email:16:29", ""}
 
 
+def test_one_wording_in_different_texts_and_far_terms_reveal(spark):
+    rng = random.Random(2)
+    words = lambda n: " ".join("".join(rng.choice("bcdfghjk") for _ in range(6)) for _ in range(n))
+    texts = [f"{words(5)}\nregards zorblax z@example.com tel\n{words(3)}" for _ in range(6)]
+    texts += [f"quuxley {words(30)} from q@example.org {words(2)}" for _ in range(6)] + [words(20) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = dict(rows(pii.sanitised(docs, chars_col=None)))
+    assert not any(name in clean[i] for i in range(12) for name in ("zorblax", "quuxley", "@"))
+    assert all(clean[i].split("\n")[0] == texts[i].split("\n")[0] for i in range(6))
+
+
 def test_sanitising_keeps_columns_and_rows(edges):
     got = pii.sanitised(edges)
     assert got.columns == edges.columns and got.count() == edges.count()
