@@ -13,15 +13,11 @@ from fleetspark.llm import bpe, decontam, langid, pii, simhash
 from fleetspark.llm.common import quoted, read_table, shared_folder
 from fleetspark.llm.queries import vocabulary
 
-#: A text whose language is less certain than this is rejected.
-LEAST_SCORE = 0.5
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep texts whose language is known; the model learns from the labelled rows of ``docs``."""
     model = langid.train(docs)
-    kept = langid.predict(docs, model).filter(
-        (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    kept = langid.predict(docs, model).filter(F.col("lang_pred") != "und")
     return kept.select(*[quoted(c) for c in docs.columns])
 
 

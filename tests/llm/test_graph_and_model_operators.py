@@ -306,6 +306,16 @@ def test_pipeline_equals_brute_force(spark, documents, benchmark):
     assert got == sorted(want, key=repr) and len(want) < documents.count()
 
 
+def test_uncertain_languages_stay(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "a", 0.3), (2, "b", 0.9), (3, "?", 0.0)], "doc_id long, text string, s double")
+    found = docs.withColumn("lang_pred", F.when(F.col("s") > 0, F.lit("en")).otherwise(F.lit("und"))).withColumn("score", F.col("s"))
+    monkeypatch.setattr(corpus_pipeline.langid, "train", lambda docs: None)
+    monkeypatch.setattr(corpus_pipeline.langid, "predict", lambda docs, model: found)
+    assert {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()} == {1, 2}
+
+
 def test_stages_on_edge_cases(spark, edges, nothing):
     for name, stage in corpus_pipeline.STAGES:
         for docs in (edges, nothing):
