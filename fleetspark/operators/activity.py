@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import cut_bytes
+from ..plans.joins import null_safe_join
 from ..plans.percentile import exact_percentiles
 
 def _s(c: str):
@@ -113,5 +114,5 @@ def probe_summary(probes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("probes"),
         (F.count_if(F.col("success")) / F.count(F.lit(1))).alias("success_rate"))
     lat = exact_percentiles(probes.where("success"), ["instance_id"], "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95})
-    return totals.join(lat, "instance_id", "left").select(
+    return null_safe_join(totals, lat, ["instance_id"], "left").select(
         "instance_id", "probes", "success_rate", F.round("p50_ms", 3).alias("p50_ms"), F.round("p95_ms", 3).alias("p95_ms"))

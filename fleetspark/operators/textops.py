@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..plans.joins import null_safe_join
 from ..plans.percentile import exact_percentiles
 
 
@@ -147,7 +148,7 @@ def slow_query_digest(parsed: DataFrame, by=("instance_id",), sort: bool = False
     )
     p95 = exact_percentiles(fp, keys, "query_ms", {"p95_ms": 0.95})
     total = parsed.groupBy(*by).agg(F.sum("query_ms").alias("_log_ms"))
-    out = (g.join(p95, keys, "left").join(total, list(by))
+    out = (null_safe_join(null_safe_join(g, p95, keys, "left"), total, list(by))
            .select(*keys, "calls", "total_ms", "avg_ms", "max_ms", F.round("p95_ms", 3).alias("p95_ms"), "rows_sent",
                    "rows_examined", "sample", (F.col("total_ms") / F.col("_log_ms")).alias("share")))
     return out.orderBy(*by, F.desc("total_ms"), "fingerprint") if sort else out

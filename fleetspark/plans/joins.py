@@ -17,6 +17,15 @@ def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
     return lookup.groupBy(key).agg(*[F.max(c).alias(c) for c in lookup.columns if c != key])
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined to ``right`` on ``keys``, a null key equal to a null key; the keys are those of ``left``."""
+    named = right.select(*[F.col(c).alias(f"_right_{c}" if c in keys else c) for c in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(named, cond, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Attach the row count of each key group to every row.
 

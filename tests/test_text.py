@@ -122,3 +122,15 @@ def test_numbers_after_several_spaces(spark):
     from fleetspark.operators import textops
     df = spark.createDataFrame([("i", 1, "Log sequence number          123")], "instance_id string, snapshot_id long, status_text string")
     assert textops.innodb_status(df).first()["log_sequence_number"] == 123
+
+
+def test_null_instances_stay_in_digest_and_probes(spark):
+    from fleetspark.operators import activity
+
+    log = spark.createDataFrame([(None, "f", 10.0, 1, 2, "select 1"), (None, "f", 30.0, 1, 2, "select 2"), ("a", "f", 5.0, 1, 2, "select 3")],
+                                "instance_id string, fingerprint string, query_ms double, rows_sent long, rows_examined long, sql_text string")
+    got = {r["instance_id"]: r for r in textops.slow_query_digest(log).collect()}
+    assert set(got) == {None, "a"} and got[None]["calls"] == 2 and got[None]["share"] == 1.0 and got[None]["p95_ms"] is not None
+    probes = spark.createDataFrame([(None, True, 4.0), (None, True, 4.0), ("a", True, 2.0)], "instance_id string, success boolean, latency_ms double")
+    got = {r["instance_id"]: r for r in activity.probe_summary(probes).collect()}
+    assert got[None]["p50_ms"] == 4.0 and got[None]["p95_ms"] == 4.0 and got["a"]["p50_ms"] == 2.0
