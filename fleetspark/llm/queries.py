@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, decontam, gru_lm, iblt, langid, licenses, pii, secrets, simhash
+from . import bpe, dac, decontam, gru_lm, iblt, langid, licenses, pii, secrets, simhash, vector_codes
 from .common import crc_split, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru_lm.score(read_table(spark, sf_dir, "documents"), crc_split("doc_id", 5, 1))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_pii": op2_pii,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_language_model": op10_language_model,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
