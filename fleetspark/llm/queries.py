@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, decontam, gru_lm, iblt, langid, licenses, pii, secrets, simhash, vector_codes
+from . import bpe, dac, decontam, gru_lm, iblt, langid, licenses, pii, runs, secrets, simhash, vector_codes
 from .common import crc_split, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_pii": op2_pii,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_language_model": op10_language_model,
     "op12_vector_codes": op12_vector_codes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
