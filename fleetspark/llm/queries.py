@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, decontam, gru_lm, iblt, langid, licenses, pii, runs, secrets, simhash, vector_codes
+from . import bpe, dac, decontam, gru_lm, iblt, langid, licenses, packing, pii, runs, secrets, simhash, vector_codes
 from .common import crc_split, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru_lm.score(read_table(spark, sf_dir, "documents"), crc_split("doc_id", 5, 1))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_language_model": op10_language_model,
+    "op11_packing": op11_packing,
     "op12_vector_codes": op12_vector_codes,
     "op13_periodic_runs": op13_periodic_runs,
 }
