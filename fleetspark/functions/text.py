@@ -40,13 +40,22 @@ DEADLOCK_START = "LATEST DETECTED DEADLOCK\n"
 DEADLOCK_END = "\nTRANSACTIONS\n"
 
 # ---------------------------------------------------------------------------
-# Statement fingerprint (our definition, applied in this order).
+# Statement fingerprint (our definition): the tokens of a lower-cased statement,
+# tried in this order at each place.  Possessive quantifiers keep Java's matcher
+# from recursing over long literals; none of them changes a match.
 # ---------------------------------------------------------------------------
-FP_QUOTED = r"'[^']*'|\"[^\"]*\""
-FP_NUMBER = r"\b[0-9]+(\.[0-9]+)?\b"
-FP_LIST = r"\(\s*\?(\s*,\s*\?)*\s*\)"
+FP_COMMENT = r"/\*[\s\S]*?(?:\*/|\z)|--(?:[ \t\r][^\n]*|\n|\z)|#[^\n]*"
+FP_STRING = (r"[xbn]?'(?:[^'\\]++|\\[\s\S]|'')*+(?:'|\\?\z)"
+             r'|"(?:[^"\\]++|\\[\s\S]|"")*+(?:"|\\?\z)')
+FP_NUMBER = r"(?:0x[0-9a-f]+|0b[01]+|(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:e[-+]?[0-9]+)?)\b"
+FP_QUOTED_NAME = r"`[^`]*+(?:`|\z)"
+FP_NAME = r"[a-z_$@\x{80}-\x{10FFFF}][a-z0-9_$@\x{80}-\x{10FFFF}]*+(?:\.[a-z0-9_$@\x{80}-\x{10FFFF}]++)*+"
+FP_PLAIN = r"[^a-z0-9_$@\x{80}-\x{10FFFF}'\"`/#.-]++"
+#: Names and signs in a row are one token; a name before a quote may be its prefix.
+FP_TOKEN = rf"{FP_COMMENT}|{FP_STRING}|{FP_NUMBER}|(?:{FP_NAME}(?!')|{FP_QUOTED_NAME}|{FP_PLAIN})++|[0-9]*{FP_NAME}|[\s\S]"
+FP_LIST = r"\(\s*[-+]?\?(?:\s*,\s*[-+]?\?)*+\s*\)"
+FP_ROWS = r"\(\?\+\)(?:\s*,\s*\(\?\+\))++"
 FP_SPACE = r"\s+"
-FP_TRAILING_SEMI = r";$"
 
 # Slow-log record parts.
 SLOW_USER_HOST = r"# User@Host: ([^\n]*)"
@@ -55,7 +64,9 @@ SLOW_QUERY_TIME = r"# Query_time: ([0-9.]+)"
 SLOW_LOCK_TIME = r"Lock_time: ([0-9.]+)"
 SLOW_ROWS_SENT = r"Rows_sent: (\d+)"
 SLOW_ROWS_EXAMINED = r"Rows_examined: (\d+)"
-SLOW_HEADER_LINES = r"^(#[^\n]*\n|SET timestamp=\d+;\n|use [^\n]*;\n)+"
+SLOW_HEADER_LINES = r"^(?:#[^\n]*\n|SET timestamp=\d+;\n|use [^\n]*;\n)*+"
+SLOW_STATEMENT = SLOW_HEADER_LINES + r"([\s\S]*)"
+SLOW_DATABASE = r"(?m)^use ([^\n]*);$"
 
 
 def _c(c) -> Column:
@@ -92,15 +103,28 @@ def _literal(words: str) -> str:
 
 
 def fingerprint(sql) -> Column:
-    """Normalise a statement: lower case, literals and numbers -> ?, value lists
-    -> (?+), runs of white space -> one space, trimmed, no trailing ';'."""
-    s = F.lower(_c(sql))
-    s = F.regexp_replace(s, FP_QUOTED, "?")
-    s = F.regexp_replace(s, FP_NUMBER, "?")
+    """Normalise a statement.
+
+    One lexer pass from left to right over the lower-cased text: comments
+    become a space; strings (either quote, doubled or escaped quotes inside,
+    x'..', b'..' and n'..') and numbers (decimal, with exponent, hexadecimal,
+    binary) become ?; back-quoted and other names stay, digits in them too.  A
+    literal or comment without an end reaches to the end of the statement.
+    Then lists of literals become (?+), lists of such lists one (?+), white
+    space one space; outer space and the last ';' go.
+    """
+    def normal(t: Column) -> Column:
+        first, second = F.left(t, F.lit(1)), F.substring(t, 2, 1)
+        digit = first.between("0", "9") | (first == ".")
+        return (F.when(first.isin("'", '"') | (first.isin("x", "b", "n") & (second == "'")), "?")
+                .when((first == "#") | ((first == "/") & (second == "*")) | ((first == "-") & (second == "-")), " ")
+                .when(digit & t.rlike(f"^{FP_NUMBER}$"), "?").otherwise(t))
+
+    s = F.array_join(F.transform(F.regexp_extract_all(F.lower(_c(sql)), F.lit(FP_TOKEN), F.lit(0)), normal), "")
     s = F.regexp_replace(s, FP_LIST, "(?+)")
-    s = F.regexp_replace(s, FP_SPACE, " ")
-    s = F.trim(s)
-    return F.trim(F.regexp_replace(s, FP_TRAILING_SEMI, ""))
+    s = F.regexp_replace(s, FP_ROWS, "(?+)")
+    s = F.trim(F.regexp_replace(s, FP_SPACE, " "))
+    return F.trim(F.when(s.endswith(";"), F.left(s, F.length(s) - 1)).otherwise(s))
 
 
 def cut_bytes(text, n: int) -> Column:

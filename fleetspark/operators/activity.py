@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cut_bytes
 from ..plans.joins import null_safe_join
-from ..plans.percentile import exact_percentiles
+from ..plans.percentile import percentiles_of_counts
 
 def _s(c: str):
     return F.coalesce(F.col(c), F.lit(""))
@@ -109,10 +109,16 @@ def unused_indexes(index_columns: DataFrame, plans: DataFrame, database: str | N
 
 def probe_summary(probes: DataFrame) -> DataFrame:
     """Per instance probes, success rate, and p50 / p95 latency of the
-    successful probes (failures log 0 and do not count; NULL if none)."""
-    totals = probes.groupBy("instance_id").agg(
-        F.count(F.lit(1)).alias("probes"),
-        (F.count_if(F.col("success")) / F.count(F.lit(1))).alias("success_rate"))
-    lat = exact_percentiles(probes.where("success"), ["instance_id"], "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95})
+    successful probes (failures log 0 and do not count; NULL if none).
+
+    All of it follows from the probes per instance and latency, counted in one
+    pass; a failed probe is counted under no latency.
+    """
+    counts = probes.groupBy("instance_id", F.when(F.col("success"), F.col("latency_ms")).alias("latency_ms")).agg(
+        F.count(F.lit(1)).alias("probes"), F.count_if(F.col("success")).alias("good"))
+    counts = counts.where((F.col("probes") > 0) | (F.col("good") > 0))  # every reader asks for both: one shared exchange
+    totals = counts.groupBy("instance_id").agg(
+        F.sum("probes").alias("probes"), (F.sum("good") / F.sum("probes")).alias("success_rate"))
+    lat = percentiles_of_counts(counts, ["instance_id"], "latency_ms", F.col("good"), {"p50_ms": 0.5, "p95_ms": 0.95})
     return null_safe_join(totals, lat, ["instance_id"], "left").select(
         "instance_id", "probes", "success_rate", F.round("p50_ms", 3).alias("p50_ms"), F.round("p95_ms", 3).alias("p95_ms"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans.joins import null_safe_join
-from ..plans.percentile import exact_percentiles
+from ..plans.percentile import percentiles_of_counts
 
 
 # Multi-group patterns are matched once (whole match); the groups are then
@@ -116,7 +116,7 @@ def slow_log_records(records: DataFrame, text_col: str = "record_text",
         F.regexp_extract(h, T.SLOW_ROWS_SENT, 1).try_cast("bigint").alias("rows_sent"),
         F.regexp_extract(h, T.SLOW_ROWS_EXAMINED, 1).try_cast("bigint").alias("rows_examined"),
         F.regexp_extract("_t", T.SLOW_USER_HOST, 1).alias("user_host"),
-        F.regexp_replace("_t", T.SLOW_HEADER_LINES, "").alias("sql_text"),
+        F.regexp_extract("_t", T.SLOW_STATEMENT, 1).alias("sql_text"),
     )
 
 
@@ -125,34 +125,62 @@ def query_fingerprint(records: DataFrame, sql_col: str = "sql_text") -> DataFram
     return records.withColumn("fingerprint", T.fingerprint(F.col(sql_col)))
 
 
-def slow_query_digest(parsed: DataFrame, by=("instance_id",), sort: bool = False) -> DataFrame:
-    """A10: per log (instance) and fingerprint: calls, total / avg / max / p95
-    ms, rows sent / examined, share of the log's total time, and the text of
-    the slowest call (ties to the smallest text).
+def digest_counts(parsed: DataFrame, by=("instance_id",)) -> DataFrame:
+    """A10's count table: per log (``by``), fingerprint and time value the calls,
+    rows and least statement text.
 
-    Map-side partial aggregation first.  The log total is an aggregate of its
-    own, whose branch prunes everything but the time, and the exact p95 comes
-    from counts (``exact_percentiles``); both are joined back, so no group's
-    rows, values or fingerprints meet in one task.
+    All of a digest follows from it, exact percentiles included, and the tables
+    of several logs or days merge into the table of all of them
+    (``merge_digest_counts``), so that a log is parsed once and its table kept.
     """
     fp = parsed if "fingerprint" in parsed.columns else query_fingerprint(parsed)
+    return fp.groupBy(*by, "fingerprint", "query_ms").agg(
+        F.count(F.lit(1)).alias("calls"), F.sum("rows_sent").alias("rows_sent"),
+        F.sum("rows_examined").alias("rows_examined"), F.min("sql_text").alias("sample"))
+
+
+def merge_digest_counts(counts: DataFrame, by=("instance_id",)) -> DataFrame:
+    """One count table out of several tables' rows (a union, or stored days); other columns are dropped."""
+    return counts.groupBy(*by, "fingerprint", "query_ms").agg(
+        F.sum("calls").alias("calls"), F.sum("rows_sent").alias("rows_sent"),
+        F.sum("rows_examined").alias("rows_examined"), F.min("sample").alias("sample"))
+
+
+def digest_of_counts(counts: DataFrame, by=("instance_id",), sort: bool = False) -> DataFrame:
+    """A10 from a count table with one row per log, fingerprint and time value."""
     keys = [*by, "fingerprint"]
-    g = fp.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("calls"),
-        F.sum("query_ms").alias("total_ms"),
-        F.avg("query_ms").alias("avg_ms"),
+    # rows that count something: asking for every column lets all readers of the
+    # table below share one exchange, so that the log is scanned and parsed once
+    counts = counts.where((F.col("calls") > 0) | (F.col("rows_sent") > 0) | (F.col("rows_examined") > 0) | F.col("sample").isNotNull())
+    ms = F.col("query_ms") * F.col("calls")
+    g = counts.groupBy(*keys).agg(
+        F.sum("calls").alias("calls"),
+        F.sum(ms).alias("total_ms"),
+        (F.sum(ms) / F.sum(F.when(F.col("query_ms").isNotNull(), F.col("calls")))).alias("avg_ms"),
         F.max("query_ms").alias("max_ms"),
         F.sum("rows_sent").alias("rows_sent"),
         F.sum("rows_examined").alias("rows_examined"),
-        F.min_by("sql_text", F.struct(-F.col("query_ms"), F.col("sql_text"))).alias("sample"),
+        F.min_by("sample", F.struct(-F.col("query_ms"), F.col("sample"))).alias("sample"),
     )
-    p95 = exact_percentiles(fp, keys, "query_ms", {"p95_ms": 0.95})
-    total = parsed.groupBy(*by).agg(F.sum("query_ms").alias("_log_ms"))
+    p95 = percentiles_of_counts(counts, keys, "query_ms", F.col("calls"), {"p95_ms": 0.95})
+    total = counts.groupBy(*by).agg(F.sum(ms).alias("_log_ms"))
     out = (null_safe_join(null_safe_join(g, p95, keys, "left"), total, list(by))
            .select(*keys, "calls", "total_ms", "avg_ms", "max_ms", F.round("p95_ms", 3).alias("p95_ms"), "rows_sent",
                    "rows_examined", "sample", (F.col("total_ms") / F.col("_log_ms")).alias("share")))
     return out.orderBy(*by, F.desc("total_ms"), "fingerprint") if sort else out
 
 
+def slow_query_digest(parsed: DataFrame, by=("instance_id",), sort: bool = False) -> DataFrame:
+    """A10: per log (instance) and fingerprint: calls, total / avg / max / p95
+    ms, rows sent / examined, share of the log's total time, and the text of
+    the slowest call (ties to the smallest text).
+
+    The log becomes its count table in one map-side aggregated pass; totals,
+    percentiles and shares are read from that table, so no group's rows,
+    values or fingerprints meet in one task.
+    """
+    return digest_of_counts(digest_counts(parsed, by), by, sort)
+
+
 def flat_queries(c: Column) -> Column:
     return F.array_join(c, " | ")

@@ -17,6 +17,7 @@ from .operators import activity, catalog, checks, counters, textops
 from .operators import inventory as inv
 from .operators import timeseries as ts
 from .sources.fixtures import Fixtures, bindable_sql, fixture_deps
+from .sources.sinks import write_report
 from .sources.slowlog import read_slow_log
 from .sources.tables import stream_path
 from .streaming import alerts as _alerts
@@ -255,6 +256,17 @@ def q_slow_query_digest(fx: Fixtures) -> DataFrame:
     return textops.slow_query_digest(textops.slow_log_records(fx["slow_log"]))
 
 
+@register("slow_query_digest_stored")
+def q_slow_query_digest_stored(fx: Fixtures) -> DataFrame:
+    """The digest of three days from their stored count tables; the last day's table is written again."""
+    path = scratch_path(fx.spark, "slow_query_digest", "counts")
+    log = textops.slow_log_records(fx["slow_log"]).withColumn("log_day", F.col("rec_id") % 3)
+    counts = textops.digest_counts(log, by=("log_day", "instance_id"))
+    write_report(counts, path, partition_by="log_day", mode="replace")
+    write_report(counts.where("log_day = 2"), path, partition_by="log_day", mode="replace")
+    return textops.digest_of_counts(textops.merge_digest_counts(fx.spark.read.parquet(path)))
+
+
 @register("active_processes")
 def q_active_processes(fx: Fixtures) -> DataFrame:
     return activity.active_processes(fx["processes"])

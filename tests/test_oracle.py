@@ -60,7 +60,7 @@ def test_query_matches_oracle(spark, duck, key):
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["instance_id", "snapshot_id", "check_order", "check_name", "value", "unit", "status",
-                          "total_checks"]
+                          "threshold", "description", "total_checks"]
     assert df.count() > 0
 
 

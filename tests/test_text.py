@@ -134,3 +134,94 @@ def test_null_instances_stay_in_digest_and_probes(spark):
     probes = spark.createDataFrame([(None, True, 4.0), (None, True, 4.0), ("a", True, 2.0)], "instance_id string, success boolean, latency_ms double")
     got = {r["instance_id"]: r for r in activity.probe_summary(probes).collect()}
     assert got[None]["p50_ms"] == 4.0 and got[None]["p95_ms"] == 4.0 and got["a"]["p50_ms"] == 2.0
+
+
+# statement -> fingerprint
+STATEMENTS = [
+    ("/* it's */ select a from t where b='x'", "select a from t where b=?"),
+    ("select 1 -- don't\n, 2 from t", "select ? , ? from t"),
+    ("select 'it\\'s', \"a\\\"b\", 'it''s' from t", "select ?, ?, ? from t"),
+    ("select 0xFF, 1e5, 1.5E-3, .5, x'1F', b'01', 0b11 from t1", "select ?, ?, ?, ?, ?, ?, ? from t1"),
+    ("insert into t values (1,'a'),(2,'b'),\n (3,'c');", "insert into t values (?+)"),
+    ("select `a 1`, `2` from `db`.`t-1` where c=-5", "select `a 1`, `2` from `db`.`t-1` where c=-?"),
+    ("select a--1 from t", "select a--? from t"),
+    ("select 5--\n from t", "select ? from t"),
+    ("# c\nselect 2fa, t1.c2 from t_2", "select 2fa, t1.c2 from t_2"),
+    ("select 'unterminated", "select ?"),
+    ("select a/b from t /* open", "select a/b from t"),
+    ("select 1;", "select ?"),
+    ("select * from t where id in (-1, 2, +3)", "select * from t where id in (?+)"),
+    ("SELECT 'a' 'b', @v:=1, ? FROM T ; ", "select ? ?, @v:=?, ? from t"),
+    ("select 'back\\", "select ?"),
+    ("select \"it's\", 'say \"x\"'", "select ?, ?"),
+    ("select a/**/b, c/*x*/-1", "select a b, c -?"),
+    ("where name in('a','b')and x=1", "where name in(?+)and x=?"),
+    ("select '-- no comment', '/* nor this */', '# nor this'", "select ?, ?, ?"),
+    ("select /* 'a */ b /* ' */ from t", "select b from t"),
+    ("select ''''", "select ?"),
+    ("é = 'é' and ü1 = 1", "é = ? and ü1 = ?"),
+    ("select f(1), g('x', 2), h()", "select f(?+), g(?+), h()"),
+    ("--", ""), ("", ""), ("  ;  ", ""), ("select 'a\nb',\n\t2", "select ?, ?"),
+]
+
+
+def test_fingerprint_is_a_lexer(spark):
+    import duckdb
+    from fleetspark import oracles
+    from fleetspark.functions.text import fingerprint
+    got = [r[0] for r in spark.createDataFrame([(s,) for s, _ in STATEMENTS], "q string").coalesce(1).select(fingerprint("q")).collect()]
+    assert got == [f for _, f in STATEMENTS]
+    con = duckdb.connect()
+    assert [con.execute(f"SELECT {oracles._FP} FROM (SELECT ? AS sql_text)", [s]).fetchone()[0] for s, _ in STATEMENTS] == got
+
+
+def test_fingerprint_of_long_literals(spark):
+    from fleetspark.functions.text import fingerprint
+    long = ["'" + "a\\'" * 50_000 + "'", "(" + ", ".join(["'x'"] * 50_000) + ")", '"' + '""' * 50_000 + '"', "/*" + "*" * 100_000 + "*/ a", "`" + "b" * 50_000]
+    got = [r[0] for r in spark.createDataFrame([(s,) for s in long], "q string").coalesce(1).select(fingerprint("q")).collect()]
+    assert got[:4] == ["?", "(?+)", "?", "a"] and len(got[4]) == 50_001
+
+
+def log_rows(spark, seed, n):
+    import random
+    rng = random.Random(seed)
+    return spark.createDataFrame(
+        [(rng.choice(["a", "b", None]), rng.choice(["f", "g"]), rng.choice([None, 1.5, float(rng.randint(0, 500))]), rng.randint(0, 9), rng.choice([None, 7]), f"select {rng.randint(0, 50)}")
+         for _ in range(n)], "instance_id string, fingerprint string, query_ms double, rows_sent long, rows_examined long, sql_text string")
+
+
+def digest_rows(df):
+    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()), key=repr)
+
+
+def test_merged_days_are_the_digest_of_both(spark):
+    a, b = log_rows(spark, 1, 400), log_rows(spark, 2, 300)
+    days = textops.digest_counts(a).unionByName(textops.digest_counts(b))
+    whole = digest_rows(textops.slow_query_digest(a.unionByName(b)))
+    assert digest_rows(textops.digest_of_counts(textops.merge_digest_counts(days))) == whole and len(whole) == 6
+    import numpy as np
+    rows = [r for r in a.collect() + b.collect() if (r["instance_id"], r["fingerprint"]) == ("a", "f") and r["query_ms"] is not None]
+    one = next(r for r in textops.slow_query_digest(a.unionByName(b)).collect() if (r["instance_id"], r["fingerprint"]) == ("a", "f"))
+    ms = [r["query_ms"] for r in rows]
+    assert one["p95_ms"] == round(float(np.percentile(ms, 95)), 3) and one["max_ms"] == max(ms) and abs(one["avg_ms"] - np.mean(ms)) < 1e-9
+
+
+def test_digest_and_probes_scan_their_input_once(spark, tmp_dir):
+    from fleetspark.operators import activity
+    log_rows(spark, 3, 500).write.parquet(f"{tmp_dir}/log")
+    spark.createDataFrame([("a", i % 3 > 0, float(i % 50)) for i in range(300)], "instance_id string, success boolean, latency_ms double").write.parquet(f"{tmp_dir}/probes")
+    for df in (textops.slow_query_digest(spark.read.parquet(f"{tmp_dir}/log")), activity.probe_summary(spark.read.parquet(f"{tmp_dir}/probes"))):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_reports_are_replaced_by_partition(spark, tmp_dir):
+    from fleetspark.sources.sinks import write_report
+    rows = lambda *r: spark.createDataFrame(list(r), "instance_id string, v int")
+    path = f"{tmp_dir}/report"
+    write_report(rows(("a", 1), ("a", 2), ("b", 3)), path, mode="replace")
+    write_report(rows(("b", 4), ("c", 5)), path, mode="replace")
+    assert sorted((r["instance_id"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("a", 2), ("b", 4), ("c", 5)]
+    write_report(rows(("b", 4), ("c", 5)), path, mode="replace")
+    assert spark.read.parquet(path).count() == 4
