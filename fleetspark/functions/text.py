@@ -35,27 +35,35 @@ BP_HIT_RATE = r"Buffer pool hit rate (\d+) / (\d+)"
 BP_RW_RATE = r"(\d+\.?\d*) reads/s, (\d+\.?\d*) creates/s, (\d+\.?\d*) writes/s"
 QUERIES_INSIDE = r"(\d+) queries inside InnoDB, (\d+) queries in queue"
 ROW_OPS_RATE = r"(\d+\.?\d*) inserts/s, (\d+\.?\d*) updates/s, (\d+\.?\d*) deletes/s, (\d+\.?\d*) reads/s"
+UNSIGNED = r"\d+\.?\d*"
 DEADLOCK_MARK = "LATEST DETECTED DEADLOCK"
 DEADLOCK_START = "LATEST DETECTED DEADLOCK\n"
 DEADLOCK_END = "\nTRANSACTIONS\n"
 
 # ---------------------------------------------------------------------------
-# Statement fingerprint (our definition): the tokens of a lower-cased statement,
-# tried in this order at each place.  Possessive quantifiers keep Java's matcher
-# from recursing over long literals; none of them changes a match.
+# Statement fingerprint (our definition): the tokens of a lower-cased statement.
+# Three passes, each of which reads over the tokens that it leaves as they are:
+# comments, then strings, then numbers.  \G ties each match to the one before,
+# so that no pass looks into a token.  Where a statement has no comments and no
+# back-quotes (PLAIN_...) there is less to read over.
+# Possessive quantifiers keep Java's matcher from recursing over long literals.
 # ---------------------------------------------------------------------------
 FP_COMMENT = r"/\*[\s\S]*?(?:\*/|\z)|--(?:[ \t\r][^\n]*|\n|\z)|#[^\n]*"
-FP_STRING = (r"[xbn]?'(?:[^'\\]++|\\[\s\S]|'')*+(?:'|\\?\z)"
-             r'|"(?:[^"\\]++|\\[\s\S]|"")*+(?:"|\\?\z)')
-FP_NUMBER = r"(?:0x[0-9a-f]+|0b[01]+|(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:e[-+]?[0-9]+)?)\b"
+FP_STRING = r"""(?:'(?:[^'\\]++|\\[\s\S]|'')*+(?:'|\\?\z)|"(?:[^"\\]++|\\[\s\S]|"")*+(?:"|\\?\z))"""
+FP_NUMBER = r"(?:0x[0-9a-f]+|0b[01]+|(?:[0-9]+(?:\.[0-9]+)*|\.[0-9]+)(?:e[-+]?[0-9]+)?)\b"
 FP_QUOTED_NAME = r"`[^`]*+(?:`|\z)"
-FP_NAME = r"[a-z_$@\x{80}-\x{10FFFF}][a-z0-9_$@\x{80}-\x{10FFFF}]*+(?:\.[a-z0-9_$@\x{80}-\x{10FFFF}]++)*+"
-FP_PLAIN = r"[^a-z0-9_$@\x{80}-\x{10FFFF}'\"`/#.-]++"
-#: Names and signs in a row are one token; a name before a quote may be its prefix.
-FP_TOKEN = rf"{FP_COMMENT}|{FP_STRING}|{FP_NUMBER}|(?:{FP_NAME}(?!')|{FP_QUOTED_NAME}|{FP_PLAIN})++|[0-9]*{FP_NAME}|[\s\S]"
+FP_LETTER = r"[a-z0-9_$@\x{80}-\x{10FFFF}]"
+FP_NAME = rf"[a-z_$@\x{{80}}-\x{{10FFFF}}]{FP_LETTER}*+(?:\.{FP_LETTER}++)*+"
+FP_SIGNS = r"[^a-z0-9_$@\x{80}-\x{10FFFF}`.]++"
+FP_COMMENTS = rf"""\G(?:((?:[^'"`/#-]++|{FP_STRING}|{FP_QUOTED_NAME}|/(?!\*)|-(?!-(?:\s|\z)))++)|{FP_COMMENT})"""
+FP_STRINGS = rf"""\G((?:[^'"`xbn]++|{FP_QUOTED_NAME}|[xbn](?!')|(?<={FP_LETTER})[xbn])*+)[xbn]?{FP_STRING}"""
+FP_NUMBERS = rf"\G((?:{FP_NAME}|{FP_SIGNS}|{FP_QUOTED_NAME}|(?!{FP_NUMBER})(?:[0-9]*{FP_NAME}|[\s\S]))*+){FP_NUMBER}"
+PLAIN_STRINGS = rf"""\G((?:[^'"xbn]++|[xbn](?!')|(?<={FP_LETTER})[xbn])*+)[xbn]?{FP_STRING}"""
+PLAIN_NUMBERS = rf"\G((?:[^0-9.]++|(?<={FP_LETTER})[.0-9]|(?<={FP_LETTER}\.)[0-9]|(?!{FP_NUMBER})[.0-9])*+){FP_NUMBER}"
 FP_LIST = r"\(\s*[-+]?\?(?:\s*,\s*[-+]?\?)*+\s*\)"
-FP_ROWS = r"\(\?\+\)(?:\s*,\s*\(\?\+\))++"
-FP_SPACE = r"\s+"
+FP_LISTS = rf"{FP_LIST}(?:\s*,\s*{FP_LIST})*+"
+FP_SPACE = r"\G((?:\S++| (?!\s))*+)\s++"
+FP_ENDS = " ;"
 
 # Slow-log record parts.
 SLOW_USER_HOST = r"# User@Host: ([^\n]*)"
@@ -64,8 +72,7 @@ SLOW_QUERY_TIME = r"# Query_time: ([0-9.]+)"
 SLOW_LOCK_TIME = r"Lock_time: ([0-9.]+)"
 SLOW_ROWS_SENT = r"Rows_sent: (\d+)"
 SLOW_ROWS_EXAMINED = r"Rows_examined: (\d+)"
-SLOW_HEADER_LINES = r"^(?:#[^\n]*\n|SET timestamp=\d+;\n|use [^\n]*;\n)*+"
-SLOW_STATEMENT = SLOW_HEADER_LINES + r"([\s\S]*)"
+SLOW_HEADER_LINES = r"^(?:#[^\n]*\n|SET timestamp=\d+;\n|use [^\n]*;\n)++"
 SLOW_DATABASE = r"(?m)^use ([^\n]*);$"
 
 
@@ -105,26 +112,21 @@ def _literal(words: str) -> str:
 def fingerprint(sql) -> Column:
     """Normalise a statement.
 
-    One lexer pass from left to right over the lower-cased text: comments
-    become a space; strings (either quote, doubled or escaped quotes inside,
-    x'..', b'..' and n'..') and numbers (decimal, with exponent, hexadecimal,
-    binary) become ?; back-quoted and other names stay, digits in them too.  A
-    literal or comment without an end reaches to the end of the statement.
-    Then lists of literals become (?+), lists of such lists one (?+), white
-    space one space; outer space and the last ';' go.
+    Lower-cased, its tokens from left to right: comments become a space; strings
+    (either quote, doubled or escaped quotes inside, x'..', b'..' and n'..') and
+    numbers (decimal, with exponent, hexadecimal, binary) become ?; back-quoted
+    and other names stay, digits in them too.  A literal or comment without an
+    end reaches to the end of the statement.  Then lists of literals become
+    (?+), lists of such lists one (?+), white space one space; outer space and
+    ';' at the end go.
     """
-    def normal(t: Column) -> Column:
-        first, second = F.left(t, F.lit(1)), F.substring(t, 2, 1)
-        digit = first.between("0", "9") | (first == ".")
-        return (F.when(first.isin("'", '"') | (first.isin("x", "b", "n") & (second == "'")), "?")
-                .when((first == "#") | ((first == "/") & (second == "*")) | ((first == "-") & (second == "-")), " ")
-                .when(digit & t.rlike(f"^{FP_NUMBER}$"), "?").otherwise(t))
-
-    s = F.array_join(F.transform(F.regexp_extract_all(F.lower(_c(sql)), F.lit(FP_TOKEN), F.lit(0)), normal), "")
-    s = F.regexp_replace(s, FP_LIST, "(?+)")
-    s = F.regexp_replace(s, FP_ROWS, "(?+)")
-    s = F.trim(F.regexp_replace(s, FP_SPACE, " "))
-    return F.trim(F.when(s.endswith(";"), F.left(s, F.length(s) - 1)).otherwise(s))
+    s = F.lower(_c(sql))
+    plain = F.regexp_replace(F.regexp_replace(s, PLAIN_STRINGS, "$1?"), PLAIN_NUMBERS, "$1?")
+    # what the first pass keeps ends at a comment or at the end, so the space after it stands for the comment
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, FP_COMMENTS, "$1 "), FP_STRINGS, "$1?"), FP_NUMBERS, "$1?")
+    special = _c(sql).contains("`") | _c(sql).contains("#") | _c(sql).contains("--") | _c(sql).contains("/*")
+    s = F.regexp_replace(F.when(special, bare).otherwise(plain), FP_LISTS, "(?+)")
+    return F.rtrim(F.ltrim(F.regexp_replace(s, FP_SPACE, "$1 ")), F.lit(FP_ENDS))
 
 
 def cut_bytes(text, n: int) -> Column:

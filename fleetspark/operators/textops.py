@@ -14,70 +14,79 @@ from ..plans.joins import null_safe_join
 from ..plans.percentile import percentiles_of_counts
 
 
-# Multi-group patterns are matched once (whole match); the groups are then
-# read from the short match (re-running a pattern on its own match yields the
-# same groups).  Patterns that start with a digit group are searched only in
-# the lines holding a literal every match contains (None: whole text).
+# Patterns with several numbers are matched once; the numbers are then read from
+# the short match: name -> (pattern, literal, decimal numbers).  Patterns that
+# start with a digit group are searched only in the lines holding a literal every
+# match contains (None: whole text).
 _MULTI = {
-    "rw_shared": (T.RW_SHARED, None),
-    "rw_excl": (T.RW_EXCL, None),
-    "file_io": (T.FILE_IO_RATE, " avg bytes/read, "),
-    "bp_hit": (T.BP_HIT_RATE, None),
-    "bp_rw": (T.BP_RW_RATE, " creates/s, "),
-    "queries": (T.QUERIES_INSIDE, " queries inside InnoDB, "),
-    "row_ops": (T.ROW_OPS_RATE, " inserts/s, "),
+    "rw_shared": (T.RW_SHARED, None, False),
+    "rw_excl": (T.RW_EXCL, None, False),
+    "file_io": (T.FILE_IO_RATE, " avg bytes/read, ", True),
+    "bp_hit": (T.BP_HIT_RATE, None, False),
+    "bp_rw": (T.BP_RW_RATE, " creates/s, ", True),
+    "queries": (T.QUERIES_INSIDE, " queries inside InnoDB, ", False),
+    "row_ops": (T.ROW_OPS_RATE, " inserts/s, ", True),
 }
 
+# One-number patterns: column -> pattern; each number stands in one group.
+_NUMBERS = {
+    "sem_reservation_count": T.RESERVATION_COUNT,
+    "sem_signal_count": T.SIGNAL_COUNT,
+    "trx_id_counter": T.TRX_ID_COUNTER,
+    "trx_history_list_length": T.HISTORY_LENGTH,
+    "log_sequence_number": T.LOG_SEQUENCE,
+    "log_flushed_up_to": T.LOG_FLUSHED,
+    "log_last_checkpoint": T.LAST_CHECKPOINT,
+    "bp_size_pages": T.BP_SIZE,
+    "bp_free_pages": T.BP_FREE,
+    "bp_database_pages": T.BP_DATABASE,
+    "bp_modified_pages": T.BP_MODIFIED,
+}
+
+# Numbers out of those matches: column -> (match, which of its numbers).
+_IN_MATCH = {
+    "sem_rw_shared_spins": ("rw_shared", 0), "sem_rw_shared_os_waits": ("rw_shared", 2),
+    "sem_rw_excl_spins": ("rw_excl", 0), "sem_rw_excl_os_waits": ("rw_excl", 2),
+    "io_reads_per_sec": ("file_io", 0), "io_writes_per_sec": ("file_io", 2), "io_log_writes_per_sec": ("file_io", 3),
+    "bp_reads_per_sec": ("bp_rw", 0), "bp_writes_per_sec": ("bp_rw", 2),
+    "row_queries_inside": ("queries", 0), "row_queries_in_queue": ("queries", 1),
+    "row_inserts_per_sec": ("row_ops", 0), "row_updates_per_sec": ("row_ops", 1),
+    "row_deletes_per_sec": ("row_ops", 2), "row_reads_per_sec": ("row_ops", 3),
+    "_hit_a": ("bp_hit", 0), "_hit_b": ("bp_hit", 1),
+}
+
+STATUS_COLUMNS = [
+    "monitor_time", "sem_reservation_count", "sem_signal_count", "sem_rw_shared_spins", "sem_rw_shared_os_waits", "sem_rw_excl_spins",
+    "sem_rw_excl_os_waits", "has_deadlock", "trx_id_counter", "trx_history_list_length", "io_reads_per_sec", "io_writes_per_sec",
+    "io_log_writes_per_sec", "log_sequence_number", "log_flushed_up_to", "log_last_checkpoint", "bp_size_pages", "bp_free_pages",
+    "bp_database_pages", "bp_modified_pages", "bp_hit_rate_pct", "bp_reads_per_sec", "bp_writes_per_sec", "row_queries_inside",
+    "row_queries_in_queue", "row_inserts_per_sec", "row_updates_per_sec", "row_deletes_per_sec", "row_reads_per_sec"]
+
 
 def innodb_status(status: DataFrame, text_col: str = "status_text",
                   keys=("instance_id", "snapshot_id")) -> DataFrame:
     """The engine status report parsed into a timestamp and 27 numbers in
-    six groups (flat, group-prefixed columns); 0 / '' where a pattern is absent."""
-    t = F.col(text_col)
-    L, D = T.extract_long, T.extract_double
-    lines = status.select(*keys, t.alias("_t"), F.split(t, "\n").alias("_lines"))
-    m = [(T.first_match_in_lines("_lines", p, lit) if lit else F.regexp_extract("_t", p, 0)).alias(f"_m_{k}")
-         for k, (p, lit) in _MULTI.items()]
-    staged = lines.select(*keys, "_t", *m)
-
-    def g(k: str, i: int, as_double: bool = False) -> Column:
-        return (D if as_double else L)(F.col(f"_m_{k}"), _MULTI[k][0], i)
+    six groups (flat, group-prefixed columns); 0 / '' where a pattern is absent.
 
+    The report is cut into lines and matched, each pattern once, in one
+    projection; the numbers of each match become an array in the next, and the
+    columns are read from the arrays.
+    """
     x = F.col("_t")
-    hit_a, hit_b = g("bp_hit", 1), g("bp_hit", 2)
-    return staged.select(
-        *keys,
-        F.regexp_extract(x, T.MONITOR_TIME, 1).alias("monitor_time"),
-        L(x, T.RESERVATION_COUNT).alias("sem_reservation_count"),
-        L(x, T.SIGNAL_COUNT).alias("sem_signal_count"),
-        g("rw_shared", 1).alias("sem_rw_shared_spins"),
-        g("rw_shared", 2).alias("sem_rw_shared_os_waits"),
-        g("rw_excl", 1).alias("sem_rw_excl_spins"),
-        g("rw_excl", 2).alias("sem_rw_excl_os_waits"),
-        x.contains(T.DEADLOCK_MARK).alias("has_deadlock"),
-        L(x, T.TRX_ID_COUNTER).alias("trx_id_counter"),
-        L(x, T.HISTORY_LENGTH).alias("trx_history_list_length"),
-        g("file_io", 1, True).alias("io_reads_per_sec"),
-        g("file_io", 2, True).alias("io_writes_per_sec"),
-        g("file_io", 3, True).alias("io_log_writes_per_sec"),
-        L(x, T.LOG_SEQUENCE).alias("log_sequence_number"),
-        L(x, T.LOG_FLUSHED).alias("log_flushed_up_to"),
-        L(x, T.LAST_CHECKPOINT).alias("log_last_checkpoint"),
-        L(x, T.BP_SIZE).alias("bp_size_pages"),
-        L(x, T.BP_FREE).alias("bp_free_pages"),
-        L(x, T.BP_DATABASE).alias("bp_database_pages"),
-        L(x, T.BP_MODIFIED).alias("bp_modified_pages"),
-        F.when(hit_b > 0, hit_a.cast("double") / hit_b.cast("double") * 100).otherwise(F.lit(0.0)).alias(
-            "bp_hit_rate_pct"),
-        g("bp_rw", 1, True).alias("bp_reads_per_sec"),
-        g("bp_rw", 3, True).alias("bp_writes_per_sec"),
-        g("queries", 1).alias("row_queries_inside"),
-        g("queries", 2).alias("row_queries_in_queue"),
-        g("row_ops", 1, True).alias("row_inserts_per_sec"),
-        g("row_ops", 2, True).alias("row_updates_per_sec"),
-        g("row_ops", 3, True).alias("row_deletes_per_sec"),
-        g("row_ops", 4, True).alias("row_reads_per_sec"),
-    )
+    lines = status.select(*keys, F.col(text_col).alias("_t"), F.split(text_col, "\n").alias("_lines"))
+    whole = lambda d: F.coalesce(T.to_bigint(d), F.lit(0).cast("bigint"))
+    matches = lines.select(
+        *keys, F.regexp_extract(x, T.MONITOR_TIME, 1).alias("monitor_time"), x.contains(T.DEADLOCK_MARK).alias("has_deadlock"),
+        F.transform(F.array(*[F.regexp_extract(x, p, 1) for p in _NUMBERS.values()]), whole).alias("_numbers"),
+        *[(T.first_match_in_lines("_lines", p, lit) if lit else F.regexp_extract(x, p, 0)).alias(k) for k, (p, lit, _) in _MULTI.items()])
+    parts = matches.select(*keys, "monitor_time", "has_deadlock", "_numbers", *[
+        F.transform(F.regexp_extract_all(k, F.lit(T.UNSIGNED), F.lit(0)), (lambda d: d.try_cast("double")) if decimal else T.to_bigint).alias(k)
+        for k, (_, _, decimal) in _MULTI.items()])
+    zero = {k: F.lit(0.0) if decimal else F.lit(0).cast("bigint") for k, (_, _, decimal) in _MULTI.items()}
+    out = parts.select(*keys, "monitor_time", "has_deadlock", *[F.get("_numbers", F.lit(i)).alias(c) for i, c in enumerate(_NUMBERS)],
+                       *[F.coalesce(F.get(k, F.lit(i)), zero[k]).alias(c) for c, (k, i) in _IN_MATCH.items()])
+    hit = F.when(F.col("_hit_b") > 0, F.col("_hit_a").cast("double") / F.col("_hit_b").cast("double") * 100).otherwise(F.lit(0.0))
+    return out.withColumn("bp_hit_rate_pct", hit).select(*keys, *STATUS_COLUMNS)
 
 
 def deadlocks(status: DataFrame, text_col: str = "status_text", keys=("instance_id", "snapshot_id")) -> DataFrame:
@@ -116,7 +125,7 @@ def slow_log_records(records: DataFrame, text_col: str = "record_text",
         F.regexp_extract(h, T.SLOW_ROWS_SENT, 1).try_cast("bigint").alias("rows_sent"),
         F.regexp_extract(h, T.SLOW_ROWS_EXAMINED, 1).try_cast("bigint").alias("rows_examined"),
         F.regexp_extract("_t", T.SLOW_USER_HOST, 1).alias("user_host"),
-        F.regexp_extract("_t", T.SLOW_STATEMENT, 1).alias("sql_text"),
+        F.regexp_replace("_t", T.SLOW_HEADER_LINES, "").alias("sql_text"),
     )
 
 

@@ -159,6 +159,8 @@ STATEMENTS = [
     ("select '-- no comment', '/* nor this */', '# nor this'", "select ?, ?, ?"),
     ("select /* 'a */ b /* ' */ from t", "select b from t"),
     ("select ''''", "select ?"),
+    ("select 1.2.3.4, a.1, a.b.5, 1.2.3x, 2fa.5, (3).5, a ..5, @1", "select ?, a.1, a.b.5, ?.3x, 2fa.5, (?+)?, a .?, @1"),
+    ("select `b`.5, `1`.c1, 1.2.3.4 -- x", "select `b`?, `1`.c1, ?"), ("select n'a', bin'x', N\"b\" # '", "select ?, bin?, n?"),
     ("é = 'é' and ü1 = 1", "é = ? and ü1 = ?"),
     ("select f(1), g('x', 2), h()", "select f(?+), g(?+), h()"),
     ("--", ""), ("", ""), ("  ;  ", ""), ("select 'a\nb',\n\t2", "select ?, ?"),
