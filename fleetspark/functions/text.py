@@ -73,7 +73,6 @@ SLOW_LOCK_TIME = r"Lock_time: ([0-9.]+)"
 SLOW_ROWS_SENT = r"Rows_sent: (\d+)"
 SLOW_ROWS_EXAMINED = r"Rows_examined: (\d+)"
 SLOW_HEADER_LINES = r"^(?:#[^\n]*\n|SET timestamp=\d+;\n|use [^\n]*;\n)++"
-SLOW_DATABASE = r"(?m)^use ([^\n]*);$"
 
 
 def _c(c) -> Column:

@@ -121,6 +121,19 @@ def latest_metrics(points: DataFrame, instances: DataFrame, as_of, lookback: str
     names = [m[0] for m in metrics]
     roll = metric_rollup(in_lookback(points.where(F.col("metric").isin(*names)), "ts", as_of, lookback, date_col),
                          period)
+    return latest_of_rollup(roll, instances, metrics)
+
+
+def rollup_of_periods(periods: DataFrame, period: str = "5 minutes") -> DataFrame:
+    """A7 from stored sums (``n``, ``total`` per ``period_start``) of periods that divide ``period``."""
+    g = periods.groupBy("instance_id", "metric", F.window("period_start", period).alias("w"))
+    return g.agg((F.sum("total") / F.sum("n")).alias("avg_value"), F.sum("n").alias("n_points")).select(
+        "instance_id", "metric", F.col("w.start").alias("period_start"), "avg_value", "n_points")
+
+
+def latest_of_rollup(roll: DataFrame, instances: DataFrame, metrics=METRIC_UNITS) -> DataFrame:
+    """W1 from period averages."""
+    names = [m[0] for m in metrics]
     aggs = [F.max_by(F.when(F.col("metric") == m, F.col("avg_value")),
                      F.when(F.col("metric") == m, F.col("period_start"))).alias(m) for m in names]
     latest = roll.groupBy("instance_id").agg(*aggs)
@@ -161,6 +174,11 @@ def top_by_load(samples: DataFrame, keys: list[str], as_of, minutes: int = 60, k
     """
     s = in_lookback(samples, "ts", as_of, f"{int(minutes)} minutes", date_col)
     agg = s.groupBy("instance_id", *keys).agg(F.count(F.lit(1)).alias("samples"))
+    return ranked_load(agg, keys, minutes, k, seconds_per_sample)
+
+
+def ranked_load(agg: DataFrame, keys: list[str], minutes: int, k: int = 10, seconds_per_sample: float = 1.0) -> DataFrame:
+    """Top-k per instance of ``samples`` counted per key, from raw samples or from stored periods."""
     load = F.col("samples") * F.lit(float(seconds_per_sample)) / F.lit(minutes * 60.0)
     w = Window.partitionBy("instance_id").orderBy(F.desc("samples"), *[F.asc(c) for c in keys])
     ranked = agg.select("instance_id", *keys, load.alias("db_load"), F.row_number().over(w).cast("bigint").alias("rank"))

@@ -382,6 +382,8 @@ SELECT instance_id, {keys}, CAST(samples AS DOUBLE) * 1.0 / 86400.0 AS db_load,
 
 
 oracle("top_sql_by_load", ["load_samples"], _top("statement"))
+ORACLES["latest_metrics_periods"] = ORACLES["latest_metrics"]
+oracle("top_sql_by_load_periods", ["load_samples"], _top("statement"))
 oracle("top_waits_by_load", ["load_samples"], _top("wait_type, wait_name"))
 
 _EVENTS = f"""
@@ -514,6 +516,10 @@ oracle("slow_log_files", ["slow_log"], f"""WITH {_SLOW}
 SELECT user_host, query_ms, lock_ms, rows_sent, rows_examined,
        sql_text || CASE WHEN rec_id % 7 = 0 THEN ' -- # Time: later' ELSE '' END AS sql_text, COUNT(*) AS n
 FROM parsed GROUP BY ALL""")
+oracle("slow_log_context", ["slow_log"], f"""WITH {_SLOW}
+SELECT instance_id, CAST(rec_id // 40 AS VARCHAR) AS log_time, 'db' || CAST((rec_id // 5000) % 3 AS VARCHAR) AS "database",
+       query_ms, sql_text, COUNT(*) AS n
+FROM parsed GROUP BY ALL""")
 oracle("slow_log_records", ["slow_log"], f"WITH {_SLOW} SELECT * FROM parsed")
 oracle("query_fingerprint", ["slow_log"], f"WITH {_SLOW} SELECT instance_id, rec_id, sql_text, {_FP} AS fingerprint FROM parsed")
 for _key in ("slow_query_digest", "slow_query_digest_stored"):

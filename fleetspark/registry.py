@@ -7,18 +7,18 @@ result out.  ``ORACLES`` (in ``oracles.py``) holds the DuckDB SQL for each key.
 
 from __future__ import annotations
 
-import datetime as _dt
+import datetime as dt
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .operators import activity, catalog, checks, counters, textops
+from .operators import activity, catalog, checks, counters, periods, textops
 from .operators import inventory as inv
 from .operators import timeseries as ts
 from .sources.fixtures import Fixtures, bindable_sql, fixture_deps
 from .sources.sinks import write_report
-from .sources.slowlog import read_slow_log
+from .sources.slowlog import read_slow_log, read_slow_log_context
 from .sources.tables import stream_path
 from .streaming import alerts as _alerts
 from .streaming import metrics as _smetrics
@@ -180,7 +180,7 @@ def q_docdb_database_sizes(fx: Fixtures) -> DataFrame:
 
 
 # Fixed anchor of every look-back on the fixtures (FIXTURES.md).
-AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
+AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 
 
 @register("metric_rollup")
@@ -210,6 +210,32 @@ def q_top_waits_by_load(fx: Fixtures) -> DataFrame:
     return ts.top_waits_by_load(fx["load_samples"], AS_OF, minutes=1440)
 
 
+def _stored_periods(fx: Fixtures, fixture: str, keys: list[str], value: str | None) -> tuple[DataFrame, str]:
+    """A fixture stored by day, and the folder of its period tables."""
+    path = scratch_path(fx.spark, f"{fixture}_periods", "tables")
+    write_report(fx[fixture].withColumn("day", F.to_date("ts")), f"{path}/raw", partition_by="day", mode="replace")
+    raw = fx.spark.read.parquet(f"{path}/raw")
+    return raw, periods.write_periods(raw, path, keys, "ts", value)
+
+
+@register("top_sql_by_load_periods")
+def q_top_sql_by_load_periods(fx: Fixtures) -> DataFrame:
+    """A8 from stored minutes, hours and days, and the raw samples at the edges of the look-back."""
+    keys = ["instance_id", "statement"]
+    raw, folder = _stored_periods(fx, "load_samples", keys, None)
+    got = periods.read_periods(raw, folder, keys, AS_OF, dt.timedelta(minutes=1440), date_col="day")
+    return ts.ranked_load(got.groupBy(*keys).agg(F.sum("n").alias("samples")), ["statement"], 1440)
+
+
+@register("latest_metrics_periods")
+def q_latest_metrics_periods(fx: Fixtures) -> DataFrame:
+    """W1 from stored minutes and hours, and the raw points at the edges of the look-back."""
+    keys = ["instance_id", "metric"]
+    raw, folder = _stored_periods(fx, "metric_points", keys, "value")
+    got = periods.read_periods(raw, folder, keys, AS_OF, dt.timedelta(days=3), value="value", coarsest="hour", date_col="day")
+    return ts.latest_of_rollup(ts.rollup_of_periods(got, "1 hour"), fx["instances"])
+
+
 @register("event_lookback")
 def q_event_lookback(fx: Fixtures) -> DataFrame:
     e = ts.event_lookback(fx["instance_events"], AS_OF, minutes=1440)
@@ -436,6 +462,29 @@ def q_slow_log_files(fx: Fixtures) -> DataFrame:
     return r.groupBy("user_host", "query_ms", "lock_ms", "rows_sent", "rows_examined", "sql_text").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("slow_log_context")
+def q_slow_log_context(fx: Fixtures) -> DataFrame:
+    """One log file per instance, in order of the entries; time and database are written only when they change."""
+    path = scratch_path(fx.spark, "slow_log_context", "logs")
+    order = Window.partitionBy("instance_id").orderBy("rec_id")
+    db, second = F.concat(F.lit("db"), F.floor(F.col("rec_id") / 5000) % 3), F.floor(F.col("rec_id") / 40)
+    log = fx["slow_log"].select("instance_id", "rec_id", "record_text", db.alias("db"), second.alias("second"))
+    log = log.withColumns({"old_db": F.lag("db").over(order), "old_second": F.lag("second").over(order)})
+    user, rest = F.substring_index("record_text", "\n", 1), F.expr("substr(record_text, locate('\n', record_text))")
+    changed = lambda a, b: F.col(a).isNull() | (F.col(a) != F.col(b))
+    timing = F.substring_index(rest, "\n", 2)
+    statement = F.expr("substr(record_text, length(substring_index(record_text, '\n', 2)) + 1)")
+    line = F.concat(F.when(changed("old_second", "second"), F.concat(F.lit("# Time: "), F.col("second"), F.lit("\n"))).otherwise(""),
+                    user, timing, F.when(changed("old_db", "db"), F.concat(F.lit("\nuse "), F.col("db"), F.lit(";"))).otherwise(""), statement)
+    ordered = log.select("instance_id", "rec_id", line.alias("value")).repartition("instance_id").sortWithinPartitions("instance_id", "rec_id")
+    ordered.select("instance_id", "value").write.partitionBy("instance_id").text(path)
+    got = read_slow_log_context(fx.spark, path)
+    instance = F.regexp_extract("file_path", "instance_id=([^/]*)/", 1)
+    parsed = textops.slow_log_records(got.select(instance.alias("instance_id"), "log_time", "database", "record_text"),
+                                      keys=("instance_id", "log_time", "database"))
+    return parsed.groupBy("instance_id", "log_time", "database", "query_ms", "sql_text").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ------------------------------------------------------------ the operators' optional filters
 
 

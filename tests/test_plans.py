@@ -34,7 +34,7 @@ def test_scans_are_not_dealt_round_robin(spark):
 def test_building_a_batch_query_starts_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     for key, fn in QUERIES.items():
-        if key.endswith(("_stream", "_files")):        # these run their stream or write their files
+        if key.endswith(("_stream", "_files", "_context", "_stored", "_periods")):        # these run their stream or write their files
             continue
         spark.sparkContext.setJobGroup(f"build-{key}", key)
         fn(spark, SF_SMALL)
