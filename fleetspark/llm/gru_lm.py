@@ -12,10 +12,12 @@ count, so that the probability covers whole documents with any words.
 The network (input table, one GRU layer; output biases begin at the counts) is
 trained by truncated backpropagation over windows of ``WINDOW`` tokens on every
 training text, whole.  An epoch is one pass of tasks: each learns from its rows,
-beginning at the broadcast weights, and the weights are averaged by token count
-in a tree of tasks; the driver gets one set of weights.  Scoring carries the
-state from window to window through each whole text; the texts of a task advance
-together, the longest first.
+beginning at the broadcast weights, and the weights are averaged by token count,
+slice by slice in tasks; the driver gets one set of weights.  Adam moves only
+the rows of the input table that a window has touched.  Texts become symbols
+once, in a table of the shared folder that epochs and scoring read.  Scoring
+carries the state from window to window through each whole text; the texts of a
+task advance together, the longest first.
 
 Counts: the ``HEAD`` most frequent words' go to the tasks (a bounded table); the
 rest of a text's words go through a join with the count table and come back as
@@ -48,7 +50,9 @@ HIDDEN, WINDOW, STREAMS, EPOCHS, RATE = 16, 16, 64, 2, 0.01
 HELD = 1 << 23
 #: Tokens that a task lays in streams at once, and the steps over them: more tokens than those steps take from
 #: ``STREAMS`` streams give more streams.
-BLOCK, STEPS = 1 << 21, 256
+BLOCK, STEPS = 1 << 21, 128
+#: Rows of a softmax that are worked on at once, and the parts in which tasks' weights are added up.
+ROWS, SLICES = 2048, 64
 END = b""  # no word is empty
 
 
@@ -106,47 +110,91 @@ def new_network(n: int, seed: int = 5, counts: np.ndarray | None = None) -> Netw
     return net
 
 
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(-1, keepdims=True)
-    return z - np.log(np.exp(z).sum(-1, keepdims=True))
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
+
+
+def tanh(x: np.ndarray) -> np.ndarray:
+    """In place, by the exponential (which numpy has for whole vectors); the argument is cut where it makes no difference."""
+    np.clip(x, -20, 20, out=x)
+    x *= 2
+    x = sigmoid(x)
+    x *= 2
+    x -= 1
+    return x
 
 
 def advance(net: Network, h: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, ...]:
     """One step: the new state, and reset gate, update gate and candidate."""
     x = net.inputs[symbol]
-    g = 1 / (1 + np.exp(-(x[:, :2 * HIDDEN] + h @ net.gates)))
+    g = h @ net.gates
+    g += x[:, :2 * HIDDEN]
+    np.clip(g, -60, 60, out=g)
+    g = sigmoid(g)
     r, z = g[:, :HIDDEN], g[:, HIDDEN:]
-    c = np.tanh(x[:, 2 * HIDDEN:] + (r * h) @ net.state)
+    c = (r * h) @ net.state
+    c += x[:, 2 * HIDDEN:]
+    c = tanh(c)
     return c + z * (h - c), r, z, c
 
 
+def softmax_loss(z: np.ndarray, own: np.ndarray, grad: bool) -> np.ndarray:
+    """Natural log P(own) of each row of logits; with ``grad`` ``z`` becomes the gradient of their negative sum.
+
+    Logits are cut to +-60, where neither exponentials nor their sums leave float32.
+    """
+    rows = np.arange(len(z))
+    np.clip(z, -60, 60, out=z)
+    picked = z[rows, own]
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], z.dtype)
+    if grad:
+        z *= (1 / total)[:, None]
+        z[rows, own] -= 1
+    return picked - np.log(total)
+
+
 def log_probabilities(net: Network, h: np.ndarray, symbol: np.ndarray, grad: bool = False):
-    """Natural log P(symbol | state) by row; with ``grad`` also the gradients of its negative sum."""
-    one = np.append(h, np.ones((len(h), 1), h.dtype), 1)
+    """Natural log P(symbol | state) by row; with ``grad`` also the gradients of its negative sum.
+
+    Rows are taken in the order of their classes, so that each class is one product over neighbouring rows.
+    """
     k = symbol // net.per_class
     k[symbol == net.n] = net.classes
-    rows = np.arange(len(h))
-    logp = log_softmax(one @ net.cls)
-    out = logp[rows, k]
-    if grad:
-        d = np.exp(logp)
-        d[rows, k] -= 1
-        dh, dcls, dword = d @ net.cls.T, one.T @ d, np.zeros_like(net.word)
     order = np.argsort(k, kind="stable")
-    cut = np.searchsorted(k[order], np.arange(net.classes + 1))
-    for c in range(net.classes):
-        if cut[c] == cut[c + 1]:
-            continue
-        at = order[cut[c]:cut[c + 1]]
-        inside = log_softmax(one[at] @ net.word[c])
-        col = symbol[at] - c * net.per_class
-        out[at] += inside[np.arange(len(at)), col]
+    k, symbol = k[order], symbol[order]
+    one = np.empty((len(h), h.shape[1] + 1), h.dtype)
+    one[:, :-1], one[:, -1] = h[order], 1
+    cut = np.searchsorted(k, np.arange(net.classes + 1))
+    out = np.empty(len(h), h.dtype)
+    if grad:
+        dh, dcls, dword = np.empty_like(one), np.zeros_like(net.cls), np.zeros_like(net.word)
+    for a in range(0, len(one), ROWS):
+        part = one[a:a + ROWS]
+        z = part @ net.cls
+        out[a:a + ROWS] = softmax_loss(z, k[a:a + ROWS], grad)
+        if grad:
+            np.matmul(z, net.cls.T, out=dh[a:a + ROWS])
+            dcls += part.T @ z
+    column = symbol - k * net.per_class
+    for c in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+        a, b = cut[c], cut[c + 1]
+        z = one[a:b] @ net.word[c]
+        out[a:b] += softmax_loss(z, column[a:b], grad)
         if grad:
-            d = np.exp(inside)
-            d[np.arange(len(at)), col] -= 1
-            dh[at] += d @ net.word[c].T
-            dword[c] = one[at].T @ d
-    return (out, dh[:, :-1], dcls, dword) if grad else out
+            dh[a:b] += z @ net.word[c].T
+            dword[c] = one[a:b].T @ z
+    back = np.empty_like(out)
+    back[order] = out
+    if not grad:
+        return back
+    dback = np.empty((len(h), h.shape[1]), h.dtype)
+    dback[order] = dh[:, :-1]
+    return back, dback, dcls, dword
 
 
 def window_gradients(net: Network, h: np.ndarray, symbols: np.ndarray, fresh: np.ndarray):
@@ -154,28 +202,38 @@ def window_gradients(net: Network, h: np.ndarray, symbols: np.ndarray, fresh: np
 
     ``symbols`` (steps x streams); ``fresh`` is 0 where a text begins (its state is zero), else 1.
     """
-    before, tape = [], []
-    for t in range(len(symbols)):
-        h = h * fresh[t][:, None]
-        before.append(h)
-        h, *kept = advance(net, h, symbols[t])
+    steps, n = symbols.shape
+    before = np.empty((steps, n, HIDDEN), h.dtype)
+    tape = []
+    for t in range(steps):
+        before[t] = h * fresh[t][:, None]
+        h, *kept = advance(net, before[t], symbols[t])
         tape.append(kept)
-    n = symbols.shape[1]
-    _, out, dcls, dword = log_probabilities(net, np.concatenate(before), symbols.ravel().copy(), grad=True)
-    dinputs, dgates, dstate = np.zeros_like(net.inputs), np.zeros_like(net.gates), np.zeros_like(net.state)
-    dh, dx = np.zeros_like(h), np.empty((*symbols.shape, 3 * HIDDEN), h.dtype)
-    for t in range(len(symbols) - 1, -1, -1):
+    _, out, dcls, dword = log_probabilities(net, before.reshape(-1, HIDDEN), symbols.ravel().copy(), grad=True)
+    out = out.reshape(steps, n, HIDDEN)
+    dinputs = np.zeros_like(net.inputs)
+    dx, rp = np.empty((steps, n, 3 * HIDDEN), h.dtype), np.empty((steps, n, HIDDEN), h.dtype)
+    dh = np.zeros_like(h)
+    for t in range(steps - 1, -1, -1):
         p, (r, z, c) = before[t], tape[t]
-        dc = dh * (1 - z) * (1 - c * c)
+        dc, dg = dx[t, :, 2 * HIDDEN:], dx[t, :, :2 * HIDDEN]
+        np.multiply(dh * (1 - z), 1 - c * c, out=dc)
+        np.multiply(r, p, out=rp[t])
         drp = dc @ net.state.T
-        dg = np.concatenate((drp * p * r * (1 - r), dh * (p - c) * z * (1 - z)), 1)
-        dstate += (r * p).T @ dc
-        dgates += p.T @ dg
-        dx[t, :, :2 * HIDDEN], dx[t, :, 2 * HIDDEN:] = dg, dc
-        dh = (dh * z + drp * r + dg @ net.gates.T + out[t * n:(t + 1) * n]) * fresh[t][:, None]
+        np.multiply(drp * rp[t], 1 - r, out=dg[:, :HIDDEN])
+        np.multiply(dh * (p - c), z * (1 - z), out=dg[:, HIDDEN:])
+        dh *= z
+        dh += drp * r
+        dh += dg @ net.gates.T
+        dh += out[t]
+        dh *= fresh[t][:, None]
+    flat = dx.reshape(-1, 3 * HIDDEN)
+    dgates = before.reshape(-1, HIDDEN).T @ flat[:, :2 * HIDDEN]
+    dstate = rp.reshape(-1, HIDDEN).T @ flat[:, 2 * HIDDEN:]
     order = np.argsort(symbols.ravel(), kind="stable")
-    own, first = np.unique(symbols.ravel()[order], return_index=True)
-    dinputs[own] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], first)
+    of = symbols.ravel()[order]
+    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    dinputs[of[first]] = np.add.reduceat(flat[order], first)
     return (dinputs, dgates, dstate, dcls, dword), h
 
 
@@ -206,15 +264,47 @@ class Learner:
             fresh = more[-1]
             self.step += 1
             self.most = max(self.most, symbols.size)  # a small window counts as its share of a whole one
-            for w, g, m, v in zip(self.weights, grads, self.first, self.second):
-                g = g / np.float32(self.most)
-                m += np.float32(0.1) * (g - m)
-                v += np.float32(0.01) * (g * g - v)
-                w -= np.float32(RATE) * (m / np.float32(1 - 0.9 ** self.step)) / (np.sqrt(v / np.float32(1 - 0.99 ** self.step)) + np.float32(1e-8))
+            seen = np.zeros(len(grads[0]), bool)
+            seen[symbols] = True
+            rows = np.flatnonzero(seen)  # of the input table only what the window has touched
+            (w, *rest), (m, *ms), (v, *vs) = self.weights, self.first, self.second
+            mine = [w[rows], m[rows], v[rows]]
+            self._adam(mine[0], grads[0][rows], mine[1], mine[2])
+            w[rows], m[rows], v[rows] = mine
+            for x in zip(rest, grads[1:], ms, vs):
+                self._adam(*x)
+
+    def _adam(self, w: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray) -> None:
+        g = g / np.float32(self.most)
+        m += np.float32(0.1) * (g - m)
+        v += np.float32(0.01) * (g * g - v)
+        w -= np.float32(RATE) * (m / np.float32(1 - 0.9 ** self.step)) / (np.sqrt(v / np.float32(1 - 0.99 ** self.step)) + np.float32(1e-8))
+
+
+def encoded(rows: DataFrame, text_col: str, lexicon) -> DataFrame:
+    """``symbols`` (bytes) of each text, the end with it."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in chunks(whole, 0):
+                w = Words(texts_of(part.column(0)), SOLID)
+                got = lexicon.value.symbols(w, w.hashes())
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in got], pa.binary())], names=["symbols"])
+
+    return rows.select(quoted(text_col)).mapInArrow(run, "symbols binary")
 
 
 def train(rows: DataFrame, text_col: str, net: Network, lexicon) -> tuple[Network, int]:
     """The network learned from all ``rows``, and the tokens learned from in each epoch."""
+    return learned(saved(encoded(rows, text_col, lexicon), "symbols"), net, lexicon)
+
+
+def learned(rows: DataFrame, net: Network, lexicon) -> tuple[Network, int]:
+    """The network learned from all ``rows`` of ``symbols``, and the tokens learned from in each epoch.
+
+    A task's weights, times its tokens, leave it in ``SLICES`` rows; each slice
+    is added up by one task, and the driver gets the sums.
+    """
     spark, tokens = rows.sparkSession, 0
     for _ in range(EPOCHS):
         begin = spark.sparkContext.broadcast(net)
@@ -225,9 +315,8 @@ def train(rows: DataFrame, text_col: str, net: Network, lexicon) -> tuple[Networ
             held, n = [], 0
             for whole in batches:
                 for part in chunks(whole, 0):
-                    w = Words(texts_of(part.column(0)), SOLID)
-                    held += lex.symbols(w, w.hashes())
-                    n += w.n + part.num_rows
+                    held.append(np.frombuffer(b"".join(part.column(0).to_pylist()), lex.type))
+                    n += len(held[-1])
                     if n >= BLOCK:
                         learner.learn(np.concatenate(held))
                         held, n = [], 0
@@ -235,14 +324,25 @@ def train(rows: DataFrame, text_col: str, net: Network, lexicon) -> tuple[Networ
                 learner.learn(np.concatenate(held))
             if learner.tokens:
                 flat = np.concatenate([w.ravel() for w in learner.weights]).astype(np.float64) * learner.tokens
-                yield pa.RecordBatch.from_arrays([pa.array([learner.tokens]), pa.array([flat.tobytes()], pa.binary())], names=["n", "w"])
-
-        made = rows.select(quoted(text_col)).mapInArrow(run, "n long, w binary").rdd
-        tokens, total = made.map(lambda r: (r["n"], np.frombuffer(r["w"]))).treeAggregate(
-            (0, 0.0), lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(SLICES), pa.int32()), pa.array([learner.tokens] * SLICES),
+                     pa.array([x.tobytes() for x in np.array_split(flat, SLICES)], pa.binary())], names=["slice", "n", "w"])
+
+        def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, list] = {}
+            for batch in batches:
+                for i, n, w in zip(*(c.to_pylist() for c in batch.columns)):
+                    own = sums.setdefault(i, [0, 0.0])
+                    own[0], own[1] = own[0] + n, own[1] + np.frombuffer(w)
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([n for n, _ in sums.values()], pa.int64()),
+                                              pa.array([w.tobytes() for _, w in sums.values()], pa.binary())], names=["slice", "n", "w"])
+
+        kind = "slice int, n long, w binary"
+        got = sorted(rows.select("symbols").mapInArrow(run, kind).repartition(SLICES, "slice").mapInArrow(add, kind).collect())
         begin.unpersist()
-        if not tokens:
+        if not got:
             return net, 0
+        tokens, total = got[0]["n"], np.concatenate([np.frombuffer(r["w"]) for r in got])
         cuts = np.cumsum([w.size for w in net[1:]])[:-1]
         net = Network(net.n, *(x.reshape(w.shape).astype(np.float32) for x, w in zip(np.split(total / tokens, cuts), net[1:])))
     return net, tokens
@@ -355,28 +455,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     counts = saved(token_counts(learn, text_col), "word-counts")
     lex = lexicon_of(counts, head)
     lexicon = spark.sparkContext.broadcast(lex)
-    fit = learn if sample is None else sampled(learn, id_col, text_col, sample)
-    net, _ = train(fit, text_col, new_network(lex.n, counts=lex.symbol_counts), lexicon)
-    model = spark.sparkContext.broadcast(net)
     rows = docs.select(quoted(id_col).alias("id"), held_out.alias("held_out"), quoted(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def facts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, seen = lexicon.value, 0
-        held, symbols, tokens = [], [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            values = log10_texts(model.value, symbols)
-            at = 0
-            for ids, outs, facts in held:
-                n = len(ids)
-                keys, n_tokens, n_known, n_rest, base, rest = facts
-                word = [b" " + int(k).to_bytes(8, "big") for k in keys]  # equals no word, as words have no white space
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), ids, outs, pa.array(word, pa.binary()), pa.array(np.zeros(n, np.int64)), pa.array(n_tokens),
-                     pa.array(n_known), pa.array(n_rest), pa.array(base), pa.array(rest + values[at:at + n])], names=NAMES)
-                at += n
-
         for whole in batches:
             for part in chunks(whole, 2):
                 w = Words(texts_of(part.column(2)), SOLID)
@@ -384,19 +467,20 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 keys = row_keys(seen, n)
                 seen += n
                 at, known = lex.look(h)
-                sym = np.full(w.n, lex.n, np.int64)
+                sym = np.full(w.n, lex.n, lex.type)
                 logs = np.zeros(w.n)
                 if len(lex.hash):
                     sym[known] = lex.symbol[at[known]]
                     logs[known] = np.log10(lex.count[at[known]] + 0.5)
                 rest = sym == lex.n
                 sums = lambda x: np.bincount(doc, weights=x, minlength=n)
-                facts = (keys, w.counts() + 1, sums(known).astype(np.int64) + (lex.end_count > 0), sums(rest).astype(np.int64),
-                         sums(logs) + math.log10(lex.end_count + 0.5), sums(logs * rest))
-                held.append((part.column(0), part.column(1), facts))
-                mine = lex.symbols(w, h)
-                symbols += mine
-                tokens += sum(map(len, mine))
+                word = [b" " + int(k).to_bytes(8, "big") for k in keys]  # equals no word, as words have no white space
+                end = lex.type(lex.end).tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), part.column(0), part.column(1), pa.array(word, pa.binary()), pa.array(np.zeros(n, np.int64)),
+                     pa.array(w.counts() + 1), pa.array(sums(known).astype(np.int64) + (lex.end_count > 0)), pa.array(sums(rest).astype(np.int64)),
+                     pa.array(sums(logs) + math.log10(lex.end_count + 0.5)), pa.array(sums(logs * rest)),
+                     pa.array([sym[a:b].tobytes() + end for a, b in zip(w.first[:-1], w.first[1:])], pa.binary())], names=NAMES)
                 far = np.flatnonzero(~known)
                 pair, first, many = np.unique(h[far] * np.uint64(2) + doc[far].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15),
                                               return_index=True, return_counts=True)
@@ -405,15 +489,35 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[doc[far]]), nulls(part.column(0).type),
                      nulls(pa.bool_()), pa.array([w.word(i) for i in far.tolist()], pa.binary()), pa.array(many), nulls(pa.int64()),
-                     nulls(pa.int64()), nulls(pa.int64()), nulls(pa.float64()), nulls(pa.float64())], names=NAMES)
+                     nulls(pa.int64()), nulls(pa.int64()), nulls(pa.float64()), nulls(pa.float64()), nulls(pa.binary())], names=NAMES)
+
+    made = saved(rows.mapInArrow(facts, f"key long, id {id_type}, held_out boolean, word binary, n long, n_tokens long, n_known long, "
+                                        "n_rest long, base double, score double, symbols binary"), "symbols")
+    texts = made.where(F.col("symbols").isNotNull())
+    if sample is None:
+        net, _ = learned(texts.where(~F.coalesce("held_out", F.lit(True))), new_network(lex.n, counts=lex.symbol_counts), lexicon)
+    else:
+        net, _ = train(sampled(learn, id_col, text_col, sample), text_col, new_network(lex.n, counts=lex.symbol_counts), lexicon)
+    model = spark.sparkContext.broadcast(net)
+
+    def network_scores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, symbols, tokens = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(log10_texts(model.value, symbols))], names=["key", "score"])
+
+        for batch in batches:
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keys.append(key)
+                symbols.append(np.frombuffer(data, lexicon.value.type))
+                tokens += len(symbols[-1])
                 if tokens >= HELD:
-                    yield from flush()
-                    held, symbols, tokens = [], [], 0
-        yield from flush()
+                    yield flush()
+                    keys, symbols, tokens = [], [], 0
+        yield flush()
 
-    made = rows.mapInArrow(run, f"key long, id {id_type}, held_out boolean, word binary, n long, n_tokens long, n_known long, "
-                                "n_rest long, base double, score double")
-    joined = made.join(counts.withColumnRenamed("n", "c"), "word", "left")
+    by_network = texts.select("key", "symbols").mapInArrow(network_scores, "key long, score double")
+    joined = made.drop("symbols").join(counts.withColumnRenamed("n", "c"), "word", "left").unionByName(by_network, allowMissingColumns=True)
     tail = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))
     by = joined.groupBy("key").agg(
         F.max("id").alias("id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
@@ -426,4 +530,4 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                      (F.col("score") + F.col("tail") - F.col("n_rest") * F.lit(rest_norm)).alias("score"))
 
 
-NAMES = ["key", "id", "held_out", "word", "n", "n_tokens", "n_known", "n_rest", "base", "score"]
+NAMES = ["key", "id", "held_out", "word", "n", "n_tokens", "n_known", "n_rest", "base", "score", "symbols"]
