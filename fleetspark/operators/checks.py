@@ -157,6 +157,17 @@ def memory_kv(kv: DataFrame, class_memory: DataFrame) -> DataFrame:
     return cls.join(mem, "value").select(*SNAPSHOT, F.lit("memory_mb").alias("name"), F.col("memory_mb").alias("value"))
 
 
+def counter_rows(kv: DataFrame, status_text: DataFrame | None = None, class_memory: DataFrame | None = None, names=None) -> DataFrame:
+    """(snapshot, name, value): the numbers that the checks read, one row each, names in lower case."""
+    names = list(CHECK_COUNTERS if names is None else names)
+    long = kv.where(counter_name().isin(*names)).select(*SNAPSHOT, counter_name().alias("name"), parse_double("value").alias("value"))
+    if class_memory is not None:
+        long = long.unionByName(memory_kv(kv, class_memory))
+    if status_text is not None:
+        long = long.unionByName(history_kv(status_text))
+    return long
+
+
 def snapshot_counters(kv: DataFrame, status_text: DataFrame | None = None,
                       class_memory: DataFrame | None = None, names=None) -> DataFrame:
     """Wide numeric snapshot rows for the checks (+ history and memory_mb).
@@ -164,12 +175,7 @@ def snapshot_counters(kv: DataFrame, status_text: DataFrame | None = None,
     ``names`` limits the pivot to the counters the wanted checks read.
     """
     names = list(CHECK_COUNTERS if names is None else names)
-    long = kv.where(counter_name().isin(*names)).select(*SNAPSHOT, "name", parse_double("value").alias("value"))
-    if class_memory is not None:
-        long = long.unionByName(memory_kv(kv, class_memory))
-    if status_text is not None:
-        long = long.unionByName(history_kv(status_text))
-    return pivot_counters(long, names, [ENGINE_HISTORY, "memory_mb"])
+    return pivot_counters(counter_rows(kv, status_text, class_memory, names), names, [ENGINE_HISTORY, "memory_mb"])
 
 
 def threshold_text(check: Check) -> str:
@@ -216,6 +222,12 @@ def health_report(kv: DataFrame, status_text: DataFrame, class_memory: DataFrame
     return rows.select(*SNAPSHOT, "check_order", *CHECK_COLUMNS, "total_checks")
 
 
+def health_report_of_rows(rows: DataFrame) -> DataFrame:
+    """H13 from stored ``counter_rows``; bucketed by snapshot (``sources/bucketed.py``) they are not shuffled."""
+    wide = pivot_counters(rows, list(CHECK_COUNTERS), [ENGINE_HISTORY, "memory_mb"])
+    return check_rows(wide).select(*SNAPSHOT, "check_order", *CHECK_COLUMNS, "total_checks")
+
+
 # ---------------------------------------------------------------- H14
 
 MIB = 1048576

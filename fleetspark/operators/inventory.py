@@ -186,19 +186,24 @@ def health_events(feed: DataFrame, details: DataFrame, service: str | None = Non
 def json_key_filter(blobs: DataFrame, key_filter: str | None = None, blob_col: str = "blob") -> DataFrame:
     """JSON object text -> map; keep keys containing ``key_filter``
     (case-insensitive); of a repeated key the last value counts; the text
-    ``null`` is an empty map; other text is returned raw."""
-    raw = F.from_json(F.col(blob_col), "map<string,string>")
-    entries = F.map_entries(raw)
-    last = F.transform(F.array_distinct(F.map_keys(raw)), lambda k: F.struct(
-        k, F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
+    ``null`` is an empty map; other text is returned raw.
+
+    A blob is parsed once, in a projection of its own; only maps that have a
+    key twice are gone through for their last values.
+    """
+    parsed = blobs.select("name", F.col(blob_col).alias("_blob"), F.from_json(F.col(blob_col), "map<string,string>").alias("_map"))
+    raw, keys = F.col("_map"), F.map_keys("_map")
+    last = F.transform(F.array_distinct(keys), lambda k: F.struct(
+        k, F.element_at(F.filter(F.map_entries(raw), lambda e: e["key"] == k), -1)["value"]))
     empty = F.create_map().cast("map<string,string>")
-    m = F.when(F.trim(F.col(blob_col)) == "null", empty).otherwise(F.map_from_entries(last))
+    m = (F.when(F.trim("_blob") == "null", empty).when(F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_entries(last))
+         .otherwise(raw))
     if key_filter:
         kf = key_filter.lower()
         m = F.map_filter(m, lambda k, v: F.lower(k).contains(kf))
-    return blobs.select("name", m.alias("values"),
-                        F.when(m.isNull(), F.col(blob_col)).alias("raw_value"),
-                        F.coalesce(F.size(m), F.lit(0)).alias("n_keys"))
+    kept = parsed.select("name", "_blob", m.alias("values"))
+    return kept.select("name", "values", F.when(F.col("values").isNull(), F.col("_blob")).alias("raw_value"),
+                       F.coalesce(F.size("values"), F.lit(0)).alias("n_keys"))
 
 
 def config_key_audit(blobs: DataFrame, key_filter: str | None = None, blob_col: str = "blob") -> DataFrame:

@@ -704,3 +704,5 @@ GROUP BY c.instance_id""")
 oracle("pg_database_size_totals", ["pg_databases", "pg_roles"], """
 SELECT d.instance_id, COUNT(*) AS n_items, round(SUM(round(d.size_bytes / 1048576.0, 2)), 2) AS total_size_mb
 FROM pg_databases d JOIN pg_roles r ON r.instance_id = d.instance_id AND r.oid = d.datdba WHERE NOT d.datistemplate GROUP BY d.instance_id""")
+
+ORACLES["health_report_stored"] = ORACLES["health_report"]

@@ -8,6 +8,7 @@ result out.  ``ORACLES`` (in ``oracles.py``) holds the DuckDB SQL for each key.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from .operators import activity, catalog, checks, counters, periods, textops
 from .operators import inventory as inv
 from .operators import timeseries as ts
+from .sources.bucketed import read_bucketed, write_bucketed
 from .sources.fixtures import Fixtures, bindable_sql, fixture_deps
 from .sources.sinks import write_report
 from .sources.slowlog import read_slow_log, read_slow_log_context
@@ -75,6 +77,18 @@ def q_chunk_size_advice(fx: Fixtures) -> DataFrame:
     return checks.chunk_size_advice(fx.counter_kv())
 
 
+@register("health_report_stored")
+def q_health_report_stored(fx: Fixtures) -> DataFrame:
+    """H13 from counter rows stored in buckets by snapshot; the table's name leaves the catalog, its files stay."""
+    path = scratch_path(fx.spark, "health_report", "counters")
+    rows = checks.counter_rows(fx.counter_kv(), fx["innodb_status_text"], fx["class_memory"])
+    table = write_bucketed(rows, "fleet_counters_" + uuid.uuid4().hex, 16, path=path)
+    stored = read_bucketed(fx.spark, table)
+    report = checks.health_report_of_rows(stored)
+    fx.spark.sql(f"DROP TABLE {table}")
+    return report
+
+
 @register("variable_rules")
 def q_variable_rules(fx: Fixtures) -> DataFrame:
     return checks.variable_rules(fx.counter_kv(), fx["setting_rules"])

@@ -33,14 +33,21 @@ def _rollup(points: DataFrame, period: str) -> DataFrame:
         "avg_value", "n_points")
 
 
-def metric_rollup_stream(points: DataFrame, period: str = "5 minutes", watermark: str = "10 minutes") -> DataFrame:
+def metric_rollup_stream(points: DataFrame, period: str = "5 minutes", watermark: str = "10 minutes",
+                         once_by: list[str] | None = None) -> DataFrame:
     """Average per (instance, metric, period) on a stream of metric points.
 
     A period is emitted once the watermark (latest event time minus
     ``watermark``) passes its end; later points for it are dropped.  State
     holds only the open periods.
+
+    ``once_by`` names the columns that tell points apart: of points that agree
+    in them and come within the watermark of each other (a file delivered
+    again, an agent that repeats itself) the first counts.  Its state holds the
+    keys of that time.
     """
-    return _rollup(event_time(points).withWatermark("ts", watermark), period)
+    timed = event_time(points).withWatermark("ts", watermark)
+    return _rollup(timed.dropDuplicatesWithinWatermark(once_by) if once_by else timed, period)
 
 
 def open_periods(points: DataFrame, period: str = "5 minutes", watermark: str = "10 minutes") -> DataFrame:
