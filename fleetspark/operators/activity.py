@@ -107,6 +107,33 @@ def unused_indexes(index_columns: DataFrame, plans: DataFrame, database: str | N
     return idx.join(used, ["instance_id", "database_name", "table_name", "index_name"], "left_anti")
 
 
+def index_usage(index_columns: DataFrame, plans: DataFrame, calls: DataFrame, include_primary: bool = False) -> DataFrame:
+    """J11 by the evidence of a slow log: per index the logged calls whose captured plan chose it, and their time.
+
+    ``plans`` are plan rows with the ``fingerprint`` of their statement;
+    ``calls`` has (instance_id, fingerprint, calls, total_ms), such as a digest
+    or its stored count tables give.  The two meet on a 64-bit hash of the
+    fingerprint, so no statement text is shuffled.  A plan that chose an index
+    in several rows of a statement counts each call once.  Indexes without
+    evidence have 0 calls.
+    """
+    key = F.xxhash64("fingerprint").alias("_statement")
+    index = ["instance_id", "database_name", "table_name", "index_name"]
+    chosen = (plans.where(F.col("used_key").isNotNull() & F.col("fingerprint").isNotNull())
+              .select("instance_id", "database_name", "table_name", F.col("used_key").alias("index_name"), key).distinct())
+    logged = calls.select("instance_id", key, "calls", "total_ms").groupBy("instance_id", "_statement").agg(
+        F.sum("calls").alias("calls"), F.sum("total_ms").alias("total_ms"))
+    used = chosen.join(logged, ["instance_id", "_statement"]).groupBy(*index).agg(
+        F.sum("calls").alias("calls"), F.sum("total_ms").alias("total_ms"), F.count(F.lit(1)).alias("statements"))
+    idx = index_columns.select("instance_id", F.col("table_schema").alias("database_name"), "table_name", "index_name").distinct()
+    if not include_primary:
+        idx = idx.where(F.col("index_name") != "PRIMARY")
+    zero = F.lit(0).cast("long")
+    return idx.join(used, index, "left").select(
+        *index, F.coalesce("statements", zero).alias("statements"), F.coalesce("calls", zero).alias("calls"),
+        F.coalesce("total_ms", F.lit(0.0)).alias("total_ms"))
+
+
 def probe_summary(probes: DataFrame) -> DataFrame:
     """Per instance probes, success rate, and p50 / p95 latency of the
     successful probes (failures log 0 and do not count; NULL if none).

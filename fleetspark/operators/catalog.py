@@ -167,6 +167,35 @@ def index_catalog(index_columns: DataFrame, sizes: DataFrame) -> DataFrame:
             .withColumn("size_mb", F.coalesce(F.col("size_mb"), F.lit(0.0))))
 
 
+# ------------------------------------------------------------------ J11
+
+
+def redundant_indexes(index_columns: DataFrame) -> DataFrame:
+    """Non-unique B-tree indexes whose columns another B-tree index of the table begins with.
+
+    ``covered_by`` is that index, the shortest if there are several, then the
+    first by name.  Of indexes with the same columns a unique one stays, else
+    the first by name; the others are redundant.  Columns count as the same with
+    the same prefix length.  Indexes meet on table and first column; an index
+    has few columns, and a table few indexes that begin alike.
+    """
+    keys = ["instance_id", "table_schema", "table_name"]
+    part = F.struct("column_name", F.coalesce(F.col("sub_part"), F.lit(0)).cast("bigint").alias("sub_part"))
+    idx = index_columns.where(F.col("index_type") == "BTREE").groupBy(*keys, "index_name").agg(
+        F.sort_array(F.collect_list(F.struct("seq_in_index", part.alias("part")))).alias("c"), (F.min("non_unique") == 0).alias("unique"))
+    idx = idx.select(*keys, "index_name", "unique", F.col("c.part").alias("columns"), F.col("c")[0]["part"]["column_name"].alias("first"))
+    x = idx.where(~F.col("unique"))
+    y = idx.select(*keys, "first", F.col("index_name").alias("covered_by"), F.col("unique").alias("_unique"), F.col("columns").alias("_columns"))
+    n, m = F.size("columns"), F.size("_columns")
+    better = (m > n) | F.col("_unique") | (F.col("covered_by") < F.col("index_name"))
+    pairs = x.join(y, [*keys, "first"]).where((F.col("covered_by") != F.col("index_name")) & (m >= n) & better
+                                              & (F.slice("_columns", F.lit(1), n) == F.col("columns")))
+    names = F.array_join(F.transform("columns", lambda c: c["column_name"]), ",")
+    return pairs.groupBy(*keys, "index_name").agg(
+        F.min(names).alias("columns"), F.min_by("covered_by", F.struct(m, F.col("covered_by"))).alias("covered_by")).select(
+        "instance_id", F.col("table_schema").alias("database_name"), "table_name", "index_name", "columns", "covered_by")
+
+
 # ------------------------------------------------------------------ A6, J5
 
 

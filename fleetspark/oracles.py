@@ -706,3 +706,27 @@ SELECT d.instance_id, COUNT(*) AS n_items, round(SUM(round(d.size_bytes / 104857
 FROM pg_databases d JOIN pg_roles r ON r.instance_id = d.instance_id AND r.oid = d.datdba WHERE NOT d.datistemplate GROUP BY d.instance_id""")
 
 ORACLES["health_report_stored"] = ORACLES["health_report"]
+
+oracle("redundant_indexes", ["cat_index_columns"], """
+WITH i AS (
+  SELECT instance_id, table_schema, table_name, index_name, min(non_unique) = 0 AS uniq,
+         list(column_name || ':' || CAST(COALESCE(sub_part, 0) AS VARCHAR) ORDER BY seq_in_index) AS cols,
+         string_agg(column_name, ',' ORDER BY seq_in_index) AS names
+  FROM cat_index_columns WHERE index_type = 'BTREE' GROUP BY ALL
+)
+SELECT x.instance_id, x.table_schema AS database_name, x.table_name, x.index_name, x.names AS columns,
+       first(y.index_name ORDER BY len(y.cols), y.index_name) AS covered_by
+FROM i x JOIN i y ON x.instance_id = y.instance_id AND x.table_schema = y.table_schema AND x.table_name = y.table_name
+  AND x.index_name <> y.index_name AND list_slice(y.cols, 1, len(x.cols)) = x.cols
+  AND (len(y.cols) > len(x.cols) OR y.uniq OR y.index_name < x.index_name)
+WHERE NOT x.uniq GROUP BY ALL""")
+oracle("index_usage", ["slow_log", "cat_index_columns", "plan_rows"], f"""WITH {_SLOW},
+c AS (SELECT instance_id, {_FP} AS fingerprint, COUNT(*) AS calls, SUM(query_ms) AS total_ms FROM parsed GROUP BY ALL),
+p AS (SELECT DISTINCT instance_id, database_name, table_name, used_key AS index_name,
+             CASE WHEN used_key = 'ix_2' THEN 'update orders set st = ? where k = ?' ELSE 'select * from t3 where id in (?+)' END AS fingerprint
+      FROM plan_rows WHERE used_key IS NOT NULL),
+u AS (SELECT p.instance_id, database_name, table_name, index_name, COUNT(*) AS statements, SUM(calls) AS calls, SUM(total_ms) AS total_ms
+      FROM p JOIN c ON c.instance_id = p.instance_id AND c.fingerprint = p.fingerprint GROUP BY ALL),
+i AS (SELECT DISTINCT instance_id, table_schema AS database_name, table_name, index_name FROM cat_index_columns)
+SELECT i.*, COALESCE(u.statements, 0) AS statements, CAST(COALESCE(u.calls, 0) AS BIGINT) AS calls, COALESCE(u.total_ms, 0.0) AS total_ms
+FROM i LEFT JOIN u USING (instance_id, database_name, table_name, index_name)""")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .operators import activity, catalog, checks, counters, periods, textops
 from .operators import inventory as inv
 from .operators import timeseries as ts
+from .functions.text import fingerprint
 from .sources.bucketed import read_bucketed, write_bucketed
 from .sources.fixtures import Fixtures, bindable_sql, fixture_deps
 from .sources.sinks import write_report
@@ -337,6 +338,22 @@ def q_unused_indexes(fx: Fixtures) -> DataFrame:
     return activity.unused_indexes(fx["cat_index_columns"], fx["plan_rows"])
 
 
+@register("redundant_indexes")
+def q_redundant_indexes(fx: Fixtures) -> DataFrame:
+    """The fixture's indexes begin alike; the fourth, B-tree, covers the second."""
+    return catalog.redundant_indexes(fx["cat_index_columns"])
+
+
+@register("index_usage")
+def q_index_usage(fx: Fixtures) -> DataFrame:
+    """Plans of two statements, tied to the slow log's digest by fingerprint."""
+    statement = (F.when(F.col("used_key") == "ix_2", "update orders set st = 'Z' where k = 77 /* app */")
+                 .otherwise("SELECT * FROM t3 WHERE id IN (5, 6) -- by key"))
+    plans = fx["plan_rows"].withColumn("fingerprint", fingerprint(statement))
+    digest = textops.slow_query_digest(textops.slow_log_records(fx["slow_log"]))
+    return activity.index_usage(fx["cat_index_columns"], plans, digest, include_primary=True)
+
+
 @register("probe_summary")
 def q_probe_summary(fx: Fixtures) -> DataFrame:
     return activity.probe_summary(fx["probes"])

@@ -103,3 +103,29 @@ def test_catalog_ids_are_per_instance(spark):
                                 "instance_id string, datname string, datdba int, encoding string, datcollate string, datconnlimit int, datistemplate boolean, size_bytes long")
     got = sorted((r["instance_id"], r["owner"], r["size_mb"]) for r in catalog.pg_database_sizes(dbs, roles).collect())
     assert got == [("i1", "alice", 2.0), ("i2", "bob", 1.0)]
+
+
+def test_redundant_indexes(spark):
+    from fleetspark.operators import catalog
+    rows = [(i, n, c.split(":")[0], int(c.split(":")[1]) if ":" in c else None, u, t) for i, n, cols, u, t in [
+        ("t", "PRIMARY", "id", 0, "BTREE"), ("t", "a", "x", 1, "BTREE"), ("t", "ab", "x,y", 1, "BTREE"), ("t", "abc", "x,y,z", 1, "BTREE"),
+        ("t", "ab2", "x,y", 1, "BTREE"), ("t", "p", "x:10", 1, "BTREE"), ("t", "h", "x", 1, "HASH"), ("t", "u", "x,y", 0, "BTREE"),
+        ("t", "id2", "id", 1, "BTREE"), ("s", "a", "x", 1, "BTREE"), ("s", "ba", "y,x", 1, "BTREE")] for c in cols.split(",")]
+    seen, out = {}, []
+    for t, n, c, sub, u, kind in rows:
+        seen[t, n] = seen.get((t, n), 0) + 1
+        out.append(("i", "db", t, n, kind, u, seen[t, n], c, sub))
+    df = spark.createDataFrame(out, "instance_id string, table_schema string, table_name string, index_name string, index_type string, non_unique int, seq_in_index int, column_name string, sub_part int")
+    got = {(r["table_name"], r["index_name"]): r["covered_by"] for r in catalog.redundant_indexes(df).collect()}
+    assert got == {("t", "a"): "ab", ("t", "ab"): "u", ("t", "ab2"): "ab", ("t", "id2"): "PRIMARY"}
+
+
+def test_index_usage_by_logged_statements(spark):
+    from fleetspark.operators import activity
+    idx = spark.createDataFrame([("i", "db", "t", n) for n in ("PRIMARY", "a", "b", "a")], "instance_id string, table_schema string, table_name string, index_name string")
+    plans = spark.createDataFrame([("i", "db", "t", "a", "f1"), ("i", "db", "t", "a", "f1"), ("i", "db", "t", "a", "f2"), ("i", "db", "t", "b", "f3"),
+                                   ("i", "db", "t", "b", None), ("j", "db", "t", "b", "f1")],
+                                  "instance_id string, database_name string, table_name string, used_key string, fingerprint string")
+    calls = spark.createDataFrame([("i", "f1", 3, 30.0), ("i", "f2", 2, 5.0), ("j", "f3", 9, 1.0)], "instance_id string, fingerprint string, calls long, total_ms double")
+    got = {r["index_name"]: (r["statements"], r["calls"], r["total_ms"]) for r in activity.index_usage(idx, plans, calls).collect()}
+    assert got == {"a": (2, 5, 35.0), "b": (0, 0, 0.0)}
