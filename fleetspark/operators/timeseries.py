@@ -162,6 +162,32 @@ def replica_lag(instances: DataFrame, points: DataFrame, as_of, source: str | No
                     "engine_version", F.coalesce(F.col("lag"), F.lit(-1.0)).alias("replica_lag_seconds"))
 
 
+def replica_cascades(lags: DataFrame) -> DataFrame:
+    """J7 along chains of replicas: per row of ``replica_lag`` the root source,
+    its depth below it, and the lag summed over the hops to it.
+
+    A replica of a replica reports the lag of its own hop only.  A hop whose lag
+    is unknown (-1) makes the sum -1.  Replicas whose chain runs in a circle have
+    no root: null, depth null, lag -1.  One recursive query steps up a hop at a
+    time; it has a row per replica and hop (Spark's limit for such queries is
+    ``spark.sql.cteRecursionRowLimit``).
+    """
+    hop = lags.select("identifier", "source", F.when(F.col("replica_lag_seconds") >= 0, F.col("replica_lag_seconds")).alias("lag"))
+    chain = lags.sparkSession.sql("""
+        WITH RECURSIVE chain(identifier, up, hops, lag, path) AS (
+          SELECT identifier, source, 1, lag, array(identifier) FROM {hop}
+          UNION ALL
+          SELECT c.identifier, h.source, c.hops + 1, c.lag + h.lag, array_append(c.path, h.identifier)
+          FROM chain c JOIN {hop} h ON h.identifier = c.up WHERE NOT array_contains(c.path, h.identifier))
+        SELECT identifier, max_by(struct(up, hops, lag, array_contains(path, up) AS circle), hops) AS last FROM chain GROUP BY identifier""", hop=hop)
+    last = F.col("last")
+    top = chain.select("identifier", F.when(~last["circle"], last["up"]).alias("root_source"),
+                       F.when(~last["circle"], last["hops"].cast("long")).alias("depth"),
+                       F.when(~last["circle"], last["lag"]).alias("_lag"))
+    return lags.select("identifier", "source", "replica_lag_seconds").join(top, "identifier").select(
+        "identifier", "source", "root_source", "depth", "replica_lag_seconds", F.coalesce("_lag", F.lit(-1.0)).alias("total_lag_seconds"))
+
+
 # ------------------------------------------------------------------ A8, A9
 
 

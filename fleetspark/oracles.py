@@ -367,6 +367,21 @@ SELECT i.instance_id AS identifier, i.source_instance_id AS source, i.status, i.
 FROM instances i LEFT JOIN latest l ON l.instance_id = i.instance_id AND l.metric = 'read_latency'
 WHERE COALESCE(i.source_instance_id, '') <> ''"""
 oracle("replica_lag", ["metric_points", "instances"], _LAG)
+oracle("replica_cascades", ["metric_points", "instances"], f"""WITH {_LATEST},
+i AS (SELECT instance_id, CAST(substr(instance_id, 4) AS BIGINT) AS n FROM instances),
+r AS (SELECT i.instance_id AS identifier, 'db-' || CAST(n - 1 AS VARCHAR) AS source, COALESCE(l.v, -1.0) AS replica_lag_seconds
+      FROM i LEFT JOIN latest l ON l.instance_id = i.instance_id AND l.metric = 'read_latency' WHERE n % 7 <> 0)
+SELECT * FROM (
+  WITH RECURSIVE chain(identifier, up, hops, lag, path) AS (
+    SELECT identifier, source, 1, NULLIF(replica_lag_seconds, -1.0), [identifier] FROM r
+    UNION ALL
+    SELECT c.identifier, h.source, c.hops + 1, c.lag + NULLIF(h.replica_lag_seconds, -1.0), list_append(c.path, h.identifier)
+    FROM chain c JOIN r h ON h.identifier = c.up WHERE NOT list_contains(c.path, h.identifier)),
+  last AS (SELECT * FROM chain QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY hops DESC) = 1)
+  SELECT r.identifier, r.source, CASE WHEN NOT list_contains(path, up) THEN up END AS root_source,
+         CAST(CASE WHEN NOT list_contains(path, up) THEN hops END AS BIGINT) AS depth, r.replica_lag_seconds,
+         CASE WHEN list_contains(path, up) THEN -1.0 ELSE COALESCE(lag, -1.0) END AS total_lag_seconds
+  FROM r JOIN last USING (identifier))""")
 oracle("replica_lag_filtered", ["metric_points", "instances"], _LAG + " AND i.source_instance_id = 'db-4'")
 
 

@@ -215,6 +215,14 @@ def q_replica_lag(fx: Fixtures) -> DataFrame:
                           lookback="3 days", period="1 hour")
 
 
+@register("replica_cascades")
+def q_replica_cascades(fx: Fixtures) -> DataFrame:
+    """Chains of up to six hops: every instance but each seventh replicates the one before it."""
+    n = F.substring("instance_id", 4, 20).cast("long")
+    chained = fx["instances"].withColumn("source_instance_id", F.when(n % 7 != 0, F.concat(F.lit("db-"), n - 1)))
+    return ts.replica_cascades(ts.replica_lag(chained, fx["metric_points"], AS_OF, metric="read_latency", lookback="3 days", period="1 hour"))
+
+
 @register("top_sql_by_load")
 def q_top_sql_by_load(fx: Fixtures) -> DataFrame:
     return ts.top_sql_by_load(fx["load_samples"], AS_OF, minutes=1440)

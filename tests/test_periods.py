@@ -111,3 +111,11 @@ def test_databases_are_carried_over_splits(spark, tmp_dir):
     got = sorted((int(F_id), r["log_time"], r["database"]) for r in df.collect() for F_id in [r["record_text"].split("select ")[1].split(",")[0]])
     assert got == want
     assert small.read.text(f"{tmp_dir}/slow.log").rdd.getNumPartitions() > 5
+
+
+def test_lag_adds_up_along_chains_of_replicas(spark):
+    rows = [("r1", "main", 1.0), ("r2", "r1", 2.0), ("r3", "r2", 4.0), ("u", "r1", -1.0), ("v", "u", 3.0), ("x", "y", 1.0), ("y", "x", 1.0), ("z", "x", 1.0), ("s", "s", 0.0)]
+    df = spark.createDataFrame(rows, "identifier string, source string, replica_lag_seconds double")
+    got = {r["identifier"]: (r["root_source"], r["depth"], r["total_lag_seconds"]) for r in ts.replica_cascades(df).collect()}
+    assert got == {"r1": ("main", 1, 1.0), "r2": ("main", 2, 3.0), "r3": ("main", 3, 7.0), "u": ("main", 2, -1.0), "v": ("main", 3, -1.0),
+                   "x": (None, None, -1.0), "y": (None, None, -1.0), "z": (None, None, -1.0), "s": (None, None, -1.0)}
