@@ -1 +1 @@
-"""Plan-shaping helpers: size-checked broadcast, checkpoints, key salting."""
+"""Plan helpers: joins on one row per key or null-safe keys, percentiles from counts."""
