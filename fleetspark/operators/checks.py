@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import parse_double
+from ..functions.rule_text import RuleError, column, parsed, settings
 from ..functions.text import HISTORY_LENGTH, to_bigint
 from ..plans.joins import one_per_key
 from .counters import SNAPSHOT, counter_name, pivot_counters
@@ -309,3 +310,35 @@ def variable_rules(kv: DataFrame, rules: DataFrame) -> DataFrame:
            .when(op == ">=", v >= b).when(op == ">", v > b).otherwise(F.lit(False)))
     return j.where(hit).select(*SNAPSHOT, "rule_id", F.col("name").alias("setting"),
                                F.col("num").alias("value"), "op", "bound", "severity")
+
+
+def setting_expressions(kv: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """H15 over several settings: ``(rule_id, text, severity)`` rules of ``functions/rule_text.py`` checked per snapshot.
+
+    One row for each rule that holds: ``outcome`` 'violated', ``message`` its
+    text, ``inputs`` the settings it names with their values.  A rule that names
+    a setting which is missing or not a number holds only if its other parts
+    decide that.  A malformed rule gives one row without a snapshot: ``outcome``
+    'malformed', ``message`` what is wrong.  Only the named settings are pivoted,
+    in one shuffle of one row per snapshot; the rules are part of the plan, so
+    their number is a user's list, not a table.
+    """
+    trees, bad = [], []
+    for rule_id, text, severity in rules:
+        try:
+            trees.append((rule_id, text, severity, parsed(text)))
+        except RuleError as e:
+            bad.append((None, None, rule_id, "malformed", str(e), None, severity))
+    named = sorted({n for *_, tree in trees for n in settings(tree)})
+    schema = "rule_id string, outcome string, message string, inputs map<string,double>, severity string"
+    spark, kinds = kv.sparkSession, dict(kv.dtypes)
+    out = spark.createDataFrame(bad, ", ".join(f"{c} {kinds[c]}" for c in SNAPSHOT) + ", " + schema)
+    if not trees:
+        return out
+    wide = pivot_counters(kv.where(F.col("scope") == "variables"), [], named)
+    found = F.array(*[F.when(column(tree), F.struct(
+        F.lit(rule_id).alias("rule_id"), F.lit("violated").alias("outcome"), F.lit(text).alias("message"),
+        F.create_map(*[x for n in settings(tree) for x in (F.lit(n), F.col(f"`{n}`"))]).alias("inputs"),
+        F.lit(severity).alias("severity"))) for rule_id, text, severity, tree in trees])
+    held = wide.select(*SNAPSHOT, F.inline(F.filter(found, lambda x: x.isNotNull())))
+    return held.unionByName(out)

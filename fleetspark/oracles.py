@@ -173,6 +173,35 @@ FROM num n JOIN setting_rules r ON r.name = n.name
 WHERE (r.op = '<' AND n.num < r.bound) OR (r.op = '<=' AND n.num <= r.bound) OR (r.op = '=' AND n.num = r.bound)
    OR (r.op = '>=' AND n.num >= r.bound) OR (r.op = '>' AND n.num > r.bound)""")
 
+# H15 over several settings: the same numbers side by side, one branch per rule.
+oracle("setting_expressions", ["counter_snapshots"], """
+WITH c AS (
+  SELECT instance_id, snapshot_id, TRY_CAST(innodb_buffer_pool_size AS DOUBLE) AS pool, TRY_CAST(open_files_limit AS DOUBLE) AS files,
+         TRY_CAST(innodb_redo_log_capacity AS DOUBLE) AS redo, TRY_CAST(max_connections AS DOUBLE) AS conn,
+         TRY_CAST(innodb_buffer_pool_instances AS DOUBLE) AS inst
+  FROM counter_snapshots
+),
+held AS (
+  SELECT instance_id, snapshot_id, 'e1' AS rule_id, 'innodb_buffer_pool_size / innodb_buffer_pool_instances < 1073741824' AS message,
+         'innodb_buffer_pool_instances=' || CAST(inst AS BIGINT) || ',innodb_buffer_pool_size=' || CAST(pool AS BIGINT) AS inputs,
+         'warning' AS severity
+  FROM c WHERE pool / NULLIF(inst, 0) < 1073741824
+  UNION ALL
+  SELECT instance_id, snapshot_id, 'e2', 'open_files_limit < max_connections * 5 and max_connections > 0',
+         'max_connections=' || CAST(conn AS BIGINT) || ',open_files_limit=' || CAST(files AS BIGINT), 'warning'
+  FROM c WHERE files < conn * 5 AND conn > 0
+  UNION ALL
+  SELECT instance_id, snapshot_id, 'e3',
+         'innodb_redo_log_capacity / innodb_buffer_pool_size < 0.05 or innodb_redo_log_capacity = 0',
+         'innodb_buffer_pool_size=' || CAST(pool AS BIGINT) || ',innodb_redo_log_capacity=' || CAST(redo AS BIGINT), 'notice'
+  FROM c WHERE redo / NULLIF(pool, 0) < 0.05 OR redo = 0
+)
+SELECT instance_id, snapshot_id, rule_id, 'violated' AS outcome, message, inputs, severity FROM held
+UNION ALL SELECT NULL, NULL, 'e4', 'malformed',
+  'a comparison expected, not max_connections / innodb_buffer_pool_chunk_size', NULL, 'notice'
+UNION ALL SELECT NULL, NULL, 'e5', 'malformed', 'not an expression', NULL, 'notice'""")
+
+
 
 # ------------------------------------------------------------ catalog
 oracle("column_catalog", ["cat_columns"], """

@@ -95,6 +95,24 @@ def q_variable_rules(fx: Fixtures) -> DataFrame:
     return checks.variable_rules(fx.counter_kv(), fx["setting_rules"])
 
 
+SETTING_EXPRESSIONS = [
+    ("e1", "innodb_buffer_pool_size / innodb_buffer_pool_instances < 1073741824", "warning"),
+    ("e2", "open_files_limit < max_connections * 5 and max_connections > 0", "warning"),
+    ("e3", "innodb_redo_log_capacity / innodb_buffer_pool_size < 0.05 or innodb_redo_log_capacity = 0", "notice"),
+    ("e4", "max_connections / innodb_buffer_pool_chunk_size", "notice"),
+    ("e5", "max_connections > (", "notice"),
+    ("e6", "absent_setting - max_connections > 0", "notice"),
+]
+
+
+@register("setting_expressions")
+def q_setting_expressions(fx: Fixtures) -> DataFrame:
+    """H15 with rules over several settings; the values that a rule read come as text."""
+    got = checks.setting_expressions(fx.counter_kv(), SETTING_EXPRESSIONS)
+    listed = F.expr("array_join(transform(array_sort(map_entries(inputs)), x -> concat(x.key, '=', cast(x.value as bigint))), ',')")
+    return got.withColumn("inputs", listed)
+
+
 # ------------------------------------------------------------ catalog
 
 

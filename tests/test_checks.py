@@ -138,6 +138,35 @@ def test_variable_rules_missing_setting_matches_nothing(spark):
     assert [(r["rule_id"], r["value"]) for r in out] == [("r1", 0.0)]
 
 
+def expression_kv(spark):
+    rows = [("db", 1, "A", "10"), ("db", 1, "b", "4"), ("db", 1, "zero", "0"), ("db", 2, "a", "1"), ("db", 2, "b", "text")]
+    return spark.createDataFrame([(i, s, "variables", n, v) for i, s, n, v in rows] + [("db", 2, "status", "b", "9")],
+                                 "instance_id string, snapshot_id long, scope string, name string, value string")
+
+
+@pytest.mark.parametrize("text,snapshots", [
+    ("a > b", {1}), ("A - b * 2 = 2", {1}), ("a / zero > 1", set()), ("1 < a < 11", {1}), ("a >= 1", {1, 2}),
+    ("not a > 5", {2}), ("a < 5 or b > 3", {1, 2}), ("b > 3 and a > 0", {1}), ("-a < -5", {1}), ("a != 10", {2}),
+    ("(a + b) / 2 == 7", {1}), ("a > 1e0 and b <= 4", {1}), ("missing > 0", set()), ("missing > 0 or a = 1", {2}),
+])
+def test_setting_expressions(spark, text, snapshots):
+    got = checks.setting_expressions(expression_kv(spark), [("r", text, "notice")]).collect()
+    assert {r["snapshot_id"] for r in got} == snapshots and all(r["outcome"] == "violated" for r in got)
+
+
+@pytest.mark.parametrize("text", ["", "  ", None, "a >", "a", "1 < 2", "f(a) > 1", "a.b > 1", "a ** 2 > 1", "a > 'x'", "a[0] > 1",
+                                  "lambda: a", "a > b if a else b", "a in b", "__import__('os') > 1", "(" * 900, "a > 1" + " " * 1000 + "1"])
+def test_malformed_expressions_are_rows(spark, text):
+    got = checks.setting_expressions(expression_kv(spark), [("bad", text, "warning"), ("ok", "a = 1", "notice")]).collect()
+    assert sorted((r["rule_id"], r["outcome"], r["snapshot_id"]) for r in got) == [("bad", "malformed", None), ("ok", "violated", 2)]
+
+
+def test_expressions_pivot_named_settings_once(spark):
+    plan = checks.setting_expressions(expression_kv(spark), [("x", "a > b", "n"), ("y", "a > 1", "n")])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("hashpartitioning") == 1 and "zero" not in text
+
+
 def test_pool_vs_ram_exact_bounds(spark):
     mem = spark.createDataFrame([("c", 1000)], "instance_class string, memory_mb long")
     mib = 1048576
