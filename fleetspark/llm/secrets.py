@@ -3,31 +3,39 @@
 The base patterns run over the text itself.  Then the text goes on a worklist
 of layers.  Of a layer come new ones: the layer with its URL escapes undone,
 the layer with its Unicode and character escapes undone, and each base64 run's
-bytes.  A run that is wrapped into lines is also decoded as one, without its
-line breaks.  Bytes that begin as gzip, zlib, bzip2 or xz streams (of any number
-of members) are decompressed until they no longer do; all bytes are then read as
-text: UTF-8 with any character, else UTF-16 or, byte by byte, Latin-1.
+bytes.  A run is decoded from each of its first four characters, as a path or a
+key before it may shift the alignment, and where a compressed stream begins
+behind a separator.  A run that is wrapped into lines is also decoded as one,
+without its line breaks.  Bytes that begin as gzip, zlib, bzip2 or xz streams (of
+any number of members) are decompressed until they no longer do; all bytes are
+then read as text: UTF-8 with any character, else UTF-16 or, byte by byte, Latin-1.
 Each new layer is scanned and goes on the list; a layer whose content at the
 same place was seen before is dropped (cycles), and the list ends at the
-fixpoint.  Every layer keeps the place in the text that each of its characters
-came from, so what is found maps back to a span of the text; such spans have
-the kind ``decoded_`` plus the pattern's.
-
-A stream that unpacks to more than ``MAX_UNPACKED`` bytes is left packed (a
-documented guard against bombs).  Edge cases: null and empty texts have no
-spans; every input row gives one row, repeated rows too; texts are read whole.
+fixpoint.  Every layer knows by segments where its characters came from, so what
+is found maps back to a span of the text; such spans have the kind ``decoded_``
+plus the pattern's.
+
+What streams unpack to is read in pieces of ``PIECE`` bytes that share ``OVERLAP``
+bytes, so memory stays bounded however large it is; equal pieces are read once.
+A secret of up to ``OVERLAP`` bytes is whole in some piece.  A base64 run inside an
+unpacked layer that is longer than that and meets a piece's edge is read in
+parts.  A stream that breaks off gives what it held until there.  Edge cases:
+null and empty texts have no spans; every input row gives one row, repeated rows
+too; texts are read whole.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +43,7 @@ from pyspark.sql import types as T
 
 from .common import map_texts
 
-MAX_UNPACKED = 32 << 20
+PIECE, OVERLAP, STEP = 4 << 20, 64 << 10, 1 << 20
 KINDS = ("assign", "access", "hex")
 MIN_GROUP, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
@@ -47,7 +55,12 @@ URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
-BREAK = re.compile(r"[\x20\t\r\n]+")
+LINE = re.compile(r"[^\x20\t\r\n]+")
+#: Base64 of the first bytes of streams: gzip, zlib, bzip2 behind a separator; xz begins with one.
+PACKED = re.compile(r"(?<![A-Za-z0-9])(?:H4sI|eAE|eF4|eJ[w-z]|eN[o-r]|QlpoO|QlpoN|QlpoM)|/Td6WFoA")
+BYTES = re.compile(r"[\x00-\x7f]+|[^\x00-\x7f]")
+STANDARD = str.maketrans("-_", "+/")
+SHORTEST = 22  # base64 characters of the shortest secret
 
 
 def base_spans(s: str) -> list[tuple[int, str, int]]:
@@ -70,21 +83,50 @@ def char_of(escape: str) -> str:
     return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else "�"
 
 
-def replaced(s: str, pattern: re.Pattern, decode) -> tuple[str, list[tuple[int, int]]] | None:
-    """``s`` with the pattern's matches decoded, and the span of ``s`` behind each character of it."""
-    parts, spans, at = [], [], 0
+class Places:
+    """Where a layer's characters come from: segments, each spread evenly over a stretch of the layer above."""
+
+    def __init__(self, above: Places | None, whole: tuple[int, int] | None = None):
+        self.above, self.whole, self.n = above, whole, 0
+        self.at, self.start, self.size = array("q"), array("q"), array("q")
+
+    def add(self, n: int, start: int, size: int) -> None:
+        """The next ``n`` characters come from the ``size`` characters at ``start``."""
+        if n:
+            self.at.append(self.n)
+            self.start.append(start)
+            self.size.append(size)
+            self.n += n
+
+    def reach(self) -> int:
+        """Where the last segment ends in the layer above."""
+        return self.start[-1] + self.size[-1] if self.at else 0
+
+    def _length(self, i: int) -> int:
+        return (self.at[i + 1] if i + 1 < len(self.at) else self.n) - self.at[i]
+
+    def span(self, a: int, b: int) -> tuple[int, int]:
+        """The stretch of the text behind the layer's characters from ``a`` to before ``b``."""
+        if self.whole:
+            a, b = self.whole
+        else:
+            i, j = bisect_right(self.at, a) - 1, bisect_right(self.at, b - 1) - 1
+            a = self.start[i] + (a - self.at[i]) * self.size[i] // self._length(i)
+            b = self.start[j] - (self.at[j] - b) * self.size[j] // self._length(j)
+        return self.above.span(a, b) if self.above else (a, b)
+
+
+def replaced(s: str, pattern: re.Pattern, decode, above: Places | None) -> Iterator[tuple[str, Places]]:
+    """``s`` with the pattern's matches decoded, if there are any."""
+    parts, places, at = [], Places(above), 0
     for m in pattern.finditer(s):
-        parts.append(s[at:m.start()])
-        spans += [(i, i + 1) for i in range(at, m.start())]
-        made = decode(m[0])
-        parts.append(made)
-        size = m.end() - m.start()
-        spans += [(m.start() + i * size // len(made), m.start() + -(-(i + 1) * size // len(made))) for i in range(len(made))]
+        parts += [s[at:m.start()], made := decode(m[0])]
+        places.add(m.start() - at, at, m.start() - at)
+        places.add(len(made), m.start(), m.end() - m.start())
         at = m.end()
-    if not parts:
-        return None
-    parts.append(s[at:])
-    return "".join(parts), spans + [(i, i + 1) for i in range(at, len(s))]
+    if parts:
+        places.add(len(s) - at, at, len(s) - at)
+        yield "".join([*parts, s[at:]]), places
 
 
 def stream(data: bytes):
@@ -96,98 +138,154 @@ def stream(data: bytes):
     return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
 
 
-def members(data: bytes) -> bytes:
-    """``data``, decompressed if it is one or more whole streams; what follows the last of them is kept as it is."""
-    parts, rest, size = [], data, 0
-    while d := stream(rest):
-        try:
-            made = d.decompress(rest, MAX_UNPACKED - size + 1)
-        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-            break
-        size += len(made)
-        if size > MAX_UNPACKED or not d.eof:
+def opened(feed: Iterator[bytes]) -> tuple[bytes, Iterator[bytes]]:
+    """The first bytes of ``feed``, six at least if there are so many, and the feed behind them."""
+    head = b""
+    for part in feed:
+        head += part
+        if len(head) >= 6:
             break
-        parts.append(made)
-        rest = d.unused_data.lstrip(b"\0")  # xz and gzip files may be padded
-    return b"".join([*parts, rest]) if parts else data
+    return head, feed
 
 
-def unpacked(data: bytes) -> bytes:
-    """``data``, decompressed as long as it begins as a known stream; one that comes again ends it."""
+def members(feed: Iterator[bytes]) -> Iterator[bytes]:
+    """What the streams at the begin of ``feed`` hold, in parts of ``STEP`` bytes at most; then what follows them, as it is."""
+    rest, feed = opened(feed)
+    while d := stream(rest):
+        made = b""
+        while not d.eof:
+            if not rest and len(made) < STEP and getattr(d, "needs_input", True):
+                if not (rest := next(feed, b"")):
+                    return
+            try:
+                made = d.decompress(rest, STEP)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                yield from chain([rest], feed)
+                return
+            rest = getattr(d, "unconsumed_tail", b"")
+            if made:
+                yield made
+        rest, feed = opened(chain([d.unused_data.lstrip(b"\0")], feed))  # xz and gzip files may be padded
+    yield from chain([rest], feed)
+
+
+def windows(feed: Iterator[bytes]) -> Iterator[bytes]:
+    """``feed`` in pieces that overlap."""
+    held = bytearray()
+    for part in feed:
+        held += part
+        while len(held) > PIECE:
+            yield bytes(held[:PIECE])
+            del held[:PIECE - OVERLAP]
+    if held:
+        yield bytes(held)
+
+
+def unpacked(data: bytes) -> Iterator[bytes]:
+    """Pieces of ``data``, decompressed as long as it begins as a known stream; one that comes again ends that."""
     seen = set()
     while stream(data) and (mark := hashlib.sha256(data).digest()) not in seen:
         seen.add(mark)
-        data = members(data)
-    return data
-
-
-def readings(data: bytes) -> Iterator[str]:
-    """The texts that ``data`` may be."""
+        feed, parts = members(iter([data])), []
+        while sum(map(len, parts)) <= PIECE and (part := next(feed, b"")):
+            parts.append(part)
+        if sum(map(len, parts)) > PIECE:  # from here on it is not held whole
+            head, feed = opened(chain(parts, feed))
+            while stream(head) and (mark := hashlib.sha256(head).digest()) not in seen:
+                seen.add(mark)
+                head, feed = opened(members(chain([head], feed)))
+            yield from windows(chain([head], feed))
+            return
+        data = b"".join(parts)
+    yield from windows(iter([data]))
+
+
+def readings(data: bytes) -> Iterator[tuple[str, str]]:
+    """The texts that ``data`` may be, each with its code."""
     try:
-        yield data.decode()
+        yield data.decode(), "utf-8"
     except UnicodeDecodeError:
-        yield data.decode("latin-1")
+        yield data.decode("latin-1"), "latin-1"
     for code, pair in (("utf-16-le", slice(1, None, 2)), ("utf-16-be", slice(0, None, 2))):
         if data[:2] in (b"\xff\xfe", b"\xfe\xff") or 4 * data[pair].count(0) > len(data):  # of most ASCII text half is zero
-            yield data.decode(code, "replace")
+            yield data.decode(code, "replace"), code
+
 
+def characters(text: str, code: str, size: int, above: Places) -> Places:
+    """The places of a text's characters, read by ``code`` from ``size`` bytes that stand at ``above``."""
+    if len(text) == size:
+        return above
+    places = Places(above)
+    if code == "utf-8":
+        for m in BYTES.finditer(text):
+            places.add(len(m[0]), places.reach(), len(m[0].encode()))
+    else:  # a pair that is one character, or none, shifts the rest a little
+        places.add(len(text), 0, size)
+    return places
 
-def layers(s: str):
-    """(text, spans of ``s`` behind its characters) of the layers directly below ``s``."""
+
+def layers(s: str, above: Places | None) -> Iterator[tuple[str, Places]]:
+    """The layers directly below ``s``, whose own characters stand at ``above`` (None: it is the text)."""
     if "%" in s:
-        if got := replaced(s, URL, lambda m: bytes.fromhex(m.replace("%", "")).decode("utf-8", "replace")):
-            yield got
+        yield from replaced(s, URL, lambda m: bytes.fromhex(m.replace("%", "")).decode("utf-8", "replace"), above)
     if "\\" in s or "&#" in s:
-        if got := replaced(s, ESCAPE, char_of):
-            yield got
+        yield from replaced(s, ESCAPE, char_of, above)
     for m in BASE64.finditer(s):
-        yield from decoded(m[0], m.start(), None)
+        places = Places(above)
+        places.add(m.end() - m.start(), m.start(), m.end() - m.start())
+        yield from decoded(m[0], places)
     if "\n" in s:
         for m in WRAPPED.finditer(s):
-            at = [i for i, c in enumerate(m[0], m.start()) if c not in " \t\r\n"]
-            yield from decoded(BREAK.sub("", m[0]), m.start(), at)
-
-
-def decoded(run: str, start: int, at: list[int] | None):
-    """The layers of a base64 run, whose characters stand at ``at`` (default: from ``start`` on)."""
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return
-    try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return
-    data = unpacked(raw)
-    place = (lambda a, b: (at[a], at[b - 1] + 1)) if at else (lambda a, b: (start + a, start + b))
-    for text in readings(data):
-        if not text:
+            places, lines = Places(above), list(LINE.finditer(s, m.start(), m.end()))
+            for x in lines:
+                places.add(x.end() - x.start(), x.start(), x.end() - x.start())
+            yield from decoded("".join(x[0] for x in lines), places)
+
+
+def bytes_of(body: str) -> bytes:
+    """The bytes of a base64 run without padding; a last character that can't end one is left out."""
+    body = body[:len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def decoded(run: str, above: Places) -> Iterator[tuple[str, Places]]:
+    """The layers of a base64 run, whose characters stand at ``above``."""
+    body = run.rstrip("=").translate(STANDARD)
+    for k in range(4 if len(body) >= SHORTEST else 0):
+        raw = bytes_of(body[k:])
+        places, quads = Places(above), len(raw) // 3  # four characters hold three bytes
+        places.add(3 * quads, k, 4 * quads)
+        places.add(len(raw) % 3, k + 4 * quads, len(raw) % 3 + 1)
+        for text, code in readings(raw):
+            yield text, characters(text, code, len(raw), places)
+    for m in PACKED.finditer(body):
+        raw = bytes_of(body[m.start():m.start() + 400])
+        if next(members(iter([raw])), b"") == raw:  # no stream after all
             continue
-        if data is raw and len(text) == len(raw):  # one byte a character: four base64 characters hold three
-            yield text, [place(i * 4 // 3, min(len(run), -(-(i + 1) * 4 // 3))) for i in range(len(text))]
-        else:
-            yield text, [place(0, len(run))] * len(text)
+        for piece in unpacked(bytes_of(body[m.start():])):
+            for text, _ in readings(piece):
+                yield text, Places(above, (m.start(), len(run)))
 
 
 def decoded_spans(s: str) -> set[tuple[int, str, int]]:
     """Spans of ``s`` whose decoded layers hold a base pattern that isn't in ``s`` as it stands."""
     out: set[tuple[int, str, int]] = set()
     own = set(base_spans(s))
-    work: list[tuple[str, list[tuple[int, int]] | None]] = [(s, None)]
     seen = {(hashlib.sha256(s.encode("utf-8", "surrogatepass")).digest(), 0)}
-    while work:
-        layer, places = work.pop()
-        for text, spans in layers(layer):
-            if places is not None:
-                spans = [(places[a][0], places[b - 1][1]) for a, b in spans]
-            mark = (hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), spans[0][0])
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for a, kind, b in base_spans(text):
-                span = (spans[a][0], kind, spans[b - 1][1])
-                if span not in own:
-                    out.add((span[0], f"decoded_{kind}", span[2]))
-            work.append((text, spans))
+    work = [layers(s, None)]
+    while work:  # layers are made one by one, so one of each depth is held
+        if (got := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        text, places = got
+        if not text or (mark := (hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), places.span(0, 1)[0])) in seen:
+            continue
+        seen.add(mark)
+        for a, kind, b in base_spans(text):
+            start, end = places.span(a, b)
+            if (start, kind, end) not in own:
+                out.add((start, f"decoded_{kind}", end))
+        work.append(layers(text, places))
     return out
 
 

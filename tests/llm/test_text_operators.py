@@ -2,10 +2,11 @@ import base64
 import bz2
 import gzip
 import hashlib
-import lzma
 import json
+import lzma
 import random
 import re
+import tracemalloc
 import zlib
 from urllib.parse import quote
 
@@ -169,10 +170,65 @@ def test_every_layer_is_read_to_the_fixpoint(inner):
     assert spans and all(4 <= a < b <= 4 + len(inner) for a, b in spans)
 
 
-def test_plain_words_and_bombs_give_nothing():
+def test_plain_words_give_nothing():
     assert not secrets.decoded_spans("internationalization counterrevolutionary %zz %41 \\u0041 100%")
-    bomb = base64.b64encode(gzip.compress(b"0" * (secrets.MAX_UNPACKED + 1))).decode()
-    assert not secrets.decoded_spans(bomb)
+    assert not secrets.decoded_spans("eJwAAAAAAAAAAAAAAAAAAAAA /QlpoOTFBWSZTWQAAAAAAAA x/H4sIAAAAAAAAAAAAAAAAAAAAAA BZh9 x ")
+
+
+@pytest.mark.parametrize("before", ["data/", "https://h.io/", "k_", "a-", "abc", "x/y/z/", "A1B2+", "_", "key/a_b-"])
+@pytest.mark.parametrize("inner", [
+    base64.b64encode(f"password={KEY}".encode()), base64.b64encode(gzip.compress(KEY.encode())),
+    base64.b64encode(bz2.compress(KEY.encode())), base64.b64encode(lzma.compress(KEY.encode())),
+    base64.urlsafe_b64encode(zlib.compress(KEY.encode())).rstrip(b"="),
+])
+def test_base64_behind_paths_and_keys(before, inner):
+    if before == "abc" and not inner.startswith(base64.b64encode(b"password")[:8]):
+        return  # where a stream begins shows only behind a separator
+    text = f"see {before}{inner.decode()} end"
+    spans = [(a, b) for a, k, b in secrets.decoded_spans(text) if k == "decoded_access"]
+    assert spans and all(4 <= a < b <= 4 + len(before) + len(inner) for a, b in spans)
+    if base64.b64encode(b"password")[:8] == inner[:8]:  # plain: the very characters
+        at = 4 + len(before)
+        assert (at + 12, at + len(inner.rstrip(b"="))) in spans
+
+
+@pytest.mark.parametrize("n", range(8))
+def test_base64_of_any_length_and_what_follows_it(n):
+    inner = base64.b64encode(b"-" * n + b" " + KEY.encode() + b" ").decode().rstrip("=")
+    for after in ("", "A", "/rest", "_x", "==/next"):
+        assert any(k == "decoded_access" for _, k, _ in secrets.decoded_spans(f"u={inner}{after} end")), after
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, lambda d: bz2.compress(gzip.compress(d)), lambda d: lzma.compress(d, preset=0)])
+@pytest.mark.parametrize("at", [0, secrets.PIECE - 10, secrets.PIECE + 1, (64 << 20) - 20])
+def test_large_layers_are_read_whole_in_bounded_memory(pack, at):
+    size = 64 << 20
+    data = b"." * at + KEY.encode() + b"." * (size - at - len(KEY))
+    text = "x " + base64.b64encode(pack(data)).decode() + " y"
+    tracemalloc.start()
+    spans = secrets.decoded_spans(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans == {(2, "decoded_access", len(text) - 2)} and peak < 48 << 20
+
+
+def test_deep_and_broken_streams():
+    data = KEY.encode()
+    for _ in range(300):
+        data = gzip.compress(data)
+    assert any(k == "decoded_access" for _, k, _ in secrets.decoded_spans(base64.b64encode(data).decode()))
+    noise = random.Random(3).randbytes(3000)
+    broken = gzip.compress(b" " + KEY.encode() + b" " + noise)[:-900]
+    assert any(k == "decoded_access" for _, k, _ in secrets.decoded_spans(base64.b64encode(broken).decode()))
+
+
+def test_places_take_memory_by_match_not_by_character():
+    text = "plain words " * 350_000 + "AK%49ABCDEFGHIJKLMNOP end"
+    tracemalloc.start()
+    spans = secrets.decoded_spans(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {k for _, k, _ in spans} == {"decoded_access"} and peak < 12 * len(text)
 
 
 # ------------------------------------------------------------ licences
