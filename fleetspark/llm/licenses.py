@@ -2,13 +2,18 @@
 
 A text's words (A-Z lower-cased) stream through the automaton of all templates;
 the matching statistic at a word is the longest suffix that is a substring of a
-template.  Where it cannot grow, the match is maximal; maximal matches of
-``MIN_MATCH`` words or more are chained per template: in order in both the text
-and the template, at most ``MAX_GAP`` words apart in the text.  A template whose
-best chain covers ``NOTICE_COVER`` of it (``BODY_COVER`` for those of over
-``NOTICE_WORDS`` words) gives its label.  The score is the best cover of all
-templates.  Base phrases are templates too, and every place where one ends is
-read off the automaton's states.
+template.  Up the suffix links stand the shorter ones of further templates, so at
+each word every template's longest match is known.  Where one cannot grow, it is
+maximal; maximal matches of ``MIN_MATCH`` words or more are chained per template:
+in order in both the text and the template, at most ``MAX_GAP`` words apart in
+the text.  A template is met if its best chain covers ``NOTICE_COVER`` of it
+(``BODY_COVER`` for those of over ``NOTICE_WORDS`` words) and its marks agree:
+its own numbers and ``MARKS`` (words that part a licence from its kin) are
+matched, and no other mark stands in the stretch of the text or next to it.  Of
+met templates whose stretches overlap by half of the shorter the one with most
+matched words wins, and gives its label.  The score is the best cover of the
+winners, else of all templates.  Base phrases are templates too, and every place
+where one ends is read off the automaton's states.
 
 Only runs of words whose consecutive pairs all occur in a template are streamed
 (found with numpy): elsewhere the statistic stays below two words.
@@ -29,7 +34,7 @@ from .words import ALNUM, Words, shingles
 
 MIN_MATCH = 3
 MAX_GAP = 12
-NOTICE_WORDS, NOTICE_COVER, BODY_COVER = 20, 0.8, 0.4
+NOTICE_WORDS, NOTICE_COVER, BODY_COVER = 20, 0.8, 0.7
 
 # The base phrases, and licence notices and texts as published.
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
@@ -44,24 +49,63 @@ TEMPLATES = (
     ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
                  "in compliance with the License. You may obtain a copy of the License at"),
     ("apache-2", "Licensed under the Apache License, Version 2.0."),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
+            "to this work."),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
+    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+              "General Public License version 2 as published by the Free Software Foundation."),
+    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+              "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+              "or (at your option) any later version."),
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
               "General Public License as published by the Free Software Foundation, either version 3 of the License, "
               "or (at your option) any later version."),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-            "that the following conditions are met: Redistributions of source code must retain the above copyright "
-            "notice, this list of conditions and the following disclaimer."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License, or (at your option) any later version."),
+    ("lgpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+               "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+               "License, or (at your option) any later version."),
+    ("agpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+               "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+               "License, or (at your option) any later version."),
+    ("bsd-2", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+              "that the following conditions are met: Redistributions of source code must retain the above copyright "
+              "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
+              "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+              "documentation and/or other materials provided with the distribution."),
+    ("bsd-3", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+              "that the following conditions are met: Redistributions of source code must retain the above copyright "
+              "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
+              "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+              "documentation and/or other materials provided with the distribution. Neither the name of the copyright "
+              "holder nor the names of its contributors may be used to endorse or promote products derived from this "
+              "software without specific prior written permission."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+             "be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+             "use this software for any purpose, including commercial applications, and to alter it and redistribute "
+             "it freely, subject to the following restrictions"),
+    ("epl-1", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+              "License v1.0 which accompanies this distribution"),
+    ("epl-2", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+              "License 2.0 which accompanies this distribution"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
               "MPL was not distributed with this file, You can obtain one at"),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("all-rights-reserved", "Copyright. All rights reserved."),
 )
+# The public licences that share one notice, their names and versions.
+COMMONS = {"cc-by": "Attribution", "cc-by-sa": "Attribution-ShareAlike", "cc-by-nd": "Attribution-NoDerivatives",
+           "cc-by-nc": "Attribution-NonCommercial", "cc-by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+           "cc-by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+VERSIONS = ("4.0 International", "3.0 Unported", "2.5 Generic", "2.0 Generic")
+TEMPLATES += tuple((label, f"This work is licensed under a Creative Commons {name} {version} License.")
+                   for label, name in COMMONS.items() for version in VERSIONS)
+TEMPLATES += tuple((label, f"Licensed under {label.upper().replace('-', ' ', 1)} {v.split()[0]}.") for label in COMMONS for v in VERSIONS)
+# Words that part a licence from its kin.
+MARKS = frozenset(b"noncommercial sharealike noderivatives noderivs nc sa nd lesser affero endorse".split())
 
 
 def split(text: str) -> list[bytes]:
@@ -135,7 +179,9 @@ class Scanner:
         texts = [split(p) for p in phrases.values()] + [split(t) for _, t in templates]
         self.labels = [*phrases, *(label for label, _ in templates)]
         self.n_phrases = len(phrases)
-        self.sizes = [len(t) for t in texts]
+        self.texts, self.sizes = texts, [len(t) for t in texts]
+        self.marks = [{w for w in t if w in MARKS or w.isdigit()} for t in texts]
+        self.further: dict[int, dict[tuple[int, int], int]] = {}
         vocabulary = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
         self.auto = Automaton([[vocabulary[w] for w in t] for t in texts])
         words = Words(list(vocabulary), ALNUM)
@@ -166,14 +212,14 @@ class Scanner:
                 yield a, [i if self.vocabulary[i] == w.word(a + j) else -1 for j, i in enumerate(ids)]
 
     def matches(self, w: Words):
-        """Per text: (start word, length, state) of maximal matches, and (start word, phrase) of base phrases."""
+        """Per text: (start word, length, template, its end there) of maximal matches, and (start word, phrase) of base phrases."""
         h = w.hashes()
         n = len(w.first) - 1
         found, base = [[] for _ in range(n)], [[] for _ in range(n)]
         for a, ids in self.runs(w, h):
             d = int(np.searchsorted(w.first, a, side="right") - 1)
             a -= int(w.first[d])
-            stats = self.auto.walk(ids)
+            stats, held = self.auto.walk(ids), {}
             for i, (state, length) in enumerate(stats):
                 for t in self.phrase_ends.get(state, ()):
                     if self.sizes[t] <= length:
@@ -184,46 +230,86 @@ class Scanner:
                         if (a + i + 1 - self.sizes[t], t) not in base[d][-4:]:
                             base[d].append((a + i + 1 - self.sizes[t], t))
                     up = self.auto.link[up]
-                if length >= MIN_MATCH and (i + 1 == len(stats) or stats[i + 1][1] <= length):
-                    found[d].append((a + i + 1 - length, length, state))
+                now = self.longest(state, length) if length >= MIN_MATCH else {}
+                found[d] += [(a + i - n, n, t, end) for (t, end), n in held.items() if (t, end + 1) not in now]
+                held = now
+            found[d] += [(a + len(stats) - n, n, t, end) for (t, end), n in held.items()]
         return found, base
 
-    def chain(self, matches: list) -> dict[int, float]:
-        """Cover (0 to 1) of each template by its best chain of matches."""
+    def longest(self, state: int, length: int) -> dict[tuple[int, int], int]:
+        """The longest match of ``MIN_MATCH`` words or more that ends at each (template, end), given the statistic."""
+        if state not in self.further:
+            own, more, up = set(self.auto.ends[state]), {}, self.auto.link[state]
+            while up > 0 and self.auto.len[up] >= MIN_MATCH:
+                more |= {x: self.auto.len[up] for x in self.auto.ends[up] if x not in own and x not in more}
+                up = self.auto.link[up]
+            self.further[state] = more
+        return dict.fromkeys(self.auto.ends[state], length) | self.further[state]
+
+    def chain(self, matches: list) -> dict[int, tuple[int, tuple]]:
+        """Each template's best chain: its matched words and its parts, (start, end) in the text and the template."""
         by: dict[int, list] = {}
-        for start, length, state in matches:
-            for t, end in self.auto.ends[state]:
-                by.setdefault(t, []).append((start, start + length, end - length, end))
-        cover = {}
+        for start, length, t, end in matches:
+            by.setdefault(t, []).append((start, start + length, end - length, end))
+        out = {}
         for t, spans in by.items():
             spans.sort()
-            best = []
+            best: list[tuple[int, int, int]] = []  # words, match before, words cut off at the begin
             for i, (a, b, p, q) in enumerate(spans):
-                most = q - p
+                most = (q - p, -1, 0)
                 for j in range(i - 1, -1, -1):
-                    _, b2, _, q2 = spans[j]
-                    if a - spans[j][0] > self.sizes[t] + MAX_GAP:
+                    a2, b2, _, q2 = spans[j]
+                    if a - a2 > self.sizes[t] + MAX_GAP:
                         break
                     cut = max(0, b2 - a, q2 - p)
-                    if cut < q - p and a + cut - b2 <= MAX_GAP:
-                        most = max(most, best[j] + q - p - cut)
+                    if cut < q - p and a + cut - b2 <= MAX_GAP and best[j][0] + q - p - cut > most[0]:
+                        most = (best[j][0] + q - p - cut, j, cut)
                 best.append(most)
-            cover[t] = min(1.0, max(best) / self.sizes[t])
-        return cover
+            i = max(range(len(best)), key=lambda i: best[i][0])
+            words, parts = best[i][0], []
+            while i >= 0:
+                a, b, p, q = spans[i]
+                _, i, cut = best[i]
+                parts.append((a + cut, b, p + cut, q))
+            out[t] = (words, tuple(reversed(parts)))
+        return out
+
+    def met(self, t: int, words: int, parts: tuple, word) -> bool:
+        """Whether a chain covers enough of its template and the marks agree; ``word(i)`` is the text's word or None."""
+        size = self.sizes[t]
+        if words < size * (NOTICE_COVER if size <= NOTICE_WORDS else BODY_COVER):
+            return False
+        matched = {w for *_, p, q in parts for w in self.texts[t][p:q]}
+        if not self.marks[t] <= matched:
+            return False
+        return all(w is None or w in self.marks[t] or w not in MARKS for w in map(word, range(parts[0][0] - 1, parts[-1][1] + 1)))
+
+    def winners(self, chains: dict, word) -> list[tuple[str, int, int, float]]:
+        """(label, first word, end, cover) of the met templates that no better one overlaps."""
+        some = [(words, words / self.sizes[t], t, parts[0][0], parts[-1][1]) for t, (words, parts) in chains.items()
+                if self.met(t, words, parts, word)]
+        out: list[tuple[str, int, int, float]] = []
+        for _, cover, t, a, b in sorted(some, key=lambda x: (-x[0], -x[1], x[2])):
+            if not any(2 * (min(b, d) - max(a, c)) >= min(b - a, d - c) for _, c, d, _ in out):
+                out.append((self.labels[t], a, b, cover))
+        return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
     def scan(self, texts: list[bytes]) -> list[list]:
+        """A column for each of ``FIELDS`` and ``SPANS``."""
         w = Words(texts, ALNUM)
         found, base = self.matches(w)
-        out: list[list] = [[] for _ in range(7)]
+        out: list[list] = [[] for _ in range(8)]
         for d, n in enumerate(w.counts().tolist()):
-            cover = self.chain(found[d])
+            first = int(w.first[d])
+            chains = self.chain(found[d])
+            won = self.winners(chains, lambda i: w.word(first + i) if 0 <= i < n else None)
             places = set(base[d])
             starts = [s for s, _ in places]
             named = sorted({self.labels[t] for _, t in places})
-            more = {self.labels[t] for t, c in cover.items()
-                    if c >= (NOTICE_COVER if self.sizes[t] <= NOTICE_WORDS else BODY_COVER)}
+            score = max([c for *_, c in won], default=max((m / self.sizes[t] for t, (m, _) in chains.items()), default=0.0))
             row = (n, len(places), min(starts, default=None), max(starts, default=None), ",".join(named),
-                   ",".join(sorted(more | set(named))), max(cover.values(), default=0.0))
+                   ",".join(sorted({x[0] for x in won} | set(named))), min(1.0, score),
+                   [{"label": x, "start": a, "end": b, "cover": c} for x, a, b, c in won])
             for column, value in zip(out, row):
                 column.append(value)
         return out
@@ -233,12 +319,19 @@ FIELDS = [T.StructField(n, T.LongType()) for n in ("n_words", "n_base", "first_w
     T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()), T.StructField("score", T.DoubleType())]
 
 
+SPANS = T.StructField("license_spans", T.ArrayType(T.StructType([
+    T.StructField("label", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+    T.StructField("cover", T.DoubleType())])))
+
+
 def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, templates=TEMPLATES,
-                  phrases=PHRASES) -> DataFrame:
-    """``keep`` columns (default all) of ``docs`` and the scan's ``FIELDS``."""
+                  phrases=PHRASES, spans: bool = False) -> DataFrame:
+    """``keep`` columns (default all) of ``docs`` and the scan's ``FIELDS``; with ``spans`` also the winners' stretches
+    (words from ``start`` to before ``end``) and covers."""
     sent = docs.sparkSession.sparkContext.broadcast(Scanner(templates, phrases))
+    fields = [*FIELDS, SPANS] if spans else FIELDS
 
     def fn(texts: list[bytes], _: pa.RecordBatch):
-        return sent.value.scan(texts)
+        return sent.value.scan(texts)[:len(fields)]
 
-    return map_texts(docs, fn, FIELDS, text_col, keep)
+    return map_texts(docs, fn, fields, text_col, keep)

@@ -273,6 +273,80 @@ def test_templates_are_found_whole_and_edited():
     assert score[0] == 1.0 and 0.8 < score[1] < 1 and score[2] == 1.0 and score[-1] == 0
 
 
+GNU = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as "
+       "published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+CC = "This work is licensed under a Creative Commons Attribution{} {} License."
+BSD = dict(licenses.TEMPLATES)
+
+
+@pytest.mark.parametrize("text,label", [
+    (CC.format("-NonCommercial-ShareAlike", "4.0 International"), "cc-by-nc-sa"),
+    (CC.format("-NoDerivatives", "4.0 International"), "cc-by-nd"),
+    (CC.format("-NonCommercial-NoDerivatives", "3.0 Unported"), "cc-by-nc-nd"), (CC.format("", "2.5 Generic"), "cc-by"),
+    (CC.format("-ShareAlike", "3.0 Unported"), "cc-by-sa"), (CC.format("-Sampling-NoDerivs", "4.0 International"), ""),
+    (CC.format("-NonCommercial", "7.7 International"), ""),
+    (GNU.format("program", "", 2), "gpl-2"), (GNU.format("program", "", 3), "gpl-3"), (GNU.format("library", "Lesser ", "2.1"), "lgpl-2.1"),
+    (GNU.format("program", "Lesser ", 3), "lgpl-3"), (GNU.format("program", "Affero ", 3), "agpl-3"), (GNU.format("program", "Affero ", 9), ""),
+    (BSD["bsd-2"], "bsd-2"), (BSD["bsd-3"], "bsd-3"), (BSD["zlib"], "zlib"), (BSD["isc"], "isc"), (BSD["epl-1"], "epl-1"), (BSD["epl-2"], "epl-2"),
+    (BSD["isc"] + " filler words stand here " * 5 + GNU.format("program", "", 2), "gpl-2,isc"), (BSD["cc0"], "cc0"),
+])
+def test_kin_are_told_apart(text, label):
+    out = licenses.Scanner().scan([("// Some words come first. " + text + " And others follow.").encode()])
+    assert out[5] == [label]
+    assert [x["label"] for x in sorted(out[7][0], key=lambda x: x["label"])] == (label.split(",") if label else [])
+
+
+def naive_matches(text, templates):
+    out = set()
+    for t, x in enumerate(templates):
+        for i in range(len(text)):
+            for p in range(len(x)):
+                n = 0
+                while i + n < len(text) and p + n < len(x) and text[i + n] == x[p + n]:
+                    n += 1
+                if n >= licenses.MIN_MATCH and not (i and p and text[i - 1] == x[p - 1]):
+                    out.add((i, n, t, p + n))
+    return out
+
+
+def naive_cover(matches, size):
+    """The most words of any chain, by trying all."""
+    def after(b, q):
+        best = 0
+        for s, n, _, e in matches:
+            cut = max(0, b - s, q - (e - n)) if b is not None else 0
+            if cut < n and (b is None or (s >= last[0] and s + cut - b <= licenses.MAX_GAP)):
+                keep, last[0] = last[0], s
+                best = max(best, n - cut + after(s + n, e))
+                last[0] = keep
+        return best
+    last = [0]
+    return after(None, 0)
+
+
+def test_matches_and_covers_against_all_substrings():
+    rng = random.Random(5)
+    words = [b"one", b"two", b"three"]
+    for _ in range(150):
+        templates = [[rng.choice(words) for _ in range(rng.randint(4, 9))] for _ in range(3)]
+        s = licenses.Scanner([(str(i), b" ".join(t).decode()) for i, t in enumerate(templates)], {"p": "zero zero zero"})
+        text = [rng.choice([*words, b"other"]) for _ in range(rng.randint(0, 14))]
+        found = s.matches(licenses.Words([b" ".join(text)], licenses.ALNUM))[0][0]
+        want = naive_matches(text, s.texts)
+        assert set(found) == want and len(found) == len(want)
+        for t, (n, parts) in s.chain(found).items():
+            own = [m for m in want if m[2] == t]
+            assert n == sum(q - p for *_, p, q in parts) == sum(b - a for a, b, *_ in parts)
+            assert all(text[a:b] == s.texts[t][p:q] for a, b, p, q in parts)
+            assert max(m[1] for m in own) <= n <= min(s.sizes[t], naive_cover(own, s.sizes[t]))
+
+
+def test_licence_spans_come_as_a_column(spark):
+    docs = spark.createDataFrame([(1, "a b " + BSD["isc"]), (2, None), (3, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r["license_spans"] for r in licenses.scan_licenses(docs, spans=True).collect()}
+    assert [(x["label"], x["start"], x["cover"]) for x in got[1]] == [("isc", 2, 1.0)] and got[2] == got[3] == []
+
+
 # ------------------------------------------------------------ decontamination
 
 def hits(docs, items, width=10):
