@@ -173,13 +173,14 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", keep: list[str]
     return map_texts(docs, fn, [T.StructField("ids", T.ArrayType(T.LongType()))], text_col, keep)
 
 
-def digest(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Encode, decode, and return counts and digests of both by document."""
+def digest(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, ids: bool = False) -> DataFrame:
+    """Encode, decode, and return counts and digests of both by document; with ``ids`` the ids too."""
 
     def fn(texts: list[bytes], _: pa.RecordBatch):
         c = codec(path)
-        ids = c.encode([t.decode("utf-8", "replace") for t in texts])
-        return [[len(x) for x in ids], [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids],
-                [hashlib.sha256(c.decode(x)).hexdigest() for x in ids]]
+        found = c.encode([t.decode("utf-8", "replace") for t in texts])
+        return [[len(x) for x in found], [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in found],
+                [hashlib.sha256(c.decode(x)).hexdigest() for x in found]] + [[x.astype(np.int32) for x in found]] * ids
 
-    return map_texts(docs, fn, FIELDS, text_col, ["doc_id"] if keep is None else keep)
+    fields = FIELDS + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids
+    return map_texts(docs, fn, fields, text_col, ["doc_id"] if keep is None else keep)

@@ -28,6 +28,17 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like ``wanted`` that no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` as a table written in the shared folder, its lineage cut.
 

@@ -259,19 +259,37 @@ SPANS = T.StructField("__spans", T.ArrayType(T.StructType([T.StructField("start"
                                                           T.StructField("end", T.LongType())])))
 
 
+def union(spans: list[dict]) -> list[tuple[int, int]]:
+    """The stretches that base spans cover, in order and apart."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((x["start"], x["end"]) for x in spans if x["kind"] in KINDS):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def marked(texts: list[bytes], spans: list[list[dict]], table) -> None:
-    """Add the spans of a table's terms (hashes, disclosures) that lie outside the base spans."""
+    """Add the spans of a table's terms (hashes, disclosures) that lie outside the base spans, in one walk over each text."""
     keys, much = table
     w = Words(texts, ALNUM)
     at = np.minimum(np.searchsorted(keys, h := term_hashes(w)), len(keys) - 1)
-    doc = w.doc()
+    hits = np.flatnonzero(keys[at] == h)
+    doc = w.doc()[hits]
     begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))) + 1
-    for i in np.flatnonzero(keys[at] == h).tolist():
-        d = doc[i]
-        a = len(texts[d][:w.start[i] - begins[d]].decode("utf-8", "replace"))
-        b = a + len(w.word(i).decode("utf-8", "replace"))
-        if not any(x["start"] < b and a < x["end"] for x in spans[d] if x["kind"] in KINDS):
-            spans[d].append({"start": a, "kind": "remove" if much[at[i]] >= REMOVE else "generalise", "end": b})
+    lo, hi = w.start[hits] - begins[doc], w.end[hits] - begins[doc]
+    here = -1
+    for d, x, y, reveal in zip(doc.tolist(), lo.tolist(), hi.tolist(), much[at[hits]].tolist()):
+        if d != here:
+            here, byte, char, taken, k = d, 0, 0, union(spans[d]), 0
+        # words end at ASCII characters, so the stretches between them decode alone
+        a = char + len(texts[d][byte:x].decode("utf-8", "replace"))
+        byte, char = y, (b := a + len(texts[d][x:y].decode("utf-8", "replace")))
+        while k < len(taken) and taken[k][1] <= a:
+            k += 1
+        if k == len(taken) or taken[k][0] >= b:
+            spans[d].append({"start": a, "kind": "remove" if reveal >= REMOVE else "generalise", "end": b})
 
 
 def find_personal_data(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, finish=None, field=SPANS,

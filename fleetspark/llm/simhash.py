@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, quoted, saved
+from .common import free_names, map_texts, quoted, saved
 from .components import components
 from .words import SOLID, Words
 
@@ -147,13 +147,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The rows of ``docs`` that stay: of each component the one with the smallest id (null last), then text hash."""
     rows = fingerprinted(docs, id_col, text_col)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
+    key, text, place = free_names(docs, "kept_id", "kept_hash", "place")
     chosen = (rows.join(grouped(rows).withColumnRenamed("component_id", "c"), "fp")
-              .groupBy(F.coalesce("c", "fp").alias("c"), F.col("c").isNull().alias("n")).agg(F.min(order).alias("m"))
-              .select(F.col("m.id").alias("__id"), F.col("m.h").alias("__h")))
+              .groupBy("c", F.when(F.col("c").isNull(), F.col("fp")).alias("n")).agg(F.min(order).alias("m"))
+              .select(F.col("m.id").alias(key), F.col("m.h").alias(text)))
     mine = F.xxhash64(F.coalesce(quoted(text_col), F.lit("")))
-    none = F.lit(-(1 << 63))
-    kept = (docs.withColumn("__hash", mine).withColumn("__key", F.coalesce(quoted(id_col).cast("long"), none))
-            .join(chosen.select(F.coalesce(F.col("__id").cast("long"), none).alias("__key"), F.col("__h").alias("__hash")),
-                  ["__key", "__hash"], "left_semi"))
-    one = Window.partitionBy("__key", "__hash").orderBy(F.lit(0))
-    return kept.withColumn("__n", F.row_number().over(one)).filter("__n = 1").drop("__n", "__key", "__hash")
+    kept = docs.join(chosen, quoted(id_col).eqNullSafe(F.col(key)) & (mine == F.col(text)), "left_semi")
+    one = Window.partitionBy(quoted(id_col), mine).orderBy(F.lit(0))
+    return kept.withColumn(place, F.row_number().over(one)).filter(F.col(place) == 1).drop(place)

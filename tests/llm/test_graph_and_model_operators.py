@@ -1,4 +1,6 @@
+import functools
 import hashlib
+import operator
 import math
 import random
 import re
@@ -8,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -327,6 +330,36 @@ def test_stages_on_edge_cases(spark, edges, nothing):
     assert not {1, 2, 6, 11, 12} & {r["doc_id"] for r in kept}
 
 
+def test_stages_keep_columns_of_any_name(spark, documents):
+    names = ["__key", "__hash", "__n", "__id", "__h", "score", "Lang_Pred", "n_words", "items", "contaminated", "__hits", "__items",
+             "__clean", "__spans", "kept_0", "kept_id", "kept_hash", "place", "a.b", "fp", "h"]
+    docs = documents
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}:"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, "/root/testdata/sf0.001")
+        assert got.columns == docs.columns, name
+        right = [F.col(f"`{c}`") == F.concat(F.lit(f"{i}:"), F.col("doc_id")) for i, c in enumerate(names)]
+        bad = got.filter(~functools.reduce(operator.and_, right)).count()
+        assert got.count() > 0 and bad == 0, name
+
+
+def test_deduplicated_by_text_ids(spark):
+    docs = spark.createDataFrame([("b", "one two three four five"), ("a", "one two three four five"), (None, "one two three four five"),
+                                  ("a", "one two three four five"), (None, None), (None, ""), ("c", "other words stand in here now")],
+                                 "doc_id string, text string")
+    got = simhash.deduplicated(docs).collect()
+    assert sorted((r["doc_id"] or "", r["text"] or "") for r in got) == [
+        ("", ""), ("a", "one two three four five"), ("c", "other words stand in here now")]
+
+
+def test_last_stage_holds_the_ids(spark, documents):
+    got = corpus_pipeline.tokens(spark, documents.limit(20), "").collect()
+    for r in got:
+        assert len(r["ids"]) == r["n_tokens"]
+        assert hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest() == r["ids_sha256"]
+
+
 def test_queries_are_registered():
     names = __spark_entry__.queries()
     assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in names} and "pipeline" in names

@@ -6,6 +6,7 @@ import json
 import lzma
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from urllib.parse import quote
@@ -104,6 +105,34 @@ def test_sanitising_keeps_columns_and_rows(edges):
     assert got.filter("doc_id = 1").first()["text"] is None
 
 
+def test_terms_are_marked_outside_base_spans_in_one_walk():
+    rng = random.Random(4)
+    words = ["alpha", "béta", "gämma", "δelta", "x@y.org", "10.0.0.1", "noise", "Alpha"]
+    texts = ["", "alpha", *(" ".join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(60))]
+    raw = [t.encode() for t in texts]
+    want, got = [], []
+    wanted = {"alpha": 0.99, "béta": 0.9, "y": 0.99, "δelta": 0.86}
+    table = sorted((int(pii.term_hashes(pii.Words([w.encode()], pii.ALNUM))[0]), much) for w, much in wanted.items())
+    for t in texts:
+        base = [{"start": a, "kind": k, "end": b} for a, k, b in pii.base_spans(t)]
+        got.append([dict(x) for x in base])
+        for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower()):
+            if m[0] in wanted and not any(x["start"] < m.end() and m.start() < x["end"] for x in base):
+                base.append({"start": m.start(), "kind": "remove" if wanted[m[0]] >= pii.REMOVE else "generalise", "end": m.end()})
+        want.append(base)
+    pii.marked(raw, got, (np.array([h for h, _ in table], np.int64), np.array([x for _, x in table])))
+    assert got == want
+
+
+def test_many_terms_in_one_long_text_end():
+    text = ("alpha beta x@y.org " * 60_000).encode()
+    key = pii.term_hashes(pii.Words([b"alpha"], pii.ALNUM))[:1]
+    spans = [[{"start": a, "kind": k, "end": b} for a, k, b in pii.base_spans(text.decode())]]
+    began = time.monotonic()
+    pii.marked([text], spans, (key.astype(np.int64), np.array([1.0])))
+    assert len(spans[0]) == 120_000 and time.monotonic() - began < 5
+
+
 # ------------------------------------------------------------ secrets
 
 def base_secrets(t):
