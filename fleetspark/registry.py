@@ -18,7 +18,7 @@ from .operators import activity, catalog, checks, counters, periods, textops
 from .operators import inventory as inv
 from .operators import timeseries as ts
 from .functions.text import fingerprint
-from .sources.bucketed import read_bucketed, write_bucketed
+from .sources.bucketed import buckets_for, read_bucketed, write_bucketed
 from .sources.fixtures import Fixtures, bindable_sql, fixture_deps
 from .sources.sinks import write_report
 from .sources.slowlog import read_slow_log, read_slow_log_context
@@ -83,7 +83,8 @@ def q_health_report_stored(fx: Fixtures) -> DataFrame:
     """H13 from counter rows stored in buckets by snapshot; the table's name leaves the catalog, its files stay."""
     path = scratch_path(fx.spark, "health_report", "counters")
     rows = checks.counter_rows(fx.counter_kv(), fx["innodb_status_text"], fx["class_memory"])
-    table = write_bucketed(rows, "fleet_counters_" + uuid.uuid4().hex, 16, path=path)
+    buckets = buckets_for(fx["counter_snapshots"].count() * (len(checks.CHECK_COUNTERS) + 2))
+    table = write_bucketed(rows, "fleet_counters_" + uuid.uuid4().hex, buckets, path=path)
     stored = read_bucketed(fx.spark, table)
     report = checks.health_report_of_rows(stored)
     fx.spark.sql(f"DROP TABLE {table}")

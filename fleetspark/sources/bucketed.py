@@ -11,6 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 SNAPSHOT = ("instance_id", "snapshot_id")
+#: Rows that one bucket holds, so that neither its writer's sort nor a check's pivot grows with the table.
+BUCKET_ROWS = 1 << 21
+
+
+def buckets_for(rows: int, least: int = 16) -> int:
+    """Buckets for a table of some ``rows`` rows."""
+    return max(least, -(-rows // BUCKET_ROWS))
 
 
 def write_bucketed(rows: DataFrame, table: str, buckets: int, keys=SNAPSHOT, path: str | None = None, mode: str = "errorifexists") -> str:

@@ -32,3 +32,17 @@ def test_chains_of_replicas_of_any_depth(spark):
     assert all(got[f"r{i}"] == ("r0", i, float(i)) for i in range(1, 151))
     assert got["two"] == ("r0", 150, 154.0)
     assert {got[c] for c in ("c1", "c2", "c3", "free")} == {(None, None, -1.0)}
+
+
+def test_buckets_follow_the_number_of_rows(spark, monkeypatch):
+    made = []
+
+    def write(rows, table, buckets, **kw):
+        made.append(buckets)
+        return bucketed.write_bucketed(rows, table, buckets, **kw)
+
+    want = sorted(map(tuple, registry.QUERIES["health_report"](spark, SF_SMALL).collect()))
+    monkeypatch.setattr(registry, "write_bucketed", write)
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 1000)
+    got = sorted(map(tuple, registry.QUERIES["health_report_stored"](spark, SF_SMALL).collect()))
+    assert got == want and made[0] > 30
