@@ -522,11 +522,17 @@ def q_slow_log_files(fx: Fixtures) -> DataFrame:
 
 @register("slow_log_context")
 def q_slow_log_context(fx: Fixtures) -> DataFrame:
-    """One log file per instance, in order of the entries; time and database are written only when they change."""
+    """One log per instance, in order of the entries; time and database are written only when they change.
+
+    A log is rotated, as servers do: it is dealt in ranges of its entries, and a
+    range, which one task writes, begins with its time and database, so that no
+    task has a whole instance's log.
+    """
     path = scratch_path(fx.spark, "slow_log_context", "logs")
-    order = Window.partitionBy("instance_id").orderBy("rec_id")
+    order = Window.partitionBy("instance_id", "range").orderBy("rec_id")
     db, second = F.concat(F.lit("db"), F.floor(F.col("rec_id") / 5000) % 3), F.floor(F.col("rec_id") / 40)
-    log = fx["slow_log"].select("instance_id", "rec_id", "record_text", db.alias("db"), second.alias("second"))
+    dealt = fx["slow_log"].select("instance_id", "rec_id", "record_text").repartitionByRange("instance_id", "rec_id")
+    log = dealt.withColumns({"range": F.spark_partition_id(), "db": db, "second": second})
     log = log.withColumns({"old_db": F.lag("db").over(order), "old_second": F.lag("second").over(order)})
     user, rest = F.substring_index("record_text", "\n", 1), F.expr("substr(record_text, locate('\n', record_text))")
     changed = lambda a, b: F.col(a).isNull() | (F.col(a) != F.col(b))
@@ -534,7 +540,7 @@ def q_slow_log_context(fx: Fixtures) -> DataFrame:
     statement = F.expr("substr(record_text, length(substring_index(record_text, '\n', 2)) + 1)")
     line = F.concat(F.when(changed("old_second", "second"), F.concat(F.lit("# Time: "), F.col("second"), F.lit("\n"))).otherwise(""),
                     user, timing, F.when(changed("old_db", "db"), F.concat(F.lit("\nuse "), F.col("db"), F.lit(";"))).otherwise(""), statement)
-    ordered = log.select("instance_id", "rec_id", line.alias("value")).repartition("instance_id").sortWithinPartitions("instance_id", "rec_id")
+    ordered = log.select("instance_id", "range", "rec_id", line.alias("value")).sortWithinPartitions("instance_id", "range", "rec_id")
     ordered.select("instance_id", "value").write.partitionBy("instance_id").text(path)
     got = read_slow_log_context(fx.spark, path)
     instance = F.regexp_extract("file_path", "instance_id=([^/]*)/", 1)

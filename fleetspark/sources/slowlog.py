@@ -46,9 +46,8 @@ def read_slow_log_context(spark: SparkSession, path: str) -> DataFrame:
     named = _entries(spark, path).withColumn(
         "named", F.nullif(F.regexp_extract(F.regexp_extract("record_text", HEADER, 0), DATABASE, 1), F.lit("")))
     split = ["file_path", "split_start"]
-    # the last name in each split, and so the name each split starts with
-    last = named.where(F.col("named").isNotNull()).groupBy(*split).agg(F.max_by("named", "at").alias("last"))
-    splits = named.select(*split).distinct().join(last, split, "left")
+    # the last name in each split (null if it has none), and so the name each split starts with
+    splits = named.groupBy(*split).agg(F.max_by("named", F.when(F.col("named").isNotNull(), F.col("at"))).alias("last"))
     before = Window.partitionBy("file_path").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
     given = splits.select(*split, F.last("last", ignorenulls=True).over(before).alias("given"))
     within = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -46,3 +46,19 @@ def test_buckets_follow_the_number_of_rows(spark, monkeypatch):
     monkeypatch.setattr(bucketed, "BUCKET_ROWS", 1000)
     got = sorted(map(tuple, registry.QUERIES["health_report_stored"](spark, SF_SMALL).collect()))
     assert got == want and made[0] > 30
+
+
+def test_a_log_is_dealt_in_ranges_and_read_twice_at_most(plain, monkeypatch):
+    paths, plans = [], []
+
+    def read(spark, path):
+        paths.append(path)
+        df = slowlog.read_slow_log_context(spark, path)
+        plans.append(_plan(df))
+        return df
+
+    monkeypatch.setattr(registry, "read_slow_log_context", read)
+    registry.QUERIES["slow_log_context"](plain, SF_SMALL)
+    assert min(len(glob.glob(f"{d}/*.txt")) for d in glob.glob(f"{paths[0]}/instance_id=*")) > 1 or \
+        len(glob.glob(f"{paths[0]}/*/*.txt")) > len(glob.glob(f"{paths[0]}/instance_id=*"))
+    assert plans[0].count("FileScan text") <= 2
