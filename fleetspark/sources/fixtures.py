@@ -138,15 +138,13 @@ def counters_long(wide: DataFrame) -> DataFrame:
     letter; settings are in lower case.  ``instance_class`` (known from the
     inventory, not a counter) travels as scope 'meta'.
     """
-    value_cols = [c for c in wide.columns if c not in SNAPSHOT_KEYS]
-    as_text = wide.select(*SNAPSHOT_KEYS, *[F.col(c).cast("string").alias(c) for c in value_cols])
-    long = as_text.unpivot(list(SNAPSHOT_KEYS), value_cols, "name", "value")
-    scope = (F.when(F.col("name") == "instance_class", F.lit("meta"))
-             .when(F.col("name").isin(*SETTING_NAMES), F.lit("variables"))
-             .otherwise(F.lit("status")))
-    server = F.concat(F.upper(F.left("name", F.lit(1))), F.substring("name", 2, 200))
-    name = F.when(scope == "status", server).otherwise(F.col("name"))
-    return long.where(F.col("value").isNotNull()).select(*SNAPSHOT_KEYS, scope.alias("scope"), name.alias("name"), "value")
+    def scope(c: str) -> str:
+        return "meta" if c == "instance_class" else "variables" if c in SETTING_NAMES else "status"
+
+    # scope and name are written once a column, not made from text in every row
+    pairs = [F.struct(F.lit(scope(c)).alias("scope"), F.lit(c[0].upper() + c[1:] if scope(c) == "status" else c).alias("name"),
+                      F.col(c).cast("string").alias("value")) for c in wide.columns if c not in SNAPSHOT_KEYS]
+    return wide.select(*SNAPSHOT_KEYS, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
 
 def instances_nested(flat: DataFrame) -> DataFrame:

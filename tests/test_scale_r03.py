@@ -62,3 +62,8 @@ def test_a_log_is_dealt_in_ranges_and_read_twice_at_most(plain, monkeypatch):
     assert min(len(glob.glob(f"{d}/*.txt")) for d in glob.glob(f"{paths[0]}/instance_id=*")) > 1 or \
         len(glob.glob(f"{paths[0]}/*/*.txt")) > len(glob.glob(f"{paths[0]}/instance_id=*"))
     assert plans[0].count("FileScan text") <= 2
+
+
+def test_checks_are_compiled_and_names_are_not_made_in_every_row(plain):
+    plan = _plan(registry.QUERIES["health_report"](plain, SF_SMALL))
+    assert "lambdafunction" not in plan and "Expand" not in plan
