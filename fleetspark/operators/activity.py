@@ -123,7 +123,9 @@ def index_usage(index_columns: DataFrame, plans: DataFrame, calls: DataFrame, in
               .select("instance_id", "database_name", "table_name", F.col("used_key").alias("index_name"), key).distinct())
     logged = calls.select("instance_id", key, "calls", "total_ms").groupBy("instance_id", "_statement").agg(
         F.sum("calls").alias("calls"), F.sum("total_ms").alias("total_ms"))
-    used = chosen.join(logged, ["instance_id", "_statement"]).groupBy(*index).agg(
+    # null-safe, as a plain join would hand "is not null" down to some readers of the digest's count table only,
+    # which then could not share it: the log would be parsed again for each
+    used = null_safe_join(chosen.where(F.col("instance_id").isNotNull()), logged, ["instance_id", "_statement"]).groupBy(*index).agg(
         F.sum("calls").alias("calls"), F.sum("total_ms").alias("total_ms"), F.count(F.lit(1)).alias("statements"))
     idx = index_columns.select("instance_id", F.col("table_schema").alias("database_name"), "table_name", "index_name").distinct()
     if not include_primary:

@@ -67,3 +67,18 @@ def test_a_log_is_dealt_in_ranges_and_read_twice_at_most(plain, monkeypatch):
 def test_checks_are_compiled_and_names_are_not_made_in_every_row(plain):
     plan = _plan(registry.QUERIES["health_report"](plain, SF_SMALL))
     assert "lambdafunction" not in plan and "Expand" not in plan
+
+
+def test_index_usage_parses_the_log_once(plain):
+    plan = _plan(registry.QUERIES["index_usage"](plain, SF_SMALL))
+    assert plan.count("lineitem.parquet") == 1
+
+
+def test_index_usage_of_a_null_instance_is_none(spark):
+    from fleetspark.operators import activity
+    idx = spark.createDataFrame([(None, "d", "t", "ix"), ("a", "d", "t", "ix")], "instance_id string, table_schema string, table_name string, index_name string")
+    plans = spark.createDataFrame([(None, "d", "t", "ix", "f"), ("a", "d", "t", "ix", "f")],
+                                  "instance_id string, database_name string, table_name string, used_key string, fingerprint string")
+    calls = spark.createDataFrame([(None, "f", 2, 3.0), ("a", "f", 4, 5.0)], "instance_id string, fingerprint string, calls long, total_ms double")
+    got = {r["instance_id"]: (r["statements"], r["calls"]) for r in activity.index_usage(idx, plans, calls).collect()}
+    assert got == {None: (0, 0), "a": (1, 4)}
