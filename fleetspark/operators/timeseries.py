@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from ..streaming.runner import scratch_path
-
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 # The ten instance metrics and their unit factors
@@ -170,54 +168,27 @@ def replica_cascades(lags: DataFrame) -> DataFrame:
 
     A replica of a replica reports the lag of its own hop only.  A hop whose lag
     is unknown (-1) makes the sum -1.  Replicas whose chain runs in a circle have
-    no root: null, depth null, lag -1.  Of several sources of one replica the
-    longest chain counts.  Chains double in length with each round: a chain of
-    n hops that ends at a replica goes on with what that replica has found so
-    far, so that rounds grow with the logarithm of the longest chain, and a
-    round has a row per replica and end; it is written to the shared folder.
+    no root: null, depth null, lag -1.  One recursive query steps up a hop at a
+    time; it has a row per replica and hop.  LIMIT ALL and the recursion level
+    lift Spark's limits for such queries: a path holds no replica twice, so the
+    recursion ends.
     """
-    lag = F.when(F.col("replica_lag_seconds") >= 0, F.col("replica_lag_seconds"))
-    hop = _written(lags.where(F.col("identifier").isNotNull()).groupBy("identifier", "source").agg(F.min(lag).alias("lag"), F.count_if(lag.isNull()).alias("unknown")))
-    hop = hop.select("identifier", F.col("source").alias("up"), F.lit(1).cast("long").alias("hops"),
-                     F.when(F.col("unknown") == 0, F.col("lag")).alias("lag"))
-    replicas = hop.select(F.col("identifier").alias("up")).distinct()
-    n = replicas.count()
-    # chains that go on, all of the same length, and the longest ended chain of each replica
-    going = _written(hop.join(replicas, "up", "left_semi"))
-    ended = _written(_longest(hop.join(replicas, "up", "left_anti")))
-    length, left = 1, going.count()
-    while left and length <= n:
-        length *= 2
-        on = going.select("identifier", "up", F.col("lag").alias("_lag"))
-        step = lambda rest: on.join(rest.withColumnRenamed("identifier", "_at").withColumnRenamed("up", "_up"), F.col("up") == F.col("_at")).select(
-            "identifier", F.col("_up").alias("up"), (F.col("hops") + length // 2).alias("hops"), (F.col("_lag") + F.col("lag")).alias("lag"))
-        found = _written(step(ended))
-        if found.isEmpty():
-            break  # what goes on runs in circles: a longer chain that ends would hold one that ends in this round
-        ended = _written(_longest(ended.unionByName(found)))
-        going = _written(step(going).groupBy("identifier", "up", "hops").agg(F.min("lag").alias("lag")))
-        left = going.count()
-    circles = going.select("identifier").distinct() if left else None
-    top = ended if circles is None else ended.join(circles, "identifier", "left_anti")
-    known = F.col("up").isNotNull()
-    top = top.select("identifier", F.col("up").alias("root_source"), F.when(known, F.col("hops")).alias("depth"), F.when(known, F.col("lag")).alias("_lag"))
-    return lags.where(F.col("identifier").isNotNull()).select("identifier", "source", "replica_lag_seconds").join(top, "identifier", "left").select(
+    hop = lags.select("identifier", "source", F.when(F.col("replica_lag_seconds") >= 0, F.col("replica_lag_seconds")).alias("lag"))
+    chain = lags.sparkSession.sql("""
+        WITH RECURSIVE chain(identifier, up, hops, lag, path) MAX RECURSION LEVEL 1000000 AS (
+          SELECT identifier, source, 1, lag, array(identifier) FROM {hop}
+          UNION ALL
+          SELECT c.identifier, h.source, c.hops + 1, c.lag + h.lag, array_append(c.path, h.identifier)
+          FROM chain c JOIN {hop} h ON h.identifier = c.up WHERE NOT array_contains(c.path, h.identifier))
+        SELECT identifier, max_by(struct(up, hops, lag, array_contains(path, up) AS circle), hops) AS last FROM (SELECT * FROM chain LIMIT ALL) GROUP BY identifier""", hop=hop)
+    last = F.col("last")
+    top = chain.select("identifier", F.when(~last["circle"], last["up"]).alias("root_source"),
+                       F.when(~last["circle"], last["hops"].cast("long")).alias("depth"),
+                       F.when(~last["circle"], last["lag"]).alias("_lag"))
+    return lags.select("identifier", "source", "replica_lag_seconds").join(top, "identifier").select(
         "identifier", "source", "root_source", "depth", "replica_lag_seconds", F.coalesce("_lag", F.lit(-1.0)).alias("total_lag_seconds"))
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "replica_cascades")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _longest(chains: DataFrame) -> DataFrame:
-    """Per replica its longest chain; ties to the least end and lag."""
-    best = F.min(F.struct((-F.col("hops")).alias("less"), "up", "lag"))
-    return chains.groupBy("identifier").agg(best.alias("best")).select(
-        "identifier", "best.up", (-F.col("best.less")).alias("hops"), "best.lag")
-
-
 # ------------------------------------------------------------------ A8, A9
 
 
