@@ -53,19 +53,37 @@ HELD = 1 << 23
 BLOCK, STEPS = 1 << 21, 128
 #: Rows of a softmax that are worked on at once, and the parts in which tasks' weights are added up.
 ROWS, SLICES = 2048, 64
+#: Texts that advance together in scoring, so that their states and logits stay in a core's cache.
+TOGETHER = 1024
 END = b""  # no word is empty
 
 
+def keep_freed() -> None:
+    """Has the C library keep what a task frees for its next arrays (twice this block at most), instead of giving it
+    back and getting it again, page by page, at every step: freeing a large block raises its limits."""
+    np.empty(31 << 20, np.uint8)
+
+
+def words_at(w: Words, at: np.ndarray) -> pa.Array:
+    """The words of these numbers, copied in one pass over their bytes."""
+    size = w.end[at] - w.start[at]
+    ends = np.cumsum(size)
+    body = w.buf[np.arange(size.sum()) + np.repeat(w.start[at] - (ends - size), size)]
+    offsets = np.concatenate(([0], ends)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).cast(pa.binary())
+
+
 def token_counts(rows: DataFrame, text_col: str) -> DataFrame:
     """``word`` (bytes; the end token is empty), ``n``: counts of all tokens of all rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         for whole in batches:
             for part in chunks(whole, 0):
                 w = Words(texts_of(part.column(0)), SOLID)
                 _, at, n = np.unique(w.hashes(), return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w.word(i) for i in at.tolist()] + [END], pa.binary()), pa.array(np.append(n, part.num_rows))],
+                    [pa.concat_arrays([words_at(w, at), pa.array([END], pa.binary())]), pa.array(np.append(n, part.num_rows))],
                     names=["word", "n"])
 
     got = rows.select(quoted(text_col)).mapInArrow(run, "word binary, n long")
@@ -130,71 +148,114 @@ def tanh(x: np.ndarray) -> np.ndarray:
 
 def advance(net: Network, h: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, ...]:
     """One step: the new state, and reset gate, update gate and candidate."""
-    x = net.inputs[symbol]
-    g = h @ net.gates
-    g += x[:, :2 * HIDDEN]
+    return tuple(x.T for x in cell(net, h.T, net.inputs.take(symbol, axis=0).T))
+
+
+def cell(net: Network, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``advance`` with a row for each hidden unit and a column for each text, so that numpy's loops are long;
+    ``x`` are the inputs of the symbols."""
+    g = net.gates.T @ h
+    g += x[:2 * HIDDEN]
     np.clip(g, -60, 60, out=g)
     g = sigmoid(g)
-    r, z = g[:, :HIDDEN], g[:, HIDDEN:]
-    c = (r * h) @ net.state
-    c += x[:, 2 * HIDDEN:]
+    r, z = g[:HIDDEN], g[HIDDEN:]
+    c = net.state.T @ (r * h)
+    c += x[2 * HIDDEN:]
     c = tanh(c)
-    return c + z * (h - c), r, z, c
+    new = h - c
+    new *= z
+    new += c
+    return new, r, z, c
+
+
+def inputs_of(net: Network, symbols: np.ndarray) -> np.ndarray:
+    """The inputs of a window's symbols (steps x texts), a row for each input."""
+    return np.ascontiguousarray(net.inputs.take(symbols.ravel(), axis=0).T).reshape(-1, *symbols.shape)
 
 
-def softmax_loss(z: np.ndarray, own: np.ndarray, grad: bool) -> np.ndarray:
-    """Natural log P(own) of each row of logits; with ``grad`` ``z`` becomes the gradient of their negative sum.
+def sorting(symbols: np.ndarray, n: int) -> np.ndarray:
+    """The stable order of symbols up to ``n``; numpy sorts two bytes by radix."""
+    return np.argsort(symbols.astype(np.uint16) if n < 1 << 16 else symbols, kind="stable")
+
+
+def softmax_loss(z: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log P(own) of each column of logits, and what times ``z`` is the gradient of their negative sum.
 
     Logits are cut to +-60, where neither exponentials nor their sums leave float32.
     """
-    rows = np.arange(len(z))
+    at = own * z.shape[1] + np.arange(z.shape[1])
     np.clip(z, -60, 60, out=z)
-    picked = z[rows, own]
+    flat = z.ravel()  # a view
+    picked = flat.take(at)
     np.exp(z, out=z)
-    total = z @ np.ones(z.shape[1], z.dtype)
-    if grad:
-        z *= (1 / total)[:, None]
-        z[rows, own] -= 1
-    return picked - np.log(total)
+    total = np.ones(len(z), z.dtype) @ z
+    flat[at] -= total
+    return picked - np.log(total), 1 / total
+
+
+def pieces(cut: np.ndarray) -> Iterator[list[tuple[int, int, int]]]:
+    """Classes with the columns ``cut[c]`` to ``cut[c + 1]``, as pieces (class, from, to), listed up to ``ROWS`` columns together."""
+    got, n = [], 0
+    for c in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+        a, end = int(cut[c]), int(cut[c + 1])
+        while a < end:
+            b = min(end, a + ROWS - n)
+            got.append((c, a, b))
+            n += b - a
+            a = b
+            if n == ROWS:
+                yield got
+                got, n = [], 0
+    if got:
+        yield got
 
 
 def log_probabilities(net: Network, h: np.ndarray, symbol: np.ndarray, grad: bool = False):
     """Natural log P(symbol | state) by row; with ``grad`` also the gradients of its negative sum.
 
-    Rows are taken in the order of their classes, so that each class is one product over neighbouring rows.
+    Rows are taken in the order of their symbols and so of their classes, each
+    class being one product over neighbours.  Inside, states and logits have a
+    column for each row of ``h``.
     """
+    order = sorting(symbol, net.n)
+    symbol = symbol[order]
     k = symbol // net.per_class
     k[symbol == net.n] = net.classes
-    order = np.argsort(k, kind="stable")
-    k, symbol = k[order], symbol[order]
-    one = np.empty((len(h), h.shape[1] + 1), h.dtype)
-    one[:, :-1], one[:, -1] = h[order], 1
+    one = np.empty((h.shape[1] + 1, len(h)), h.dtype)
+    one[-1] = 1
+    h.T.take(order, axis=1, out=one[:-1], mode="clip")
     cut = np.searchsorted(k, np.arange(net.classes + 1))
     out = np.empty(len(h), h.dtype)
     if grad:
-        dh, dcls, dword = np.empty_like(one), np.zeros_like(net.cls), np.zeros_like(net.word)
-    for a in range(0, len(one), ROWS):
-        part = one[a:a + ROWS]
-        z = part @ net.cls
-        out[a:a + ROWS] = softmax_loss(z, k[a:a + ROWS], grad)
+        dh, dcls, dword = np.empty_like(one), np.zeros_like(net.cls.T), np.zeros((net.classes, net.per_class, len(one)), h.dtype)
+    for a in range(0, len(h), ROWS):
+        part = one[:, a:a + ROWS]
+        z = net.cls.T @ part
+        out[a:a + ROWS], share = softmax_loss(z, k[a:a + ROWS])
         if grad:
-            np.matmul(z, net.cls.T, out=dh[a:a + ROWS])
-            dcls += part.T @ z
+            dh[:, a:a + ROWS] = (net.cls @ z) * share
+            dcls += z @ (part * share).T
     column = symbol - k * net.per_class
-    for c in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-        a, b = cut[c], cut[c + 1]
-        z = one[a:b] @ net.word[c]
-        out[a:b] += softmax_loss(z, column[a:b], grad)
+    for some in pieces(cut):
+        lo, hi = some[0][1], some[-1][2]
+        z = np.empty((net.per_class, hi - lo), h.dtype)
+        for c, a, b in some:
+            np.matmul(net.word[c].T, one[:, a:b], out=z[:, a - lo:b - lo])
+        p, share = softmax_loss(z, column[lo:hi])
+        out[lo:hi] += p
         if grad:
-            dh[a:b] += z @ net.word[c].T
-            dword[c] = one[a:b].T @ z
-    back = np.empty_like(out)
-    back[order] = out
+            part, dpart = one[:, lo:hi] * share, np.empty((len(one), hi - lo), h.dtype)
+            for c, a, b in some:
+                dz = z[:, a - lo:b - lo]
+                np.matmul(net.word[c], dz, out=dpart[:, a - lo:b - lo])
+                dword[c] += dz @ part[:, a - lo:b - lo].T
+            dpart *= share
+            dh[:, lo:hi] += dpart
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
     if not grad:
-        return back
-    dback = np.empty((len(h), h.shape[1]), h.dtype)
-    dback[order] = dh[:, :-1]
-    return back, dback, dcls, dword
+        return out.take(back)
+    return out.take(back), dh[:-1].take(back, axis=1).T, np.ascontiguousarray(dcls.T), np.ascontiguousarray(dword.transpose(0, 2, 1))
 
 
 def window_gradients(net: Network, h: np.ndarray, symbols: np.ndarray, fresh: np.ndarray):
@@ -203,38 +264,51 @@ def window_gradients(net: Network, h: np.ndarray, symbols: np.ndarray, fresh: np
     ``symbols`` (steps x streams); ``fresh`` is 0 where a text begins (its state is zero), else 1.
     """
     steps, n = symbols.shape
-    before = np.empty((steps, n, HIDDEN), h.dtype)
+    x, h = inputs_of(net, symbols), h.T
+    before = np.empty((HIDDEN, steps, n), h.dtype)
     tape = []
     for t in range(steps):
-        before[t] = h * fresh[t][:, None]
-        h, *kept = advance(net, before[t], symbols[t])
+        np.multiply(h, fresh[t], out=before[:, t])
+        h, *kept = cell(net, before[:, t], x[:, t])
         tape.append(kept)
-    _, out, dcls, dword = log_probabilities(net, before.reshape(-1, HIDDEN), symbols.ravel().copy(), grad=True)
-    out = out.reshape(steps, n, HIDDEN)
-    dinputs = np.zeros_like(net.inputs)
-    dx, rp = np.empty((steps, n, 3 * HIDDEN), h.dtype), np.empty((steps, n, HIDDEN), h.dtype)
-    dh = np.zeros_like(h)
+    flat = symbols.ravel()
+    _, out, dcls, dword = log_probabilities(net, before.reshape(HIDDEN, -1).T, flat, grad=True)
+    out = out.T.reshape(HIDDEN, steps, n)
+    dx, rp = np.empty((3 * HIDDEN, steps, n), h.dtype), np.empty((HIDDEN, steps, n), h.dtype)
+    dh = np.zeros((HIDDEN, n), h.dtype)
     for t in range(steps - 1, -1, -1):
-        p, (r, z, c) = before[t], tape[t]
-        dc, dg = dx[t, :, 2 * HIDDEN:], dx[t, :, :2 * HIDDEN]
-        np.multiply(dh * (1 - z), 1 - c * c, out=dc)
-        np.multiply(r, p, out=rp[t])
-        drp = dc @ net.state.T
-        np.multiply(drp * rp[t], 1 - r, out=dg[:, :HIDDEN])
-        np.multiply(dh * (p - c), z * (1 - z), out=dg[:, HIDDEN:])
+        p, (r, z, c) = before[:, t], tape[t]
+        dc, dg, own = dx[2 * HIDDEN:, t], dx[:2 * HIDDEN, t], rp[:, t]
+        y = 1 - z
+        np.multiply(dh * y, 1 - c * c, out=dc)
+        np.multiply(r, p, out=own)
+        drp = net.state @ dc
+        np.multiply(drp * own, 1 - r, out=dg[:HIDDEN])
+        y *= z
+        np.multiply(dh * (p - c), y, out=dg[HIDDEN:])
         dh *= z
-        dh += drp * r
-        dh += dg @ net.gates.T
-        dh += out[t]
-        dh *= fresh[t][:, None]
-    flat = dx.reshape(-1, 3 * HIDDEN)
-    dgates = before.reshape(-1, HIDDEN).T @ flat[:, :2 * HIDDEN]
-    dstate = rp.reshape(-1, HIDDEN).T @ flat[:, 2 * HIDDEN:]
-    order = np.argsort(symbols.ravel(), kind="stable")
-    of = symbols.ravel()[order]
-    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-    dinputs[of[first]] = np.add.reduceat(flat[order], first)
-    return (dinputs, dgates, dstate, dcls, dword), h
+        drp *= r
+        dh += drp
+        dh += net.gates @ dg
+        dh += out[:, t]
+        dh *= fresh[t]
+    dx = dx.reshape(3 * HIDDEN, -1)
+    dgates = before.reshape(HIDDEN, -1) @ dx[:2 * HIDDEN].T
+    dstate = rp.reshape(HIDDEN, -1) @ dx[2 * HIDDEN:].T
+    return (input_gradients(net, dx, flat), dgates, dstate, dcls, dword), h.T
+
+
+def input_gradients(net: Network, dx: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Sums of the columns of ``dx`` by symbol; rows that no symbol has are zero."""
+    out = np.zeros_like(net.inputs)
+    seen = np.zeros(len(out), bool)
+    seen[symbol] = True
+    rows = np.flatnonzero(seen)
+    number = np.zeros(len(out), np.int64)
+    number[rows] = np.arange(len(rows))
+    place = number[symbol]
+    out[rows] = np.array([np.bincount(place, weights=x, minlength=len(rows)) for x in dx]).T
+    return out
 
 
 class Learner:
@@ -268,17 +342,28 @@ class Learner:
             seen[symbols] = True
             rows = np.flatnonzero(seen)  # of the input table only what the window has touched
             (w, *rest), (m, *ms), (v, *vs) = self.weights, self.first, self.second
-            mine = [w[rows], m[rows], v[rows]]
-            self._adam(mine[0], grads[0][rows], mine[1], mine[2])
+            mine = [x.take(rows, axis=0) for x in (w, m, v)]
+            self._adam(mine[0], grads[0].take(rows, axis=0), mine[1], mine[2])
             w[rows], m[rows], v[rows] = mine
             for x in zip(rest, grads[1:], ms, vs):
                 self._adam(*x)
 
     def _adam(self, w: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray) -> None:
-        g = g / np.float32(self.most)
-        m += np.float32(0.1) * (g - m)
-        v += np.float32(0.01) * (g * g - v)
-        w -= np.float32(RATE) * (m / np.float32(1 - 0.9 ** self.step)) / (np.sqrt(v / np.float32(1 - 0.99 ** self.step)) + np.float32(1e-8))
+        """In place; ``g`` is used up."""
+        g /= np.float32(self.most)
+        y = g - m
+        y *= np.float32(0.1)
+        m += y
+        g *= g
+        g -= v
+        g *= np.float32(0.01)
+        v += g
+        np.divide(v, np.float32(1 - 0.99 ** self.step), out=y)
+        np.sqrt(y, out=y)
+        y += np.float32(1e-8)
+        np.divide(m, y, out=y)
+        y *= np.float32(RATE / (1 - 0.9 ** self.step))
+        w -= y
 
 
 def encoded(rows: DataFrame, text_col: str, lexicon) -> DataFrame:
@@ -310,6 +395,7 @@ def learned(rows: DataFrame, net: Network, lexicon) -> tuple[Network, int]:
         begin = spark.sparkContext.broadcast(net)
 
         def run(batches: Iterable[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
+            keep_freed()
             lex = lexicon.value
             learner = Learner(begin.value, lex.end)
             held, n = [], 0
@@ -349,31 +435,34 @@ def learned(rows: DataFrame, net: Network, lexicon) -> tuple[Network, int]:
 
 
 def log10_texts(net: Network, texts: list[np.ndarray]) -> np.ndarray:
-    """Log10 probability of each whole sequence of symbols; all advance together, the longest first."""
+    """Log10 probability of each whole sequence of symbols; ``TOGETHER`` of similar length advance at once, the longest first."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
-    order = np.argsort(-size, kind="stable")
-    size, out = size[order], np.zeros(len(texts))
-    flat = np.concatenate([texts[i] for i in order]) if texts else np.zeros(0, np.int16)
-    start = np.cumsum(size) - size
-    h = np.zeros((len(texts), HIDDEN), np.float32)
-    for t in range(0, int(size.max(initial=0)), WINDOW):
+    order, out = np.argsort(-size, kind="stable"), np.zeros(len(texts))
+    for a in range(0, len(order), TOGETHER):
+        part = order[a:a + TOGETHER]
+        out[part] = natural_log(net, [texts[i] for i in part], size[part])
+    return out / math.log(10)
+
+
+def natural_log(net: Network, texts: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+    """Natural log probability of sequences of falling ``size``."""
+    flat, start, out = np.concatenate(texts), np.cumsum(size) - size, np.zeros(len(texts))
+    h = np.zeros((HIDDEN, len(texts)), np.float32)
+    for t in range(0, int(size[0]), WINDOW):
         live = int(np.searchsorted(-size, -t, side="left"))  # texts longer than t
-        h = h[:live]
+        h = h[:, :live]
         steps = min(WINDOW, int(size[0]) - t)
         at = start[:live] + t + np.arange(steps)[:, None]
         real = t + np.arange(steps)[:, None] < size[:live]
         symbols = np.where(real, flat[np.minimum(at, len(flat) - 1)], net.n).astype(np.int64)
-        before = np.empty((steps, live, HIDDEN), np.float32)
+        x = inputs_of(net, symbols)
+        before = np.empty((HIDDEN, steps, live), np.float32)
         for s in range(steps):
-            before[s] = h
-            h = advance(net, h, symbols[s])[0]
-        got = log_probabilities(net, before[real], symbols[real])
-        p = np.zeros(symbols.shape)
-        p[real] = got
-        out[:live] += p.sum(0)
-    back = np.empty(len(texts))
-    back[order] = out / math.log(10)
-    return back
+            before[:, s] = h
+            h = cell(net, h, x[:, s])[0]
+        p = log_probabilities(net, before.reshape(HIDDEN, -1).T, symbols.ravel()).reshape(symbols.shape)
+        out[:live] += np.where(real, p, 0).sum(0, dtype=np.float64)
+    return out
 
 
 def symbols_of(distinct: int) -> int:
@@ -459,6 +548,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     id_type = rows.schema["id"].dataType.simpleString()
 
     def facts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         lex, seen = lexicon.value, 0
         for whole in batches:
             for part in chunks(whole, 2):
@@ -474,10 +564,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                     logs[known] = np.log10(lex.count[at[known]] + 0.5)
                 rest = sym == lex.n
                 sums = lambda x: np.bincount(doc, weights=x, minlength=n)
-                word = [b" " + int(k).to_bytes(8, "big") for k in keys]  # equals no word, as words have no white space
                 end = lex.type(lex.end).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), part.column(0), part.column(1), pa.array(word, pa.binary()), pa.array(np.zeros(n, np.int64)),
+                    [pa.array(keys), part.column(0), part.column(1), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
                      pa.array(w.counts() + 1), pa.array(sums(known).astype(np.int64) + (lex.end_count > 0)), pa.array(sums(rest).astype(np.int64)),
                      pa.array(sums(logs) + math.log10(lex.end_count + 0.5)), pa.array(sums(logs * rest)),
                      pa.array([sym[a:b].tobytes() + end for a, b in zip(w.first[:-1], w.first[1:])], pa.binary())], names=NAMES)
@@ -488,7 +577,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 nulls = lambda t: pa.nulls(len(far), t)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[doc[far]]), nulls(part.column(0).type),
-                     nulls(pa.bool_()), pa.array([w.word(i) for i in far.tolist()], pa.binary()), pa.array(many), nulls(pa.int64()),
+                     nulls(pa.bool_()), words_at(w, far), pa.array(many), nulls(pa.int64()),
                      nulls(pa.int64()), nulls(pa.int64()), nulls(pa.float64()), nulls(pa.float64()), nulls(pa.binary())], names=NAMES)
 
     made = saved(rows.mapInArrow(facts, f"key long, id {id_type}, held_out boolean, word binary, n long, n_tokens long, n_known long, "
@@ -501,6 +590,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     model = spark.sparkContext.broadcast(net)
 
     def network_scores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         keys, symbols, tokens = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -517,12 +607,15 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         yield flush()
 
     by_network = texts.select("key", "symbols").mapInArrow(network_scores, "key long, score double")
-    joined = made.drop("symbols").join(counts.withColumnRenamed("n", "c"), "word", "left").unionByName(by_network, allowMissingColumns=True)
-    tail = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))
+    # of a text's other words only sums by its key go on, so that the many rows of the join have these columns alone
+    c = F.coalesce("c", F.lit(0))
+    far = made.where(F.col("symbols").isNull()).select("key", "word", "n").join(counts.withColumnRenamed("n", "c"), "word", "left").groupBy("key").agg(
+        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.col("n") * F.log10(c + F.lit(0.5))).alias("tail"))
+    near = texts.select("key", "id", "held_out", "n_tokens", "n_known", "n_rest", "base", "score")
+    joined = near.unionByName(far, allowMissingColumns=True).unionByName(by_network, allowMissingColumns=True)
     by = joined.groupBy("key").agg(
-        F.max("id").alias("id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("n_known") + F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0))).alias("n_known"),
-        F.sum("n_rest").alias("n_rest"), F.sum("base").alias("base"), F.sum("score").alias("score"), F.sum(tail).alias("tail"))
+        F.max("id").alias("id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
+        F.sum("n_rest").alias("n_rest"), F.sum("base").alias("base"), F.sum("score").alias("score"), F.coalesce(F.sum("tail"), F.lit(0.0)).alias("tail"))
     norm = math.log10(lex.total + 0.5 * (lex.distinct + 1))
     rest_norm = math.log10(lex.rest_total + 0.5 * (lex.rest_distinct + 1))
     return by.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(lex.total).cast("long").alias("train_tokens"),

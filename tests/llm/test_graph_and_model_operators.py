@@ -4,6 +4,8 @@ import operator
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -280,6 +282,31 @@ def test_gradients():
             assert (up - down) / (2 * e) == pytest.approx(g[at], abs=1e-5)
 
 
+def test_learning_gets_its_memory_once():
+    """In a process of its own, as in a worker: windows after the first find the memory of those before them."""
+    code = """
+import resource, numpy as np
+from fleetspark.llm import gru_lm
+getattr(gru_lm, "keep_freed", lambda: None)()
+learner = gru_lm.Learner(gru_lm.new_network(4000), 0)
+grid = np.random.default_rng(0).integers(0, 4001, (4 * gru_lm.WINDOW, 1024)).astype(np.int16)
+learner._streams(grid)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+learner._streams(grid)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before)
+"""
+    got = subprocess.run([sys.executable, "-c", code], cwd=queries.__file__.rsplit("/", 3)[0], capture_output=True, text=True, check=True)
+    assert int(got.stdout) < 1000
+
+
+def test_words_are_copied_whole():
+    texts = ["Zwei  \u00e4rzte\tund".encode(), b"", b"a " * 40 + b"x" * 300]
+    w = gru_lm.Words(texts, gru_lm.SOLID)
+    at = np.array([w.n - 1, 0, 2, 0])
+    assert gru_lm.words_at(w, at).to_pylist() == [w.word(i) for i in at.tolist()]
+    assert gru_lm.words_at(w, at[:0]).to_pylist() == []
+
+
 # ------------------------------------------------------------ pipeline
 
 def test_pipeline_equals_brute_force(spark, documents, benchmark):
